@@ -14,7 +14,9 @@ task.  Here the time axis of each key is cut into buckets and the work is
 split in three parts, all exact:
 
 1. per key: origin, width of a bucket (so a bucket holds about
-   ``rows_per_bucket`` rows of ``df``);
+   ``rows_per_bucket`` rows; the density comes from the context rows and an
+   optional cheap scan shaped like the big side, never from ``df`` itself,
+   so ``df``'s plan runs once);
 2. per (key, bucket) the last value of each column among the rows that
    carry values (partial aggregation, tiny), a running ``last`` over those
    buckets, and that state spread to every later bucket up to the next
@@ -48,11 +50,19 @@ def _last_key(v: str, with_ts: bool = True) -> Column:
 
 def asof_fill(df: DataFrame, keys: Sequence[str], ts: str, tie: Column | str | None,
               values: Sequence[str], out: Mapping[str, str] | None = None,
-              rows_per_bucket: int = 4096, bucket_us: int | None = None) -> DataFrame:
+              rows_per_bucket: int = 4096, bucket_us: int | None = None,
+              density: DataFrame | None = None) -> DataFrame:
     """Add one filled column per name in ``values`` (named by ``out``,
     default ``<v>_filled``).  ``tie`` orders rows that share a timestamp
-    (smaller first); ``bucket_us`` fixes one bucket width for every key
-    instead of deriving it from the row density."""
+    (smaller first).
+
+    Bucket width per key: ``bucket_us`` if given, else derived so that a
+    bucket holds about ``rows_per_bucket`` rows of the context rows plus
+    ``density`` (keys + ``ts`` columns; pass a cheap scan that has the row
+    density of the big side, e.g. the raw samples).  The geometry never
+    reads ``df`` as a whole, so ``df``'s plan is evaluated once.
+    Rows with a NULL key receive NULL.
+    """
     keys = list(keys)
     values = list(values)
     out = dict(out or {v: f"{v}_filled" for v in values})
@@ -68,12 +78,17 @@ def asof_fill(df: DataFrame, keys: Sequence[str], ts: str, tie: Column | str | N
             .agg(*[F.max_by(v, _last_key(v, with_ts=False)).alias(f"_af_i{idx[v]}") for v in values]))
 
     # 1. bucket geometry per key
+    ctx_t = ctx.where(F.col(_US).isNotNull())
+    pts = ctx_t.select(*keys, _US)
+    if density is not None:
+        pts = pts.unionByName(density.select(*keys, epoch_micros(ts).alias(_US))
+                              .where(F.col(_US).isNotNull()))
     if bucket_us:
-        geo = (base.where(F.col(_US).isNotNull()).select(*keys).distinct()
+        geo = (pts.select(*keys).distinct()
                .withColumn(_O, F.lit(0).cast("bigint"))
                .withColumn(_W, F.lit(int(bucket_us)).cast("bigint")))
     else:
-        geo = (base.where(F.col(_US).isNotNull()).groupBy(*keys)
+        geo = (pts.groupBy(*keys)
                .agg(F.min(_US).alias(_O), F.max(_US).alias("_af_max"), F.count(F.lit(1)).alias("_af_n"))
                .select(*keys, _O, F.greatest(F.lit(1), F.ceil(
                    (F.col("_af_max") - F.col(_O) + 1) * F.lit(rows_per_bucket) / F.col("_af_n"))
@@ -82,7 +97,7 @@ def asof_fill(df: DataFrame, keys: Sequence[str], ts: str, tie: Column | str | N
     bucket = F.floor((F.col(_US) - F.col(_O)) / F.col(_W))
 
     # 2. per-bucket last values, running state, carry-in rows
-    ctx_b = ctx.where(F.col(_US).isNotNull()).join(geo, keys).withColumn(_BKT, bucket)
+    ctx_b = ctx_t.join(geo, keys).withColumn(_BKT, bucket)
     summ = ctx_b.groupBy(*keys, _BKT).agg(
         *[F.max_by(v, _last_key(v)).alias(f"_af_s{idx[v]}") for v in values])
     wk = Window.partitionBy(*keys).orderBy(_BKT)
@@ -97,20 +112,22 @@ def asof_fill(df: DataFrame, keys: Sequence[str], ts: str, tie: Column | str | N
         *keys, F.col(_BKT).alias(_LAST), *[F.col(f"_af_c{i}").alias(f"_af_f{i}") for i in idx.values()])
     per_key = geo.join(final, keys, "left").join(init, keys, "full")
 
-    # 3. big side: bucket, carry-in, in-bucket window
-    big = base.join(per_key, keys, "left").withColumn(_BKT, bucket)
-    big = big.join(carry, keys + [_BKT], "left")
-    # rows without a bucket (NULL ts) only see the initial state; spread them
-    # over several window partitions instead of one per key
-    part_bkt = F.coalesce(F.col(_BKT), -1 - F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(1024)))
-    w = (Window.partitionBy(*keys, part_bkt).orderBy(_US, _TIE)
+    # 3. big side: bucket, carry-in, in-bucket window.  Rows without a
+    # bucket (NULL ts, or ts of a key with no geometry) only see the initial
+    # state; they get ids far below any real bucket, spread by a hash so
+    # that they do not pile into one window partition per key.
+    null_bkt = F.lit(-(2 ** 62)) - F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(1024))
+    big = (base.join(per_key, keys, "left")
+           .withColumn(_BKT, F.coalesce(bucket, null_bkt))
+           .join(carry, keys + [_BKT], "left"))
+    w = (Window.partitionBy(*keys, _BKT).orderBy(_US, _TIE)
          .rangeBetween(Window.unboundedPreceding, Window.currentRow))
     filled = []
     for v in values:
         i = idx[v]
         in_bucket = F.max_by(v, _last_key(v)).over(w)
         carried = F.when(F.col(_BKT) > F.col(_LAST), F.col(f"_af_f{i}")).otherwise(F.col(f"_af_c{i}"))
-        filled.append(F.when(F.col(_US).isNull(), F.col(f"_af_i{i}"))
+        filled.append(F.when(F.col(_US).isNull() | F.col(_O).isNull(), F.col(f"_af_i{i}"))
                       .otherwise(F.coalesce(in_bucket, carried, F.col(f"_af_i{i}"))).alias(out[v]))
     return big.select(*df.columns, *filled)
 

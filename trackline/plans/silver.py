@@ -91,23 +91,27 @@ def unified_stream(tl: DataFrame, weather: DataFrame, race_control: DataFrame,
 
 
 def telemetry_context(tl: DataFrame, weather: DataFrame, race_control: DataFrame,
-                      location: DataFrame, rows_per_bucket: int = 4096) -> DataFrame:
+                      location: DataFrame, rows_per_bucket: int = 4096,
+                      samples: DataFrame | None = None) -> DataFrame:
     """Car samples with the last known weather / flag (per session) and
     position (per driver) at their instant.
 
     Session-wide context and per-driver position are two as-of fills with
     different keys; weather and flag rows carry no driver, so they are kept
     out of the per-driver fill (only car samples are kept afterwards).
+    ``samples`` (session_key, driver_number, ts) gives the fills the row
+    density of the car data without evaluating ``tl`` twice.
     """
     session_ctx = _union(_car_rows(tl), _weather_rows(weather), _flag_rows(race_control))
     filled = asof_fill(session_ctx, ["session_key"], "ts", "_rank",
                        ["air_temp", "track_temp", "raining", "track_flag"],
-                       rows_per_bucket=rows_per_bucket)
+                       rows_per_bucket=rows_per_bucket,
+                       density=samples.select("session_key", "ts") if samples is not None else None)
     cars = filled.where(F.col("record_type") == "telemetry").drop(
         "air_temp", "track_temp", "raining", "track_flag")
     driver_ctx = _union(cars, _location_rows(location))
     filled2 = asof_fill(driver_ctx, DRIVER_KEYS, "ts", "_rank", ["x", "y"],
-                        rows_per_bucket=rows_per_bucket)
+                        rows_per_bucket=rows_per_bucket, density=samples)
     cars2 = filled2.where(F.col("record_type") == "telemetry")
     return cars2.select(
         *DRIVER_KEYS, "lap_number", F.col("ts").alias("telemetry_timestamp"), *SAMPLE_COLUMNS,
@@ -154,7 +158,8 @@ def enriched_telemetry(tables, tl: DataFrame | None = None, rows_per_bucket: int
     tl = tl if tl is not None else telemetry_laps(tables)
     ctx = telemetry_context(tl, stg.staged(tables, "stg_weather"),
                             stg.staged(tables, "stg_race_control"),
-                            stg.staged(tables, "stg_location"), rows_per_bucket=rows_per_bucket)
+                            stg.staged(tables, "stg_location"), rows_per_bucket=rows_per_bucket,
+                            samples=tables["telemetry_raw"].select(*DRIVER_KEYS, F.col("date").alias("ts")))
     s = with_stints(ctx, stg.staged(tables, "stg_stints"), tables["laps_raw"])
     p = with_pits(s, stg.staged(tables, "stg_pits"))
     return p.select(*ENRICHED_COLUMNS)

@@ -18,6 +18,7 @@ oracle (``trackline.queries.oracle``), which states them in SQL:
 
 from __future__ import annotations
 
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -45,9 +46,14 @@ class RaceTables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.sf_dir, name)
+        # one DataFrame per source table: DataFrames are immutable and lazy,
+        # so sharing them only saves repeated file listing and analysis
+        if name not in self._raw:
+            self._raw[name] = read_table(self.spark, self.sf_dir, name)
+        return self._raw[name]
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in RACE_TABLES:
@@ -55,14 +61,14 @@ class RaceTables:
         return getattr(self, name)
 
     # -- events keyed by session -------------------------------------------
-    @property
+    @cached_property
     def ev(self) -> DataFrame:
         e = self.raw("events")
         return e.select(
             "event_id", "ts", "user_id", "event_type", "value",
             (F.lit(9000) + F.floor((F.dayofmonth("ts") - 1) / 10.0)).cast("bigint").alias("session_key"))
 
-    @property
+    @cached_property
     def laps_raw(self) -> DataFrame:
         w = Window.partitionBy("session_key", "user_id").orderBy("ts", "event_id")
         s = (self.ev.where(F.col("event_type") == "signup")
@@ -78,7 +84,7 @@ class RaceTables:
             ((F.col("lap_number") > 1) & (F.col("lap_number") % 5 == 1)).alias("is_pit_out_lap"),
         )
 
-    @property
+    @cached_property
     def telemetry_raw(self) -> DataFrame:
         e = self.ev.where(F.col("event_type").isin("view", "click", "purchase"))
         return e.select(
@@ -91,7 +97,7 @@ class RaceTables:
             (F.col("event_id") % 15).alias("drs"),
         )
 
-    @property
+    @cached_property
     def weather_raw(self) -> DataFrame:
         e = self.ev.where(F.col("event_type") == "error")
         return e.select(
@@ -103,7 +109,7 @@ class RaceTables:
             (F.col("value") > 100).alias("rainfall"),
         )
 
-    @property
+    @cached_property
     def race_control_raw(self) -> DataFrame:
         e = self.ev.where((F.col("event_type") == "purchase")
                           & ((F.dayofmonth("ts") - 1) % 10 >= 1))
@@ -120,7 +126,7 @@ class RaceTables:
             _null("string").alias("scope"), _null("string").alias("message"),
         )
 
-    @property
+    @cached_property
     def location_raw(self) -> DataFrame:
         e = self.ev.where(F.col("event_type") == "click")
         return e.select(
@@ -129,7 +135,7 @@ class RaceTables:
             F.lit(0.0).alias("z"),
         )
 
-    @property
+    @cached_property
     def stints_raw(self) -> DataFrame:
         lp = self.laps_raw.where((F.col("lap_number") % 5 == 1) & (F.col("driver_number") % 7 != 6))
         k3 = (F.col("driver_number") + F.col("lap_number")) % 3
@@ -143,7 +149,7 @@ class RaceTables:
              .otherwise(F.col("lap_number") + 4).alias("lap_end"),
         )
 
-    @property
+    @cached_property
     def pits_raw(self) -> DataFrame:
         lp = self.laps_raw.where(F.col("lap_number") % 5 == 0)
         return lp.select(
@@ -152,12 +158,12 @@ class RaceTables:
             (F.lit(2.0) + (F.col("driver_number") % 30) / 10.0).alias("stop_duration"),
         )
 
-    @property
+    @cached_property
     def _driver_sessions(self) -> DataFrame:
         return (self.ev.groupBy("session_key", F.col("user_id").alias("driver_number"))
                 .agg(F.sum("value").alias("total_value"), F.count(F.lit(1)).alias("n")))
 
-    @property
+    @cached_property
     def driver_raw(self) -> DataFrame:
         c = self.raw("customer").select("c_custkey", "c_name", "c_nationkey")
         n = self.raw("nation").select("n_nationkey", "n_name")
@@ -173,7 +179,7 @@ class RaceTables:
             F.lpad(((F.col("n_nationkey") * 37123) % 1000000).cast("string"), 6, "0").alias("team_colour"),
         )
 
-    @property
+    @cached_property
     def sessions_metadata(self) -> DataFrame:
         g = self.ev.groupBy("session_key").agg(F.min("ts").alias("date_start"), F.max("ts").alias("date_end"))
         return g.select(
@@ -182,7 +188,7 @@ class RaceTables:
             "date_start", "date_end", F.lit(2024).cast("bigint").alias("year"),
         )
 
-    @property
+    @cached_property
     def meetings_metadata(self) -> DataFrame:
         r = self.raw("region")
         return r.select(
@@ -198,7 +204,7 @@ class RaceTables:
             F.lit(2024).cast("bigint").alias("year"),
         )
 
-    @property
+    @cached_property
     def session_results_raw(self) -> DataFrame:
         w = Window.partitionBy("session_key").orderBy(
             F.round("total_value", 2).cast("decimal(18,2)").desc(), "driver_number")

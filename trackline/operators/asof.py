@@ -40,6 +40,10 @@ from pyspark.sql import functions as F
 from trackline.functions.scalar import epoch_micros
 
 _US, _TIE, _BKT = "_af_us", "_af_tie", "_af_bkt"
+# A window partition of up to this many rows is left to one task (the plain
+# form); above it the bucketed form splits the key.  Spark conf
+# ``trackline.window.maxRowsPerTask`` overrides it.
+MAX_ROWS_PER_TASK = 4_000_000
 _O, _W, _LAST = "_af_origin", "_af_width", "_af_last"
 
 
@@ -48,10 +52,23 @@ def _last_key(v: str, with_ts: bool = True) -> Column:
     return F.when(F.col(v).isNotNull(), F.struct(*parts, F.col(_TIE), F.col(v)))
 
 
+def max_rows_per_task(spark) -> int:
+    try:
+        return int(spark.conf.get("trackline.window.maxRowsPerTask", str(MAX_ROWS_PER_TASK)))
+    except Exception:  # noqa: BLE001
+        return MAX_ROWS_PER_TASK
+
+
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Row count of the largest ``keys`` group (one small aggregate job)."""
+    row = df.groupBy(*keys).count().agg(F.max("count").alias("m")).first()
+    return int(row["m"] or 0) if row is not None else 0
+
+
 def asof_fill(df: DataFrame, keys: Sequence[str], ts: str, tie: Column | str | None,
               values: Sequence[str], out: Mapping[str, str] | None = None,
               rows_per_bucket: int = 4096, bucket_us: int | None = None,
-              density: DataFrame | None = None) -> DataFrame:
+              density: DataFrame | None = None, strategy: str = "auto") -> DataFrame:
     """Add one filled column per name in ``values`` (named by ``out``,
     default ``<v>_filled``).  ``tie`` orders rows that share a timestamp
     (smaller first).
@@ -62,9 +79,27 @@ def asof_fill(df: DataFrame, keys: Sequence[str], ts: str, tie: Column | str | N
     density of the big side, e.g. the raw samples).  The geometry never
     reads ``df`` as a whole, so ``df``'s plan is evaluated once.
     Rows with a NULL key receive NULL.
+
+    ``strategy``: ``bucketed``, ``plain`` (one window partition per key) or
+    ``auto`` - plain when the largest key of the context rows plus
+    ``density`` holds at most ``trackline.window.maxRowsPerTask`` rows
+    (checked with one small aggregate), bucketed otherwise or when there is
+    no ``density`` to size the big side with.
     """
     keys = list(keys)
     values = list(values)
+    if strategy not in ("auto", "plain", "bucketed"):
+        raise ValueError("strategy must be auto, plain or bucketed")
+    if strategy == "auto":
+        strategy = "bucketed"
+        if density is not None:
+            has_any = reduce(lambda a, b: a | b, [F.col(v).isNotNull() for v in values])
+            sizing = (df.where(has_any).select(*keys)
+                      .unionByName(density.select(*keys)))
+            if largest_group(sizing, keys) <= max_rows_per_task(df.sparkSession):
+                strategy = "plain"
+    if strategy == "plain":
+        return asof_fill_plain(df, keys, ts, tie, values, out)
     out = dict(out or {v: f"{v}_filled" for v in values})
     tie_c = F.lit(0) if tie is None else (F.col(tie) if isinstance(tie, str) else tie)
     base = df.withColumn(_US, epoch_micros(ts)).withColumn(_TIE, tie_c)

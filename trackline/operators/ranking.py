@@ -32,10 +32,25 @@ def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
 
 
 def group_rank(df: DataFrame, partition: Sequence[str], order: str, out: str,
-               ranges: int = 64, accuracy: int = 10000) -> DataFrame:
+               ranges: int = 64, accuracy: int = 10000, strategy: str = "auto") -> DataFrame:
     """Add ``out`` = RANK() over ``partition`` ordered by ``order`` ascending,
-    NULLs first (as RANK does in Spark and in the reference's engine)."""
+    NULLs first (as RANK does in Spark and in the reference's engine).
+
+    ``strategy``: ``ranged`` (split each group into value ranges), ``plain``
+    (one window partition per group) or ``auto``: plain when the largest
+    group holds at most ``trackline.window.maxRowsPerTask`` rows (one small
+    aggregate decides), ranged otherwise."""
+    from trackline.operators.asof import largest_group, max_rows_per_task
+
     partition = list(partition)
+    if strategy == "auto":
+        strategy = ("plain" if largest_group(df.select(*partition), partition)
+                    <= max_rows_per_task(df.sparkSession) else "ranged")
+    if strategy == "plain":
+        w = Window.partitionBy(*partition).orderBy(F.col(order).asc_nulls_first())
+        return df.withColumn(out, F.rank().over(w).cast("bigint"))
+    if strategy != "ranged":
+        raise ValueError("strategy must be auto, plain or ranged")
     pct = [(i + 1) / ranges for i in range(ranges - 1)]
     cuts = df.groupBy(*partition).agg(
         F.percentile_approx(order, pct, accuracy).alias("_gr_cuts"))

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -80,8 +81,33 @@ class Lakehouse:
             raise KeyError(name)
         return self._persist("bronze", name, self.source[name])
 
-    def build(self) -> dict[str, DataFrame]:
-        """Materialise every layer; returns name -> table."""
+    # gold tables grouped by dependency level: tables of one group only
+    # read tables of earlier groups, so a group's writes run as concurrent
+    # Spark jobs (the cluster schedules their tasks together)
+    GOLD_LEVELS = (("fct_lap_leaderboard", "fct_corner_performance"), ("dim_sessions", "dim_drivers"),
+                   ("fct_dashboard_laps", "fct_race_results"), ("fct_tire_degradation",))
+
+    def _parallel(self, fns, threads: int) -> None:
+        with ThreadPoolExecutor(max_workers=threads) as pool:
+            for f in [pool.submit(fn) for fn in fns]:
+                f.result()
+
+    def build_bronze(self, threads: int = 4) -> None:
+        self._parallel([lambda n=n: self[n] for n in RACE_TABLES], threads)
+
+    def build_silver(self) -> None:
+        for attr in SILVER.values():
+            getattr(self.models, attr)
+
+    def build_gold(self, threads: int = 2) -> None:
+        for level in self.GOLD_LEVELS:
+            self._parallel([lambda n=n: getattr(self.models, GOLD[n]) for n in level], threads)
+
+    def build(self, threads: int = 4) -> dict[str, DataFrame]:
+        """Materialise every layer (bronze, silver, gold); returns name -> table."""
+        self.build_bronze(threads)
+        self.build_silver()
+        self.build_gold(min(threads, 2))
         out = {name: self[name] for name in RACE_TABLES}
         for name, attr in {**SILVER, **GOLD}.items():
             out[name] = getattr(self.models, attr)

@@ -351,8 +351,9 @@ def q_asof_weather(spark, sf_dir):
         F.col("air_temperature").alias("air_temp"), F.col("track_temperature").alias("track_temp"),
         F.col("is_raining").alias("raining"))
     u = cars.unionByName(w, allowMissingColumns=True)
+    # pinned to the bucketed form so the oracle checks the scalable path
     f = asof_fill(u, ["session_key"], "ts", "_rank", ["air_temp", "track_temp", "raining"],
-                  density=cars.select("session_key", "ts"))
+                  density=cars.select("session_key", "ts"), strategy="bucketed")
     return f.where(F.col("_rank") == 1).select(
         "session_key", "driver_number", F.col("ts").alias("telemetry_timestamp"),
         F.col("air_temp_filled").alias("air_temperature"), F.col("track_temp_filled").alias("track_temperature"),
@@ -379,7 +380,7 @@ def q_asof_location(spark, sf_dir):
                                                  "x", "y")
     u = cars.unionByName(loc, allowMissingColumns=True)
     f = asof_fill(u, ["session_key", "driver_number"], "ts", "_rank", ["x", "y"],
-                  density=cars.select("session_key", "driver_number", "ts"))
+                  density=cars.select("session_key", "driver_number", "ts"), strategy="bucketed")
     return f.where(F.col("_rank") == 1).select("session_key", "driver_number",
                                                F.col("ts").alias("telemetry_timestamp"), "speed",
                                                F.col("x_filled").alias("x"), F.col("y_filled").alias("y"))
@@ -485,7 +486,7 @@ FROM orders""")
 def q_price_rank(spark, sf_dir):
     """RANK over a heavily skewed partition key (three order statuses)."""
     o = _lh(spark, sf_dir).source.raw("orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    return group_rank(o, ["o_orderstatus"], "o_totalprice", "price_rank")
+    return group_rank(o, ["o_orderstatus"], "o_totalprice", "price_rank", strategy="ranged")
 
 
 @query("clean_laps", """

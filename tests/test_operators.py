@@ -166,3 +166,13 @@ def test_number_segments(spark):
                                "k long, o long, s boolean")
     got = rows(number_segments(df, ["k"], ["o"], F.col("s"), "seg").select("k", "o", "seg"))
     assert got == [(1, 1, 1), (1, 2, 1), (1, 3, 2), (1, 4, 2), (2, 1, 1)]
+
+
+def test_interval_join_long_intervals(spark):
+    pts = spark.createDataFrame([(1, ts(s)) for s in (0, 5, 50, 500, 5000, 86000)] + [(2, ts(1))],
+                                "k long, t timestamp_ntz")
+    iv = spark.createDataFrame([(1, 1, ts(0), ts(10)), (1, 2, ts(10), ts(20)), (1, 3, ts(0), ts(86400)),
+                                (2, 4, ts(0), ts(2))], "k long, lap long, a timestamp_ntz, b timestamp_ntz")
+    for how in ("inner", "left"):
+        got = interval_join(pts, iv, ["k"], "t", "a", "b", how=how, bucket_us=5_000_000, max_copies=4)
+        assert rows(got) == rows(interval_join_plain(pts, iv, ["k"], "t", "a", "b", how=how))

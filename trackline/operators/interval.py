@@ -24,6 +24,12 @@ from trackline.functions.scalar import epoch_micros
 _BKT = "_tl_bucket"
 
 
+def _copies(start: str, end: str, b: int):
+    lo = F.floor(epoch_micros(start) / F.lit(b))
+    hi = F.floor((epoch_micros(end) - 1) / F.lit(b))
+    return lo, hi
+
+
 def suggest_bucket_us(intervals: DataFrame, start: str, end: str,
                       minimum_us: int = 1_000_000) -> int:
     """Median interval length (one small aggregate over the interval side).
@@ -39,12 +45,16 @@ def suggest_bucket_us(intervals: DataFrame, start: str, end: str,
 
 def interval_join(points: DataFrame, intervals: DataFrame, keys: Sequence[str],
                   ts: str, start: str, end: str, how: str = "inner",
-                  bucket_us: int | None = None) -> DataFrame:
+                  bucket_us: int | None = None, max_copies: int = 64) -> DataFrame:
     """Rows of ``points`` joined to every interval with equal ``keys`` and
     ``start <= ts < end``.  ``how`` is ``inner`` or ``left``.
 
     Intervals with a NULL bound or with ``end <= start`` can never match
-    and are dropped before the replication.  Output: all point columns,
+    and are dropped before the replication.  Intervals that would be copied
+    to more than ``max_copies`` buckets (rare outliers, e.g. a lap whose
+    end is days later) are not replicated: they take the plain equi-join
+    with a range residual, and the two results are unioned - every match
+    comes from exactly one of the two paths.  Output: all point columns,
     then the interval columns except the keys.
     """
     if how not in ("inner", "left"):
@@ -53,19 +63,34 @@ def interval_join(points: DataFrame, intervals: DataFrame, keys: Sequence[str],
     iv = intervals.where(F.col(start).isNotNull() & F.col(end).isNotNull()
                          & (F.col(end) > F.col(start)))
     b = int(bucket_us or suggest_bucket_us(iv, start, end))
-    lo = F.floor(epoch_micros(start) / F.lit(b))
-    hi = F.floor((epoch_micros(end) - 1) / F.lit(b))
-    ivb = iv.withColumn(_BKT, F.explode(F.sequence(lo, hi))).alias("_iv")
-    pb = points.withColumn(_BKT, F.floor(epoch_micros(ts) / F.lit(b))).alias("_pt")
+    lo, hi = _copies(start, end, b)
+    n_copies = hi - lo + 1
+    n_long = iv.where(n_copies > max_copies).count()
+    short = iv.where(n_copies <= max_copies) if n_long else iv
+    out_cols = list(points.columns) + [c for c in intervals.columns if c not in keys]
 
+    ivb = short.withColumn(_BKT, F.explode(F.sequence(lo, hi))).alias("_iv")
+    pb = points.withColumn(_BKT, F.floor(epoch_micros(ts) / F.lit(b))).alias("_pt")
     cond = [F.col(f"_pt.{k}") == F.col(f"_iv.{k}") for k in keys]
     cond += [F.col(f"_pt.{_BKT}") == F.col(f"_iv.{_BKT}"),
              F.col(f"_pt.{ts}") >= F.col(f"_iv.{start}"),
              F.col(f"_pt.{ts}") < F.col(f"_iv.{end}")]
-    joined = pb.join(ivb, cond, how)
     out = [F.col(f"_pt.{c}") for c in points.columns]
     out += [F.col(f"_iv.{c}") for c in intervals.columns if c not in keys]
-    return joined.select(*out)
+    if not n_long:
+        return pb.join(ivb, cond, how).select(*out)
+
+    inner = pb.join(ivb, cond, "inner").select(*out)
+    long_iv = iv.where(n_copies > max_copies)
+    inner = inner.unionByName(interval_join_plain(points, long_iv, keys, ts, start, end, "inner"))
+    if how == "inner":
+        return inner
+    # left: points without any match keep one row with NULL interval columns
+    matched = inner.select(*points.columns).distinct().alias("_m")
+    same = [F.col(f"_p.{c}").eqNullSafe(F.col(f"_m.{c}")) for c in points.columns]
+    unmatched = points.alias("_p").join(matched, same, "left_anti").select(*points.columns)
+    pad = [F.lit(None).cast(f.dataType).alias(f.name) for f in intervals.schema.fields if f.name not in keys]
+    return inner.unionByName(unmatched.select(*points.columns, *pad)).select(*out_cols)
 
 
 def interval_join_plain(points: DataFrame, intervals: DataFrame, keys: Sequence[str],

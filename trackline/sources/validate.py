@@ -1,8 +1,10 @@
 """Record validation of landed JSON lines (V1-V4).
 
-Each line is parsed once with ``from_json`` into a struct of *strings*
-(the JSON reader keeps a number's text, e.g. ``12.5`` -> ``"12.5"``), then
-every field is coerced with built-in expressions:
+Each line is parsed once with ``json_tuple`` (a generator: one parse per
+line, every field returned as its JSON text, e.g. ``12.5`` -> ``"12.5"``;
+a ``from_json`` struct would be inlined into every field reference and
+re-parsed per use), then every field is coerced with built-in
+expressions:
 
 * int    - the text as a double with no fraction (``1.0`` and ``"3"`` pass,
            ``1.5`` and ``"x"`` fail), as the reference's validator allows;
@@ -25,7 +27,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType
 
 _TRUE = ("true", "1", "yes", "on", "t", "y")
 _FALSE = ("false", "0", "no", "off", "f", "n")
@@ -59,24 +61,26 @@ def _coerce(kind: str, raw: Column) -> tuple[Column, Column]:
 def validate(lines: DataFrame, spec: Mapping[str, tuple[str, bool]], text_col: str = "value",
              keep: tuple[str, ...] = ()) -> DataFrame:
     """Typed columns of ``spec`` plus ``_errors`` (array<string>, empty when
-    the record is valid).  ``keep`` carries extra columns of ``lines``."""
-    raw_schema = StructType([StructField(n, StringType()) for n in spec])
-    rec = F.from_json(F.col(text_col), raw_schema)
-    parsed = lines.select(*keep, rec.alias("_rec"), F.col(text_col).alias("_line"))
+    the record is valid) and the raw ``_line``.  ``keep`` carries extra
+    columns of ``lines``.  A line that is not a JSON object yields NULL for
+    every field, so its required fields are reported missing."""
+    names = list(spec)
+    raw_cols = [f"_raw_{i}" for i in range(len(names))]
+    parsed = lines.select(*keep, F.col(text_col).alias("_line"),
+                          F.json_tuple(F.col(text_col), *names).alias(*raw_cols))
     typed, errs = [], []
-    for name, (kind, required) in spec.items():
-        raw = F.col(f"_rec.{name}")
+    for name, raw_name in zip(names, raw_cols):
+        kind, required = spec[name]
+        raw = F.col(raw_name)
         value, ok = _coerce(kind, raw)
         if kind == "float_list":
             typed.append(F.coalesce(value, F.array().cast(ArrayType(DoubleType()))).alias(name))
         else:
             typed.append(value.alias(name))
         missing = raw.isNull()
-        msg = (F.when(missing, F.lit(f"{name}: field required") if required else F.lit(None))
-               .when(~ok, F.lit(f"{name}: invalid {kind}")))
-        errs.append(msg)
-    bad_line = F.when(F.col("_rec").isNull(), F.array(F.lit("record: not a JSON object")))
-    errors = F.coalesce(bad_line, F.filter(F.array(*errs), lambda e: e.isNotNull()))
+        errs.append(F.when(missing, F.lit(f"{name}: field required") if required else F.lit(None))
+                    .when(~ok, F.lit(f"{name}: invalid {kind}")))
+    errors = F.filter(F.array(*errs), lambda e: e.isNotNull())
     return parsed.select(*keep, *typed, errors.alias("_errors"), "_line")
 
 

@@ -52,7 +52,7 @@ def main() -> None:
     lh = lakehouse_for(spark, sf_dir)
 
     t = time.time()
-    lh.build_bronze(threads=4)
+    lh.build_bronze(threads=8)
     times["build_bronze"] = time.time() - t
     for name, attr in SILVER.items():
         t = time.time()

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,14 +62,21 @@ class Lakehouse:
         self.source = source
         self.root = root
         self._tables: dict[str, DataFrame] = {}
+        self._locks: dict[str, threading.Lock] = {}
+        self._guard = threading.Lock()
         self.models = Models(self, persist=self._persist_model)
 
     def _persist(self, layer: str, name: str, df: DataFrame) -> DataFrame:
+        """Write once per table; concurrent callers of the same table wait
+        for the first writer (different tables are written concurrently)."""
         key = f"{layer}/{name}"
-        if key not in self._tables:
-            path = layer_path(self.root, layer, name)
-            write_table(df, path, CLUSTER_BY.get(name))
-            self._tables[key] = self.spark.read.parquet(path)
+        with self._guard:
+            lock = self._locks.setdefault(key, threading.Lock())
+        with lock:
+            if key not in self._tables:
+                path = layer_path(self.root, layer, name)
+                write_table(df, path, CLUSTER_BY.get(name))
+                self._tables[key] = self.spark.read.parquet(path)
         return self._tables[key]
 
     def _persist_model(self, name: str, df: DataFrame) -> DataFrame:
@@ -92,7 +100,7 @@ class Lakehouse:
             for f in [pool.submit(fn) for fn in fns]:
                 f.result()
 
-    def build_bronze(self, threads: int = 4) -> None:
+    def build_bronze(self, threads: int = 8) -> None:
         self._parallel([lambda n=n: self[n] for n in RACE_TABLES], threads)
 
     def build_silver(self) -> None:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackline.functions.scalar import composite_key, round_half_up, safe_ratio
+from trackline.operators.ordered import ordered_window
 from trackline.operators.ranking import first_by, group_rank, with_group_min
 from trackline.operators.segments import number_segments
 
@@ -98,14 +99,16 @@ def clean_laps(laps: DataFrame) -> DataFrame:
                       & F.col("tire_compound").isNotNull() & F.col("tire_age_at_lap_end").isNotNull())
 
 
-def stint_starts(laps: DataFrame) -> DataFrame:
+def stint_starts(laps: DataFrame, strategy: str = "auto") -> DataFrame:
     """A lap starts a strategy stint when it is the driver's first clean
     lap, the compound changes, or the tyre age does not increase."""
-    w = Window.partitionBy(*DRIVER_KEYS).orderBy("lap_number")
-    prev_c, prev_a = F.lag("tire_compound").over(w), F.lag("tire_age_at_lap_end").over(w)
-    return laps.withColumn("starts_new_stint", F.when(prev_c.isNull(), 1)
-                           .when(F.col("tire_compound") != prev_c, 1)
-                           .when(F.col("tire_age_at_lap_end") <= prev_a, 1).otherwise(0))
+    lagged = ordered_window(laps, DRIVER_KEYS, "lap_number", strategy=strategy,
+                            lags=[("tire_compound", 1, "_prev_c"), ("tire_age_at_lap_end", 1, "_prev_a")])
+    prev_c, prev_a = F.col("_prev_c"), F.col("_prev_a")
+    return lagged.withColumn("starts_new_stint", F.when(prev_c.isNull(), 1)
+                             .when(F.col("tire_compound") != prev_c, 1)
+                             .when(F.col("tire_age_at_lap_end") <= prev_a, 1).otherwise(0)
+                             ).drop("_prev_c", "_prev_a")
 
 
 DEGRADATION_COLUMNS = [
@@ -115,24 +118,30 @@ DEGRADATION_COLUMNS = [
     "rolling_three_lap_average", "avg_track_temp", "rained_during_lap"]
 
 
-def tire_degradation(laps: DataFrame) -> DataFrame:
+def tire_degradation(laps: DataFrame, strategy: str = "auto") -> DataFrame:
     """Clean laps in inferred stints with running degradation metrics.
 
     The stint window orders by lap; ``delta_to_stint_best`` is to the best
-    lap *so far* in the stint (running MIN), as in the reference.
+    lap *so far* in the stint (running MIN), as in the reference.  All the
+    per-car windows go through ``ordered_window`` (split when a car's laps
+    would not fit one task).
     """
-    s = stint_starts(clean_laps(laps))
-    s = number_segments(s, DRIVER_KEYS, ["lap_number"], F.col("starts_new_stint") == 1,
-                        "strategy_stint_number")
-    stint = Window.partitionBy(*DRIVER_KEYS, "strategy_stint_number").orderBy("lap_number")
-    running = stint.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    last3 = stint.rowsBetween(-2, Window.currentRow)
+    clean = clean_laps(laps)
+    if strategy == "auto":
+        # one size check for all four windows: a stint's laps are a subset of its car's laps
+        from trackline.operators.asof import largest_group, max_rows_per_task
+        fits = largest_group(clean.select(*DRIVER_KEYS), DRIVER_KEYS) <= max_rows_per_task(clean.sparkSession)
+        strategy = "plain" if fits else "split"
+    s = stint_starts(clean, strategy)
+    s = number_segments(s, DRIVER_KEYS, "lap_number", F.col("starts_new_stint") == 1,
+                        "strategy_stint_number", strategy=strategy)
+    s = ordered_window(s, DRIVER_KEYS + ["strategy_stint_number"], "lap_number", strategy=strategy,
+                       row_number="lap_in_stint", running_min=[("lap_duration", "_stint_best")],
+                       avg_last3=[("lap_duration", "rolling_three_lap_average")])
     return s.select(
         F.concat(F.col("lap_id"), F.lit("-stint-"), F.col("strategy_stint_number").cast("string"))
         .alias("degradation_id"), "*",
-        F.row_number().over(stint).cast("bigint").alias("lap_in_stint"),
-        (F.col("lap_duration") - F.min("lap_duration").over(running)).alias("delta_to_stint_best"),
-        F.avg("lap_duration").over(last3).alias("rolling_three_lap_average"),
+        (F.col("lap_duration") - F.col("_stint_best")).alias("delta_to_stint_best"),
     ).select(*DEGRADATION_COLUMNS)
 
 

@@ -11,6 +11,7 @@ from trackline.functions.scalar import DEFAULT_TRACK_FLAG, add_seconds_ms
 from trackline.operators.asof import asof_fill
 from trackline.operators.bands import band_join
 from trackline.operators.interval import interval_join
+from trackline.operators.ordered import ordered_window
 from trackline.plans import staging as stg
 
 DRIVER_KEYS = ["session_key", "driver_number"]
@@ -24,12 +25,14 @@ TRACK_STATUS_CATEGORIES = ("Flag", "SafetyCar")
 IGNORED_FLAG = "BLUE"
 
 
-def lap_boundaries(laps_raw: DataFrame) -> DataFrame:
+def lap_boundaries(laps_raw: DataFrame, strategy: str = "auto") -> DataFrame:
     """[lap_start, lap_end): the next lap's start, else start + duration."""
-    w = Window.partitionBy(*DRIVER_KEYS).orderBy("lap_number")
-    return laps_raw.select(
+    laps = laps_raw.select(*DRIVER_KEYS, "lap_number", "date_start", "lap_duration", "is_pit_out_lap")
+    nxt = ordered_window(laps, DRIVER_KEYS, "lap_number", leads=[("date_start", "_next_start")],
+                         strategy=strategy)
+    return nxt.select(
         *DRIVER_KEYS, "lap_number", F.col("date_start").alias("lap_start"),
-        F.coalesce(F.lead("date_start").over(w), add_seconds_ms("date_start", "lap_duration")).alias("lap_end"),
+        F.coalesce(F.col("_next_start"), add_seconds_ms("date_start", "lap_duration")).alias("lap_end"),
         "lap_duration", "is_pit_out_lap")
 
 

@@ -270,7 +270,8 @@ def q_driver_labels(spark, sf_dir):
 # ---------------------------------------------------------------------------
 @query("lap_boundaries", "SELECT * FROM bounds")
 def q_bounds(spark, sf_dir):
-    return silver.lap_boundaries(_lh(spark, sf_dir)["laps_raw"])
+    # pinned to the split form of the per-car LEAD so the oracle checks it
+    return silver.lap_boundaries(_lh(spark, sf_dir)["laps_raw"], strategy="split")
 
 
 @query("interval_join", """
@@ -502,8 +503,8 @@ def q_stint_starts(spark, sf_dir):
         "lap_id", "tire_compound", "tire_age_at_lap_end", "starts_new_stint")
 
 
-def _deg(spark, sf_dir) -> DataFrame:
-    return gold.tire_degradation(_m(spark, sf_dir).dashboard_laps)
+def _deg(spark, sf_dir, strategy: str = "auto") -> DataFrame:
+    return gold.tire_degradation(_m(spark, sf_dir).dashboard_laps, strategy=strategy)
 
 
 @query("stint_numbers", "SELECT lap_id, strategy_stint_number FROM numbered_stints")
@@ -513,17 +514,17 @@ def q_stint_numbers(spark, sf_dir):
 
 @query("lap_in_stint", "SELECT degradation_id, lap_in_stint FROM tire_deg")
 def q_lap_in_stint(spark, sf_dir):
-    return _deg(spark, sf_dir).select("degradation_id", "lap_in_stint")
+    return _deg(spark, sf_dir, "split").select("degradation_id", "lap_in_stint")
 
 
 @query("delta_to_stint_best", "SELECT degradation_id, delta_to_stint_best FROM tire_deg")
 def q_delta_stint(spark, sf_dir):
-    return _deg(spark, sf_dir).select("degradation_id", "delta_to_stint_best")
+    return _deg(spark, sf_dir, "split").select("degradation_id", "delta_to_stint_best")
 
 
 @query("rolling_average", "SELECT degradation_id, round(rolling_three_lap_average, 6) AS rolling_three_lap_average FROM tire_deg")
 def q_rolling(spark, sf_dir):
-    return r6(_deg(spark, sf_dir).select("degradation_id", "rolling_three_lap_average"))
+    return r6(_deg(spark, sf_dir, "split").select("degradation_id", "rolling_three_lap_average"))
 
 
 @query("qualify_row_number", """

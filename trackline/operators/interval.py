@@ -30,16 +30,19 @@ def _copies(start: str, end: str, b: int):
     return lo, hi
 
 
+def _length_stats(intervals: DataFrame, start: str, end: str) -> tuple[int | None, int | None]:
+    """(median, max) interval length in microseconds - one small aggregate
+    over the interval side."""
+    length = epoch_micros(end) - epoch_micros(start)
+    row = intervals.agg(F.percentile_approx(length, 0.5, 1000).alias("m"), F.max(length).alias("x")).first()
+    return (row["m"], row["x"]) if row is not None else (None, None)
+
+
 def suggest_bucket_us(intervals: DataFrame, start: str, end: str,
                       minimum_us: int = 1_000_000) -> int:
-    """Median interval length (one small aggregate over the interval side).
-
-    With the median as bucket width an interval is replicated to about two
-    buckets and a bucket holds about one interval per key.
-    """
-    length = epoch_micros(end) - epoch_micros(start)
-    row = intervals.agg(F.percentile_approx(length, 0.5, 1000).alias("m")).first()
-    med = row["m"] if row is not None else None
+    """Median interval length: an interval is then replicated to about two
+    buckets and a bucket holds about one interval per key."""
+    med, _ = _length_stats(intervals, start, end)
     return int(max(minimum_us, med or 3_600_000_000))
 
 
@@ -62,10 +65,13 @@ def interval_join(points: DataFrame, intervals: DataFrame, keys: Sequence[str],
     keys = list(keys)
     iv = intervals.where(F.col(start).isNotNull() & F.col(end).isNotNull()
                          & (F.col(end) > F.col(start)))
-    b = int(bucket_us or suggest_bucket_us(iv, start, end))
+    med, longest = _length_stats(iv, start, end)
+    b = int(bucket_us or max(1_000_000, med or 3_600_000_000))
     lo, hi = _copies(start, end, b)
     n_copies = hi - lo + 1
-    n_long = iv.where(n_copies > max_copies).count()
+    # an interval of length L touches at most ceil(L / b) + 1 buckets
+    may_be_long = longest is not None and -(-int(longest) // b) + 1 > max_copies
+    n_long = iv.where(n_copies > max_copies).count() if may_be_long else 0
     short = iv.where(n_copies <= max_copies) if n_long else iv
     out_cols = list(points.columns) + [c for c in intervals.columns if c not in keys]
 

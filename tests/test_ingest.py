@@ -143,3 +143,8 @@ def test_streaming_landing(spark, tmp_path):
     q = land_feed(spark, str(landing), "car_data", str(tmp_path / "bronze"), str(tmp_path / "ckpt"))
     q.awaitTermination(120)
     assert bronze.read_bronze(spark, str(tmp_path / "bronze"), "telemetry_raw").count() == 3
+
+
+def test_out_of_range_int_is_invalid(spark):
+    v = validate(lines(spark, [dict(CAR, speed=1e30)]), FEED_SPECS["car_data"]).first()
+    assert v["speed"] is None and v["_errors"] == ["speed: invalid int"]

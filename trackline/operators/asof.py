@@ -126,7 +126,7 @@ def asof_fill(df: DataFrame, keys: Sequence[str], ts: str, tie: Column | str | N
         geo = (pts.groupBy(*keys)
                .agg(F.min(_US).alias(_O), F.max(_US).alias("_af_max"), F.count(F.lit(1)).alias("_af_n"))
                .select(*keys, _O, F.greatest(F.lit(1), F.ceil(
-                   (F.col("_af_max") - F.col(_O) + 1) * F.lit(rows_per_bucket) / F.col("_af_n"))
+                   (F.col("_af_max") - F.col(_O) + 1).cast("double") * F.lit(float(rows_per_bucket)) / F.col("_af_n"))
                ).cast("bigint").alias(_W)))
 
     bucket = F.floor((F.col(_US) - F.col(_O)) / F.col(_W))

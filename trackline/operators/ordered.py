@@ -84,7 +84,8 @@ def _split(df, keys, order, lags, leads, running_sum, running_min, row_number, a
     geo = (df.where(o.isNotNull()).groupBy(*keys)
            .agg(F.min(order).alias("_ow_lo"), F.max(order).alias("_ow_hi"), F.count(F.lit(1)).alias("_ow_c"))
            .select(*keys, "_ow_lo", F.greatest(F.lit(1), F.ceil(
-               (F.col("_ow_hi") - F.col("_ow_lo") + 1) * F.lit(rpb) / F.col("_ow_c"))).cast("bigint").alias("_ow_w")))
+               (F.col("_ow_hi") - F.col("_ow_lo") + 1).cast("double") * F.lit(float(rpb)) / F.col("_ow_c"))
+           ).cast("bigint").alias("_ow_w")))
     # NULL order values sort first: they form the lowest bucket of the key
     bucket = F.when(o.isNull(), F.lit(-(2 ** 62))).otherwise(
         F.floor((o - F.col("_ow_lo")) / F.col("_ow_w")))

@@ -37,8 +37,8 @@ def _coerce(kind: str, raw: Column) -> tuple[Column, Column]:
     """(typed value, ok flag) for a non-null raw text."""
     if kind == "int":
         d = raw.try_cast("double")
-        ok = d.isNotNull() & (F.floor(d) == d)
-        return F.when(ok, d.cast("bigint")), ok
+        n = F.when(F.floor(d) == d, d.try_cast("bigint"))   # NULL when out of range
+        return n, n.isNotNull()
     if kind == "float":
         d = raw.try_cast("double")
         return d, d.isNotNull()

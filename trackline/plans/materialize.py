@@ -135,3 +135,13 @@ def lakehouse_for(spark: SparkSession, sf_dir: str) -> Lakehouse:
         root = os.path.join(checkpoint_root(spark), "trackline", key[0], tag)
         _LAKEHOUSES[key] = Lakehouse(spark, race_tables(spark, sf_dir), root)
     return _LAKEHOUSES[key]
+
+
+def lakehouse_from_ndjson(spark: SparkSession, landed_root: str, out_root: str | None = None) -> Lakehouse:
+    """Lakehouse over landed NDJSON feeds (the production path: bronze
+    external tables -> parquet layers)."""
+    from trackline.sources.bronze import NdjsonBronze
+
+    root = out_root or os.path.join(checkpoint_root(spark), "trackline", spark.sparkContext.applicationId,
+                                    "ndjson-" + hashlib.sha1(landed_root.encode()).hexdigest()[:10])
+    return Lakehouse(spark, NdjsonBronze(spark, landed_root), root)

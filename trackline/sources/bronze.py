@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 
 from trackline.sources.schemas import BRONZE_SCHEMAS, PARTITIONS
 
+# landed timestamps keep microseconds (the writer's default stops at millis)
+TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
+
 
 def table_path(root: str, table: str) -> str:
     return os.path.join(root, table)
@@ -27,14 +30,15 @@ def read_bronze(spark: SparkSession, root: str, table: str) -> DataFrame:
     outside the schema are ignored; see :func:`read_strict` for the table
     that must reject them."""
     path = table_path(root, table)
-    return spark.read.schema(BRONZE_SCHEMAS[table]).option("basePath", path).json(path)
+    return (spark.read.schema(BRONZE_SCHEMAS[table]).option("basePath", path)
+            .option("timestampNTZFormat", TS_FORMAT).json(path))
 
 
 def read_strict(spark: SparkSession, root: str, table: str) -> tuple[DataFrame, DataFrame]:
     """Strict scan: (rows, lines carrying fields outside the schema)."""
     schema = BRONZE_SCHEMAS[table]
     path = table_path(root, table)
-    df = spark.read.schema(schema).option("basePath", path).json(path)
+    df = spark.read.schema(schema).option("basePath", path).option("timestampNTZFormat", TS_FORMAT).json(path)
     lines = spark.read.text(path)
     known = F.array(*[F.lit(f.name) for f in schema.fields])
     extra = lines.where(F.size(F.array_except(F.json_object_keys("value"), known)) > 0)
@@ -51,8 +55,29 @@ def write_bronze(df: DataFrame, root: str, table: str) -> bool:
     out = df.select(*[c for c in cols if c in df.columns])
     w = (out.write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
-         .option("ignoreNullFields", "true"))
+         .option("ignoreNullFields", "true")
+         .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
     if parts:
         w = w.partitionBy(*parts)
     w.json(table_path(root, table))
     return True
+
+
+class NdjsonBronze:
+    """Name -> DataFrame mapping over a landed NDJSON bronze root, usable as
+    the source of :class:`~trackline.plans.materialize.Lakehouse` (which
+    converts each feed to parquet once)."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root
+
+    def __getitem__(self, table: str) -> DataFrame:
+        if table not in BRONZE_SCHEMAS:
+            raise KeyError(table)
+        return read_bronze(self.spark, self.root, table)
+
+
+def land_tables(tables, root: str, names) -> dict[str, bool]:
+    """Write each named feed of ``tables`` as landed NDJSON under ``root``."""
+    return {n: write_bronze(tables[n], root, n) for n in names}

@@ -85,6 +85,10 @@ def _ctx_frame(spark):
         (2, None, 3, None, None),
         (3, ts(1), 0, 1.0, "Z"),
         (3, ts(9), 3, None, None),
+        (4, None, 3, None, None),        # NULL-ts rows of several ranks see all NULL-ts context
+        (4, None, 0, None, "early"),
+        (4, None, 2, 9.0, None),
+        (4, ts(4), 3, None, None),
     ]
     return spark.createDataFrame(data, "k long, t timestamp_ntz, r int, v double, f string")
 
@@ -110,6 +114,7 @@ def test_asof_fill_fixed_width_and_values(spark):
     assert got[(1, ts(500))] == (7.0, "B")
     assert got[(2, ts(3))] == (None, None)
     assert got[(3, ts(9))] == (1.0, "Z")
+    assert got[(4, None)] == (9.0, "early") and got[(4, ts(4))] == (9.0, "early")
 
 
 def test_asof_fill_adapter(spark):

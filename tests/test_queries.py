@@ -59,3 +59,11 @@ def test_fastest_lap_telemetry_per_driver(spark, models):
     s = models.dim_sessions.first()["session_key"]
     one = repository.fastest_lap_telemetry(models, s, [])
     assert one.count() == 0
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_plan_hygiene(spark, name):
+    """No cartesian / nested-loop joins and no Python UDFs in any plan."""
+    plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+        assert bad not in plan, f"{name}: {bad}"

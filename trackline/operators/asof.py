@@ -174,7 +174,10 @@ def asof_fill_plain(df: DataFrame, keys: Sequence[str], ts: str, tie: Column | s
     out = dict(out or {v: f"{v}_filled" for v in values})
     tie_c = F.lit(0) if tie is None else (F.col(tie) if isinstance(tie, str) else tie)
     base = df.withColumn(_US, epoch_micros(ts)).withColumn(_TIE, tie_c)
-    w = (Window.partitionBy(*keys).orderBy(F.col(_US).asc_nulls_first(), _TIE)
+    # NULL-timestamp rows are peers of each other (each sees the key's whole
+    # NULL-timestamp context); their tie only ranks values in the max_by key
+    peer_tie = F.when(F.col(_US).isNull(), F.lit(None)).otherwise(F.col(_TIE))
+    w = (Window.partitionBy(*keys).orderBy(F.col(_US).asc_nulls_first(), peer_tie.asc_nulls_first())
          .rangeBetween(Window.unboundedPreceding, Window.currentRow))
     return base.select(*df.columns, *[
         F.max_by(v, F.when(F.col(v).isNotNull(),

@@ -27,6 +27,7 @@ from trackline.operators.ranking import first_by, with_group_min
 
 # fixed values of the dashboard
 AXIS_PADDING = 0.05
+BRAKE_SCALE = 100          # brake (0/1) drawn on the 0-100 throttle scale
 PODIUM_SIZE = 3
 DEFAULT_SELECTION = 3
 
@@ -172,3 +173,10 @@ def clean_lap_table(laps: DataFrame) -> DataFrame:
     return laps.where(~F.col("is_pit_out_lap")).select(
         "session_key", "name_acronym", "lap_number", format_lap_time("lap_duration").alias("formatted_time"),
         "delta_to_driver_best", "tire_compound", "tire_age_at_lap_end")
+
+
+def telemetry_trace(telemetry: DataFrame, keys: Sequence[str] = ("driver_number",)) -> DataFrame:
+    """A telemetry trace ready to draw - seconds since the
+    driver's first sample of the trace and the brake on the 0-100 scale."""
+    t = elapsed_time(telemetry, keys)
+    return t.withColumn("brake_pct", F.col("brake") * F.lit(BRAKE_SCALE))

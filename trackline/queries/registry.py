@@ -716,6 +716,29 @@ def q_fastest_tel(spark, sf_dir):
     return repository.fastest_lap_telemetry(_m(spark, sf_dir))
 
 
+@query("telemetry_trace", """
+SELECT *, (epoch_us(telemetry_timestamp) - min(epoch_us(telemetry_timestamp)) OVER (PARTITION BY session_key, driver_number)) / 1e6 AS elapsed_seconds,
+       brake * 100 AS brake_pct
+FROM (SELECT t.session_key, t.telemetry_timestamp, t.driver_number, d.full_name, d.name_acronym, d.team_colour_hex,
+             t.lap_number, t.speed, t.throttle, t.brake
+      FROM enriched t
+      JOIN (SELECT session_key, driver_number, first(lap_number ORDER BY lap_duration, lap_number) AS lap_number
+            FROM dashboard_laps WHERE lap_duration IS NOT NULL AND NOT is_pit_out_lap
+            GROUP BY session_key, driver_number) f
+        ON t.session_key = f.session_key AND t.driver_number = f.driver_number AND t.lap_number = f.lap_number
+      JOIN dim_drivers d ON t.session_key = d.session_key AND t.driver_number = d.driver_number) z""")
+def q_trace(spark, sf_dir):
+    """The fastest-lap trace of every driver of every race, prepared for
+    drawing (elapsed seconds per driver, brake scaled)."""
+    m = _m(spark, sf_dir)
+    fl = repository.fastest_laps_of(m)
+    t = m.enriched.select("session_key", "driver_number", "lap_number", "telemetry_timestamp", "speed",
+                          "throttle", "brake")
+    d = m.dim_drivers.select("session_key", "driver_number", "full_name", "name_acronym", "team_colour_hex")
+    j = t.join(fl, ["session_key", "driver_number", "lap_number"]).join(d, ["session_key", "driver_number"])
+    return metrics.telemetry_trace(j, ["session_key", "driver_number"])
+
+
 # ---------------------------------------------------------------------------
 # dashboard frames
 # ---------------------------------------------------------------------------

@@ -69,10 +69,6 @@ def _r6sql(cols: list[str], src: str, where: str = "") -> str:
 # ---------------------------------------------------------------------------
 # ingest and sources (V1-V7)
 # ---------------------------------------------------------------------------
-CAR_FIELDS = ["date", "session_key", "meeting_key", "driver_number", "speed", "rpm", "n_gear", "throttle",
-              "brake", "drs"]
-
-
 def landed_car_lines(spark, sf_dir) -> DataFrame:
     """The car feed as landed JSON lines, derived from the events: the speed
     arrives as a float (value + 60), so non-integral speeds are invalid."""

@@ -9,7 +9,9 @@ Timed in order:
    table) - each written to parquet under the checkpoint folder;
 2. headline queries from the registry, each executed in full (``noop``
    sink: every row computed, nothing collected).  They read the written
-   layers below their own step, as serving queries read warehouse tables.
+   layers below their own step, as serving queries read warehouse tables;
+3. parameterised dashboard calls (one race, three drivers / one lap),
+   collected - the shape of the reference's serving queries.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from trackline.plans import repository  # noqa: E402
 from trackline.plans.materialize import lakehouse_for  # noqa: E402
 from trackline.plans.models import GOLD, SILVER  # noqa: E402
 from trackline.queries.registry import QUERIES  # noqa: E402
@@ -68,6 +71,25 @@ def main() -> None:
         run(QUERIES[name](spark, sf_dir))
         times[name] = time.time() - t
 
+    # parameterised dashboard calls (filters pushed into the gold / silver scans)
+    m = lh.models
+    first = m.dashboard_laps.orderBy("session_key", "driver_number", "lap_number").first()
+    drivers = [r[0] for r in m.dim_drivers.where(f"session_key = {first['session_key']}")
+               .select("driver_number").orderBy("driver_number").take(3)]
+    calls = {
+        "serve_laps_3_drivers": lambda: repository.laps(m, first["session_key"], drivers, ordered=True),
+        "serve_tires_3_drivers": lambda: repository.tire_degradation(m, first["session_key"], drivers,
+                                                                     ordered=True),
+        "serve_lap_telemetry": lambda: repository.telemetry(m, first["session_key"], first["driver_number"],
+                                                            first["lap_number"], ordered=True),
+        "serve_fastest_lap_telemetry": lambda: repository.fastest_lap_telemetry(m, first["session_key"], drivers,
+                                                                                ordered=True),
+    }
+    for name, call in calls.items():
+        t = time.time()
+        call().collect()
+        times[name] = time.time() - t
+
     total = sum(times.values())
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(json.dumps({"metric": "total_wall_clock", "value": round(total, 3), "unit": "sec",

@@ -148,3 +148,17 @@ def test_streaming_landing(spark, tmp_path):
 def test_out_of_range_int_is_invalid(spark):
     v = validate(lines(spark, [dict(CAR, speed=1e30)]), FEED_SPECS["car_data"]).first()
     assert v["speed"] is None and v["_errors"] == ["speed: invalid int"]
+
+
+def test_bronze_schema_contract():
+    from trackline.sources.schemas import BRONZE_SCHEMAS, FEED_FILES, PARTITIONS
+
+    assert len(BRONZE_SCHEMAS) == 11 and set(PARTITIONS) == set(BRONZE_SCHEMAS)
+    assert {t for _, t in FEED_FILES.values()} == set(BRONZE_SCHEMAS)
+    laps = {f.name: f for f in BRONZE_SCHEMAS["laps_raw"].fields}
+    results = {f.name: f for f in BRONZE_SCHEMAS["session_results_raw"].fields}
+    assert laps["date_start"].nullable and results["number_of_laps"].nullable
+    assert not any(results[c].nullable for c in ("session_key", "meeting_key", "driver_number", "points",
+                                                  "dnf", "dns", "dsq"))
+    for schema in BRONZE_SCHEMAS.values():
+        assert all(f.name and f.dataType for f in schema.fields)

@@ -59,10 +59,37 @@ def max_rows_per_task(spark) -> int:
         return MAX_ROWS_PER_TASK
 
 
+# A per-key table (one row per key) is broadcast explicitly when it has at
+# most this many rows (Spark conf ``trackline.broadcast.maxKeys``); beyond
+# it the join is left to the planner (AQE broadcast or a shuffled join).
+MAX_BROADCAST_KEYS = 1_000_000
+
+
+def max_broadcast_keys(spark) -> int:
+    try:
+        return int(spark.conf.get("trackline.broadcast.maxKeys", str(MAX_BROADCAST_KEYS)))
+    except Exception:  # noqa: BLE001
+        return MAX_BROADCAST_KEYS
+
+
+def group_stats(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """(rows of the largest ``keys`` group, number of groups) - one small
+    aggregate job."""
+    row = df.groupBy(*keys).count().agg(F.max("count").alias("m"), F.count(F.lit(1)).alias("g")).first()
+    return (int(row["m"] or 0), int(row["g"] or 0)) if row is not None else (0, 0)
+
+
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     """Row count of the largest ``keys`` group (one small aggregate job)."""
-    row = df.groupBy(*keys).count().agg(F.max("count").alias("m")).first()
-    return int(row["m"] or 0) if row is not None else 0
+    return group_stats(df, keys)[0]
+
+
+def per_key_side(table: DataFrame, n_keys: int | None) -> DataFrame:
+    """Broadcast a one-row-per-key table when its key count is known to be
+    small; otherwise leave the choice to the planner."""
+    if n_keys is not None and n_keys <= max_broadcast_keys(table.sparkSession):
+        return F.broadcast(table)
+    return table
 
 
 def asof_fill(df: DataFrame, keys: Sequence[str], ts: str, tie: Column | str | None,
@@ -90,14 +117,17 @@ def asof_fill(df: DataFrame, keys: Sequence[str], ts: str, tie: Column | str | N
     values = list(values)
     if strategy not in ("auto", "plain", "bucketed"):
         raise ValueError("strategy must be auto, plain or bucketed")
-    if strategy == "auto":
+    n_keys = None
+    if density is not None:
+        # one small aggregate sizes both decisions: plain vs bucketed, and
+        # whether the per-key table may be broadcast
+        has_any = reduce(lambda a, b: a | b, [F.col(v).isNotNull() for v in values])
+        sizing = df.where(has_any).select(*keys).unionByName(density.select(*keys))
+        largest, n_keys = group_stats(sizing, keys)
+        if strategy == "auto":
+            strategy = "plain" if largest <= max_rows_per_task(df.sparkSession) else "bucketed"
+    elif strategy == "auto":
         strategy = "bucketed"
-        if density is not None:
-            has_any = reduce(lambda a, b: a | b, [F.col(v).isNotNull() for v in values])
-            sizing = (df.where(has_any).select(*keys)
-                      .unionByName(density.select(*keys)))
-            if largest_group(sizing, keys) <= max_rows_per_task(df.sparkSession):
-                strategy = "plain"
     if strategy == "plain":
         return asof_fill_plain(df, keys, ts, tie, values, out)
     out = dict(out or {v: f"{v}_filled" for v in values})
@@ -152,7 +182,7 @@ def asof_fill(df: DataFrame, keys: Sequence[str], ts: str, tie: Column | str | N
     # state; they get ids far below any real bucket, spread by a hash so
     # that they do not pile into one window partition per key.
     null_bkt = F.lit(-(2 ** 62)) - F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(1024))
-    big = (base.join(per_key, keys, "left")
+    big = (base.join(per_key_side(per_key, n_keys), keys, "left")
            .withColumn(_BKT, F.coalesce(bucket, null_bkt))
            .join(carry, keys + [_BKT], "left"))
     w = (Window.partitionBy(*keys, _BKT).orderBy(_US, _TIE)

@@ -47,20 +47,21 @@ def ordered_window(df: DataFrame, keys: Sequence[str], order: str, *,
                    strategy: str = "auto", rows_per_bucket: int = 4096) -> DataFrame:
     """Add the requested window columns (names given as the last element of
     each spec).  ``lags`` take k in (1, 2)."""
-    from trackline.operators.asof import largest_group, max_rows_per_task
+    from trackline.operators.asof import group_stats, max_rows_per_task
 
     keys = list(keys)
     if any(k not in (1, 2) for _, k, _ in lags):
         raise ValueError("lag offsets 1 and 2 are supported")
+    n_keys = None
     if strategy == "auto":
-        strategy = ("plain" if largest_group(df.select(*keys), keys) <= max_rows_per_task(df.sparkSession)
-                    else "split")
+        largest, n_keys = group_stats(df.select(*keys), keys)
+        strategy = "plain" if largest <= max_rows_per_task(df.sparkSession) else "split"
     if strategy == "plain":
         return _plain(df, keys, order, lags, leads, running_sum, running_min, row_number, avg_last3)
     if strategy != "split":
         raise ValueError("strategy must be auto, plain or split")
     return _split(df, keys, order, lags, leads, running_sum, running_min, row_number, avg_last3,
-                  rows_per_bucket)
+                  rows_per_bucket, n_keys)
 
 
 def _plain(df, keys, order, lags, leads, running_sum, running_min, row_number, avg_last3):
@@ -79,7 +80,9 @@ def _plain(df, keys, order, lags, leads, running_sum, running_min, row_number, a
     return df.select("*", *cols)
 
 
-def _split(df, keys, order, lags, leads, running_sum, running_min, row_number, avg_last3, rpb):
+def _split(df, keys, order, lags, leads, running_sum, running_min, row_number, avg_last3, rpb, n_keys=None):
+    from trackline.operators.asof import per_key_side
+
     o = F.col(order)
     geo = (df.where(o.isNotNull()).groupBy(*keys)
            .agg(F.min(order).alias("_ow_lo"), F.max(order).alias("_ow_hi"), F.count(F.lit(1)).alias("_ow_c"))
@@ -89,7 +92,7 @@ def _split(df, keys, order, lags, leads, running_sum, running_min, row_number, a
     # NULL order values sort first: they form the lowest bucket of the key
     bucket = F.when(o.isNull(), F.lit(-(2 ** 62))).otherwise(
         F.floor((o - F.col("_ow_lo")) / F.col("_ow_w")))
-    b = df.join(geo, keys, "left").withColumn(_B, bucket).drop("_ow_lo", "_ow_w")
+    b = df.join(per_key_side(geo, n_keys), keys, "left").withColumn(_B, bucket).drop("_ow_lo", "_ow_w")
 
     w = Window.partitionBy(*keys, _B).orderBy(o.asc_nulls_first())
     rows = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -40,12 +40,13 @@ def group_rank(df: DataFrame, partition: Sequence[str], order: str, out: str,
     (one window partition per group) or ``auto``: plain when the largest
     group holds at most ``trackline.window.maxRowsPerTask`` rows (one small
     aggregate decides), ranged otherwise."""
-    from trackline.operators.asof import largest_group, max_rows_per_task
+    from trackline.operators.asof import group_stats, max_rows_per_task, per_key_side
 
     partition = list(partition)
+    n_groups = None
     if strategy == "auto":
-        strategy = ("plain" if largest_group(df.select(*partition), partition)
-                    <= max_rows_per_task(df.sparkSession) else "ranged")
+        largest, n_groups = group_stats(df.select(*partition), partition)
+        strategy = "plain" if largest <= max_rows_per_task(df.sparkSession) else "ranged"
     if strategy == "plain":
         w = Window.partitionBy(*partition).orderBy(F.col(order).asc_nulls_first())
         return df.withColumn(out, F.rank().over(w).cast("bigint"))
@@ -58,7 +59,7 @@ def group_rank(df: DataFrame, partition: Sequence[str], order: str, out: str,
     # range id: NULLs first (-1), then the number of cut points below x
     rid = F.when(x.isNull(), F.lit(-1)).otherwise(
         F.size(F.filter(F.coalesce(F.col("_gr_cuts"), F.array()), lambda c: c < x)))
-    tagged = df.join(cuts, partition, "left").withColumn("_gr_r", rid).drop("_gr_cuts")
+    tagged = df.join(per_key_side(cuts, n_groups), partition, "left").withColumn("_gr_r", rid).drop("_gr_cuts")
     counts = tagged.groupBy(*partition, "_gr_r").agg(F.count(F.lit(1)).alias("_gr_n"))
     before = counts.select(
         *partition, "_gr_r",

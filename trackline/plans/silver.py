@@ -95,7 +95,7 @@ def unified_stream(tl: DataFrame, weather: DataFrame, race_control: DataFrame,
 
 def telemetry_context(tl: DataFrame, weather: DataFrame, race_control: DataFrame,
                       location: DataFrame, rows_per_bucket: int = 4096,
-                      samples: DataFrame | None = None) -> DataFrame:
+                      samples: DataFrame | None = None, strategy: str = "auto") -> DataFrame:
     """Car samples with the last known weather / flag (per session) and
     position (per driver) at their instant.
 
@@ -108,13 +108,13 @@ def telemetry_context(tl: DataFrame, weather: DataFrame, race_control: DataFrame
     session_ctx = _union(_car_rows(tl), _weather_rows(weather), _flag_rows(race_control))
     filled = asof_fill(session_ctx, ["session_key"], "ts", "_rank",
                        ["air_temp", "track_temp", "raining", "track_flag"],
-                       rows_per_bucket=rows_per_bucket,
+                       rows_per_bucket=rows_per_bucket, strategy=strategy,
                        density=samples.select("session_key", "ts") if samples is not None else None)
     cars = filled.where(F.col("record_type") == "telemetry").drop(
         "air_temp", "track_temp", "raining", "track_flag")
     driver_ctx = _union(cars, _location_rows(location))
     filled2 = asof_fill(driver_ctx, DRIVER_KEYS, "ts", "_rank", ["x", "y"],
-                        rows_per_bucket=rows_per_bucket, density=samples)
+                        rows_per_bucket=rows_per_bucket, density=samples, strategy=strategy)
     cars2 = filled2.where(F.col("record_type") == "telemetry")
     return cars2.select(
         *DRIVER_KEYS, "lap_number", F.col("ts").alias("telemetry_timestamp"), *SAMPLE_COLUMNS,
@@ -156,13 +156,15 @@ ENRICHED_COLUMNS = [
     "track_flag", "x", "y", "tire_compound", "current_tire_age", "pit_stop_duration_seconds"]
 
 
-def enriched_telemetry(tables, tl: DataFrame | None = None, rows_per_bucket: int = 4096) -> DataFrame:
+def enriched_telemetry(tables, tl: DataFrame | None = None, rows_per_bucket: int = 4096,
+                       strategy: str = "auto") -> DataFrame:
     """M11 at (sample x pit row) grain."""
     tl = tl if tl is not None else telemetry_laps(tables)
     ctx = telemetry_context(tl, stg.staged(tables, "stg_weather"),
                             stg.staged(tables, "stg_race_control"),
                             stg.staged(tables, "stg_location"), rows_per_bucket=rows_per_bucket,
-                            samples=tables["telemetry_raw"].select(*DRIVER_KEYS, F.col("date").alias("ts")))
+                            samples=tables["telemetry_raw"].select(*DRIVER_KEYS, F.col("date").alias("ts")),
+                            strategy=strategy)
     s = with_stints(ctx, stg.staged(tables, "stg_stints"), tables["laps_raw"])
     p = with_pits(s, stg.staged(tables, "stg_pits"))
     return p.select(*ENRICHED_COLUMNS)

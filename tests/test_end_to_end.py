@@ -21,3 +21,30 @@ def test_ndjson_pipeline_matches(spark, tmp_path):
         assert a.count() == b.count() > 0, name
         cols = [c for c in b.columns if not c.startswith("avg_") and c != "rolling_three_lap_average"]
         assert rows(a.select(*cols)) == rows(b.select(*cols)), name
+
+
+def test_enriched_split_equals_plain(spark):
+    from conftest import SF_MID
+
+    from trackline.plans import silver
+
+    lh = lakehouse_for(spark, SF_MID)
+    tl = lh.models.telemetry_laps
+    a = silver.enriched_telemetry(lh, tl=tl, strategy="bucketed", rows_per_bucket=16)
+    b = silver.enriched_telemetry(lh, tl=tl, strategy="plain")
+    assert a.count() == b.count() == 3024
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_leaderboard_rank_ranged_equals_plain(spark):
+    from conftest import SF_MID
+    from pyspark.sql import functions as F
+
+    from trackline.operators.ranking import group_rank
+    from trackline.plans import gold
+
+    e = lakehouse_for(spark, SF_MID).models.enriched
+    laps = gold.lap_aggregates(e).where(F.col("lap_duration") > 0)
+    a = group_rank(laps, ["session_key"], "lap_duration", "rk", ranges=16, strategy="ranged")
+    b = group_rank(laps, ["session_key"], "lap_duration", "rk", strategy="plain")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -123,6 +123,7 @@ class Lakehouse:
 
 
 _LAKEHOUSES: dict[tuple[str, str], Lakehouse] = {}
+_LAKEHOUSES_LOCK = threading.Lock()
 
 
 def lakehouse_for(spark: SparkSession, sf_dir: str) -> Lakehouse:
@@ -130,11 +131,12 @@ def lakehouse_for(spark: SparkSession, sf_dir: str) -> Lakehouse:
     built once per application like a warehouse build."""
     sf_dir = os.path.abspath(sf_dir)
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _LAKEHOUSES:
-        tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
-        root = os.path.join(checkpoint_root(spark), "trackline", key[0], tag)
-        _LAKEHOUSES[key] = Lakehouse(spark, race_tables(spark, sf_dir), root)
-    return _LAKEHOUSES[key]
+    with _LAKEHOUSES_LOCK:
+        if key not in _LAKEHOUSES:
+            tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
+            root = os.path.join(checkpoint_root(spark), "trackline", key[0], tag)
+            _LAKEHOUSES[key] = Lakehouse(spark, race_tables(spark, sf_dir), root)
+        return _LAKEHOUSES[key]
 
 
 def lakehouse_from_ndjson(spark: SparkSession, landed_root: str, out_root: str | None = None) -> Lakehouse:

@@ -140,6 +140,12 @@ def season_options(sessions: DataFrame) -> DataFrame:
     return sessions.select(F.col("season").cast("bigint").alias("season")).distinct()
 
 
+def lap_options(laps: DataFrame) -> DataFrame:
+    """The distinct lap numbers of each driver (serve ascending)."""
+    return laps.where(F.col("lap_number").isNotNull()).select("session_key", "driver_number",
+                                                              "lap_number").distinct()
+
+
 def podium(results: DataFrame) -> DataFrame:
     """O2: the first three of each race's classification.  A race has at
     most one row per car, so the per-race window is bounded by the grid."""

@@ -774,6 +774,12 @@ def q_season_options(spark, sf_dir):
     return metrics.season_options(_m(spark, sf_dir).dim_sessions)
 
 
+@query("lap_options", """
+SELECT DISTINCT session_key, driver_number, lap_number FROM dashboard_laps WHERE lap_number IS NOT NULL""")
+def q_lap_options(spark, sf_dir):
+    return metrics.lap_options(_m(spark, sf_dir).dashboard_laps)
+
+
 @query("v_min_with_drivers", """
 SELECT v.*, d.full_name, d.name_acronym, d.team_colour_hex FROM vmin v
 LEFT JOIN dim_drivers d ON v.session_key = d.session_key AND v.driver_number = d.driver_number""")

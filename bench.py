@@ -45,7 +45,8 @@ def run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = build_session(f"local[{cpus}]", app="trackline-bench", shuffle_partitions=cpus * 2)
+    partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus * 2))
+    spark = build_session(f"local[{cpus}]", app="trackline-bench", shuffle_partitions=partitions)
     checkpoint_root(spark, tempfile.mkdtemp(prefix="trackline-bench-"))
     # JVM / planner warm-up outside the timings
     spark.range(1000).selectExpr("sum(id)").collect()

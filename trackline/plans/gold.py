@@ -39,7 +39,14 @@ LEADERBOARD_COLUMNS = [
 def lap_leaderboard(enriched: DataFrame) -> DataFrame:
     """Positive-duration laps ranked within their session (the filter
     applies before the rank)."""
-    laps = lap_aggregates(enriched).where(F.col("lap_duration") > 0)
+    return rank_laps(lap_aggregates(enriched))
+
+
+def rank_laps(lap_aggs: DataFrame) -> DataFrame:
+    """The leaderboard from lap aggregates (a materialised lap-grain table
+    in the warehouse build, so the rank's size check and the rank read laps,
+    not samples)."""
+    laps = lap_aggs.where(F.col("lap_duration") > 0)
     ranked = group_rank(laps, ["session_key"], "lap_duration", "fastest_lap_rank")
     return ranked.withColumn(
         "throttle_brake_ratio", round_half_up(safe_ratio("avg_throttle", "avg_brake"), 2)

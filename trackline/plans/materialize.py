@@ -32,6 +32,7 @@ LAYERS = ("bronze", "silver", "gold")
 CLUSTER_BY = {
     "fct_telemetry_laps": ["session_key", "driver_number", "telemetry_timestamp"],
     "fct_telemetry_enriched": ["session_key", "driver_number", "telemetry_timestamp"],
+    "fct_lap_aggregates": ["session_key", "driver_number"],
     "fct_lap_leaderboard": ["session_key", "driver_number"],
     "fct_dashboard_laps": ["session_key", "driver_number"],
     "fct_corner_performance": ["session_key", "driver_number"],

@@ -66,9 +66,16 @@ class Models:
     def _g(self, name: str, build):
         return self._gold[name] if name in self._gold else self._persist(name, build())
 
+    @cached_property
+    def lap_aggregates(self) -> DataFrame:
+        """Lap-grain aggregates of the enriched samples (silver)."""
+        if "fct_lap_aggregates" in self._silver:
+            return self._silver["fct_lap_aggregates"]
+        return self._persist("fct_lap_aggregates", gold.lap_aggregates(self.enriched))
+
     @cached_property
     def lap_leaderboard(self) -> DataFrame:
-        return self._g("fct_lap_leaderboard", lambda: gold.lap_leaderboard(self.enriched))
+        return self._g("fct_lap_leaderboard", lambda: gold.rank_laps(self.lap_aggregates))
 
     @cached_property
     def dim_sessions(self) -> DataFrame:
@@ -99,7 +106,8 @@ class Models:
 
 
 # materialised layer name -> Models attribute (bronze feeds excluded)
-SILVER = {"fct_telemetry_laps": "telemetry_laps", "fct_telemetry_enriched": "enriched"}
+SILVER = {"fct_telemetry_laps": "telemetry_laps", "fct_telemetry_enriched": "enriched",
+          "fct_lap_aggregates": "lap_aggregates"}
 GOLD = {"fct_lap_leaderboard": "lap_leaderboard", "dim_sessions": "dim_sessions",
         "dim_drivers": "dim_drivers", "fct_dashboard_laps": "dashboard_laps",
         "fct_tire_degradation": "tire_degradation", "fct_corner_performance": "corner_performance",

@@ -67,3 +67,17 @@ def test_plan_hygiene(spark, name):
     plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
         assert bad not in plan, f"{name}: {bad}"
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "array<double>": "DOUBLE[]"}
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_types_match_oracle(spark, con, name):
+    df = QUERIES[name](spark, SF_SMALL)
+    got = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+           for f in df.schema.fields}
+    rel = con.sql(ORACLES[name])
+    want = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    assert got == want

@@ -662,7 +662,8 @@ def q_season_drivers(spark, sf_dir):
 SELECT * FROM (
   SELECT driver_number, arg_max(full_name, session_key) AS full_name, arg_max(name_acronym, session_key) AS name_acronym,
          arg_max(team_name, session_key) AS team_name, arg_max(team_colour_hex, session_key) AS team_colour_hex,
-         count_if(finishing_position = 1) AS wins, count_if(finishing_position <= 3) AS podiums, sum(points) AS points
+         CAST(count_if(finishing_position = 1) AS BIGINT) AS wins,
+         CAST(count_if(finishing_position <= 3) AS BIGINT) AS podiums, sum(points) AS points
   FROM race_res WHERE season = 2024 GROUP BY driver_number) w
 WHERE wins > 0""")
 def q_season_winners(spark, sf_dir):
@@ -815,7 +816,8 @@ def _tests(kind: str):
 
 def _not_null_sql() -> str:
     return "\nUNION ALL\n".join(
-        f"SELECT '{t}' AS table_name, '{c}' AS column_name, count_if({c} IS NULL) AS failures FROM {ORACLE_TABLE[t]}"
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, CAST(count_if({c} IS NULL) AS BIGINT) AS failures "
+        f"FROM {ORACLE_TABLE[t]}"
         for t, c, _ in _tests("not_null"))
 
 

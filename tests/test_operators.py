@@ -233,3 +233,16 @@ def test_gold_windows_split_equals_plain(spark):
     ra = {r[0]: r[1] for r in a.select("degradation_id", "rolling_three_lap_average").collect()}
     rb = {r[0]: r[1] for r in b.select("degradation_id", "rolling_three_lap_average").collect()}
     assert ra.keys() == rb.keys() and all(abs(ra[k] - rb[k]) < 1e-9 for k in ra)
+
+
+def test_ordered_window_tiebreak(spark):
+    from trackline.operators.ordered import ordered_window
+
+    data = [(1, t, e) for t, e in [(5, 3), (5, 1), (5, 2), (1, 9), (9, 0), (9, 4), (2, 2)]]
+    df = spark.createDataFrame(data, "k long, t long, e long")
+    for strategy in ("plain", "split"):
+        got = ordered_window(df, ["k"], "t", tiebreak=["e"], row_number="rn", lags=[("e", 1, "pe")],
+                             strategy=strategy, rows_per_bucket=2)
+        order = [(r["t"], r["e"], r["rn"], r["pe"]) for r in got.orderBy("rn").collect()]
+        assert order == [(1, 9, 1, None), (2, 2, 2, 9), (5, 1, 3, 2), (5, 2, 4, 1), (5, 3, 5, 2),
+                         (9, 0, 6, 3), (9, 4, 7, 0)], strategy

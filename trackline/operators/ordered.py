@@ -44,9 +44,12 @@ def ordered_window(df: DataFrame, keys: Sequence[str], order: str, *,
                    running_min: Sequence[tuple[str, str]] = (),
                    row_number: str | None = None,
                    avg_last3: Sequence[tuple[str, str]] = (),
-                   strategy: str = "auto", rows_per_bucket: int = 4096) -> DataFrame:
+                   strategy: str = "auto", rows_per_bucket: int = 4096,
+                   tiebreak: Sequence[str] = ()) -> DataFrame:
     """Add the requested window columns (names given as the last element of
-    each spec).  ``lags`` take k in (1, 2)."""
+    each spec).  ``lags`` take k in (1, 2).  Rows are ordered by ``order``
+    then ``tiebreak`` (ascending); buckets are cut on ``order`` only, so
+    rows that tie on it share a bucket and the full ordering is exact."""
     from trackline.operators.asof import group_stats, max_rows_per_task
 
     keys = list(keys)
@@ -57,15 +60,17 @@ def ordered_window(df: DataFrame, keys: Sequence[str], order: str, *,
         largest, n_keys = group_stats(df.select(*keys), keys)
         strategy = "plain" if largest <= max_rows_per_task(df.sparkSession) else "split"
     if strategy == "plain":
-        return _plain(df, keys, order, lags, leads, running_sum, running_min, row_number, avg_last3)
+        return _plain(df, keys, order, lags, leads, running_sum, running_min, row_number, avg_last3,
+                      list(tiebreak))
     if strategy != "split":
         raise ValueError("strategy must be auto, plain or split")
     return _split(df, keys, order, lags, leads, running_sum, running_min, row_number, avg_last3,
-                  rows_per_bucket, n_keys)
+                  rows_per_bucket, n_keys, list(tiebreak))
 
 
-def _plain(df, keys, order, lags, leads, running_sum, running_min, row_number, avg_last3):
-    w = Window.partitionBy(*keys).orderBy(F.col(order).asc_nulls_first())
+def _plain(df, keys, order, lags, leads, running_sum, running_min, row_number, avg_last3, tiebreak=()):
+    w = Window.partitionBy(*keys).orderBy(F.col(order).asc_nulls_first(),
+                                          *[F.col(t).asc_nulls_first() for t in tiebreak])
     rows = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rng = w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     cols = [F.lag(c, k).over(w).alias(o) for c, k, o in lags]
@@ -80,7 +85,8 @@ def _plain(df, keys, order, lags, leads, running_sum, running_min, row_number, a
     return df.select("*", *cols)
 
 
-def _split(df, keys, order, lags, leads, running_sum, running_min, row_number, avg_last3, rpb, n_keys=None):
+def _split(df, keys, order, lags, leads, running_sum, running_min, row_number, avg_last3, rpb, n_keys=None,
+           tiebreak=()):
     from trackline.operators.asof import per_key_side
 
     o = F.col(order)
@@ -94,7 +100,7 @@ def _split(df, keys, order, lags, leads, running_sum, running_min, row_number, a
         F.floor((o - F.col("_ow_lo")) / F.col("_ow_w")))
     b = df.join(per_key_side(geo, n_keys), keys, "left").withColumn(_B, bucket).drop("_ow_lo", "_ow_w")
 
-    w = Window.partitionBy(*keys, _B).orderBy(o.asc_nulls_first())
+    w = Window.partitionBy(*keys, _B).orderBy(o.asc_nulls_first(), *[F.col(t).asc_nulls_first() for t in tiebreak])
     rows = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rng = w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     whole = Window.partitionBy(*keys, _B)

@@ -70,9 +70,15 @@ class RaceTables:
 
     @cached_property
     def laps_raw(self) -> DataFrame:
-        w = Window.partitionBy("session_key", "user_id").orderBy("ts", "event_id")
-        s = (self.ev.where(F.col("event_type") == "signup")
-             .withColumn("lap_number", F.row_number().over(w).cast("bigint")))
+        # lap number = position of the signup in (ts, event_id) order per
+        # driver and session; ordered_window splits a driver with a very
+        # large number of signups instead of numbering them in one task
+        from trackline.operators.ordered import ordered_window
+
+        sign = (self.ev.where(F.col("event_type") == "signup")
+                .withColumn("_us", F.unix_micros(F.col("ts").cast("timestamp"))))
+        s = ordered_window(sign, ["session_key", "user_id"], "_us", tiebreak=["event_id"],
+                           row_number="lap_number").drop("_us")
         return s.select(
             "session_key",
             F.col("user_id").alias("driver_number"),

@@ -42,21 +42,21 @@ def build_session(master: str | None = None, app: str = "trackline",
     return spark
 
 
+_CHOSEN_ROOTS: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession, default: str | None = None) -> str:
     """Shared folder for lineage cuts and materialised layers.
 
     On a cluster this is ``spark.checkpoint.dir`` (a shared file system
-    path).  Only when the session has none (local tests) do we set one,
-    taken from ``default`` or a fresh scratch folder.
+    path).  Only when the session has none (local tests) do we pick one,
+    from ``default`` or a fresh scratch folder, and keep it for the rest of
+    the application.
     """
-    path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not path:
-        try:
-            path = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # noqa: BLE001 - unset key
-            path = None
+    app = spark.sparkContext.applicationId
+    path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or _CHOSEN_ROOTS.get(app)
     if not path:
         path = default or tempfile.mkdtemp(prefix="trackline-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        _CHOSEN_ROOTS[app] = path
     spark.sparkContext.setCheckpointDir(os.path.join(path, "rdd"))
     return path

@@ -4,7 +4,7 @@ stop (M11)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackline.functions.scalar import DEFAULT_TRACK_FLAG, add_seconds_ms
@@ -126,12 +126,14 @@ def telemetry_context(tl: DataFrame, weather: DataFrame, race_control: DataFrame
         F.col("x_filled").alias("x"), F.col("y_filled").alias("y"))
 
 
-def stint_bounds(stints: DataFrame) -> DataFrame:
-    """Stints closed at the lap before the next stint starts."""
-    w = Window.partitionBy(*DRIVER_KEYS).orderBy(F.col("lap_start").asc_nulls_first())
-    return stints.select(
+def stint_bounds(stints: DataFrame, strategy: str = "auto") -> DataFrame:
+    """Stints closed at the lap before the next stint starts (W2); stints
+    are ordered by their first lap, unknown first laps first."""
+    s = stints.select(*DRIVER_KEYS, "lap_start", "lap_end", "tire_compound", "tyre_age_at_start")
+    nxt = ordered_window(s, DRIVER_KEYS, "lap_start", leads=[("lap_start", "_next_start")], strategy=strategy)
+    return nxt.select(
         *DRIVER_KEYS, "lap_start",
-        F.coalesce(F.lead("lap_start").over(w) - 1, F.col("lap_end")).alias("clean_lap_end"),
+        F.coalesce(F.col("_next_start") - 1, F.col("lap_end")).alias("clean_lap_end"),
         "tire_compound", "tyre_age_at_start")
 
 

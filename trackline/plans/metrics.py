@@ -96,10 +96,12 @@ def elapsed_time(telemetry: DataFrame, keys: Sequence[str] = (), ts: str = "tele
     t = telemetry.withColumn("_el_us", us)
     # the first instant is an aggregate joined back (a one-row table when
     # there are no keys), not a window over the whole frame in one task
-    group = list(keys) or ["_el_all"]
-    if not keys:
-        t = t.withColumn("_el_all", F.lit(0))
-    t = with_group_min(t, group, "_el_us", "_el_min")
+    if keys:
+        t = with_group_min(t, list(keys), "_el_us", "_el_min")
+    else:
+        # one row by construction: broadcast it so no task receives every row
+        first = t.agg(F.min("_el_us").alias("_el_min")).withColumn("_el_all", F.lit(0))
+        t = t.withColumn("_el_all", F.lit(0)).join(F.broadcast(first), "_el_all")
     return (t.withColumn(out, (F.col("_el_us") - F.col("_el_min")) / F.lit(1e6))
             .drop("_el_us", "_el_min", "_el_all"))
 

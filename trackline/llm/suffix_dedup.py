@@ -15,11 +15,14 @@ About one position in 43 is an anchor.
    prefix that the sample shows more than once as a splitter owns several
    buckets; its suffixes are dealt over them by position.
 2. Each bucket sorts its suffixes by multikey quicksort (a token at a time,
-   only ties go on), drops those whose leading tokens are alone, and groups
+   only ties go on), drops those whose leading token is alone, and groups
    the rest by a fingerprint of the whole span that the anchor's windows
-   cover.  All but the earliest of equal spans are repeats as a whole.  The
-   earliest ones remain open when their prefix has other spans too, or when
-   the prefix is dealt over several buckets.
+   cover.  All but the earliest of equal spans are repeats as a whole.  An
+   earliest one remains open when it may share some window with another
+   span: the windows of an anchor fall into four pieces by their offset, the
+   windows of a piece have a core of bytes in common, and a shared window
+   means a shared core (16-bit fingerprints: a false match only costs work).
+   It also remains open when its prefix is dealt over several buckets.
 3. Open spans are compared across spans and bucket boundaries window by
    window: 128-bit fingerprints, reduced to the earliest in each batch
    before the shuffle, then reduced again by fingerprint.
@@ -45,11 +48,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trackline.llm import arrays as A
-from trackline.llm.common import cut, free_name, without
+from trackline.llm.common import checked_broadcast, cut, free_name, without
 
 GRAM = 16
 SAMPLE_DOCS = 2000
 _U = np.uint64
+# pieces of an anchor's window offsets, each with a 16-bit core fingerprint
+PIECES = 4
 _SPAN, _W1, _W2 = A.Rolling(11), A.Rolling(23), A.Rolling(37)
 _LAST_ID = 2 ** 63 - 1
 # loc packs a start (32 bits), a text tag (24 bits) and the number of further
@@ -59,7 +64,8 @@ _TAG = 24
 
 def _spans(b: np.ndarray, offs: np.ndarray, length: int):
     """Per anchor of one chunk: first window start, number of further starts,
-    tokens and span fingerprint; ``offs`` are the row bounds within ``b``."""
+    tokens, span fingerprint and packed core fingerprints (0: no window of
+    that piece); ``offs`` are the row bounds within ``b``."""
     n, width = len(b), length - GRAM + 1
     if n < length:
         return None
@@ -88,11 +94,20 @@ def _spans(b: np.ndarray, offs: np.ndarray, length: int):
     s = _SPAN.prefix(b)
     fp = _SPAN.ranges(s, lo, lo + count - 1 + length)
     fp = A.mix(fp + (anchor - lo).astype(np.uint64) * A.K2)
-    return lo, count - 1, t[anchor], t[anchor + 8], fp
+    cores = np.zeros(len(lo), np.uint64)
+    piece = -(-width // PIECES)
+    for i in range(PIECES):
+        near, far = i * piece, min((i + 1) * piece, width) - 1
+        some = (anchor - lo >= near) & (anchor - lo - count + 1 <= far)
+        x = anchor[some] - near
+        h = _SPAN.ranges(s, x, x + near - far + length)
+        cores[some] |= ((h >> _U(48)) | _U(1)) << _U(16 * i)
+    return lo, count - 1, t[anchor], t[anchor + 8], fp, cores
 
 
 def _suffixes(length: int, splitters: np.ndarray | None):
-    """Arrow map: documents (id, tag, text) to suffix records with a bucket."""
+    """Arrow map: documents (id, tag, text) to suffix records with a bucket
+    (doubled, plus one if the prefix is dealt over several)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, tags = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
@@ -102,13 +117,16 @@ def _suffixes(length: int, splitters: np.ndarray | None):
                 found = _spans(data[offsets[i]:offsets[j]], offs, length)
                 if found is None:
                     continue
-                lo, more, t1, t2, fp = found
+                lo, more, t1, t2, fp, cores = found
                 row = np.searchsorted(offs, lo, "right") - 1
                 loc = ((lo - offs[row]) << 31) | (tags[i:j][row] << 7) | more
                 doc = ids[i:j][row]
-                bucket = np.zeros(len(lo), np.int64) if splitters is None else _bucket(t1, t2, doc, loc, splitters)
-                yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (bucket, t1, t2, fp, doc, loc)],
-                                                 names=["bucket", "t1", "t2", "fp", "doc", "loc"])
+                if splitters is None:
+                    bucket, cores = np.zeros(len(lo), np.int64), t2
+                else:
+                    bucket = _bucket(t1, t2, doc, loc, splitters)
+                yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (bucket, t1, cores, fp, doc, loc)],
+                                                 names=["bucket", "t1", "cores", "fp", "doc", "loc"])
     return run
 
 
@@ -126,36 +144,38 @@ def _bucket(t1, t2, doc, loc, splitters: np.ndarray) -> np.ndarray:
     lo = np.searchsorted(splitters, key, "left")
     share = np.maximum(hi - lo, 1)
     deal = A.mix(doc.view(np.uint64) * A.K1 + loc.view(np.uint64)) % share.astype(np.uint64)
-    return np.where(hi > lo, hi - deal.astype(np.int64), hi).astype(np.int64)
+    return 2 * (hi - deal.astype(np.int64)) + (share > 1)
 
 
-def _sorted_buckets(length: int, split_prefixes: np.ndarray):
+def _sorted_buckets(length: int):
     """Arrow map over one partition of suffix records (whole buckets): rows
     (doc, tag, start, end, open)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [[c.to_numpy(zero_copy_only=False) for c in b.columns] for b in batches if b.num_rows]
         if not parts:
             return
-        bucket, t1, t2, fp, doc, loc = (np.concatenate(x) for x in zip(*parts, strict=True))
+        bucket, t1, cores, fp, doc, loc = (np.concatenate(x) for x in zip(*parts, strict=True))
         parts.clear()
-        hot = np.isin(_prefix(t1.view(np.uint64), t2.view(np.uint64)), split_prefixes) if len(split_prefixes) else np.zeros(len(t1), bool)
+        order = A.multikey_sort([t1, bucket, fp, doc, loc], ties_only=2)
         # a dealt prefix may be alone in its bucket and still repeat elsewhere
-        lone_hot = np.flatnonzero(hot)
-        order = A.multikey_sort([t1, t2, bucket, fp, doc, loc], ties_only=3)
-        if len(lone_hot):
-            rest = lone_hot[~np.isin(lone_hot, order)]
-        else:
-            rest = lone_hot
-        t1, t2, bucket, fp, doc, loc, hot, extra_doc, extra_loc = (
-            *(x[order] for x in (t1, t2, bucket, fp, doc, loc, hot)), doc[rest], loc[rest])
-        group = A.runs(t1, t2, bucket)
+        rest = np.setdiff1d(np.flatnonzero(bucket & 1), order, assume_unique=True)
+        extra_doc, extra_loc = doc[rest], loc[rest]
+        bucket, t1, cores, fp, doc, loc = (x[order] for x in (bucket, t1, cores, fp, doc, loc))
+        group = A.runs(t1, bucket)
         new = group | A.runs(fp)
-        gid = np.cumsum(group) - 1
-        classes = np.bincount(gid, weights=new, minlength=gid[-1] + 1 if len(gid) else 0)
-        rep = np.flatnonzero(new)[np.cumsum(new) - 1] if len(new) else np.zeros(0, np.int64)
-        pos = loc >> 31
-        later = (doc != doc[rep]) | (pos != pos[rep])
-        is_open = new & ((classes[gid] > 1) | hot) if len(new) else new
+        at = np.flatnonzero(new)
+        rep = at[np.cumsum(new) - 1] if len(new) else at
+        later = (doc != doc[rep]) | ((loc >> 31) != (loc[rep] >> 31))
+        is_open = new & (bucket & 1 > 0)
+        gid = np.cumsum(group)[at] << 16
+        for i in range(PIECES):
+            core = (cores[at] >> (16 * i)) & 0xFFFF
+            has = np.flatnonzero(core)
+            key = gid[has] | core[has]
+            by = np.argsort(key)
+            first = A.runs(key[by])
+            shared = ~(first & np.append(first[1:], True))
+            is_open[at[has[by[shared]]]] = True
         take = (~new & later) | is_open
         yield _intervals(np.append(doc[take], extra_doc), np.append(loc[take], extra_loc),
                          np.append(is_open[take], np.ones(len(rest), bool)), length)
@@ -169,6 +189,7 @@ def _intervals(doc, loc, is_open, length) -> pa.RecordBatch:
         names=["doc", "tag", "lo", "hi", "open"])
 
 
+_RECORD = "bucket long, t1 long, cores long, fp long, doc long, loc long"
 _INTERVAL = "doc long, tag long, lo long, hi long, open boolean"
 
 
@@ -285,9 +306,9 @@ def _splitters(base: DataFrame, length: int, parts: int) -> np.ndarray:
         return np.zeros(0, "S16")
     share = max(1, n // SAMPLE_DOCS)
     sample = base.where(F.pmod(F.xxhash64("doc", "tag"), F.lit(share)) == 0)
-    rows = (sample.mapInArrow(_suffixes(length, None), "bucket long, t1 long, t2 long, fp long, doc long, loc long")
-            .select("t1", "t2", "fp").where(F.pmod("fp", F.lit(8)) == 0).drop("fp").toPandas())
-    keys = np.sort(_prefix(rows["t1"].to_numpy(np.int64).view(np.uint64), rows["t2"].to_numpy(np.int64).view(np.uint64)))
+    rows = (sample.mapInArrow(_suffixes(length, None), _RECORD).where(F.pmod("fp", F.lit(8)) == 0)
+            .select("t1", "cores").toPandas())
+    keys = np.sort(_prefix(rows["t1"].to_numpy(np.int64).view(np.uint64), rows["cores"].to_numpy(np.int64).view(np.uint64)))
     if not len(keys):
         return np.zeros(0, "S16")
     return keys[np.linspace(0, len(keys) - 1, parts + 1).astype(int)[1:-1]]
@@ -307,12 +328,12 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     base = docs.select(did.alias("doc"), tag.alias("tag"), raw.alias("text"))
     parts = max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
     splitters = _splitters(base, length, 4 * parts)
-    values, times = np.unique(splitters, return_counts=True)
-    records = base.mapInArrow(_suffixes(length, splitters), "bucket long, t1 long, t2 long, fp long, doc long, loc long")
-    found = cut(records.repartition(parts, "bucket").mapInArrow(_sorted_buckets(length, values[times > 1]), _INTERVAL), "suffixes")
+    records = base.mapInArrow(_suffixes(length, splitters), _RECORD)
+    found = cut(records.repartition(parts, "bucket").mapInArrow(_sorted_buckets(length), _INTERVAL), "suffixes")
 
     packed = (F.shiftleft("lo", 32) + F.col("hi")).alias("p")
     spans = found.where("open").select("doc", "tag", packed).groupBy("doc", "tag").agg(F.collect_list("p").alias("spans"))
+    spans = checked_broadcast(spans, found.where("open").count())
     windows = (base.join(spans, ["doc", "tag"]).select("doc", "tag", "text", "spans")
                .mapInArrow(_windows(length), "f1 long, f2 long, doc long, loc long"))
     resolved = (windows.repartition(parts, F.coalesce("f1", "doc")).mapInArrow(_resolve(length), _INTERVAL))

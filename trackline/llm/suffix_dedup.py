@@ -306,7 +306,7 @@ def _splitters(base: DataFrame, length: int, parts: int) -> np.ndarray:
         return np.zeros(0, "S16")
     share = max(1, n // SAMPLE_DOCS)
     sample = base.where(F.pmod(F.xxhash64("doc", "tag"), F.lit(share)) == 0)
-    rows = (sample.mapInArrow(_suffixes(length, None), _RECORD).where(F.pmod("fp", F.lit(8)) == 0)
+    rows = (sample.mapInArrow(_suffixes(length, None), _RECORD).where(F.pmod(F.xxhash64("doc", "loc"), F.lit(8)) == 0)
             .select("t1", "cores").toPandas())
     keys = np.sort(_prefix(rows["t1"].to_numpy(np.int64).view(np.uint64), rows["cores"].to_numpy(np.int64).view(np.uint64)))
     if not len(keys):

@@ -14,13 +14,17 @@ Jaccard similarity of at least ``percent`` / 100.
   similarity 0.8 misses all keys with a probability of 4e-8.
 * Equal sets are one class; only its smallest id goes on.
 * Star rounds: within a key only the pairs with the smallest id are formed
-  (linear in the key's rows), each document tries its best partner, links
-  that whole sets confirm merge components, and the next round pairs the
-  remaining components of a key in the same way.  A hot group of copies so
-  merges without its pairs ever being listed.
-* What the rounds leave in different components but under one key is then
-  compared completely (signature distance first, whole sets after), so no
-  candidate pair that could still join two components is left out.
+  (linear in the key's rows), each document tries its best partner, and
+  links that whole sets confirm hook it to that smaller id; these hooks form
+  trees, which pointer jumping flattens.  The next round pairs the remaining
+  trees of a key in the same way.  A hot group of copies so merges without
+  its pairs ever being listed.
+* What the rounds leave in different trees but under one key is then compared
+  completely, so no candidate pair that could still join two trees is left
+  out.  Only shingles that several trees have can be common to two of them;
+  documents with too few of those are out of reach, and for the others a key's
+  rows are cut into blocks, each pair of blocks is a group of its own, and
+  a group counts all common shingles by one product of its incidence matrix.
 
 Defined cases: null and empty texts have an empty set (n_shingles 0) and
 link with nothing; rows with a null id are kept and have no component; rows
@@ -41,10 +45,12 @@ from trackline.llm.common import checked_broadcast, components, cut
 
 CHUNKS, PER = 10, 4
 SYMBOLS = CHUNKS * PER
-# a pair at similarity 0.8 has a larger distance with a probability of 1e-8
-MAX_DISTANCE = 23
-ROUNDS = 4
+# a pair at similarity 0.8 has a larger distance with a probability of 1e-6
+MAX_DISTANCE = 21
+ROUNDS = 3
 SALT_ROWS = 512
+# rows of a block in the complete comparison, and columns of a matrix product
+BLOCK, COLUMNS = 1024, 2048
 _U = np.uint64
 _WORDS = A.Rolling(51)
 _SEEDS = np.random.default_rng(77).integers(0, 2 ** 63, (2, SYMBOLS), dtype=np.uint64)
@@ -119,13 +125,14 @@ def _sets(words: int):
 
 def _confirm(percent: int):
     """Arrow map over rows sorted by (a, salt, member): the sets of ``a``
-    first, then each member ``b`` to compare with them."""
+    first, then each member ``b`` to compare with them.  Pairs of at least
+    ``percent``, with their Jaccard distance."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here, own = None, []
         for batch in batches:
             a, salt, b = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
             items = batch.column(4)
-            keep = []
+            keep, distance = [], []
             for i in range(batch.num_rows):
                 s = np.frombuffer(items[i].as_buffer(), np.uint64)
                 if here != (a[i], salt[i]):
@@ -134,40 +141,45 @@ def _confirm(percent: int):
                     own.append(s)
                     continue
                 for o in own:
-                    small, large = sorted((len(o), len(s)))
-                    if 100 * small < percent * large:
-                        continue
                     both = np.sort(np.concatenate((o, s)), kind="stable")
                     common = int((both[1:] == both[:-1]).sum())
-                    if 100 * common >= percent * (len(o) + len(s) - common):
+                    union = len(o) + len(s) - common
+                    if 100 * common >= percent * union:
                         keep.append(i)
-                        break
-            yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
+                        distance.append(1 - common / union)
+            yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep]), pa.array(distance, pa.float64())],
+                                             names=["a", "b", "distance"])
     return run
 
 
-def _agreement(left: str, right: str) -> Column:
-    """Number of equal symbols of two signatures."""
-    total = F.lit(0)
+def _lanes(chunk: str) -> Column:
+    """A bit for each of a chunk's symbols in which x and y differ."""
+    d = F.col(f"x.{chunk}").bitwiseXOR(F.col(f"y.{chunk}"))
+    for shift in (8, 4, 2, 1):
+        d = d.bitwiseOR(F.shiftrightunsigned(d, shift))
+    return d.bitwiseAND(F.lit(_LANES))
+
+
+def _agreement() -> Column:
+    """Number of equal symbols of the signatures x and y."""
+    total = F.lit(SYMBOLS)
     for c in _S:
-        x = F.col(f"{left}.{c}").bitwiseXOR(F.col(f"{right}.{c}"))
-        for shift in (8, 4, 2, 1):
-            x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
-        total = total + F.bit_count(x.bitwiseAND(F.lit(_LANES)))
-    return F.lit(SYMBOLS) - total
+        total = total - F.bit_count(_lanes(c))
+    return total
 
 
 def _scored(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
-    """``pairs`` (a, b) with ``agree``, without those beyond MAX_DISTANCE."""
+    """``pairs`` (a, b) with ``agree``, without those whose signatures are
+    more than MAX_DISTANCE apart."""
     p = pairs.join(sigs.alias("x"), F.col("a") == F.col("x.doc")).join(sigs.alias("y"), F.col("b") == F.col("y.doc"))
-    return (p.select("a", "b", _agreement("x", "y").alias("agree"))
+    return (p.select("a", "b", _agreement().alias("agree"))
             .where(F.col("agree") >= SYMBOLS - MAX_DISTANCE)
             .groupBy("a", "b").agg(F.max("agree").alias("agree")))
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The (a, b) of ``pairs`` whose whole sets are similar enough.  Members
-    of a frequent ``a`` are dealt over salts, each with a copy of its set."""
+    """The (a, b) of ``pairs`` whose whole sets are at least ``percent``
+    similar, with their Jaccard ``distance``.  Members of a frequent ``a`` are dealt over salts, each with a copy of its set."""
     pairs = cut(pairs, "pairs")
     load = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / SALT_ROWS).alias("salts"))
     n = pairs.count()
@@ -177,7 +189,8 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     rows = (sets.join(wanted, "doc")
             .select("a", "salt", F.col("doc").alias("b"), (F.col("a") != F.col("doc")).alias("member"), "items"))
     return (rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "member")
-            .mapInArrow(_confirm(percent), "a long, b long").distinct())
+            .mapInArrow(_confirm(percent), "a long, b long, distance double")
+            .groupBy("a", "b").agg(F.min("distance").alias("distance")))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -191,30 +204,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sigs = cut(base.mapInArrow(_signatures(words), fields), "signatures")
 
     real = sigs.where("doc is not null and n > 0")
-    classes = cut(real.groupBy("f1", "f2").agg(F.min("doc").alias("doc"), F.count_distinct("doc").alias("copies"),
-                                               *[F.first(c).alias(c) for c in _S]), "classes")
-    several = classes.where("copies > 1").select("f1", "f2", F.col("doc").alias("a"))
-    copies = real.select("f1", "f2", F.col("doc").alias("b")).join(several, ["f1", "f2"]).where("a <> b").select("a", "b")
+    classes = cut(real.groupBy("f1", "f2").agg(F.min("doc").alias("doc"), F.max("doc").alias("z"),
+                                               *[F.first(c).alias(c) for c in ("n", *_S)]), "classes")
+    several = classes.where("doc <> z").select("f1", "f2", F.col("doc").alias("a"))
+    copies = real.select("f1", "f2", F.col("doc").alias("b")).join(several, ["f1", "f2"]).where("a <> b").select("b", "a").distinct()
 
     keys = []
     for i, c in enumerate(_S):
         for k in range(PER):
             mask = ~(0xFFFF << 16 * k) & (2 ** 64 - 1)
             mask -= 2 ** 64 if mask >= 2 ** 63 else 0
-            keys.append(F.xxhash64(F.lit(i * PER + k), F.col(c).bitwiseAND(F.lit(mask))))
-    keyed = classes.select("doc", F.explode(F.array_distinct(F.array(*keys))).alias("key"))
+            keys.append(F.struct(F.lit(i * PER + k).alias("i"), F.xxhash64(F.lit(i * PER + k), F.col(c).bitwiseAND(F.lit(mask))).alias("key")))
+    keyed = classes.select("doc", F.explode(F.array(*keys)).alias("k")).select("doc", "k.i", "k.key")
     shared = cut(keyed.groupBy("key").agg(F.min("doc").alias("c"), F.max("doc").alias("z")).where("c <> z").select("key", "c"), "keys")
-    members = cut(keyed.join(shared, "key").select("key", "doc", "c"), "members")
+    members = cut(keyed.join(shared, "key").select("key", "i", "doc", "c"), "members")
 
     nodes = cut(members.select("doc").distinct(), "nodes")
     n_nodes = nodes.count()
-    found = [copies]
+    small = checked_broadcast(nodes, n_nodes)
+    edges = copies.select("a", "b")
     if n_nodes:
-        small = checked_broadcast(nodes, n_nodes)
-        sig = cut(classes.join(small, "doc").select("doc", *_S), "node-signatures")
+        sig = cut(classes.join(small, "doc").select("doc", "n", *_S), "node-signatures")
         sets = cut(base.join(small, "doc").mapInArrow(_sets(words), "doc long, items binary"), "sets")
-        found.append(_links(members, sig, sets, percent))
-    edges = cut(found[0] if len(found) == 1 else found[0].unionByName(found[1]), "links")
+        tree, links = _links(members, sig, sets, percent)
+        # copies hang on their class, classes on their tree; only links between trees are a general graph
+        edges = edges.join(tree.withColumnRenamed("node", "a"), "a", "left").select(F.coalesce("root", "a").alias("a"), "b")
+        edges = edges.unionByName(tree.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))).unionByName(links.select("a", "b"))
     comp = components(edges)
     out = sigs.select("doc", "n").join(comp.withColumnRenamed("node", "doc"), "doc", "left")
     root = F.coalesce("root", "doc")
@@ -222,56 +237,145 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                       F.coalesce(F.col("doc") == root, F.lit(True)).alias("kept"))
 
 
-def _links(members: DataFrame, sig: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Confirmed links that join all members which candidate pairs can join."""
-    scored = _scored(members.where("doc <> c").select(F.col("c").alias("a"), F.col("doc").alias("b")).distinct(), sig)
-    best = scored.groupBy("b").agg(F.max_by("a", F.struct("agree", -F.col("a"))).alias("a")).select("a", "b")
-    tested = cut(best, "tested")
-    links = cut(_verify(tested, sets, percent), "links")
-    label, mixed = _relabel(members, links)
-    for _ in range(ROUNDS):
-        if mixed.isEmpty():
-            return links
-        # one member of each component under a key, paired with that of the key's smallest component
+def _links(members: DataFrame, sig: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(node, root) of the trees that the star rounds build, and the links
+    between different trees, as pairs (a, b) of their roots."""
+    stars = members.where("doc <> c").select(F.col("c").alias("a"), F.col("doc").alias("b")).distinct()
+    stars = cut(_scored(stars, sig).select("a", "b"), "stars")
+    links = cut(_verify(stars, sets, percent), "links")
+    hooks = links.groupBy("b").agg(F.min_by("a", F.struct("distance", "a")).alias("root")).withColumnRenamed("b", "node")
+    tested = stars
+    nodes = sig.select(F.col("doc").alias("node")).distinct()
+    tree = _flatten(nodes.join(hooks, "node", "left").select("node", F.coalesce("root", "node").alias("root")))
+    mixed = _mixed(members, tree)
+    for _ in range(1, ROUNDS):
+        # one member of each tree under a key, paired with that of the key's smallest tree
         each = mixed.groupBy("key", "label").agg(F.min("doc").alias("doc"))
         low = each.groupBy("key").agg(F.min(F.struct("label", "doc")).alias("low"))
         pairs = (each.join(low, "key").where("label <> low.label")
                  .select(F.least("doc", "low.doc").alias("a"), F.greatest("doc", "low.doc").alias("b"), "label",
-                         F.col("low.label").alias("other")).distinct())
-        pairs = pairs.join(tested, ["a", "b"], "left_anti")
+                         F.col("low.label").alias("other")).distinct()
+                 .join(tested, ["a", "b"], "left_anti"))
+        pairs = cut(pairs, "pairs")
+        if pairs.isEmpty():
+            break
         scored = pairs.join(_scored(pairs.select("a", "b").distinct(), sig), ["a", "b"])
-        best = (scored.groupBy("label", "other").agg(F.max_by(F.struct("a", "b"), F.struct("agree", "a", "b")).alias("p"))
-                .select("p.a", "p.b").distinct())
-        tried = cut(best, "tested")
-        new = cut(_verify(tried, sets, percent), "links")
-        tested = cut(tested.unionByName(tried), "tested")
-        if new.isEmpty():
+        best = cut(scored.groupBy("label").agg(F.max_by(F.struct("a", "b", "other"), F.struct("agree", -F.col("other"), "a", "b")).alias("p"))
+                   .select("label", "p.*"), "best")
+        tried = best.select("a", "b").distinct()
+        new = _verify(tried, sets, percent)
+        hooks = cut(best.join(new, ["a", "b"]).select(F.col("label").alias("root"), F.col("other").alias("next")), "hooks")
+        tested = tested.unionByName(tried)
+        if hooks.isEmpty():
             break
-        links = cut(links.unionByName(new), "links")
-        label, mixed = _relabel(members, links)
-    if mixed.isEmpty():
-        return links
-    # the rest completely: every pair of two components under a key
-    m = cut(mixed.join(sig, "doc").select("key", "label", "doc", *_S), "mixed")
-    rest = (m.alias("x").join(m.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.doc") < F.col("y.doc"))
-                              & (F.col("x.label") != F.col("y.label"))
-                              & (_agreement("x", "y") >= SYMBOLS - MAX_DISTANCE))
-            .select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct()
-            .join(tested, ["a", "b"], "left_anti"))
-    return links.unionByName(_verify(rest, sets, percent))
-
-
-def _relabel(members: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(node, root) of the links so far, and the members of keys that still
-    hold more than one component, with their component as ``label``."""
-    comp = cut(components(links), "components")
-    label = F.coalesce("root", "doc")
-    named = members.join(comp.withColumnRenamed("node", "doc"), "doc", "left").select("key", "doc", label.alias("label"))
-    named = cut(named, "named")
+        tree = _flatten(tree.join(hooks, "root", "left").select("node", F.coalesce("next", "root").alias("root")))
+        mixed = _mixed(members, tree)
+    # the rest completely: every pair of two trees under a key
+    more = _verify(_complete(mixed, sig, sets, percent).join(tested, ["a", "b"], "left_anti"), sets, percent)
+    links = links.unionByName(more).select("a", "b")
+    for end in ("a", "b"):
+        links = links.join(tree.withColumnRenamed("node", end), end).drop(end).withColumnRenamed("root", end)
+    return tree, links.where("a <> b").distinct()
+
+
+def _explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow map: (doc, label, items) to one row per shingle."""
+    for batch in batches:
+        doc, label = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        data, offsets = A.utf8(batch.column(2))
+        n = np.diff(offsets) // 8
+        h = np.frombuffer(data[offsets[0]:offsets[-1]].tobytes(), np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.repeat(doc, n), np.repeat(label, n), h)], names=["doc", "label", "h"])
+
+
+def _shareable(mixed: DataFrame, sets: DataFrame) -> DataFrame:
+    """Per document of ``mixed`` its shingles (``items``) that some document
+    of another tree in ``mixed`` has too."""
+    docs = cut(mixed.select("doc", "label").distinct(), "mixed-docs")
+    docs = checked_broadcast(docs, docs.count())
+    rows = cut(sets.join(docs, "doc").select("doc", "label", "items").mapInArrow(_explode, "doc long, label long, h long"), "shingles")
+    shared = cut(rows.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("h"), "shared")
+    return rows.join(shared, "h").groupBy("doc").agg(F.collect_set("h").alias("items"))
+
+
+def _complete(mixed: DataFrame, sig: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of ``mixed`` with a common key, different labels and
+    enough common shingles (an id with several texts counts the smallest)."""
+    m = mixed.join(sig.groupBy("doc").agg(F.min("n").alias("n")), "doc").join(_shareable(mixed, sets), "doc")
+    m = cut(m.where(F.lit(100) * F.size("items") >= F.lit(percent) * F.col("n")).select("key", "label", "doc", "n", "items"), "mixed")
+    size = m.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"),
+                                F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key", "blocks")
+    own = F.pmod(F.xxhash64("doc"), F.col("blocks"))
+    pair = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
+                       lambda g: F.struct(F.least(g, own).alias("i"), F.greatest(g, own).alias("j")))
+    rows = m.join(size, "key").select("key", F.explode(pair).alias("p"), "label", "doc", "n", "items")
+    return (rows.select("key", "p.i", "p.j", "label", "doc", "n", "items").repartition("key", "i", "j")
+            .sortWithinPartitions("key", "i", "j").mapInArrow(_products(percent), "a long, b long").distinct())
+
+
+def _products(percent: int):
+    """Arrow map over rows sorted by (key, i, j): links within each group."""
+    def links(label, doc, n, items):
+        h = np.concatenate(items)
+        owner = np.repeat(np.arange(len(items)), [len(x) for x in items])
+        _, column, times = np.unique(h, return_inverse=True, return_counts=True)
+        several = times > 1
+        number = np.cumsum(several) - 1
+        use = several[column]
+        owner, column = owner[use], number[column[use]]
+        by = np.argsort(column, kind="stable")
+        owner, column = owner[by], column[by]
+        common = np.zeros((len(items), len(items)), np.float32)
+        for lo in range(0, int(several.sum()), COLUMNS):
+            x, y = np.searchsorted(column, (lo, lo + COLUMNS))
+            part = np.zeros((len(items), COLUMNS), np.float32)
+            part[owner[x:y], column[x:y] - lo] = 1
+            common += part @ part.T
+        x, y = np.nonzero((100 + percent) * common.astype(np.int64) >= percent * (n[:, None] + n[None, :]))
+        ok = (doc[x] < doc[y]) & (label[x] != label[y])
+        return doc[x[ok]], doc[y[ok]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, rows = None, []
+
+        def flush():
+            if len(rows) < 2:
+                return None
+            a, b = links(*(np.array([r[k] for r in rows]) for k in range(3)), [r[3] for r in rows])
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+        for batch in batches:
+            key, i, j, label, doc, n = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(6))
+            values, offs = np.asarray(batch.column(6).values), np.asarray(batch.column(6).offsets)
+            for r in range(batch.num_rows):
+                if here != (key[r], i[r], j[r]):
+                    if (out := flush()) is not None:
+                        yield out
+                    here, rows = (key[r], i[r], j[r]), []
+                rows.append((label[r], doc[r], n[r], values[offs[r]:offs[r + 1]].copy()))
+        if (out := flush()) is not None:
+            yield out
+    return run
+
+
+def _flatten(tree: DataFrame) -> DataFrame:
+    """(node, root) with every root a tree's top: pointer jumping, each step
+    of which halves the depth."""
+    tree = cut(tree, "tree")
+    while True:
+        up = tree.where("node <> root").select(F.col("node").alias("root"), F.col("root").alias("next"))
+        jumped = tree.join(up, "root", "left")
+        if jumped.where("next is not null").isEmpty():
+            return tree
+        tree = cut(jumped.select("node", F.coalesce("next", "root").alias("root")), "tree")
+
+
+def _mixed(members: DataFrame, tree: DataFrame) -> DataFrame:
+    """The members of keys that still hold several trees, with their tree as
+    ``label``."""
+    named = members.join(tree.withColumnRenamed("node", "doc"), "doc").select("key", "i", "doc", "c", F.col("root").alias("label"))
     several = (named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
                .where("lo <> hi").select("key"))
-    several = cut(several, "several")
-    return comp, cut(named.join(several, "key"), "mixed")
+    return cut(named.join(several, "key"), "mixed")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -49,7 +49,8 @@ def _render(pieces: Column) -> Column:
 
 def parse(formatted: Column) -> Column:
     """Turns (role, text) of a formatted string."""
-    parts = F.slice(F.split(formatted, "<\\|im_start\\|>", -1), 2, 2 ** 31 - 1)
+    pieces = F.split(formatted, "<\\|im_start\\|>", -1)
+    parts = F.slice(pieces, F.lit(2), F.size(pieces))
 
     def turn(p: Column) -> Column:
         body = F.substring(p, F.lit(1), F.length(p) - len(END + "\n"))

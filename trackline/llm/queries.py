@@ -36,7 +36,8 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hard = "<|im_end|><|im_start|>assistant ok"
-    extra = spark.createDataFrame([(-1, 0, "user", hard), (-1, 1, "assistant", hard)], given.schema)
+    extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(hard).alias("text"))
     return digests(format_chats(given.unionByName(extra)))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackline.llm.chat import digests, format_chats
-from trackline.llm.common import fold
+from trackline.llm.common import checked_broadcast, fold
 from trackline.llm.decontaminate import find_contamination
 from trackline.llm.embedding_dup import near_duplicate_vectors
 from trackline.llm.language import fit, identify
@@ -45,7 +45,8 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     part = F.floor(F.crc32(F.col("doc_id").cast("string").cast("binary")) / 5) % 8
     labels = table(spark, sf_dir, "labels").where("toxic is not null").select("doc_id", F.col("toxic").alias("label"))
-    learn = docs.join(labels.where(fold("doc_id", 5) != 0), "doc_id").select("text", "label", part.alias("part"))
+    labels = labels.where(fold("doc_id", 5) != 0)
+    learn = docs.join(checked_broadcast(labels, labels.count()), "doc_id").select("text", "label", part.alias("part"))
     return score_toxicity(docs, learn).select("doc_id", F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 

@@ -47,7 +47,7 @@ CHUNKS, PER = 10, 4
 SYMBOLS = CHUNKS * PER
 # a pair at similarity 0.8 has a larger distance with a probability of 1e-6
 MAX_DISTANCE = 21
-ROUNDS = 3
+ROUNDS = 2
 SALT_ROWS = 512
 # rows of a block in the complete comparison, and columns of a matrix product
 BLOCK, COLUMNS = 1024, 2048
@@ -301,14 +301,18 @@ def _shareable(mixed: DataFrame, sets: DataFrame) -> DataFrame:
 def _complete(mixed: DataFrame, sig: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of ``mixed`` with a common key, different labels and
     enough common shingles (an id with several texts counts the smallest)."""
-    m = mixed.join(sig.groupBy("doc").agg(F.min("n").alias("n")), "doc").join(_shareable(mixed, sets), "doc")
-    m = cut(m.where(F.lit(100) * F.size("items") >= F.lit(percent) * F.col("n")).select("key", "label", "doc", "n", "items"), "mixed")
-    size = m.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"),
-                                F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key", "blocks")
+    items = _shareable(mixed, sets).join(sig.groupBy("doc").agg(F.min("n").alias("n")), "doc")
+    items = cut(items.where(F.lit(100) * F.size("items") >= F.lit(percent) * F.col("n")), "items")
+    m = cut(mixed.join(items.select("doc"), "doc").select("key", "label", "doc").distinct(), "mixed")
+    # keys with the same members are one: a digest of the members stands for them
+    size = (m.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.bit_xor(F.xxhash64("doc")).alias("x"),
+                                 F.bit_xor(F.xxhash64("doc", F.lit(1))).alias("y"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+            .where("lo <> hi").groupBy("members", "x", "y").agg(F.min("key").alias("key"))
+            .select("key", F.ceil(F.col("members") / BLOCK).alias("blocks")))
     own = F.pmod(F.xxhash64("doc"), F.col("blocks"))
     pair = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
                        lambda g: F.struct(F.least(g, own).alias("i"), F.greatest(g, own).alias("j")))
-    rows = m.join(size, "key").select("key", F.explode(pair).alias("p"), "label", "doc", "n", "items")
+    rows = m.join(size, "key").join(items, "doc").select("key", F.explode(pair).alias("p"), "label", "doc", "n", "items")
     return (rows.select("key", "p.i", "p.j", "label", "doc", "n", "items").repartition("key", "i", "j")
             .sortWithinPartitions("key", "i", "j").mapInArrow(_products(percent), "a long, b long").distinct())
 

@@ -261,3 +261,14 @@ def test_stint_bounds_split_equals_plain(spark):
     # ties on lap_start (7, 7) have no defined order: compare the multiset of closes per start
     key = lambda r: (r["driver_number"], r["lap_start"] is None, r["lap_start"] or 0, r["clean_lap_end"])
     assert sorted(map(key, a.collect())) == sorted(map(key, b.collect()))
+
+
+def test_group_min_null_key_and_overview_null_time(spark):
+    from trackline.operators.ranking import with_group_min
+    from trackline.plans.metrics import overview_metrics
+    df = spark.createDataFrame([(None, 2.0), (None, 1.0), ("a", 3.0), ("a", None)], "k string, x double")
+    got = sorted((r["k"] is None, r["x"], r["m"]) for r in with_group_min(df, ["k"], "x", "m").collect() if r["x"])
+    assert got == [(False, 3.0, 3.0), (True, 1.0, 1.0), (True, 2.0, 1.0)]
+    laps = spark.createDataFrame([("NOR", None, 1, 4, 300.0), ("VER", 80.75, 2, 1, 310.0)],
+                                 "name_acronym string, lap_duration double, lap_number long, driver_number long, top_speed double")
+    assert overview_metrics(laps).first()["fastest_driver"] == "VER"

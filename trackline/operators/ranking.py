@@ -73,6 +73,10 @@ def group_rank(df: DataFrame, partition: Sequence[str], order: str, out: str,
 
 
 def with_group_min(df: DataFrame, partition: Sequence[str], col: str, out: str) -> DataFrame:
-    """Add ``out`` = MIN(col) over the whole ``partition`` group."""
-    mins = df.groupBy(*partition).agg(F.min(col).alias(out))
-    return df.join(mins, list(partition), "left")
+    """Add ``out`` = MIN(col) over the whole ``partition`` group (NULL keys
+    are a group, as in a window)."""
+    keys = list(partition)
+    mins = df.groupBy(*keys).agg(F.min(col).alias(out)).select(*[F.col(k).alias(f"_gm_{k}") for k in keys], out)
+    same = [F.col(k).eqNullSafe(F.col(f"_gm_{k}")) for k in keys]
+    rest = [c for c in df.columns if c not in keys]
+    return df.join(mins, same, "left").select(*keys, *rest, out)

@@ -53,8 +53,9 @@ def overview_metrics(laps: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     g = laps.groupBy(*keys) if keys else laps
     agg = g.agg(
         F.min("lap_duration").alias("_fast"),
-        # pandas idxmin: first occurrence of the minimum; made deterministic
-        F.min_by("name_acronym", F.struct("lap_duration", "lap_number", "driver_number")).alias("_drv"),
+        # first occurrence of the minimum, made deterministic; laps without a time never win
+        F.min_by("name_acronym", F.when(F.col("lap_duration").isNotNull(),
+                                        F.struct("lap_duration", "lap_number", "driver_number"))).alias("_drv"),
         F.max("top_speed").alias("_top"),
         F.count(F.lit(1)).alias("_n"))
     return agg.select(
@@ -77,7 +78,8 @@ def season_metrics(races: DataFrame, drivers: DataFrame) -> DataFrame:
         F.count_if(F.col("_is_race") == 0).alias("_drivers"),
         F.sum(F.when(F.col("_is_race") == 1, F.col("lap_count"))).alias("_laps"),
         F.min("fastest_lap").alias("_fast"),
-        F.min_by("fastest_driver", F.when(F.col("_is_race") == 1, F.struct("fastest_lap", "session_start")))
+        F.min_by("fastest_driver", F.when((F.col("_is_race") == 1) & F.col("fastest_lap").isNotNull(),
+                                           F.struct("fastest_lap", "session_start")))
         .alias("_drv"))
     empty = F.col("_races") == 0
     return agg.select(

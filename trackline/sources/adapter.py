@@ -4,7 +4,7 @@ The test data is a generic star schema plus an ``events`` stream.  This
 adapter maps it onto the eleven landed race feeds (same columns as the
 bronze NDJSON tables) so every model runs on data that grows with the
 inputs.  The derivation rules are fixed values shared with the DuckDB
-oracle (``trackline.queries.oracle``), which states them in SQL:
+oracle (``trackline.queries.oracle_ctes``), which states them in SQL:
 
 * session_key = 9000 + floor((day(ts) - 1) / 10); one driver per user.
 * laps: one per ``signup`` event, numbered by (ts, event_id) within the

@@ -53,37 +53,48 @@ def fold(doc_id: str | Column, parts: int) -> Column:
     return F.crc32(c.cast("string").cast("binary")) % parts
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def flatten(tree: DataFrame, rows: int) -> DataFrame:
+    """(node, root) with every root a tree's top, from ``rows`` rows in which
+    a root may be another row's node: pointer jumping, each step of which
+    halves the depth."""
+    tree = cut(tree, "tree")
+    while True:
+        up = tree.where("node <> root").select(F.col("node").alias("root"), F.col("root").alias("next"))
+        jumped = tree.join(checked_broadcast(up, rows), "root", "left")
+        if jumped.where("next is not null").isEmpty():
+            return tree
+        tree = cut(jumped.select("node", F.coalesce("next", "root").alias("root")), "tree")
+
+
+def components(edges: DataFrame) -> DataFrame:
     """Connected components of an edge list (``a``, ``b`` longs, a <> b).
 
-    Alternates large-star and small-star steps, each of which replaces every
-    edge list of a node by edges to its smallest neighbour, until nothing
-    changes; each round is cut to shared storage.  Returns (``node``,
+    In each round every label hooks to its smallest smaller neighbour, pointer
+    jumping flattens the trees that these hooks form, and edges are renamed
+    to the labels of their ends; those within one label drop out.  Rounds end
+    when no edge is left; each is cut to shared storage.  Returns (``node``,
     ``root``) for every node of an edge, ``root`` the smallest reachable id.
-    The steps aggregate with ``min`` and join back on the node, so a node
-    with very many neighbours is a skewed join key, not one large group.
+    Hooks are aggregated with ``min`` and joined back, so a node with very
+    many neighbours is never one large group.
     """
-    cur = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-              .where(F.col("a") > F.col("b")).distinct(), "edges")
-    before = None
-    for _ in range(max_rounds):
-        both = cur.unionByName(cur.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = (both.join(low, "a").where(F.col("b") > F.col("a"))
-                 .select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct())
-        large = cut(large, "large-star")
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (large.join(low, "a")
-                 .select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")),
-                                           F.struct(F.col("a"), F.col("m").alias("b")))).alias("e"))
-                 .select("e.a", "e.b").where("a <> b").distinct())
-        cur = cut(small, "small-star")
-        now = cur.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).first()
-        if before is not None and tuple(now) == before:
-            break
-        before = tuple(now)
-    else:
-        raise RuntimeError("components did not settle")
-    roots = cur.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    tops = cur.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
-    return roots.unionByName(tops)
+    cur = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct(), "edges")
+    known = None
+    while left := cur.count():
+        # the smallest node of a component has no hook: it is its own root
+        hooks = cur.groupBy("a").agg(F.min("b").alias("root")).select(F.col("a").alias("node"), "root")
+        labels = flatten(hooks, left)
+        small = checked_broadcast(labels, left)
+        if known is None:
+            known = labels
+        else:
+            old = known.join(small.select(F.col("node").alias("root"), F.col("root").alias("next")), "root", "left")
+            old = old.select("node", F.coalesce("next", "root").alias("root"))
+            # what hooks now was a top so far, and no node of ``known``
+            known = cut(old.unionByName(labels), "labels")
+        for end in ("a", "b"):
+            name = small.select(F.col("node").alias(end), F.col("root").alias("_to"))
+            cur = cur.join(name, end, "left").withColumn(end, F.coalesce("_to", end)).drop("_to")
+        cur = cut(cur.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct(), "edges")
+    if known is None:
+        return cur.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    return known.unionByName(known.select(F.col("root").alias("node"), "root").distinct())

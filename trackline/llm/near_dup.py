@@ -13,16 +13,15 @@ Jaccard similarity of at least ``percent`` / 100.
   at least one of the 40 (chunk, left-out symbol) keys.  A pair at
   similarity 0.8 misses all keys with a probability of 4e-8.
 * Equal sets are one class; only its smallest id goes on.
-* Star rounds: within a key only the pairs with the smallest id are formed
-  (linear in the key's rows), each document tries its best partner, and
-  links that whole sets confirm hook it to that smaller id; these hooks form
-  trees, which pointer jumping flattens.  The next round pairs the remaining
-  trees of a key in the same way.  A hot group of copies so merges without
-  its pairs ever being listed.
-* What the rounds leave in different trees but under one key is then compared
+* Stars: within a key only the pairs with the smallest id are formed
+  (linear in the key's rows); those that whole sets confirm hook each
+  document to its nearest such id.  These hooks form trees, which pointer
+  jumping flattens, so a hot group of copies merges without its pairs ever
+  being listed.
+* What the stars leave in different trees but under one key is then compared
   completely, so no candidate pair that could still join two trees is left
   out.  Only shingles that several trees have can be common to two of them;
-  documents with too few of those are out of reach, and for the others a key's
+  texts with too few of those are out of reach, and for the others a key's
   rows are cut into blocks, each pair of blocks is a group of its own, and
   a group counts all common shingles by one product of its incidence matrix.
 
@@ -41,14 +40,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackline.llm import arrays as A
-from trackline.llm.common import checked_broadcast, components, cut
+from trackline.llm.common import checked_broadcast, components, cut, flatten
 
 CHUNKS, PER = 10, 4
 SYMBOLS = CHUNKS * PER
 # a pair at similarity 0.8 has a larger distance with a probability of 1e-6
 MAX_DISTANCE = 21
-ROUNDS = 2
 SALT_ROWS = 512
+# a signature is 88 bytes: at most so many are broadcast (44 MB)
+SIGNATURE_ROWS = 500_000
 # rows of a block in the complete comparison, and columns of a matrix product
 BLOCK, COLUMNS = 1024, 2048
 _U = np.uint64
@@ -124,15 +124,15 @@ def _sets(words: int):
 
 
 def _confirm(percent: int):
-    """Arrow map over rows sorted by (a, salt, member): the sets of ``a``
+    """Arrow map over rows sorted by (a, salt, member, b): the sets of ``a``
     first, then each member ``b`` to compare with them.  Pairs of at least
-    ``percent``, with their Jaccard distance."""
+    ``percent``, once each, with their smallest Jaccard distance."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, own = None, []
+        here, own, last = None, [], None
         for batch in batches:
             a, salt, b = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
             items = batch.column(4)
-            keep, distance = [], []
+            done = []
             for i in range(batch.num_rows):
                 s = np.frombuffer(items[i].as_buffer(), np.uint64)
                 if here != (a[i], salt[i]):
@@ -144,14 +144,26 @@ def _confirm(percent: int):
                     both = np.sort(np.concatenate((o, s)), kind="stable")
                     common = int((both[1:] == both[:-1]).sum())
                     union = len(o) + len(s) - common
-                    if 100 * common >= percent * union:
-                        keep.append(i)
-                        distance.append(1 - common / union)
-            yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep]), pa.array(distance, pa.float64())],
-                                             names=["a", "b", "distance"])
+                    if 100 * common < percent * union:
+                        continue
+                    # an id with several texts gives neighbouring rows
+                    pair = (a[i], b[i], 1 - common / union)
+                    if last is not None and last[:2] == pair[:2]:
+                        last = min(last, pair)
+                    else:
+                        done += [last] if last is not None else []
+                        last = pair
+            yield _links_batch(done)
+        yield _links_batch([last] if last is not None else [])
     return run
 
 
+def _links_batch(links: list[tuple[int, int, float]]) -> pa.RecordBatch:
+    a, b, distance = zip(*links) if links else ((), (), ())
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(distance, pa.float64())],
+                                      names=["a", "b", "distance"])
+
+
 def _lanes(chunk: str) -> Column:
     """A bit for each of a chunk's symbols in which x and y differ."""
     d = F.col(f"x.{chunk}").bitwiseXOR(F.col(f"y.{chunk}"))
@@ -169,18 +181,15 @@ def _agreement() -> Column:
 
 
 def _scored(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
-    """``pairs`` (a, b) with ``agree``, without those whose signatures are
-    more than MAX_DISTANCE apart."""
+    """The distinct (a, b) of ``pairs`` whose signatures are at most
+    MAX_DISTANCE apart."""
     p = pairs.join(sigs.alias("x"), F.col("a") == F.col("x.doc")).join(sigs.alias("y"), F.col("b") == F.col("y.doc"))
-    return (p.select("a", "b", _agreement().alias("agree"))
-            .where(F.col("agree") >= SYMBOLS - MAX_DISTANCE)
-            .groupBy("a", "b").agg(F.max("agree").alias("agree")))
+    return p.where(_agreement() >= SYMBOLS - MAX_DISTANCE).select("a", "b").distinct()
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The (a, b) of ``pairs`` whose whole sets are at least ``percent``
+    """The (a, b) of the stored ``pairs`` whose whole sets are at least ``percent``
     similar, with their Jaccard ``distance``.  Members of a frequent ``a`` are dealt over salts, each with a copy of its set."""
-    pairs = cut(pairs, "pairs")
     load = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / SALT_ROWS).alias("salts"))
     n = pairs.count()
     dealt = pairs.join(load, "a").select("a", F.pmod(F.xxhash64("b"), F.col("salts")).alias("salt"), F.col("b").alias("doc"))
@@ -188,9 +197,8 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     wanted = checked_broadcast(cut(dealt.unionByName(centres), "wanted"), 2 * n)
     rows = (sets.join(wanted, "doc")
             .select("a", "salt", F.col("doc").alias("b"), (F.col("a") != F.col("doc")).alias("member"), "items"))
-    return (rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "member")
-            .mapInArrow(_confirm(percent), "a long, b long, distance double")
-            .groupBy("a", "b").agg(F.min("distance").alias("distance")))
+    return (rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "member", "b")
+            .mapInArrow(_confirm(percent), "a long, b long, distance double"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -214,20 +222,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         for k in range(PER):
             mask = ~(0xFFFF << 16 * k) & (2 ** 64 - 1)
             mask -= 2 ** 64 if mask >= 2 ** 63 else 0
-            keys.append(F.struct(F.lit(i * PER + k).alias("i"), F.xxhash64(F.lit(i * PER + k), F.col(c).bitwiseAND(F.lit(mask))).alias("key")))
-    keyed = classes.select("doc", F.explode(F.array(*keys)).alias("k")).select("doc", "k.i", "k.key")
+            keys.append(F.xxhash64(F.lit(i * PER + k), F.col(c).bitwiseAND(F.lit(mask))))
+    keyed = classes.select("doc", F.explode(F.array(*keys)).alias("key"))
     shared = cut(keyed.groupBy("key").agg(F.min("doc").alias("c"), F.max("doc").alias("z")).where("c <> z").select("key", "c"), "keys")
-    members = cut(keyed.join(shared, "key").select("key", "i", "doc", "c"), "members")
+    members = cut(keyed.join(checked_broadcast(shared, shared.count()), "key").select("key", "doc", "c"), "members")
 
     nodes = cut(members.select("doc").distinct(), "nodes")
     n_nodes = nodes.count()
-    small = checked_broadcast(nodes, n_nodes)
     edges = copies.select("a", "b")
     if n_nodes:
-        sig = cut(classes.join(small, "doc").select("doc", "n", *_S), "node-signatures")
+        small = checked_broadcast(nodes, n_nodes)
+        sig = cut(classes.join(small, "doc").select("doc", *_S), "node-signatures")
         sets = cut(base.join(small, "doc").mapInArrow(_sets(words), "doc long, items binary"), "sets")
-        tree, links = _links(members, sig, sets, percent)
+        tree, links = _links(members, nodes, n_nodes, sig, sets, percent)
         # copies hang on their class, classes on their tree; only links between trees are a general graph
+        tree = checked_broadcast(tree, n_nodes)
         edges = edges.join(tree.withColumnRenamed("node", "a"), "a", "left").select(F.coalesce("root", "a").alias("a"), "b")
         edges = edges.unionByName(tree.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))).unionByName(links.select("a", "b"))
     comp = components(edges)
@@ -237,84 +246,68 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                       F.coalesce(F.col("doc") == root, F.lit(True)).alias("kept"))
 
 
-def _links(members: DataFrame, sig: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(node, root) of the trees that the star rounds build, and the links
+def _links(members: DataFrame, nodes: DataFrame, n_nodes: int, sig: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(node, root) of the trees that the stars build, and the links
     between different trees, as pairs (a, b) of their roots."""
     stars = members.where("doc <> c").select(F.col("c").alias("a"), F.col("doc").alias("b")).distinct()
-    stars = cut(_scored(stars, sig).select("a", "b"), "stars")
+    stars = cut(_scored(stars, checked_broadcast(sig, n_nodes, SIGNATURE_ROWS)), "stars")
     links = cut(_verify(stars, sets, percent), "links")
     hooks = links.groupBy("b").agg(F.min_by("a", F.struct("distance", "a")).alias("root")).withColumnRenamed("b", "node")
-    tested = stars
-    nodes = sig.select(F.col("doc").alias("node")).distinct()
-    tree = _flatten(nodes.join(hooks, "node", "left").select("node", F.coalesce("root", "node").alias("root")))
-    mixed = _mixed(members, tree)
-    for _ in range(1, ROUNDS):
-        # one member of each tree under a key, paired with that of the key's smallest tree
-        each = mixed.groupBy("key", "label").agg(F.min("doc").alias("doc"))
-        low = each.groupBy("key").agg(F.min(F.struct("label", "doc")).alias("low"))
-        pairs = (each.join(low, "key").where("label <> low.label")
-                 .select(F.least("doc", "low.doc").alias("a"), F.greatest("doc", "low.doc").alias("b"), "label",
-                         F.col("low.label").alias("other")).distinct()
-                 .join(tested, ["a", "b"], "left_anti"))
-        pairs = cut(pairs, "pairs")
-        if pairs.isEmpty():
-            break
-        scored = pairs.join(_scored(pairs.select("a", "b").distinct(), sig), ["a", "b"])
-        best = cut(scored.groupBy("label").agg(F.max_by(F.struct("a", "b", "other"), F.struct("agree", -F.col("other"), "a", "b")).alias("p"))
-                   .select("label", "p.*"), "best")
-        tried = best.select("a", "b").distinct()
-        new = _verify(tried, sets, percent)
-        hooks = cut(best.join(new, ["a", "b"]).select(F.col("label").alias("root"), F.col("other").alias("next")), "hooks")
-        tested = tested.unionByName(tried)
-        if hooks.isEmpty():
-            break
-        tree = _flatten(tree.join(hooks, "root", "left").select("node", F.coalesce("next", "root").alias("root")))
-        mixed = _mixed(members, tree)
-    # the rest completely: every pair of two trees under a key
-    more = _verify(_complete(mixed, sig, sets, percent).join(tested, ["a", "b"], "left_anti"), sets, percent)
-    links = links.unionByName(more).select("a", "b")
+    tree = nodes.withColumnRenamed("doc", "node")
+    tree = flatten(tree.join(hooks, "node", "left").select("node", F.coalesce("root", "node").alias("root")), n_nodes)
+    small = checked_broadcast(tree, n_nodes)
+    # what is left, completely: every pair of two trees under a key
+    links = links.select("a", "b").unionByName(_complete(_mixed(members, small), small, sets, percent))
     for end in ("a", "b"):
-        links = links.join(tree.withColumnRenamed("node", end), end).drop(end).withColumnRenamed("root", end)
+        links = links.join(small.withColumnRenamed("node", end), end).drop(end).withColumnRenamed("root", end)
     return tree, links.where("a <> b").distinct()
 
 
 def _explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Arrow map: (doc, label, items) to one row per shingle."""
+    """Arrow map: (doc, label, text, items) to one row per shingle, with the
+    set's size."""
     for batch in batches:
-        doc, label = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-        data, offsets = A.utf8(batch.column(2))
+        given = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
+        data, offsets = A.utf8(batch.column(3))
         n = np.diff(offsets) // 8
         h = np.frombuffer(data[offsets[0]:offsets[-1]].tobytes(), np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.repeat(doc, n), np.repeat(label, n), h)], names=["doc", "label", "h"])
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*(np.repeat(g, n) for g in given), np.repeat(n, n), h)],
+                                         names=["doc", "label", "text", "n", "h"])
 
 
-def _shareable(mixed: DataFrame, sets: DataFrame) -> DataFrame:
-    """Per document of ``mixed`` its shingles (``items``) that some document
-    of another tree in ``mixed`` has too."""
-    docs = cut(mixed.select("doc", "label").distinct(), "mixed-docs")
+def _shareable(mixed: DataFrame, tree: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Per text of the documents of ``mixed`` its size ``n`` and its shingles
+    (``items``) that some document of another tree in ``mixed`` has too,
+    without the texts that have too few of those."""
+    docs = cut(tree.join(checked_broadcast(mixed.select(F.col("doc").alias("node")), mixed.count()), "node", "left_semi")
+               .select(F.col("node").alias("doc"), F.col("root").alias("label")), "mixed-docs")
     docs = checked_broadcast(docs, docs.count())
-    rows = cut(sets.join(docs, "doc").select("doc", "label", "items").mapInArrow(_explode, "doc long, label long, h long"), "shingles")
+    rows = (sets.join(docs, "doc").select("doc", "label", F.xxhash64("items").alias("text"), "items")
+            .mapInArrow(_explode, "doc long, label long, text long, n long, h long"))
+    rows = cut(rows, "shingles")
     shared = cut(rows.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("h"), "shared")
-    return rows.join(shared, "h").groupBy("doc").agg(F.collect_set("h").alias("items"))
+    common = rows.join(checked_broadcast(shared, shared.count()), "h")
+    items = common.groupBy("doc", "text").agg(F.collect_set("h").alias("items"), F.min("n").alias("n"))
+    return cut(items.where(F.lit(100) * F.size("items") >= F.lit(percent) * F.col("n")).select("doc", "n", "items"), "items")
 
 
-def _complete(mixed: DataFrame, sig: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of ``mixed`` with a common key, different labels and
-    enough common shingles (an id with several texts counts the smallest)."""
-    items = _shareable(mixed, sets).join(sig.groupBy("doc").agg(F.min("n").alias("n")), "doc")
-    items = cut(items.where(F.lit(100) * F.size("items") >= F.lit(percent) * F.col("n")), "items")
-    m = cut(mixed.join(items.select("doc"), "doc").select("key", "label", "doc").distinct(), "mixed")
+def _complete(mixed: DataFrame, tree: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between documents of ``mixed`` with a common key and
+    different labels: whole sets are counted, shingle by shingle."""
+    items = _shareable(mixed, tree, sets, percent)
+    far = checked_broadcast(items.select("doc"), items.count())
+    m = cut(mixed.join(far, "doc", "left_semi"), "mixed")
     # keys with the same members are one: a digest of the members stands for them
-    size = (m.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.bit_xor(F.xxhash64("doc")).alias("x"),
-                                 F.bit_xor(F.xxhash64("doc", F.lit(1))).alias("y"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-            .where("lo <> hi").groupBy("members", "x", "y").agg(F.min("key").alias("key"))
+    digest = [F.sum(F.xxhash64("doc", F.lit(k)).cast("decimal(20,0)")).alias(f"d{k}") for k in (0, 1)]
+    size = (m.groupBy("key").agg(F.count(F.lit(1)).alias("members"), *digest, F.min("label").alias("lo"), F.max("label").alias("hi"))
+            .where("lo <> hi").groupBy("members", "d0", "d1").agg(F.min("key").alias("key"))
             .select("key", F.ceil(F.col("members") / BLOCK).alias("blocks")))
     own = F.pmod(F.xxhash64("doc"), F.col("blocks"))
     pair = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
                        lambda g: F.struct(F.least(g, own).alias("i"), F.greatest(g, own).alias("j")))
     rows = m.join(size, "key").join(items, "doc").select("key", F.explode(pair).alias("p"), "label", "doc", "n", "items")
     return (rows.select("key", "p.i", "p.j", "label", "doc", "n", "items").repartition("key", "i", "j")
-            .sortWithinPartitions("key", "i", "j").mapInArrow(_products(percent), "a long, b long").distinct())
+            .sortWithinPartitions("key", "i", "j").mapInArrow(_products(percent), "a long, b long"))
 
 
 def _products(percent: int):
@@ -361,25 +354,13 @@ def _products(percent: int):
     return run
 
 
-def _flatten(tree: DataFrame) -> DataFrame:
-    """(node, root) with every root a tree's top: pointer jumping, each step
-    of which halves the depth."""
-    tree = cut(tree, "tree")
-    while True:
-        up = tree.where("node <> root").select(F.col("node").alias("root"), F.col("root").alias("next"))
-        jumped = tree.join(up, "root", "left")
-        if jumped.where("next is not null").isEmpty():
-            return tree
-        tree = cut(jumped.select("node", F.coalesce("next", "root").alias("root")), "tree")
-
-
 def _mixed(members: DataFrame, tree: DataFrame) -> DataFrame:
-    """The members of keys that still hold several trees, with their tree as
-    ``label``."""
-    named = members.join(tree.withColumnRenamed("node", "doc"), "doc").select("key", "i", "doc", "c", F.col("root").alias("label"))
-    several = (named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-               .where("lo <> hi").select("key"))
-    return cut(named.join(several, "key"), "mixed")
+    """The (key, doc) of keys that hold several trees, with the document's
+    tree as ``label``."""
+    named = members.join(tree.withColumnRenamed("node", "doc"), "doc").select("key", "doc", F.col("root").alias("label"))
+    several = cut(named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+                  .where("lo <> hi").select("key"), "mixed-keys")
+    return cut(named.join(checked_broadcast(several, several.count()), "key"), "mixed")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -7,6 +7,7 @@ import os
 import pytest
 from conftest import rows
 
+from pyspark.sql import functions as F
 from trackline.sources import bronze, season
 from trackline.sources.schemas import FEED_SPECS
 from trackline.sources.validate import InvalidBatch, require_valid, split, validate
@@ -143,6 +144,24 @@ def test_streaming_landing(spark, tmp_path):
     q = land_feed(spark, str(landing), "car_data", str(tmp_path / "bronze"), str(tmp_path / "ckpt"))
     q.awaitTermination(120)
     assert bronze.read_bronze(spark, str(tmp_path / "bronze"), "telemetry_raw").count() == 3
+    # a second file of the same partition adds to the first one's rows
+    (landing / "session_key=9693" / "driver_number=4" / "late").mkdir()
+    (landing / "session_key=9693" / "driver_number=4" / "late" / "car_data.json").write_text(json.dumps(dict(CAR, speed=100)))
+    land_feed(spark, str(landing), "car_data", str(tmp_path / "bronze"), str(tmp_path / "ckpt")).awaitTermination(120)
+    back = bronze.read_bronze(spark, str(tmp_path / "bronze"), "telemetry_raw")
+    assert sorted(r["speed"] for r in back.collect()) == [100, 300, 301, 302]
+
+
+def test_results_of_two_races_are_both_kept(spark, tmp_path):
+    from trackline.sources.schemas import BRONZE_SCHEMAS
+
+    schema = BRONZE_SCHEMAS["session_results_raw"]
+    for key in (1, 2, 2):
+        race = spark.range(1).select(*[(F.lit(key) if f.name == "session_key" else F.lit(None)).cast(f.dataType).alias(f.name)
+                                       for f in schema.fields])
+        bronze.write_bronze(race, str(tmp_path), "session_results_raw")
+    back = bronze.read_bronze(spark, str(tmp_path), "session_results_raw")
+    assert sorted(r["session_key"] for r in back.collect()) == [1, 2]
 
 
 def test_out_of_range_int_is_invalid(spark):

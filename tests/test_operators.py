@@ -272,3 +272,16 @@ def test_group_min_null_key_and_overview_null_time(spark):
     laps = spark.createDataFrame([("NOR", None, 1, 4, 300.0), ("VER", 80.75, 2, 1, 310.0)],
                                  "name_acronym string, lap_duration double, lap_number long, driver_number long, top_speed double")
     assert overview_metrics(laps).first()["fastest_driver"] == "VER"
+
+
+def test_null_keys_are_a_key(spark):
+    data = [(None, 1, 5.0), (None, 2, 4.0), (None, 900, None), (1, 1, 3.0), (1, 2, 3.0), (1, 3, 1.0)]
+    df = spark.createDataFrame(data, "k long, o long, v double")
+    assert rows(group_rank(df, ["k"], "v", "r", strategy="ranged")) == rows(group_rank(df, ["k"], "v", "r", strategy="plain"))
+    from trackline.operators.ordered import ordered_window
+    how = {"lags": [("v", 1, "before")], "leads": [("v", "after")], "running_sum": [("v", "total")], "row_number": "n"}
+    assert rows(ordered_window(df, ["k"], "o", strategy="split", rows_per_bucket=1, **how)) == rows(
+        ordered_window(df, ["k"], "o", strategy="plain", **how))
+    t = df.select("k", F.timestamp_seconds("o").alias("at"), "v")
+    assert rows(asof_fill(t, ["k"], "at", None, ["v"], strategy="bucketed", rows_per_bucket=1)) == rows(
+        asof_fill_plain(t, ["k"], "at", None, ["v"]))

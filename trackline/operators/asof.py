@@ -37,6 +37,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trackline.operators.keys import join_keys
 from trackline.functions.scalar import epoch_micros
 
 _US, _TIE, _BKT = "_af_us", "_af_tie", "_af_bkt"
@@ -99,7 +100,7 @@ def asof_fill(df: DataFrame, keys: Sequence[str], ts: str, tie: Column | str | N
     ``density`` (keys + ``ts`` columns; pass a cheap scan that has the row
     density of the big side, e.g. the raw samples).  The geometry never
     reads ``df`` as a whole, so ``df``'s plan is evaluated once.
-    Rows with a NULL key receive NULL.
+    Rows with a NULL key form a key of their own, as in a window.
 
     ``strategy``: ``bucketed``, ``plain`` (one window partition per key) or
     ``auto`` - plain when the largest key of the context rows plus
@@ -156,7 +157,7 @@ def asof_fill(df: DataFrame, keys: Sequence[str], ts: str, tie: Column | str | N
     bucket = F.floor((F.col(_US) - F.col(_O)) / F.col(_W))
 
     # 2. per-bucket last values, running state, carry-in rows
-    ctx_b = ctx_t.join(geo, keys).withColumn(_BKT, bucket)
+    ctx_b = join_keys(ctx_t, geo, keys).withColumn(_BKT, bucket)
     summ = ctx_b.groupBy(*keys, _BKT).agg(
         *[F.max_by(v, _last_key(v)).alias(f"_af_s{idx[v]}") for v in values])
     wk = Window.partitionBy(*keys).orderBy(_BKT)
@@ -169,16 +170,15 @@ def asof_fill(df: DataFrame, keys: Sequence[str], ts: str, tie: Column | str | N
                      *[f"_af_c{i}" for i in idx.values()]))
     final = cum.where(F.col("_af_next").isNull()).select(
         *keys, F.col(_BKT).alias(_LAST), *[F.col(f"_af_c{i}").alias(f"_af_f{i}") for i in idx.values()])
-    per_key = geo.join(final, keys, "left").join(init, keys, "full")
+    per_key = join_keys(join_keys(geo, final, keys, "left"), init, keys, "full")
 
     # 3. big side: bucket, carry-in, in-bucket window.  Rows without a
     # bucket (NULL ts, or ts of a key with no geometry) only see the initial
     # state; they get ids far below any real bucket, spread by a hash so
     # that they do not pile into one window partition per key.
     null_bkt = F.lit(-(2 ** 62)) - F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(1024))
-    big = (base.join(per_key_side(per_key, n_keys), keys, "left")
-           .withColumn(_BKT, F.coalesce(bucket, null_bkt))
-           .join(carry, keys + [_BKT], "left"))
+    big = join_keys(base, per_key_side(per_key, n_keys), keys, "left").withColumn(_BKT, F.coalesce(bucket, null_bkt))
+    big = join_keys(big, carry, keys + [_BKT], "left")
     w = (Window.partitionBy(*keys, _BKT).orderBy(_US, _TIE)
          .rangeBetween(Window.unboundedPreceding, Window.currentRow))
     filled = []

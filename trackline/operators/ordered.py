@@ -23,6 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trackline.operators.keys import join_keys
+
 _B, _RN, _N = "_ow_b", "_ow_rn", "_ow_n"
 
 
@@ -98,7 +100,7 @@ def _split(df, keys, order, lags, leads, running_sum, running_min, row_number, a
     # NULL order values sort first: they form the lowest bucket of the key
     bucket = F.when(o.isNull(), F.lit(-(2 ** 62))).otherwise(
         F.floor((o - F.col("_ow_lo")) / F.col("_ow_w")))
-    b = df.join(per_key_side(geo, n_keys), keys, "left").withColumn(_B, bucket).drop("_ow_lo", "_ow_w")
+    b = join_keys(df, per_key_side(geo, n_keys), keys, "left").withColumn(_B, bucket).drop("_ow_lo", "_ow_w")
 
     w = Window.partitionBy(*keys, _B).orderBy(o.asc_nulls_first(), *[F.col(t).asc_nulls_first() for t in tiebreak])
     rows = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -139,7 +141,7 @@ def _split(df, keys, order, lags, leads, running_sum, running_min, row_number, a
     carry += [F.sum(f"_ow_bs_{c}").over(before).alias(f"_ow_sb_{c}") for c in sum_cols]
     carry += [F.min(f"_ow_bm_{c}").over(before).alias(f"_ow_mb_{c}") for c in min_cols]
     carried = summ.select(*keys, _B, *carry)
-    j = x.join(carried, keys + [_B], "left")
+    j = join_keys(x, carried, list(keys) + [_B], "left")
 
     def lag1(c):
         return F.when(rn == 1, F.col(f"_ow_p1_{c}")).otherwise(F.col(f"_ow_l1_{c}"))

@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trackline.operators.keys import join_keys
+
 
 def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
              columns: Sequence[str] | None = None) -> DataFrame:
@@ -59,7 +61,7 @@ def group_rank(df: DataFrame, partition: Sequence[str], order: str, out: str,
     # range id: NULLs first (-1), then the number of cut points below x
     rid = F.when(x.isNull(), F.lit(-1)).otherwise(
         F.size(F.filter(F.coalesce(F.col("_gr_cuts"), F.array()), lambda c: c < x)))
-    tagged = df.join(per_key_side(cuts, n_groups), partition, "left").withColumn("_gr_r", rid).drop("_gr_cuts")
+    tagged = join_keys(df, per_key_side(cuts, n_groups), partition, "left").withColumn("_gr_r", rid).drop("_gr_cuts")
     counts = tagged.groupBy(*partition, "_gr_r").agg(F.count(F.lit(1)).alias("_gr_n"))
     before = counts.select(
         *partition, "_gr_r",
@@ -67,7 +69,7 @@ def group_rank(df: DataFrame, partition: Sequence[str], order: str, out: str,
             Window.partitionBy(*partition).orderBy("_gr_r")
             .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_gr_before"))
     local = F.rank().over(Window.partitionBy(*partition, "_gr_r").orderBy(x.asc_nulls_first()))
-    return (tagged.join(before, partition + ["_gr_r"], "left")
+    return (join_keys(tagged, before, partition + ["_gr_r"], "left")
             .withColumn(out, (F.col("_gr_before") + local).cast("bigint"))
             .drop("_gr_r", "_gr_before"))
 

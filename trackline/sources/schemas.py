@@ -63,7 +63,7 @@ PARTITIONS: dict[str, tuple[str, ...]] = {
     "telemetry_raw": ("session_key", "driver_number"), "laps_raw": ("session_key", "driver_number"),
     "location_raw": ("session_key", "driver_number"), "stints_raw": ("session_key", "driver_number"),
     "pits_raw": ("session_key", "driver_number"), "weather_raw": ("session_key",),
-    "race_control_raw": ("session_key",), "driver_raw": ("session_key",), "session_results_raw": (),
+    "race_control_raw": ("session_key",), "driver_raw": ("session_key",), "session_results_raw": ("session_key",),
     "sessions_metadata": ("year",), "meetings_metadata": ("year",),
 }
 

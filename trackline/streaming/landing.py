@@ -9,6 +9,7 @@ processed):
 
     landed text lines -> validate (built-in expressions) -> foreachBatch:
         count invalid records (mode="fail": raise before any write)
+        -> gather the touched partitions' rows from all landed files
         -> dynamic partition overwrite of the bronze table
 
 ``trigger(availableNow=True)`` processes whatever has landed and stops,
@@ -24,15 +25,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from trackline.sources.bronze import write_bronze
-from trackline.sources.schemas import FEED_FILES, FEED_SPECS
+from trackline.sources.schemas import FEED_FILES, FEED_SPECS, PARTITIONS
 from trackline.sources.validate import require_valid, validate
 
 
-def landed_lines(spark: SparkSession, landing_root: str, feed: str) -> DataFrame:
-    """Streaming DataFrame of the raw lines of every landed file of ``feed``
-    (any depth below ``landing_root``)."""
+def landed_lines(spark: SparkSession, landing_root: str, feed: str, stream: bool = True) -> DataFrame:
+    """The raw lines of every landed file of ``feed`` (any depth below
+    ``landing_root``), as a stream or as they are now."""
     file_name, _ = FEED_FILES[feed]
-    return (spark.readStream.format("text")
+    return ((spark.readStream if stream else spark.read).format("text")
             .option("recursiveFileLookup", "true")
             .option("pathGlobFilter", file_name)
             .load(landing_root))
@@ -46,7 +47,10 @@ def land_feed(spark: SparkSession, landing_root: str, feed: str, bronze_root: st
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         good, _bad = require_valid(batch, mode)
-        write_bronze(good, bronze_root, table)
+        # an overwritten partition keeps the rows of its other landed files
+        touched = good.select(*PARTITIONS[table]).distinct()
+        landed, _ = require_valid(validate(landed_lines(spark, landing_root, feed, stream=False), FEED_SPECS[feed]), mode)
+        write_bronze(landed.join(touched, list(PARTITIONS[table]), "left_semi"), bronze_root, table)
 
     writer = (validated.writeStream.foreachBatch(write_batch)
               .option("checkpointLocation", os.path.join(checkpoint, feed)))

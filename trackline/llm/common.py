@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from trackline.session import checkpoint_root
 
 # A side is broadcast only after its rows were counted and found to be at
-# most this many (two longs a row: 64 MB); beyond it the join is shuffled.
-BROADCAST_ROWS = 4_000_000
+# most this many (two longs a row: 8 MB, some 40 MB as the hash table that the
+# driver builds and each executor holds); beyond it the join is shuffled.
+BROADCAST_ROWS = 500_000
 
 WHITESPACE = "[\\x20\\x09-\\x0D]+"
 WORD = "[^\\x20\\x09-\\x0D]+"

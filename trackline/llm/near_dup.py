@@ -47,8 +47,8 @@ SYMBOLS = CHUNKS * PER
 # a pair at similarity 0.8 has a larger distance with a probability of 1e-6
 MAX_DISTANCE = 21
 SALT_ROWS = 512
-# a signature is 88 bytes: at most so many are broadcast (44 MB)
-SIGNATURE_ROWS = 500_000
+# a signature is 88 bytes: at most so many are broadcast (9 MB)
+SIGNATURE_ROWS = 100_000
 # rows of a block in the complete comparison, and columns of a matrix product
 BLOCK, COLUMNS = 1024, 2048
 _U = np.uint64

@@ -8,8 +8,8 @@ from oracle_compare import compare, duck
 import __spark_entry__ as entry_mod
 from trackline.plans import repository
 
-QUERIES = entry_mod.queries()
-ORACLES = entry_mod.oracle_sql()
+QUERIES = {name: fn for name, fn in entry_mod.queries().items() if name in entry_mod.QUERIES}
+ORACLES = {name: sql for name, sql in entry_mod.oracle_sql().items() if name in entry_mod.ORACLES}
 
 
 @pytest.fixture(scope="module")

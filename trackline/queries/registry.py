@@ -307,18 +307,16 @@ def _context(spark, sf_dir) -> DataFrame:
 
 
 @query("forward_fill_session", """
-SELECT session_key, driver_number, lap_number, ts AS telemetry_timestamp, air_temp_filled AS air_temperature,
-       track_temp_filled AS track_temperature, raining_filled AS is_raining,
-       COALESCE(track_flag_filled, 'GREEN') AS track_flag
-FROM interp WHERE record_type = 'telemetry'""")
+SELECT session_key, driver_number, lap_number, telemetry_timestamp, air_temperature, track_temperature, is_raining,
+       track_flag
+FROM conditions""")
 def q_ffill_session(spark, sf_dir):
     return _context(spark, sf_dir).select("session_key", "driver_number", "lap_number", "telemetry_timestamp",
                                           "air_temperature", "track_temperature", "is_raining", "track_flag")
 
 
 @query("forward_fill_driver", """
-SELECT session_key, driver_number, lap_number, ts AS telemetry_timestamp, x_filled AS x, y_filled AS y
-FROM interp WHERE record_type = 'telemetry'""")
+SELECT session_key, driver_number, lap_number, telemetry_timestamp, x, y FROM conditions""")
 def q_ffill_driver(spark, sf_dir):
     return _context(spark, sf_dir).select("session_key", "driver_number", "lap_number", "telemetry_timestamp",
                                           "x", "y")
@@ -488,13 +486,13 @@ def q_price_rank(spark, sf_dir):
 
 
 @query("clean_laps", """
-SELECT lap_id, session_key, driver_number, lap_number, tire_compound, tire_age_at_lap_end FROM eligible_laps""")
+SELECT lap_id, session_key, driver_number, lap_number, tire_compound, tire_age_at_lap_end FROM usable_laps""")
 def q_clean_laps(spark, sf_dir):
     return gold.clean_laps(_m(spark, sf_dir).dashboard_laps).select(
         "lap_id", "session_key", "driver_number", "lap_number", "tire_compound", "tire_age_at_lap_end")
 
 
-@query("stint_starts", "SELECT lap_id, tire_compound, tire_age_at_lap_end, starts_new_stint FROM stint_flags")
+@query("stint_starts", "SELECT lap_id, tire_compound, tire_age_at_lap_end, starts_new_stint FROM stint_marks")
 def q_stint_starts(spark, sf_dir):
     return gold.stint_starts(gold.clean_laps(_m(spark, sf_dir).dashboard_laps)).select(
         "lap_id", "tire_compound", "tire_age_at_lap_end", "starts_new_stint")
@@ -504,7 +502,7 @@ def _deg(spark, sf_dir, strategy: str = "auto") -> DataFrame:
     return gold.tire_degradation(_m(spark, sf_dir).dashboard_laps, strategy=strategy)
 
 
-@query("stint_numbers", "SELECT lap_id, strategy_stint_number FROM numbered_stints")
+@query("stint_numbers", "SELECT lap_id, strategy_stint_number FROM stints_counted")
 def q_stint_numbers(spark, sf_dir):
     return _deg(spark, sf_dir).select("lap_id", "strategy_stint_number")
 

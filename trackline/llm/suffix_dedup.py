@@ -52,6 +52,9 @@ from trackline.llm.common import checked_broadcast, cut, free_name, without
 
 GRAM = 16
 SAMPLE_DOCS = 2000
+# open spans are broadcast as one array of longs a document up to this size
+# (8 bytes a span, 64 a document), else the join with the texts is shuffled
+SPAN_BYTES = 64 << 20
 _U = np.uint64
 # pieces of an anchor's window offsets, each with a 16-bit core fingerprint
 PIECES = 4
@@ -333,7 +336,8 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     packed = (F.shiftleft("lo", 32) + F.col("hi")).alias("p")
     spans = found.where("open").select("doc", "tag", packed).groupBy("doc", "tag").agg(F.collect_list("p").alias("spans"))
-    spans = checked_broadcast(spans, found.where("open").count())
+    n, holders = found.where("open").agg(F.count(F.lit(1)), F.approx_count_distinct("doc")).first()
+    spans = checked_broadcast(spans, 8 * n + 64 * holders, SPAN_BYTES)
     windows = (base.join(spans, ["doc", "tag"]).select("doc", "tag", "text", "spans")
                .mapInArrow(_windows(length), "f1 long, f2 long, doc long, loc long"))
     resolved = (windows.repartition(parts, F.coalesce("f1", "doc")).mapInArrow(_resolve(length), _INTERVAL))

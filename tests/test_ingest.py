@@ -181,3 +181,11 @@ def test_bronze_schema_contract():
                                                   "dnf", "dns", "dsq"))
     for schema in BRONZE_SCHEMAS.values():
         assert all(f.name and f.dataType for f in schema.fields)
+
+
+def test_malformed_line_fails_the_read(spark, tmp_path):
+    folder = tmp_path / "weather_raw" / "session_key=1"
+    folder.mkdir(parents=True)
+    (folder / "a.json").write_text('{"air_temperature": 20.5}\n{"air_temperature": 2\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        bronze.read_bronze(spark, str(tmp_path), "weather_raw").collect()

@@ -57,14 +57,16 @@ def max_rows_per_task(spark) -> int:
     return int(spark.conf.get("trackline.window.maxRowsPerTask", str(MAX_ROWS_PER_TASK)))
 
 
-# A per-key table (one row per key) is broadcast explicitly when it has at
-# most this many rows (Spark conf ``trackline.broadcast.maxKeys``); beyond
-# it the join is left to the planner (AQE broadcast or a shuffled join).
-MAX_BROADCAST_KEYS = 1_000_000
+# A per-key table (one row per key) is broadcast explicitly when its counted
+# rows take at most this many bytes (Spark conf ``trackline.broadcast.maxBytes``);
+# beyond it the join is left to the planner (AQE broadcast or a shuffled join).
+MAX_BROADCAST_BYTES = 64 << 20
+# bytes allowed for a scalar field of such a row
+FIELD_BYTES = 64
 
 
-def max_broadcast_keys(spark) -> int:
-    return int(spark.conf.get("trackline.broadcast.maxKeys", str(MAX_BROADCAST_KEYS)))
+def max_broadcast_bytes(spark) -> int:
+    return int(spark.conf.get("trackline.broadcast.maxBytes", str(MAX_BROADCAST_BYTES)))
 
 
 def group_stats(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
@@ -79,10 +81,12 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     return group_stats(df, keys)[0]
 
 
-def per_key_side(table: DataFrame, n_keys: int | None) -> DataFrame:
-    """Broadcast a one-row-per-key table when its key count is known to be
-    small; otherwise leave the choice to the planner."""
-    if n_keys is not None and n_keys <= max_broadcast_keys(table.sparkSession):
+def per_key_side(table: DataFrame, n_keys: int | None, array_items: int = 0) -> DataFrame:
+    """Broadcast a one-row-per-key table when its key count is known and its
+    bytes (``array_items`` longs a row besides its scalar fields) are within
+    the bound; otherwise leave the choice to the planner."""
+    row_bytes = FIELD_BYTES * len(table.columns) + 8 * array_items
+    if n_keys is not None and n_keys * row_bytes <= max_broadcast_bytes(table.sparkSession):
         return F.broadcast(table)
     return table
 

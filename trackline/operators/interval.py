@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackline.functions.scalar import epoch_micros
@@ -53,50 +53,55 @@ def interval_join(points: DataFrame, intervals: DataFrame, keys: Sequence[str],
     ``start <= ts < end``.  ``how`` is ``inner`` or ``left``.
 
     Intervals with a NULL bound or with ``end <= start`` can never match
-    and are dropped before the replication.  Intervals that would be copied
-    to more than ``max_copies`` buckets (rare outliers, e.g. a lap whose
-    end is days later) are not replicated: they take the plain equi-join
-    with a range residual, and the two results are unioned - every match
-    comes from exactly one of the two paths.  Output: all point columns,
-    then the interval columns except the keys.
+    and are dropped before the replication.  An interval that would be copied
+    to more than ``max_copies`` buckets (e.g. a lap whose end is days later)
+    goes to a coarser level, whose buckets are ``max_copies`` times as wide,
+    and so on; a point has one bucket on each level that the longest interval
+    calls for (mostly one).  An interval lives on one level, so every match
+    is found once, and no interval leaves the bucketed join.  Output: all
+    point columns, then the interval columns except the keys.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
+    if max_copies < 2:
+        raise ValueError("max_copies must be at least 2")
     keys = list(keys)
     iv = intervals.where(F.col(start).isNotNull() & F.col(end).isNotNull()
                          & (F.col(end) > F.col(start)))
     med, longest = _length_stats(iv, start, end)
-    b = int(bucket_us or max(1_000_000, med or 3_600_000_000))
-    lo, hi = _copies(start, end, b)
-    n_copies = hi - lo + 1
-    # an interval of length L touches at most ceil(L / b) + 1 buckets
-    may_be_long = longest is not None and -(-int(longest) // b) + 1 > max_copies
-    n_long = iv.where(n_copies > max_copies).count() if may_be_long else 0
-    short = iv.where(n_copies <= max_copies) if n_long else iv
-    out_cols = list(points.columns) + [c for c in intervals.columns if c not in keys]
-
-    ivb = short.withColumn(_BKT, F.explode(F.sequence(lo, hi))).alias("_iv")
-    pb = points.withColumn(_BKT, F.floor(epoch_micros(ts) / F.lit(b))).alias("_pt")
+    widths = [int(bucket_us or max(1_000_000, med or 3_600_000_000))]
+    # an interval of length L touches at most ceil(L / width) + 1 buckets
+    while longest is not None and -(-int(longest) // widths[-1]) + 1 > max_copies:
+        widths.append(widths[-1] * max_copies)
+
+    def spot(level: int, bucket: Column) -> Column:
+        return F.struct(F.lit(level).alias("level"), bucket.alias("bucket"))
+
+    def covered(level: int) -> Column:
+        lo, hi = _copies(start, end, widths[level])
+        return F.when(hi - lo < max_copies, F.transform(F.sequence(lo, hi), lambda x: spot(level, x)))
+
+    levels = range(len(widths))
+    ivb = iv.withColumn(_BKT, F.explode(F.coalesce(*map(covered, levels)))).alias("_iv")
+    own = [spot(level, F.floor(epoch_micros(ts) / F.lit(widths[level]))) for level in levels]
+    pb = points.withColumn(_BKT, own[0] if len(own) == 1 else F.explode(F.array(*own))).alias("_pt")
     cond = [F.col(f"_pt.{k}") == F.col(f"_iv.{k}") for k in keys]
-    cond += [F.col(f"_pt.{_BKT}") == F.col(f"_iv.{_BKT}"),
+    cond += [F.col(f"_pt.{_BKT}.level") == F.col(f"_iv.{_BKT}.level"),
+             F.col(f"_pt.{_BKT}.bucket") == F.col(f"_iv.{_BKT}.bucket"),
              F.col(f"_pt.{ts}") >= F.col(f"_iv.{start}"),
              F.col(f"_pt.{ts}") < F.col(f"_iv.{end}")]
     out = [F.col(f"_pt.{c}") for c in points.columns]
     out += [F.col(f"_iv.{c}") for c in intervals.columns if c not in keys]
-    if not n_long:
+    if how == "inner" or len(widths) == 1:
         return pb.join(ivb, cond, how).select(*out)
 
-    inner = pb.join(ivb, cond, "inner").select(*out)
-    long_iv = iv.where(n_copies > max_copies)
-    inner = inner.unionByName(interval_join_plain(points, long_iv, keys, ts, start, end, "inner"))
-    if how == "inner":
-        return inner
     # left: points without any match keep one row with NULL interval columns
+    inner = pb.join(ivb, cond, "inner").select(*out)
     matched = inner.select(*points.columns).distinct().alias("_m")
     same = [F.col(f"_p.{c}").eqNullSafe(F.col(f"_m.{c}")) for c in points.columns]
     unmatched = points.alias("_p").join(matched, same, "left_anti").select(*points.columns)
     pad = [F.lit(None).cast(f.dataType).alias(f.name) for f in intervals.schema.fields if f.name not in keys]
-    return inner.unionByName(unmatched.select(*points.columns, *pad)).select(*out_cols)
+    return inner.unionByName(unmatched.select(*points.columns, *pad))
 
 
 def interval_join_plain(points: DataFrame, intervals: DataFrame, keys: Sequence[str],

@@ -49,6 +49,8 @@ def group_rank(df: DataFrame, partition: Sequence[str], order: str, out: str,
     if strategy == "auto":
         largest, n_groups = group_stats(df.select(*partition), partition)
         strategy = "plain" if largest <= max_rows_per_task(df.sparkSession) else "ranged"
+        # ranges grow with the group, so that one holds about a million rows
+        ranges = max(ranges, -(-largest // 1_000_000))
     if strategy == "plain":
         w = Window.partitionBy(*partition).orderBy(F.col(order).asc_nulls_first())
         return df.withColumn(out, F.rank().over(w).cast("bigint"))
@@ -61,7 +63,7 @@ def group_rank(df: DataFrame, partition: Sequence[str], order: str, out: str,
     # range id: NULLs first (-1), then the number of cut points below x
     rid = F.when(x.isNull(), F.lit(-1)).otherwise(
         F.size(F.filter(F.coalesce(F.col("_gr_cuts"), F.array()), lambda c: c < x)))
-    tagged = join_keys(df, per_key_side(cuts, n_groups), partition, "left").withColumn("_gr_r", rid).drop("_gr_cuts")
+    tagged = join_keys(df, per_key_side(cuts, n_groups, ranges), partition, "left").withColumn("_gr_r", rid).drop("_gr_cuts")
     counts = tagged.groupBy(*partition, "_gr_r").agg(F.count(F.lit(1)).alias("_gr_n"))
     before = counts.select(
         *partition, "_gr_r",

@@ -712,6 +712,47 @@ def q_fastest_tel(spark, sf_dir):
     return repository.fastest_lap_telemetry(_m(spark, sf_dir))
 
 
+# -- serving with its parameters set -------------------------------------------
+SERVED_SESSION, SERVED_DRIVERS, SERVED_LAP = 9001, [1, 5, 14], 2
+_SERVED = f"session_key = {SERVED_SESSION} AND driver_number IN ({', '.join(map(str, SERVED_DRIVERS))})"
+
+
+@query("served_laps", _r6sql(gold.DASHBOARD_COLUMNS, f"(SELECT * FROM dashboard_laps WHERE {_SERVED}) z"))
+def q_served_laps(spark, sf_dir):
+    return r6(repository.laps(_m(spark, sf_dir), SERVED_SESSION, SERVED_DRIVERS, ordered=True))
+
+
+@query("served_laps_none", _r6sql(gold.DASHBOARD_COLUMNS, "(SELECT * FROM dashboard_laps WHERE FALSE) z"))
+def q_served_none(spark, sf_dir):
+    return r6(repository.laps(_m(spark, sf_dir), SERVED_SESSION, [], ordered=True))
+
+
+@query("served_tires", _r6sql(gold.DEGRADATION_COLUMNS, f"(SELECT * FROM tire_deg WHERE {_SERVED}) z"))
+def q_served_tires(spark, sf_dir):
+    return r6(repository.tire_degradation(_m(spark, sf_dir), SERVED_SESSION, SERVED_DRIVERS, ordered=True))
+
+
+@query("served_v_min", f"SELECT {', '.join(repository.V_MIN_COLUMNS)} FROM vmin WHERE {_SERVED}")
+def q_served_v_min(spark, sf_dir):
+    return repository.v_min_points(_m(spark, sf_dir), SERVED_SESSION, SERVED_DRIVERS, ordered=True)
+
+
+@query("served_lap_telemetry", f"""SELECT {', '.join(repository.TELEMETRY_COLUMNS)} FROM enriched
+WHERE session_key = {SERVED_SESSION} AND driver_number = {SERVED_DRIVERS[0]} AND lap_number = {SERVED_LAP}""")
+def q_served_lap(spark, sf_dir):
+    return repository.telemetry(_m(spark, sf_dir), SERVED_SESSION, SERVED_DRIVERS[0], SERVED_LAP, ordered=True)
+
+
+@query("served_race_results", f"SELECT {', '.join(repository.RESULT_COLUMNS)} FROM race_res WHERE session_key = {SERVED_SESSION}")
+def q_served_results(spark, sf_dir):
+    return repository.race_results(_m(spark, sf_dir), SERVED_SESSION, ordered=True)
+
+
+@query("served_drivers", f"SELECT {', '.join(repository.DRIVER_COLUMNS)} FROM dim_drivers WHERE session_key = {SERVED_SESSION}")
+def q_served_drivers(spark, sf_dir):
+    return repository.drivers(_m(spark, sf_dir), SERVED_SESSION, ordered=True)
+
+
 @query("telemetry_trace", """
 SELECT *, (epoch_us(telemetry_timestamp) - min(epoch_us(telemetry_timestamp)) OVER (PARTITION BY session_key, driver_number)) / 1e6 AS elapsed_seconds,
        brake * 100 AS brake_pct
@@ -913,6 +954,41 @@ def _summary_sql() -> str:
         singular(_TIRE_METRICS_SQL, "fct_tire_degradation", "degradation_metrics")])
 
 
+# the singular checks on the same tables with faults planted by key
+@query("dq_unique_grain_planted", """SELECT session_key, driver_number, lap_number
+FROM (SELECT * FROM dashboard_laps UNION ALL SELECT * FROM dashboard_laps WHERE driver_number % 3 = 0)
+GROUP BY session_key, driver_number, lap_number HAVING count(*) != 1""")
+def q_dq_grain_planted(spark, sf_dir):
+    laps = _m(spark, sf_dir).dashboard_laps
+    return quality.dq_unique_grain(laps.unionByName(laps.where("driver_number % 3 = 0")))
+
+
+@query("dq_lap_metrics_planted", """SELECT lap_id, top_speed FROM dashboard_laps WHERE driver_number % 5 = 0 OR lap_number % 4 = 0
+OR lap_duration <= 0 OR delta_to_session_best < 0 OR delta_to_driver_best < 0 OR top_speed < 0 OR v_min < 0""")
+def q_dq_lap_metrics_planted(spark, sf_dir):
+    laps = _m(spark, sf_dir).dashboard_laps
+    bad = laps.withColumn("lap_duration", F.when(F.col("driver_number") % 5 == 0, -F.col("lap_duration")).otherwise(F.col("lap_duration")))
+    bad = bad.withColumn("v_min", F.when(F.col("lap_number") % 4 == 0, F.lit(-1.0)).otherwise(F.col("v_min")))
+    return quality.dq_lap_metrics(bad).select("lap_id", "top_speed")
+
+
+@query("dq_positions_planted", """SELECT session_key, finishing_position - 1 AS finishing_position
+FROM (SELECT * FROM race_res UNION ALL SELECT * FROM race_res WHERE finishing_position % 4 = 3)
+GROUP BY session_key, finishing_position HAVING count(*) != 1 OR finishing_position < 2""")
+def q_dq_positions_planted(spark, sf_dir):
+    r = _m(spark, sf_dir).race_results
+    bad = r.unionByName(r.where("finishing_position % 4 = 3"))
+    return quality.dq_positions(bad.withColumn("finishing_position", F.col("finishing_position") - 1))
+
+
+@query("dq_tire_metrics_planted", """SELECT degradation_id, lap_in_stint FROM tire_deg WHERE driver_number % 4 = 0
+OR strategy_stint_number < 1 OR lap_in_stint < 1 OR tire_age_at_lap_end < 0 OR delta_to_stint_best < 0 OR rolling_three_lap_average <= 0""")
+def q_dq_tire_planted(spark, sf_dir):
+    deg = _m(spark, sf_dir).tire_degradation
+    bad = deg.withColumn("tire_age_at_lap_end", F.when(F.col("driver_number") % 4 == 0, -1).otherwise(F.col("tire_age_at_lap_end")))
+    return quality.dq_tire_metrics(bad).select("degradation_id", "lap_in_stint")
+
+
 @query("dq_summary", _summary_sql())
 def q_dq_summary(spark, sf_dir):
     return quality.run_checks(_m(spark, sf_dir))

@@ -28,10 +28,11 @@ def table_path(root: str, table: str) -> str:
 def read_bronze(spark: SparkSession, root: str, table: str) -> DataFrame:
     """Schema-on-read scan of one landed table (S1, S2, S3).  JSON fields
     outside the schema are ignored; see :func:`read_strict` for the table
-    that must reject them."""
+    that must reject them.  A malformed line fails the read: it would
+    otherwise pass as a row of NULLs."""
     path = table_path(root, table)
     return (spark.read.schema(BRONZE_SCHEMAS[table]).option("basePath", path)
-            .option("timestampNTZFormat", TS_FORMAT).json(path))
+            .option("timestampNTZFormat", TS_FORMAT).option("mode", "FAILFAST").json(path))
 
 
 def read_strict(spark: SparkSession, root: str, table: str) -> tuple[DataFrame, DataFrame]:

@@ -713,7 +713,7 @@ def q_fastest_tel(spark, sf_dir):
 
 
 # -- serving with its parameters set -------------------------------------------
-SERVED_SESSION, SERVED_DRIVERS, SERVED_LAP = 9001, [1, 5, 14], 2
+SERVED_SESSION, SERVED_DRIVERS, SERVED_LAP = 9001, [1, 5, 14], 3
 _SERVED = f"session_key = {SERVED_SESSION} AND driver_number IN ({', '.join(map(str, SERVED_DRIVERS))})"
 
 

@@ -3,7 +3,8 @@
     conversation := turn*
     turn         := "<|im_start|>" role "\\n" text "<|im_end|>" "\\n"
 
-Rendered text is parsed again by this grammar and compared with the source.
+Rendered text is parsed again by this grammar and compared with the source: a
+message ends at its first "<|im_end|>", and what is not a turn is read as null.
 Where the plain rendering does not come back identically (control strings or
 escapes inside a text or role), the conversation is rendered once more with
 escapes: % as %25, <| as %3C| and, in roles, the newline as %0A.  The parser
@@ -48,15 +49,17 @@ def _render(pieces: Column) -> Column:
 
 
 def parse(formatted: Column) -> Column:
-    """Turns (role, text) of a formatted string."""
+    """Turns (role, text) of a formatted string; null where a piece goes on
+    after its first end or has none."""
     pieces = F.split(formatted, "<\\|im_start\\|>", -1)
     parts = F.slice(pieces, F.lit(2), F.size(pieces))
 
     def turn(p: Column) -> Column:
-        body = F.substring(p, F.lit(1), F.length(p) - len(END + "\n"))
+        body = F.substring_index(p, END, 1)
         role = F.substring_index(body, "\n", 1)
-        return F.struct(unescape(role, True).alias("role"),
-                        unescape(F.substring(body, F.length(role) + 2, F.length(body))).alias("text"))
+        return F.when(p == F.concat(body, F.lit(END + "\n")), F.struct(
+            unescape(role, True).alias("role"),
+            unescape(F.substring(body, F.length(role) + 2, F.length(body))).alias("text")))
     return F.transform(parts, turn)
 
 

@@ -2,7 +2,12 @@
 
 import re
 
+import numpy as np
+from pyspark.sql import functions as F
+
+from trackline.llm import language
 from trackline.llm.chat import END, START, format_chats
+from trackline.llm.language import fit, identify
 
 
 def test_chat_end_alone_is_escaped(spark):
@@ -15,3 +20,28 @@ def test_chat_end_alone_is_escaped(spark):
         assert r["escaped"] == (END in role + text)
         # the template's own control strings and no other
         assert re.findall("<\\|im_(?:start|end)\\|>", r["formatted"]) == [START, END]
+
+
+def test_language_of_copies_keeps_its_sample(spark):
+    """20,000 rows of five texts: shares by rows left all five out."""
+    texts = ["zorv quint abbel zorvig", "quintel zorv marn", "abbel marn quintig zorv", "marnel abbelig quint", "zorvel quint marnig abbel"]
+    copies = spark.range(20_000).select(F.lit("xx").alias("lang"), F.element_at(F.array(*map(F.lit, texts)), (F.col("id") % 5 + 1).cast("int")).alias("text"))
+    other = spark.range(40).select(F.lit("en").alias("lang"), F.concat(F.lit("the house of the king and "), F.col("id"), F.lit(" men with them")).alias("text"))
+    model = fit(copies.unionByName(other))
+    assert set(model.langs) == {"en", "xx"}
+    got = identify(spark.createDataFrame([(x,) for x in texts], "text string"), model).collect()
+    assert all(r["lang_pred"] == "xx" and not r["rejected"] for r in got)
+
+
+def test_language_frequencies_count_all_texts(spark):
+    """3,000 of 10,000 texts hold a trigram: a sample's count differs from the whole count."""
+    d = spark.range(10_000).select(F.lit("en").alias("lang"), F.concat(F.lit("the house "), F.when(F.col("id") < 3000, "qqq ").otherwise(""), F.col("id")).alias("text"))
+    at = int(language.counts(np.frombuffer(b"qqq", np.uint8), np.array([0, 3])).argmax())
+    assert abs(fit(d).idf[at] - (np.log(10_001 / 3001) + 1)) < 1e-5
+
+
+def test_language_sample_is_bounded_and_of_different_texts(spark):
+    one = spark.range(5000).select(F.lit("en").alias("lang"), F.lit("one text of all").alias("text"))
+    few = spark.range(1500).select(F.lit("en").alias("lang"), F.concat(F.lit("other text "), F.col("id")).alias("text"))
+    got = language._sample(one.unionByName(few)).agg(F.count("h"), F.count_distinct("text")).first()
+    assert tuple(got) == (language.SAMPLE, language.SAMPLE)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from trackline.llm import language
 from trackline.llm.chat import END, START, format_chats
+from trackline.llm.decontaminate import find_contamination
 from trackline.llm.language import fit, identify
 
 
@@ -45,3 +46,17 @@ def test_language_sample_is_bounded_and_of_different_texts(spark):
     few = spark.range(1500).select(F.lit("en").alias("lang"), F.concat(F.lit("other text "), F.col("id")).alias("text"))
     got = language._sample(one.unionByName(few)).agg(F.count("h"), F.count_distinct("text")).first()
     assert tuple(got) == (language.SAMPLE, language.SAMPLE)
+
+
+def test_decontamination_in_any_case_and_place(spark):
+    anna = "Anna has 5 apples. Anna buys 3 more. How many does Anna have"
+    mill = "Tell us how far Anna Lee walks in 12 km when she rests for 3 hours near the old mill by the river"
+    mary = anna.replace("Anna", "Mary").replace("5", "8")
+    text = {1: mill.lower(), 2: mill.upper(), 3: mill.title(), 4: anna.lower(), 5: "First this. " + mary + ", they ask.",
+            6: "How Many Apples\n" + mary, 7: "so Red blue dog it is", 8: "red blue cat", 9: mary.replace("buys", "sells").replace("How many", "What"),
+            10: anna.replace("Anna buys", "Mary buys")}
+    bench = spark.createDataFrame([(20, mill), (21, anna), (22, "Red blue dog"), (None, "dog it"), (24, "is")], "item_id long, text string")
+    d = spark.createDataFrame(list(text.items()), "doc_id long, text string")
+    got = {r["doc_id"]: (r["item_ids"], r["kind"]) for r in find_contamination(d, bench).collect()}
+    assert got == {1: ([20], "verbatim"), 2: ([20], "verbatim"), 3: ([20], "verbatim"), 4: ([21], "verbatim"), 5: ([21], "reparameterised"),
+                   6: ([21], "reparameterised"), 7: ([None, 22], "verbatim"), 8: ([], None), 9: ([], None), 10: ([], None)}

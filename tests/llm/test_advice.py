@@ -1,6 +1,7 @@
 """Cases of the review's findings, each on its own."""
 
 import re
+import textwrap
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from trackline.llm import language
 from trackline.llm.chat import END, START, format_chats
 from trackline.llm.decontaminate import find_contamination
 from trackline.llm.language import fit, identify
+from trackline.llm.licenses import TEMPLATES, scan_licenses
 
 
 def test_chat_end_alone_is_escaped(spark):
@@ -60,3 +62,25 @@ def test_decontamination_in_any_case_and_place(spark):
     got = {r["doc_id"]: (r["item_ids"], r["kind"]) for r in find_contamination(d, bench).collect()}
     assert got == {1: ([20], "verbatim"), 2: ([20], "verbatim"), 3: ([20], "verbatim"), 4: ([21], "verbatim"), 5: ([21], "reparameterised"),
                    6: ([21], "reparameterised"), 7: ([None, 22], "verbatim"), 8: ([], None), 9: ([], None), 10: ([], None)}
+
+
+def test_wrapped_licenses(spark):
+    long = [(f, t) for f, group in TEMPLATES.items() for t in group if len(t) > 60]
+    rows, want = [], {}
+    for mark in ("", " * ", "# ", "// ", "dnl "):
+        for width in (40, 60, 72):
+            for f, t in long:
+                lines = textwrap.wrap("Copyright 2020 the authors. " + t, width)
+                want[len(rows)] = [f]
+                rows.append((len(rows), "\n".join(["int first;", "", *(mark + x for x in lines), mark.rstrip(), "other words of a text"])))
+    gpl = ["This program is free software: you can redistribute it and/or modify", "it under the terms of the GNU General Public License as published by",
+           "the Free Software Foundation, either version 3 of the License, or", "(at your option) any later version."]
+    bsd = ["Redistribution and use in source and binary forms, with or without", "modification, are permitted provided that the following conditions are met:"]
+    mpl = ["This Source Code Form is subject to the terms of the Mozilla Public", "License, v. 2.0. If a copy of the MPL was not distributed with this file"]
+    for text, f in (("\n".join(gpl), ["GPL-3.0"]), ("\n".join(bsd), ["BSD"]), ("\n".join(mpl), ["MPL-2.0"]), ("\n".join(bsd + ["filler"] * 12 + mpl), ["BSD", "MPL-2.0"]),
+                    (bsd[0] + "\n\n" + bsd[1], []), ("Licensed under the MIT License.\nmore", ["MIT"])):
+        want[len(rows)] = f
+        rows.append((len(rows), text))
+    got = {r["doc_id"]: r for r in scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    bad = [(i, rows[i][1], got[i]["licenses"], f) for i, f in want.items() if got[i]["licenses"] != f or got[i]["n_license_paragraphs"] != len(f)]
+    assert not bad

@@ -6,15 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackline.llm.chat import digests, format_chats
-from trackline.llm.common import checked_broadcast, fold
+from trackline.llm.common import checked_broadcast, cut, fold
 from trackline.llm.decontaminate import find_contamination
 from trackline.llm.embedding_dup import near_duplicate_vectors
 from trackline.llm.language import fit, identify
 from trackline.llm.licenses import scan_licenses
 from trackline.llm.mixing import mix_sources
 from trackline.llm.near_dup import near_duplicates
+from trackline.llm.quality import fit as fit_quality
+from trackline.llm.quality import measured, score_quality
+from trackline.llm.spelling import spelling_forms, vocabulary
 from trackline.llm.suffix_dedup import suffix_dedup
 from trackline.llm.toxicity import score_toxicity
+from trackline.llm.turn_repair import damaged, repair_report
 from trackline.llm.url_filter import filter_urls, url_host, validity
 
 
@@ -98,9 +102,28 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", F.col("fetched").cast("string").alias("fetched"), "pattern", "blocked")
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = cut(measured(table(spark, sf_dir, "documents").select("doc_id", "text")), "figures")
+    labels = table(spark, sf_dir, "labels").where("quality in (0, 1)").where(fold("doc_id", 5) != 0)
+    labels = labels.select("doc_id", F.col("quality").alias("label")).distinct()
+    model = fit_quality(rows.join(checked_broadcast(labels, labels.count()), "doc_id"))
+    return score_quality(rows, model, threshold=0.3).select(
+        "doc_id", F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = vocabulary(table(spark, sf_dir, "documents"), planted=199, min_letters=6, min_count=5)
+    return spelling_forms(words, ratio=5).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair_report(damaged(rows), rows.select("conv_id"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_suffix_dedup, op2_decontaminate, op3_chat_format, op4_toxicity, op5_mix_sources, op6_minhash_near_dup, op7_license_scan,
-    op8_embedding_near_dup, op9_language_id, op10_url_filter)}
+    op8_embedding_near_dup, op9_language_id, op10_url_filter, op11_quality, op12_spelling, op13_turn_repair)}
 
 _OP10 = """
 WITH p AS (
@@ -147,4 +170,102 @@ SELECT conv_id, CAST(n_turns AS BIGINT) AS n_turns, sha256(said) AS turns_sha256
 FROM c
 """
 
-ORACLES: dict[str, str] = {"op3_chat_format": _OP3, "op10_url_filter": _OP10}
+
+
+def _crc_table() -> list[int]:
+    """CRC-32 of every byte, by its rule."""
+    out = []
+    for c in range(256):
+        for _ in range(8):
+            c = c >> 1 ^ (0xEDB88320 if c & 1 else 0)
+        out.append(c)
+    return out
+
+
+def _crc32(text: str) -> str:
+    """DuckDB expression: crc32 of a text's UTF-8 bytes (table ``crc`` in scope)."""
+    code = f"[CAST('0x' || substr(hex(encode({text})), 2 * i + 1, 2) AS BIGINT) FOR i IN range(octet_length(encode({text})))]"
+    return (f"xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {code}), "
+            "lambda a, x: xor(a >> 8, crc.t[(xor(a, x) & 255) + 1])))")
+
+
+_OP12 = f"""
+WITH RECURSIVE crc AS (SELECT CAST({_crc_table()} AS BIGINT[]) AS t),
+runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' AS head,
+         unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\\x{{00C0}}-\\x{{00FF}}]+')) AS run
+  FROM documents),
+per AS (SELECT head, run, count(*) AS n FROM runs WHERE length(run) >= 6 GROUP BY head, run),
+hashed AS (SELECT run, n, {_crc32("head || run")} AS h FROM per, crc),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) AS INTEGER) + 2)
+                    ELSE run END AS word, n FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+cuts AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM words, unnest(range(1, length(word) + 1)) AS u(i)),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM cuts a JOIN cuts b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT c.word, w.word, w.n FROM cuts c JOIN words w ON w.word = c.rest
+  UNION SELECT w.word, c.word, c.n FROM cuts c JOIN words w ON w.word = c.rest),
+best AS (
+  SELECT word, other, other_n, count(*) OVER (PARTITION BY word) AS n_near,
+         row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) AS place FROM near),
+forms AS (
+  SELECT words.word, words.n, coalesce(best.n_near, 0) AS n_near, CASE WHEN other_n >= 5 * words.n THEN other END AS form,
+         CASE WHEN other_n >= 5 * words.n THEN other_n END AS form_n
+  FROM words LEFT JOIN best ON words.word = best.word AND place = 1),
+chain AS (
+  SELECT word, word AS held, 0 AS steps FROM forms
+  UNION ALL SELECT chain.word, forms.form, steps + 1 FROM chain JOIN forms ON forms.word = chain.held WHERE forms.form IS NOT NULL),
+roots AS (SELECT word, arg_max(held, steps) AS root FROM chain GROUP BY word)
+SELECT forms.word, form, root, n, n_near, form_n FROM forms JOIN roots ON forms.word = roots.word
+"""
+
+_LF = "chr(10)"
+_SHOWN = f"rtrim(text, ' ' || chr(9) || {_LF} || chr(11) || chr(12) || chr(13))"
+# (cost, audit, repaired text) as a struct; the least one is the least cost, then the least audit
+_OP13 = f"""
+WITH RECURSIVE crc AS (SELECT CAST({_crc_table()} AS BIGINT[]) AS t),
+given AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                 coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS id FROM conversations),
+coded AS (SELECT given.*, {_crc32("id")} % 20 AS code FROM given, crc),
+hurt AS (
+  SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN code = 1 THEN '' WHEN code = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE WHEN code = 3 THEN 2 ELSE 1 END)) AS nth
+  FROM coded WHERE code <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), nth) AS i FROM hurt),
+judged AS (
+  SELECT conv_id, turn, role, text, i, substr(role, 1, 1) AS c, substr(lag(role) OVER (PARTITION BY conv_id ORDER BY i), 1, 1) AS prev,
+         CASE WHEN {_SHOWN} = '' THEN 2 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 3
+              WHEN right({_SHOWN}, 1) IN ('.', '!', '?') THEN 0 ELSE 1 END AS fault FROM placed),
+figures AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 2) AS blank,
+         count(*) FILTER (fault = 3) AS duplicate, count(*) FILTER (fault = 1) AS truncated,
+         count(*) FILTER (i > 1 AND prev || c NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n FROM judged GROUP BY conv_id),
+steps AS (
+  SELECT conv_id, n + 1 AS i, {{'c': 0, 'a': '', 'r': ''}} AS s0, {{'c': 10, 'a': 'II', 'r': {_LF} || 'user:' || {_LF} || 'assistant:'}} AS s1,
+         {{'c': 5, 'a': 'I', 'r': {_LF} || 'assistant:'}} AS s2, {{'c': 0, 'a': '', 'r': ''}} AS s3 FROM figures
+  UNION ALL
+  SELECT conv_id, i, list_min([b0, ins_u2]), list_min([b1, ins_u2]), n2, list_min([b3, ins_u2])
+  FROM (SELECT *, {{'c': 5 + n2.c, 'a': 'I' || n2.a, 'r': {_LF} || 'user:' || n2.r}} AS ins_u2
+        FROM (SELECT *, list_min([b2, {{'c': 5 + b3.c, 'a': 'I' || b3.a, 'r': {_LF} || 'assistant:' || b3.r}}]) AS n2
+              FROM (SELECT conv_id, i,
+                           list_min([d0, u] || CASE WHEN fault < 2 AND c = 's' THEN [{{'c': 5 * fault + s1.c, 'a': 'K' || s1.a, 'r': line || s1.r}}] ELSE [d0] END) AS b0,
+                           list_min([d1, u]) AS b1, list_min([d2, a]) AS b2, list_min([d3, u]) AS b3
+                    FROM (SELECT s.*, j.fault, j.c, j.line, {{'c': 2 + s0.c, 'a': 'D' || s0.a, 'r': s0.r}} AS d0, {{'c': 2 + s1.c, 'a': 'D' || s1.a, 'r': s1.r}} AS d1,
+                                 {{'c': 2 + s2.c, 'a': 'D' || s2.a, 'r': s2.r}} AS d2, {{'c': 2 + s3.c, 'a': 'D' || s3.a, 'r': s3.r}} AS d3,
+                                 CASE WHEN fault > 1 THEN {{'c': 1000000000, 'a': '', 'r': ''}} WHEN j.c = 'u' THEN {{'c': 5 * fault + s2.c, 'a': 'K' || s2.a, 'r': line || s2.r}}
+                                      ELSE {{'c': 5 * fault + 1 + s2.c, 'a': 'R' || s2.a, 'r': {_LF} || 'user:' || text || s2.r}} END AS u,
+                                 CASE WHEN fault > 1 THEN {{'c': 1000000000, 'a': '', 'r': ''}} WHEN j.c = 'a' THEN {{'c': 5 * fault + s3.c, 'a': 'K' || s3.a, 'r': line || s3.r}}
+                                      ELSE {{'c': 5 * fault + 1 + s3.c, 'a': 'R' || s3.a, 'r': {_LF} || 'assistant:' || text || s3.r}} END AS a
+                          FROM (SELECT conv_id, i - 1 AS i, s0, s1, s2, s3 FROM steps WHERE i > 1) s
+                          JOIN (SELECT *, {_LF} || role || ':' || text AS line FROM judged) j ON j.conv_id IS NOT DISTINCT FROM s.conv_id AND j.i = s.i) x) y) z) w),
+best AS (SELECT conv_id, s0 FROM steps WHERE i = 1),
+ids AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT ids.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, CAST(coalesce(s0.c, 0) AS BIGINT) AS cost, coalesce(s0.a, '') AS audit, sha256(coalesce(substr(s0.r, 2), '')) AS repaired_sha256
+FROM ids LEFT JOIN figures ON figures.conv_id IS NOT DISTINCT FROM ids.conv_id LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM ids.conv_id
+"""
+
+ORACLES: dict[str, str] = {"op3_chat_format": _OP3, "op10_url_filter": _OP10, "op12_spelling": _OP12, "op13_turn_repair": _OP13}

@@ -30,7 +30,7 @@ def docs(spark, rows=ODD):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for t in ("conversations", "pages"):
+    for t in ("conversations", "documents", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{MID}/{t}.parquet'")
     got = QUERIES[name](spark, MID)
     rel = con.sql(ORACLES[name])

@@ -29,12 +29,12 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return b, o
 
 
-def chunks(offsets: np.ndarray, limit: int = CHUNK) -> Iterator[tuple[int, int]]:
-    """Row ranges [i, j) of at most ``limit`` bytes, or of one longer row."""
+def chunks(offsets: np.ndarray, limit: int = CHUNK, rows: int = 1 << 31) -> Iterator[tuple[int, int]]:
+    """Row ranges [i, j) of at most ``limit`` bytes, or of one longer row, and at most ``rows`` rows."""
     n, i = len(offsets) - 1, 0
     while i < n:
         j = int(np.searchsorted(offsets, offsets[i] + limit, "right")) - 1
-        j = min(n, max(j, i + 1))
+        j = min(n, max(j, i + 1), i + rows)
         yield i, j
         i = j
 

@@ -24,8 +24,9 @@ About one position in 43 is an anchor.
    means a shared core (16-bit fingerprints: a false match only costs work).
    It also remains open when its prefix is dealt over several buckets.
 3. Open spans are compared across spans and bucket boundaries window by
-   window: 128-bit fingerprints, reduced to the earliest in each batch
-   before the shuffle, then reduced again by fingerprint.
+   window: fingerprints of the window and of its piece's core (64 bits each),
+   reduced to the earliest in each batch before the shuffle, dealt by the
+   core's, which neighbours share, and reduced again there to merged runs.
 
 Every window is decided by step 2 or 3, so the result is exact up to
 fingerprint collisions; no window is sampled away (splitters only steer the
@@ -65,6 +66,20 @@ _LAST_ID = 2 ** 63 - 1
 _TAG = 24
 
 
+def _elect(b: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """8-byte tokens of every position, and the anchor of the window at every start."""
+    n, width = len(b), length - GRAM + 1
+    w = b.astype(np.uint64)
+    t = (w[:-1] << _U(8)) | w[1:]
+    t = (t[:-2] << _U(16)) | t[2:]
+    t = (t[:-4] << _U(32)) | t[4:]
+    g = A.mix(t[:-8] * A.K1 + (t[8:] ^ A.K2) * A.K3)
+    bits = _U(max(20, n.bit_length()))
+    low = (_U(1) << bits) - _U(1)
+    g = (g & ~low) | np.arange(len(g), dtype=np.uint64)
+    return t, (A.sliding_min(g, width) & low).astype(np.int64)
+
+
 def _spans(b: np.ndarray, offs: np.ndarray, length: int):
     """Per anchor of one chunk: first window start, number of further starts,
     tokens, span fingerprint and packed core fingerprints (0: no window of
@@ -76,15 +91,7 @@ def _spans(b: np.ndarray, offs: np.ndarray, length: int):
     full = lens >= length
     if not full.any():
         return None
-    w = b.astype(np.uint64)
-    t = (w[:-1] << _U(8)) | w[1:]
-    t = (t[:-2] << _U(16)) | t[2:]
-    t = (t[:-4] << _U(32)) | t[4:]
-    g = A.mix(t[:-8] * A.K1 + (t[8:] ^ A.K2) * A.K3)
-    bits = _U(max(20, n.bit_length()))
-    low = (_U(1) << bits) - _U(1)
-    g = (g & ~low) | np.arange(len(g), dtype=np.uint64)
-    elected = (A.sliding_min(g, width) & low).astype(np.int64)
+    t, elected = _elect(b, length)
     step = np.zeros(len(elected) + 1, np.int32)
     np.add.at(step, offs[:-1][full], 1)
     np.add.at(step, offs[1:][full] - length + 1, -1)
@@ -199,7 +206,14 @@ _INTERVAL = "doc long, tag long, lo long, hi long, open boolean"
 def _windows(length: int):
     """Arrow map: documents with their open spans (packed lo << 32 | hi) to
     windows, one row per fingerprint and batch (the earliest); the later ones
-    of the batch come out as decided runs (f1 = null)."""
+    of the batch come out as decided runs (f1 = null).
+
+    f1 is the core fingerprint of the window's piece, f2 that of the window:
+    equal windows have both equal, and neighbours share f1, by which they are
+    dealt, so that a repeat comes out as runs and not window by window."""
+    width = length - GRAM + 1
+    piece = -(-width // PIECES)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, tags = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
@@ -217,8 +231,12 @@ def _windows(length: int):
                 n = hi - lo - length + 1
                 start = A.ranges(lo + offsets[row] - base, n)
                 doc_row = np.repeat(row, n)
-                p1, p2 = _W1.prefix(b), _W2.prefix(b)
-                out.append((_W1.ranges(p1, start, start + length), _W2.ranges(p2, start, start + length),
+                if not len(start):
+                    continue
+                anchor = _elect(b, length)[1][start]
+                near = (anchor - start) // piece * piece
+                far = np.minimum(near + piece, width) - 1
+                out.append((_W1.ranges(_W1.prefix(b), anchor - near, anchor - far + length), _W2.ranges(_W2.prefix(b), start, start + length),
                             ids[doc_row], ((start - offsets[doc_row] + base) << 31) | (tags[doc_row] << 7)))
             if not out:
                 continue

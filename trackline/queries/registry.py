@@ -992,3 +992,7 @@ def q_dq_tire_planted(spark, sf_dir):
 @query("dq_summary", _summary_sql())
 def q_dq_summary(spark, sf_dir):
     return quality.run_checks(_m(spark, sf_dir))
+
+
+# the analyses on the track register themselves
+from trackline.queries import track  # noqa: E402,F401

@@ -14,6 +14,7 @@ oracle (``trackline.queries.oracle_ctes``), which states them in SQL:
 * car samples: ``view``/``click``/``purchase``; weather: ``error``;
   race control: ``purchase`` except on the first day of a session;
   location: ``click``; stints every 5th lap; pits on laps % 5 = 0.
+* positions: ``view`` with event_id % 3 = 0, place 1 + (event_id div 64 + user) % 20.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
 
 RACE_TABLES = ("laps_raw", "telemetry_raw", "weather_raw", "race_control_raw",
                "location_raw", "stints_raw", "pits_raw", "driver_raw",
-               "sessions_metadata", "meetings_metadata", "session_results_raw")
+               "sessions_metadata", "meetings_metadata", "session_results_raw", "position_raw")
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -164,6 +165,12 @@ class RaceTables:
             (F.lit(2.0) + (F.col("driver_number") % 30) / 10.0).alias("stop_duration"),
         )
 
+    @cached_property
+    def position_raw(self) -> DataFrame:
+        e = self.ev.where((F.col("event_type") == "view") & (F.col("event_id") % 3 == 0))
+        return e.select("session_key", F.col("user_id").alias("driver_number"), F.col("ts").alias("date"),
+                        (F.lit(1) + (F.floor(F.col("event_id") / 64.0) + F.col("user_id")) % 20).cast("bigint").alias("position"))
+
     @cached_property
     def _driver_sessions(self) -> DataFrame:
         return (self.ev.groupBy("session_key", F.col("user_id").alias("driver_number"))

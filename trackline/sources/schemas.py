@@ -35,6 +35,7 @@ BRONZE_SCHEMAS: dict[str, StructType] = {
                     ("segments_sector_2", DL), ("segments_sector_3", DL), ("st_speed", L),
                     ("is_pit_out_lap", B), ("session_key", L), ("driver_number", L)),
     "location_raw": _st(("date", T), ("x", D), ("y", D), ("z", D), ("session_key", L), ("driver_number", L)),
+    "position_raw": _st(("date", T), ("position", L), ("session_key", L), ("driver_number", L)),
     "stints_raw": _st(("stint_number", L), ("compound", S), ("tyre_age_at_start", L), ("lap_start", L),
                       ("lap_end", L), ("session_key", L), ("driver_number", L)),
     "pits_raw": _st(("date", T), ("lap_number", L), ("lane_duration", D), ("stop_duration", D),
@@ -61,7 +62,7 @@ BRONZE_SCHEMAS: dict[str, StructType] = {
 # Hive partition columns of each landed table (directory names).
 PARTITIONS: dict[str, tuple[str, ...]] = {
     "telemetry_raw": ("session_key", "driver_number"), "laps_raw": ("session_key", "driver_number"),
-    "location_raw": ("session_key", "driver_number"), "stints_raw": ("session_key", "driver_number"),
+    "location_raw": ("session_key", "driver_number"), "position_raw": ("session_key", "driver_number"), "stints_raw": ("session_key", "driver_number"),
     "pits_raw": ("session_key", "driver_number"), "weather_raw": ("session_key",),
     "race_control_raw": ("session_key",), "driver_raw": ("session_key",), "session_results_raw": ("session_key",),
     "sessions_metadata": ("year",), "meetings_metadata": ("year",),
@@ -93,6 +94,8 @@ FEED_SPECS: dict[str, dict[str, tuple[str, bool]]] = {
              "stop_duration": ("float", OPT)},
     "location": {"date": ("ts", REQ), "driver_number": ("int", REQ), "session_key": ("int", REQ),
                  "x": ("float", REQ), "y": ("float", REQ), "z": ("float", REQ)},
+    "position": {"date": ("ts", REQ), "driver_number": ("int", REQ), "session_key": ("int", REQ),
+                 "meeting_key": ("int", REQ), "position": ("int", REQ)},
     "meetings": {"circuit_key": ("int", REQ), "circuit_short_name": ("str", REQ), "circuit_type": ("str", REQ),
                  "country_name": ("str", REQ), "meeting_key": ("int", REQ), "meeting_name": ("str", REQ),
                  "location": ("str", REQ), "date_start": ("ts", REQ), "date_end": ("ts", OPT),
@@ -121,7 +124,7 @@ FEED_SPECS: dict[str, dict[str, tuple[str, bool]]] = {
 # landed file name per feed and the bronze table it feeds
 FEED_FILES = {"car_data": ("car_data.json", "telemetry_raw"), "laps": ("laps.json", "laps_raw"),
               "stints": ("stints.json", "stints_raw"), "pits": ("pits.json", "pits_raw"),
-              "location": ("locations.json", "location_raw"), "drivers": ("drivers.json", "driver_raw"),
+              "location": ("locations.json", "location_raw"), "position": ("position.json", "position_raw"), "drivers": ("drivers.json", "driver_raw"),
               "weather": ("weather.json", "weather_raw"), "race_control": ("race_control.json", "race_control_raw"),
               "session_result": ("session_result.json", "session_results_raw"),
               "meetings": ("meetings.json", "meetings_metadata"), "sessions": ("sessions.json", "sessions_metadata")}

@@ -37,10 +37,73 @@ def test_invalid_record_rejects_batch(spark):
 
 
 def test_int_coercion(spark):
-    recs = [dict(CAR, speed=v) for v in (301.0, "302", 301.5, "fast", True)]
+    # a boolean is a whole number to the validation classes
+    recs = [dict(CAR, speed=v) for v in (301.0, "302", True, 301.5, "fast", "12d", 1e30, [1])]
     v = validate(lines(spark, recs), FEED_SPECS["car_data"]).collect()
-    assert [r["speed"] for r in v[:2]] == [301, 302]
-    assert all(r["_errors"] == ["speed: invalid int"] for r in v[2:])
+    assert [r["speed"] for r in v[:3]] == [301, 302, 1]
+    assert all(r["_errors"] == ["speed: invalid int"] for r in v[3:])
+
+
+VALUES = [True, False, 0, 1, 2, -3, 1.0, 1.5, 0.0, 1e300, 9007199254740993, "12", " 12 ", "+5", "-7", "1_000", "12.0", "12.5", "12d", "1e3", "0x10", "", "x",
+          "inf", "nan", "-Infinity", ".5", "5.", "1e-3", " 2.5 ", "true", "TRUE", "Yes", "on", "T", "y", "1", "0", "off", "N", " true", "1.0", [1], {"a": 1}, "1__0",
+          "2025-03-16T04:00:00Z", "2025-03-16 04:00:00", "2025-03-16T04:00", "2025-03-16", "10:00", "2025-03-16T04:00:00+02:00",
+          "2025-03-16T04:00:00.123456789Z", "2025-03-16T04:00:00.5", "2025-03-16t04:00:00z", "2025-03-16T04:00:00+0200", "2025-03-16T04",
+          "2025-03-16T24:00:00", "2025-03-16T04:00:60", "20250316T040000", "2025-3-16", "1742097600", "1742097600.5", "1742097600000", 1742097600,
+          1742097600.25, 1742097600000, -5, 20000000000, 20000000001, "2025-02-30", "2025-03-16T04:00:00-02", " 2025-03-16T04:00:00", "2025-03-16T04:00:00,5"]
+
+
+@pytest.mark.parametrize("kind", ["int", "float", "bool", "str", "ts"])
+def test_coercion_against_the_validation_package(spark, kind):
+    pydantic = pytest.importorskip("pydantic")
+    from datetime import UTC, datetime
+    adapter = pydantic.TypeAdapter({"int": int, "float": float, "bool": bool, "str": str, "ts": datetime}[kind])
+    want = []
+    for value in VALUES:
+        try:
+            got = adapter.validate_python(value)
+            if isinstance(got, datetime):
+                got = (got.astimezone(UTC) if got.tzinfo else got).replace(tzinfo=None)
+            want.append(str(got))
+        except pydantic.ValidationError:
+            want.append(None)
+    v = validate(lines(spark, [{"f": x} for x in VALUES]), {"f": (kind, True)}).collect()
+    assert [None if r["_errors"] else str(r["f"]) for r in v] == want
+    assert all(r["_errors"] in ([], [f"f: invalid {kind}"]) for r in v)
+
+
+def test_nulls_absent_fields_and_broken_lines(spark):
+    spec = {"a": ("int", True), "b": ("float", False), "c": ("float_list", False)}
+    text = ['{"a":null}', '{"b":1}', '{"a":1,"b":null,"c":null}', '{"a":1,"c":[1,null,"2.5",true]}', '{"a":1,"c":[1,"x"]}', '{"a":1,"c":5}',
+            '{"a":1', '{"a":1} {"a":2}', '[1]', '5', "", None, '{"a":1}] x', '{"a":1,"a":2}']
+    v = validate(spark.createDataFrame([(t,) for t in text], "value string"), spec).collect()
+    broken = ["line: not a JSON object"]
+    assert [r["_errors"] for r in v] == [["a: invalid int"], ["a: field required"], [], [], ["c: invalid float_list"], ["c: invalid float_list"], *[broken] * 8]
+    assert [r["c"] for r in v[2:4]] == [[], [1.0, 2.5, 1.0]]
+
+
+def test_unknown_fields(spark):
+    text = spark.createDataFrame([('{"a":1,"z":2,"y y":3}',), ('{"a":1}',)], "value string")
+    spec = {"a": ("int", True)}
+    assert [r["_errors"] for r in validate(text, spec).collect()] == [[], []]
+    assert [r["_errors"] for r in validate(text, spec, strict=True).collect()] == [["y y: unexpected field", "z: unexpected field"], []]
+
+
+def test_strict_table_fails_the_read(spark, tmp_path):
+    rec = {"meeting_key": 1, "driver_number": 4, "points": 25, "dnf": False, "dns": False, "dsq": False, "gap_to_leader": "+1 LAP"}
+    folder = tmp_path / "session_results_raw" / "session_key=9"
+    folder.mkdir(parents=True)
+    (folder / "a.json").write_text(json.dumps(rec) + "\n")
+    source = bronze.NdjsonBronze(spark, str(tmp_path))
+    r = source["session_results_raw"].first()
+    assert (r["session_key"], r["driver_number"], r["points"], r["gap_to_leader"], r["position"], r["dnf"]) == (9, 4, 25.0, "+1 LAP", None, False)
+    (folder / "b.json").write_text(json.dumps(dict(rec, surprise=1)) + "\n")
+    with pytest.raises(Exception, match="unexpected fields surprise"):
+        source["session_results_raw"].collect()
+    with pytest.raises(Exception, match="unexpected fields surprise"):
+        source["session_results_raw"].count()
+    (folder / "b.json").write_text('{"points": 2')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        source["session_results_raw"].collect()
 
 
 def test_lap_segments_and_optional_start(spark):
@@ -172,7 +235,8 @@ def test_out_of_range_int_is_invalid(spark):
 def test_bronze_schema_contract():
     from trackline.sources.schemas import BRONZE_SCHEMAS, FEED_FILES, PARTITIONS
 
-    assert len(BRONZE_SCHEMAS) == 11 and set(PARTITIONS) == set(BRONZE_SCHEMAS)
+    # the eleven landed tables and the position feed
+    assert len(BRONZE_SCHEMAS) == 12 and set(PARTITIONS) == set(BRONZE_SCHEMAS)
     assert {t for _, t in FEED_FILES.values()} == set(BRONZE_SCHEMAS)
     laps = {f.name: f for f in BRONZE_SCHEMAS["laps_raw"].fields}
     results = {f.name: f for f in BRONZE_SCHEMAS["session_results_raw"].fields}

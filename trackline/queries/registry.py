@@ -105,6 +105,49 @@ def q_ingest_rejects(spark, sf_dir):
     return bad.select(F.explode("_errors").alias("error")).groupBy("error").agg(F.count(F.lit(1)).alias("n"))
 
 
+# a record of each kind of right and wrong value, by event_id % 16
+TYPED_SPEC = {"n": ("int", True), "f": ("float", False), "s": ("str", False), "b": ("bool", False), "t": ("ts", False)}
+
+
+def landed_typed_lines(spark, sf_dir) -> DataFrame:
+    """Landed lines of every event whose fields take turns at being texts,
+    numbers and booleans where others are due, unknown, absent or cut off."""
+    ev = _lh(spark, sf_dir).source.raw("events")
+    eid, seconds = F.col("event_id").cast("string"), F.unix_seconds(F.col("ts").cast("timestamp")).cast("string")
+    iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    field = lambda name, *parts: F.concat(F.lit(f'"{name}":'), *[F.lit(x) if isinstance(x, str) else x for x in parts])
+    turn = F.col("event_id") % 16
+    plain = field("n", eid)
+    n = (F.when(turn == 1, field("n", '" ', eid, ' "')).when(turn == 2, field("n", '"', eid, 'd"')).when(turn == 3, field("n", eid, ".5"))
+         .when(turn == 4, field("n", "9007199254740993")).when(turn == 14, field("m", eid)).otherwise(plain))
+    t = (F.when(turn == 5, field("t", '"10:00"')).when(turn == 6, field("t", seconds)).when(turn == 7, field("t", '"', seconds, '000"'))
+         .otherwise(field("t", '"', iso, 'Z"')))
+    text = F.when(turn == 8, field("s", "5")).when(turn == 9, field("s", "true")).otherwise(field("s", '"x', eid, '"'))
+    b = F.when(turn == 10, field("b", '"YES"')).when(turn == 11, field("b", "2")).otherwise(field("b", "false"))
+    f = F.when(turn == 12, field("f", '"1_0', '00.5"')).otherwise(field("f", (F.floor("value") / 2).cast("string")))
+    line = F.concat(F.lit("{"), F.concat_ws(",", n, t, text, b, f), F.when(turn == 13, F.lit(',"extra":[1]}')).when(turn == 15, F.lit(',"n"')).otherwise(F.lit("}")))
+    return ev.select(line.alias("value"))
+
+
+@query("ingest_typed_values", """
+SELECT CASE WHEN event_id % 16 = 4 THEN 9007199254740993 ELSE event_id END AS n, CASE WHEN event_id % 16 = 12 THEN 1000.5::DOUBLE ELSE floor(value) / 2 END AS f,
+       'x' || CAST(event_id AS VARCHAR) AS s, event_id % 16 = 10 AS b, CASE WHEN event_id % 16 IN (6, 7) THEN date_trunc('second', ts) ELSE ts END AS t
+FROM events WHERE event_id % 16 NOT IN (2, 3, 5, 8, 9, 11, 13, 14, 15)""")
+def q_ingest_typed_values(spark, sf_dir):
+    good, _ = split(validate(landed_typed_lines(spark, sf_dir), TYPED_SPEC, strict=True))
+    return good
+
+
+@query("ingest_typed_rejects", """
+SELECT unnest(CASE event_id % 16 WHEN 2 THEN ['n: invalid int'] WHEN 3 THEN ['n: invalid int'] WHEN 5 THEN ['t: invalid ts'] WHEN 8 THEN ['s: invalid str']
+              WHEN 9 THEN ['s: invalid str'] WHEN 11 THEN ['b: invalid bool'] WHEN 13 THEN ['extra: unexpected field']
+              WHEN 14 THEN ['n: field required', 'm: unexpected field'] WHEN 15 THEN ['line: not a JSON object'] ELSE [] END) AS error, count(*) AS n
+FROM events GROUP BY error""")
+def q_ingest_typed_rejects(spark, sf_dir):
+    _, bad = split(validate(landed_typed_lines(spark, sf_dir), TYPED_SPEC, strict=True))
+    return bad.select(F.explode("_errors").alias("error")).groupBy("error").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("array_null_strip", """
 SELECT l_orderkey, l_linenumber, CAST(len(s) AS BIGINT) AS n_segments,
        list_reduce(list_prepend(0.0::DOUBLE, s), lambda a, b: a + b) AS segments_total,

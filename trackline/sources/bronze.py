@@ -15,7 +15,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackline.sources.schemas import BRONZE_SCHEMAS, PARTITIONS
+from trackline.sources.schemas import BRONZE_SCHEMAS, PARTITIONS, STRICT_TABLES
 
 # landed timestamps keep microseconds (the writer's default stops at millis)
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
@@ -27,23 +27,38 @@ def table_path(root: str, table: str) -> str:
 
 def read_bronze(spark: SparkSession, root: str, table: str) -> DataFrame:
     """Schema-on-read scan of one landed table (S1, S2, S3).  JSON fields
-    outside the schema are ignored; see :func:`read_strict` for the table
-    that must reject them.  A malformed line fails the read: it would
-    otherwise pass as a row of NULLs."""
+    outside the schema are ignored, but in the tables of STRICT_TABLES fail the
+    read.  A malformed line fails the read: it would otherwise pass as a row
+    of NULLs."""
+    if table in STRICT_TABLES:
+        rows = _parsed(spark, root, table)
+        message = F.concat(F.lit(f"{table}: unexpected fields "), F.array_join("_extra", ", "))
+        known = F.when(F.size("_extra") == 0, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+        return _typed(rows.where(known), table)
     path = table_path(root, table)
     return (spark.read.schema(BRONZE_SCHEMAS[table]).option("basePath", path)
             .option("timestampNTZFormat", TS_FORMAT).option("mode", "FAILFAST").json(path))
 
 
-def read_strict(spark: SparkSession, root: str, table: str) -> tuple[DataFrame, DataFrame]:
-    """Strict scan: (rows, lines carrying fields outside the schema)."""
-    schema = BRONZE_SCHEMAS[table]
+def _parsed(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """Records as VARIANT, with the partition columns and the names outside
+    the schema (``_extra``): one pass over the files."""
     path = table_path(root, table)
-    df = spark.read.schema(schema).option("basePath", path).option("timestampNTZFormat", TS_FORMAT).json(path)
-    lines = spark.read.text(path)
-    known = F.array(*[F.lit(f.name) for f in schema.fields])
-    extra = lines.where(F.size(F.array_except(F.json_object_keys("value"), known)) > 0)
-    return df, extra
+    rows = spark.read.option("basePath", path).option("mode", "FAILFAST").option("singleVariantColumn", "_record").json(path)
+    known = F.array(*[F.lit(f.name) for f in BRONZE_SCHEMAS[table].fields])
+    return rows.withColumn("_extra", F.array_except(F.map_keys(F.variant_get("_record", "$", "map<string,variant>")), known))
+
+
+def _typed(rows: DataFrame, table: str) -> DataFrame:
+    parts = [c for c in PARTITIONS[table] if c in rows.columns]
+    return rows.select(*[(F.col(f.name).cast(f.dataType) if f.name in parts else F.variant_get("_record", f"$.{f.name}", f.dataType.simpleString())).alias(f.name)
+                         for f in BRONZE_SCHEMAS[table].fields])
+
+
+def read_strict(spark: SparkSession, root: str, table: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, records with fields outside the schema as JSON text)."""
+    rows = _parsed(spark, root, table)
+    return _typed(rows, table), rows.where(F.size("_extra") > 0).select(F.to_json("_record").alias("value"), "_extra")
 
 
 def write_bronze(df: DataFrame, root: str, table: str) -> bool:

@@ -1,24 +1,29 @@
 """Record validation of landed JSON lines (V1-V4).
 
-Each line is parsed once with ``json_tuple`` (a generator: one parse per
-line, every field returned as its JSON text, e.g. ``12.5`` -> ``"12.5"``;
-a ``from_json`` struct would be inlined into every field reference and
-re-parsed per use), then every field is coerced with built-in
-expressions:
-
-* int    - the text as a double with no fraction (``1.0`` and ``"3"`` pass,
-           ``1.5`` and ``"x"`` fail), as the reference's validator allows;
-* float  - any numeric text;
-* bool   - true/false (also 1/0, yes/no, on/off, any case);
-* ts     - ISO-8601 date-time (a trailing ``Z`` or offset is normalised to
-           UTC);
-* str    - taken as is;
-* text   - number or string kept as its text (``0`` -> ``"0"``);
-* float_list - JSON array of numbers; NULL entries removed, NULL -> ``[]``.
-
-Errors are collected into an array column; ``split`` separates good and
-bad rows; ``require_valid`` implements the all-or-nothing rule (one count
-of bad rows before anything is written).
+Each line is parsed once into a VARIANT, which keeps whether JSON held a
+number, a text, a boolean or a null, so every field is coerced by what it is
+and not by how its text looks.  The rules are those of the validation classes
+that land the feeds (lax mode):
+
+* int    - a whole number (``1.0`` too), a boolean, or the text of a whole
+           number (white space around it, ``1_000`` and ``12.0`` pass; ``12d``,
+           ``1e3`` and ``1.5`` fail); beyond 64 bits it is invalid;
+* float  - any number, a boolean, or the text of a number, inf or nan;
+* bool   - true/false, 1/0, or the texts true/false, 1/0, yes/no, on/off, t/f,
+           y/n in any case, without white space;
+* ts     - an ISO date-time or date with an optional offset (normalised to
+           UTC; fractions beyond microseconds are cut), or a number or its text:
+           seconds since 1970, milliseconds above 2e10.  A time alone is
+           invalid, so no result depends on the day it is computed;
+* str    - a text; numbers and booleans are not;
+* text   - anything, kept as its text (``0`` -> ``"0"``);
+* float_list - an array of floats; NULL entries removed, NULL -> ``[]``.
+
+A field that is absent is an error when required, a null one when its kind
+takes no null.  With ``strict`` the fields outside the spec are listed in the
+same pass, each an error.  Errors are collected into an array column; ``split``
+separates good and bad rows; ``require_valid`` implements the all-or-nothing
+rule (one count of bad rows before anything is written).
 """
 
 from __future__ import annotations
@@ -29,59 +34,128 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
+# texts of booleans (fixed values)
 _TRUE = ("true", "1", "yes", "on", "t", "y")
 _FALSE = ("false", "0", "no", "off", "f", "n")
 
+# numbers above this are milliseconds since 1970, the others seconds (fixed value)
+MILLISECONDS_ABOVE = 20_000_000_000
+# years 1 to 9999
+_FIRST_US, _LAST_US = -62_135_596_800_000_000, 253_402_300_799_999_999
 
-def _coerce(kind: str, raw: Column) -> tuple[Column, Column]:
-    """(typed value, ok flag) for a non-null raw text."""
+_DIGITS = "[0-9]+(?:_[0-9]+)*"
+_INT_TEXT = f"^\\s*([+-]?{_DIGITS})(?:\\.0+)?\\s*$"
+_FLOAT_TEXT = f"^\\s*([+-]?(?:(?:{_DIGITS}(?:\\.(?:{_DIGITS})?)?|\\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?|(?i:inf|infinity|nan)))\\s*$"
+_EPOCH_TEXT = "^([+-]?(?:[0-9]+(?:\\.[0-9]*)?|\\.[0-9]+))$"
+_TS_TEXT = "^([0-9]{4}-[0-9]{2}-[0-9]{2})(?:[Tt _]([0-9]{2}:[0-9]{2})(:[0-9]{2})?(?:[.,]([0-9]{1,6})[0-9]{0,3})?([Zz]|[+-][0-9]{2}:?[0-9]{2})?)?$"
+
+
+def _get(variant: Column | str, kind: str, path: str = "$") -> Column:
+    return F.try_variant_get(F.col(variant) if isinstance(variant, str) else variant, path, kind)
+
+
+def _matched(text: Column, pattern: str, group: int = 1) -> Column:
+    """The group of a match, NULL where the text does not match."""
+    return F.when(text.rlike(pattern), F.regexp_extract(text, pattern, group))
+
+
+def _number(text: Column, pattern: str, kind: str) -> Column:
+    return F.replace(_matched(text, pattern), F.lit("_"), F.lit("")).try_cast(kind)
+
+
+def _float(v: Column, kind: Column, text: Column) -> Column:
+    return (F.when(kind == "BOOLEAN", _get(v, "boolean").cast("double"))
+            .when(kind == "STRING", _number(text, _FLOAT_TEXT, "double"))
+            .when(_numeric(kind), _get(v, "double")))
+
+
+def _numeric(kind: Column) -> Column:
+    return kind.startswith("BIGINT") | kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT")
+
+
+def _epoch(x: Column) -> Column:
+    """A timestamp of a number of seconds or milliseconds (decimal)."""
+    us = F.when(F.abs(x) > MILLISECONDS_ABOVE, x * 1000).otherwise(x * 1_000_000)
+    us = F.floor(us + F.lit(0.5).cast("decimal(2,1)"))
+    return F.when((us >= _FIRST_US) & (us <= _LAST_US), F.timestamp_micros(us.cast("bigint")).cast("timestamp_ntz"))
+
+
+def _iso(text: Column) -> Column:
+    part = lambda i: F.regexp_extract(text, _TS_TEXT, i)
+    or_ = lambda c, other: F.when(c == "", F.lit(other)).otherwise(c)
+    zone = F.regexp_replace(F.upper(part(5)), "^([+-][0-9]{2})([0-9]{2})$", "$1:$2")
+    # a fraction belongs to seconds
+    ok = text.rlike(_TS_TEXT) & ((part(4) == "") | (part(3) != ""))
+    whole = F.concat(part(1), F.lit("T"), or_(part(2), "00:00"), or_(part(3), ":00"), F.lit("."), or_(part(4), "0"), or_(zone, "Z"))
+    return F.when(ok, F.try_to_timestamp(whole).cast("timestamp_ntz"))
+
+
+def _coerce(kind: str, v: Column, held: Column, text: Column) -> Column:
+    """The typed value of a field that is neither absent nor null; NULL where
+    it is invalid.  ``held`` is the JSON type, ``text`` the value as text."""
     if kind == "int":
-        d = raw.try_cast("double")
-        n = F.when(F.floor(d) == d, d.try_cast("bigint"))   # NULL when out of range
-        return n, n.isNotNull()
+        whole = F.when(held == "BIGINT", _get(v, "bigint")).when(held.rlike("^DECIMAL.*,0[)]$"), text.try_cast("bigint"))
+        d = _get(v, "double")
+        return (F.when(held == "BOOLEAN", _get(v, "boolean").cast("bigint"))
+                .when(held == "STRING", _number(text, _INT_TEXT, "bigint"))
+                .when(held == "DOUBLE", F.when(F.floor(d) == d, d.try_cast("bigint"))).otherwise(whole))
     if kind == "float":
-        d = raw.try_cast("double")
-        return d, d.isNotNull()
+        return _float(v, held, text)
     if kind == "bool":
-        low = F.lower(F.trim(raw))
-        ok = low.isin(*_TRUE) | low.isin(*_FALSE)
-        return F.when(ok, low.isin(*_TRUE)), ok
+        low, d = F.lower(text), _get(v, "double")
+        return (F.when(held == "BOOLEAN", _get(v, "boolean"))
+                .when((held == "STRING") & low.isin(*_TRUE, *_FALSE), low.isin(*_TRUE))
+                .when(_numeric(held) & d.isin(0.0, 1.0), d == 1.0))
     if kind == "ts":
-        # ISO text; 'Z' / '+00:00' mean UTC (the session time zone is UTC)
-        t = F.try_to_timestamp(raw).cast("timestamp_ntz")
-        return t, t.isNotNull()
-    if kind in ("str", "text"):
-        return raw, F.lit(True)
+        number = "decimal(38,6)"
+        # a number of more than 32 digits is no time, as are nan and inf
+        return (F.when(held == "STRING", F.when(text.rlike(_EPOCH_TEXT), _epoch(text.try_cast(number))).otherwise(_iso(text)))
+                .when(_numeric(held), _epoch(_get(v, number))))
+    if kind == "str":
+        return F.when(held == "STRING", text)
+    if kind == "text":
+        return (F.when(held == "BOOLEAN", F.initcap(text)).when(held.isin("DOUBLE", "FLOAT") | held.startswith("DECIMAL"), _get(v, "double").cast("string"))
+                .when((held == "STRING") | (held == "BIGINT"), text).when(held != "VOID", F.to_json(v)))
     if kind == "float_list":
-        arr = F.from_json(raw, ArrayType(DoubleType()))
-        return F.filter(arr, lambda x: x.isNotNull()), arr.isNotNull()
+        got = F.transform(F.filter(_get(v, "array<variant>"), lambda x: ~F.is_variant_null(x)),
+                          lambda x: _float(x, F.schema_of_variant(x), _get(x, "string")))
+        return F.when(held.startswith("ARRAY") & ~F.exists(got, lambda x: x.isNull()), got)
     raise ValueError(f"unknown kind {kind!r}")
 
 
 def validate(lines: DataFrame, spec: Mapping[str, tuple[str, bool]], text_col: str = "value",
-             keep: tuple[str, ...] = ()) -> DataFrame:
+             keep: tuple[str, ...] = (), strict: bool = False) -> DataFrame:
     """Typed columns of ``spec`` plus ``_errors`` (array<string>, empty when
     the record is valid) and the raw ``_line``.  ``keep`` carries extra
-    columns of ``lines``.  A line that is not a JSON object yields NULL for
-    every field, so its required fields are reported missing."""
+    columns of ``lines``.  A line that is not one JSON object (cut off, two in
+    a line, a key given twice) has that as its only error."""
     names = list(spec)
-    raw_cols = [f"_raw_{i}" for i in range(len(names))]
-    parsed = lines.select(*keep, F.col(text_col).alias("_line"),
-                          F.json_tuple(F.col(text_col), *names).alias(*raw_cols))
+    # the mark after the record shows that the parser saw the whole line
+    whole = F.try_parse_json(F.concat(F.lit("["), F.col(text_col), F.lit(',"end"]')))
+    # generators keep the parse and the checks from being inlined into every
+    # reference (a filter on the errors would be pushed down through them)
+    parsed = lines.select(*keep, F.col(text_col).alias("_line"), F.explode(F.array(whole)).alias("_v"))
+    record = (_get("_v", "string", "$[1]") == "end") & _get("_v", "variant", "$[2]").isNull() & F.schema_of_variant(_get("_v", "variant", "$[0]")).startswith("OBJECT")
+    fields = parsed.select(*keep, "_line", F.coalesce(record, F.lit(False)).alias("_is"), *[_get("_v", "variant", f"$[0].{n}").alias(f"_raw_{i}") for i, n in enumerate(names)],
+                           *([F.map_keys(_get("_v", "map<string,variant>", "$[0]")).alias("_keys")] if strict else []))
+    seen = fields.select("*", *[F.schema_of_variant(F.col(f"_raw_{i}")).alias(f"_held_{i}") for i in range(len(names))],
+                         *[_get(f"_raw_{i}", "string").alias(f"_text_{i}") for i in range(len(names))])
+    values = seen.select("*", *[_coerce(spec[n][0], F.col(f"_raw_{i}"), F.col(f"_held_{i}"), F.col(f"_text_{i}")).alias(f"_val_{i}") for i, n in enumerate(names)])
     typed, errs = [], []
-    for name, raw_name in zip(names, raw_cols):
+    for i, name in enumerate(names):
         kind, required = spec[name]
-        raw = F.col(raw_name)
-        value, ok = _coerce(kind, raw)
-        if kind == "float_list":
-            typed.append(F.coalesce(value, F.array().cast(ArrayType(DoubleType()))).alias(name))
-        else:
-            typed.append(value.alias(name))
-        missing = raw.isNull()
-        errs.append(F.when(missing, F.lit(f"{name}: field required") if required else F.lit(None))
-                    .when(~ok, F.lit(f"{name}: invalid {kind}")))
+        raw, held, value = F.col(f"_raw_{i}"), F.col(f"_held_{i}"), F.col(f"_val_{i}")
+        empty = (held == "VOID") if not required or kind == "float_list" else F.lit(False)
+        errs.append(F.when(raw.isNull(), F.lit(f"{name}: field required") if required else F.lit(None))
+                    .when(~empty & value.isNull(), F.lit(f"{name}: invalid {kind}")))
+        typed.append((F.coalesce(value, F.array().cast(ArrayType(DoubleType()))) if kind == "float_list" else value).alias(name))
     errors = F.filter(F.array(*errs), lambda e: e.isNotNull())
-    return parsed.select(*keep, *typed, errors.alias("_errors"), "_line")
+    if strict:
+        known = F.array(*[F.lit(n) for n in names])
+        errors = F.concat(errors, F.transform(F.array_sort(F.array_except(F.coalesce("_keys", F.array().cast("array<string>")), known)),
+                                              lambda k: F.concat(k, F.lit(": unexpected field"))))
+    errors = F.when(F.col("_is"), errors).otherwise(F.array(F.lit("line: not a JSON object")))
+    return values.select(*keep, F.inline(F.array(F.struct(*typed, errors.alias("_errors"), F.col("_line")))))
 
 
 def split(validated: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from trackline.sources.bronze import write_bronze
-from trackline.sources.schemas import FEED_FILES, FEED_SPECS, PARTITIONS
+from trackline.sources.schemas import FEED_FILES, FEED_SPECS, PARTITIONS, STRICT_TABLES
 from trackline.sources.validate import require_valid, validate
 
 
@@ -43,13 +43,14 @@ def land_feed(spark: SparkSession, landing_root: str, feed: str, bronze_root: st
               mode: str = "fail", available_now: bool = True) -> StreamingQuery:
     """Start the landing stream of one feed into its bronze table."""
     _, table = FEED_FILES[feed]
-    validated = validate(landed_lines(spark, landing_root, feed), FEED_SPECS[feed])
+    strict = table in STRICT_TABLES
+    validated = validate(landed_lines(spark, landing_root, feed), FEED_SPECS[feed], strict=strict)
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         good, _bad = require_valid(batch, mode)
         # an overwritten partition keeps the rows of its other landed files
         touched = good.select(*PARTITIONS[table]).distinct()
-        landed, _ = require_valid(validate(landed_lines(spark, landing_root, feed, stream=False), FEED_SPECS[feed]), mode)
+        landed, _ = require_valid(validate(landed_lines(spark, landing_root, feed, stream=False), FEED_SPECS[feed], strict=strict), mode)
         write_bronze(landed.join(touched, list(PARTITIONS[table]), "left_semi"), bronze_root, table)
 
     writer = (validated.writeStream.foreachBatch(write_batch)

@@ -47,6 +47,8 @@ _DIGITS = "[0-9]+(?:_[0-9]+)*"
 _INT_TEXT = f"^\\s*([+-]?{_DIGITS})(?:\\.0+)?\\s*$"
 _FLOAT_TEXT = f"^\\s*([+-]?(?:(?:{_DIGITS}(?:\\.(?:{_DIGITS})?)?|\\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?|(?i:inf|infinity|nan)))\\s*$"
 _EPOCH_TEXT = "^([+-]?(?:[0-9]+(?:\\.[0-9]*)?|\\.[0-9]+))$"
+# how the feeds write times; the longer rule below takes the other forms
+_USUAL_TS = "^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(?:\\.[0-9]{1,6})?(?:Z|[+-][0-9]{2}:[0-9]{2})?$"
 _TS_TEXT = "^([0-9]{4}-[0-9]{2}-[0-9]{2})(?:[Tt _]([0-9]{2}:[0-9]{2})(:[0-9]{2})?(?:[.,]([0-9]{1,6})[0-9]{0,3})?([Zz]|[+-][0-9]{2}:?[0-9]{2})?)?$"
 
 
@@ -64,9 +66,9 @@ def _number(text: Column, pattern: str, kind: str) -> Column:
 
 
 def _float(v: Column, kind: Column, text: Column) -> Column:
-    return (F.when(kind == "BOOLEAN", _get(v, "boolean").cast("double"))
-            .when(kind == "STRING", _number(text, _FLOAT_TEXT, "double"))
-            .when(_numeric(kind), _get(v, "double")))
+    return (F.when(_numeric(kind), _get(v, "double"))
+            .when(kind == "BOOLEAN", _get(v, "boolean").cast("double"))
+            .when(kind == "STRING", _number(text, _FLOAT_TEXT, "double")))
 
 
 def _numeric(kind: Column) -> Column:
@@ -94,11 +96,12 @@ def _coerce(kind: str, v: Column, held: Column, text: Column) -> Column:
     """The typed value of a field that is neither absent nor null; NULL where
     it is invalid.  ``held`` is the JSON type, ``text`` the value as text."""
     if kind == "int":
-        whole = F.when(held == "BIGINT", _get(v, "bigint")).when(held.rlike("^DECIMAL.*,0[)]$"), text.try_cast("bigint"))
         d = _get(v, "double")
-        return (F.when(held == "BOOLEAN", _get(v, "boolean").cast("bigint"))
+        return (F.when(held == "BIGINT", _get(v, "bigint"))
+                .when(held == "BOOLEAN", _get(v, "boolean").cast("bigint"))
                 .when(held == "STRING", _number(text, _INT_TEXT, "bigint"))
-                .when(held == "DOUBLE", F.when(F.floor(d) == d, d.try_cast("bigint"))).otherwise(whole))
+                .when(held == "DOUBLE", F.when(F.floor(d) == d, d.try_cast("bigint")))
+                .when(held.startswith("DECIMAL") & held.endswith(",0)"), text.try_cast("bigint")))
     if kind == "float":
         return _float(v, held, text)
     if kind == "bool":
@@ -109,7 +112,8 @@ def _coerce(kind: str, v: Column, held: Column, text: Column) -> Column:
     if kind == "ts":
         number = "decimal(38,6)"
         # a number of more than 32 digits is no time, as are nan and inf
-        return (F.when(held == "STRING", F.when(text.rlike(_EPOCH_TEXT), _epoch(text.try_cast(number))).otherwise(_iso(text)))
+        usual = F.when(text.rlike(_USUAL_TS), F.try_to_timestamp(text).cast("timestamp_ntz"))
+        return (F.when(held == "STRING", F.coalesce(usual, F.when(text.rlike(_EPOCH_TEXT), _epoch(text.try_cast(number))).otherwise(_iso(text))))
                 .when(_numeric(held), _epoch(_get(v, number))))
     if kind == "str":
         return F.when(held == "STRING", text)
@@ -138,21 +142,27 @@ def validate(lines: DataFrame, spec: Mapping[str, tuple[str, bool]], text_col: s
     record = (_get("_v", "string", "$[1]") == "end") & _get("_v", "variant", "$[2]").isNull() & F.schema_of_variant(_get("_v", "variant", "$[0]")).startswith("OBJECT")
     fields = parsed.select(*keep, "_line", F.coalesce(record, F.lit(False)).alias("_is"), *[_get("_v", "variant", f"$[0].{n}").alias(f"_raw_{i}") for i, n in enumerate(names)],
                            *([F.map_keys(_get("_v", "map<string,variant>", "$[0]")).alias("_keys")] if strict else []))
+    # numbers rarely come as texts: their text is taken only in that branch
+    worded = [spec[n][0] in ("str", "text", "ts", "bool") for n in names]
     seen = fields.select("*", *[F.schema_of_variant(F.col(f"_raw_{i}")).alias(f"_held_{i}") for i in range(len(names))],
-                         *[_get(f"_raw_{i}", "string").alias(f"_text_{i}") for i in range(len(names))])
-    values = seen.select("*", *[_coerce(spec[n][0], F.col(f"_raw_{i}"), F.col(f"_held_{i}"), F.col(f"_text_{i}")).alias(f"_val_{i}") for i, n in enumerate(names)])
-    typed, errs = [], []
+                         *[_get(f"_raw_{i}", "string").alias(f"_text_{i}") for i in range(len(names)) if worded[i]])
+    values = seen.select("*", *[_coerce(spec[n][0], F.col(f"_raw_{i}"), F.col(f"_held_{i}"), F.col(f"_text_{i}") if worded[i] else _get(f"_raw_{i}", "string"))
+                                .alias(f"_val_{i}") for i, n in enumerate(names)])
+    typed, errs, wrong = [], [], F.lit(False)
     for i, name in enumerate(names):
         kind, required = spec[name]
         raw, held, value = F.col(f"_raw_{i}"), F.col(f"_held_{i}"), F.col(f"_val_{i}")
         empty = (held == "VOID") if not required or kind == "float_list" else F.lit(False)
         errs.append(F.when(raw.isNull(), F.lit(f"{name}: field required") if required else F.lit(None))
                     .when(~empty & value.isNull(), F.lit(f"{name}: invalid {kind}")))
+        wrong = wrong | (value.isNull() & ~(F.coalesce(empty, F.lit(False)) if required else raw.isNull() | empty))
         typed.append((F.coalesce(value, F.array().cast(ArrayType(DoubleType()))) if kind == "float_list" else value).alias(name))
-    errors = F.filter(F.array(*errs), lambda e: e.isNotNull())
+    none = F.array().cast("array<string>")
+    # the list is made for the few rows that need one
+    errors = F.when(wrong, F.filter(F.array(*errs), lambda e: e.isNotNull())).otherwise(none)
     if strict:
         known = F.array(*[F.lit(n) for n in names])
-        errors = F.concat(errors, F.transform(F.array_sort(F.array_except(F.coalesce("_keys", F.array().cast("array<string>")), known)),
+        errors = F.concat(errors, F.transform(F.array_sort(F.array_except(F.coalesce("_keys", none), known)),
                                               lambda k: F.concat(k, F.lit(": unexpected field"))))
     errors = F.when(F.col("_is"), errors).otherwise(F.array(F.lit("line: not a JSON object")))
     return values.select(*keep, F.inline(F.array(F.struct(*typed, errors.alias("_errors"), F.col("_line")))))

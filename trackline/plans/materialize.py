@@ -2,11 +2,17 @@
 
 The reference builds its silver and gold models as tables, each model
 reading the tables of the models below it.  ``Lakehouse`` does the same
-on Spark: a layer is written once (sorted within partitions on its
-clustering keys, so parquet min/max statistics skip row groups for the
-serving filters) and read back, which also cuts the lineage - later models
-plan against a parquet scan instead of the whole recipe, and a lost
-executor recomputes from the last written table, not from the raw feeds.
+on Spark: a layer is written once and read back, which also cuts the
+lineage - later models plan against a parquet scan instead of the whole
+recipe, and a lost executor recomputes from the last written table, not
+from the raw feeds.
+
+Silver and gold tables have a folder a session (serving one race opens no
+other's files).  Gold tables are distributed by ranges of their clustering
+keys, so that a file holds a narrow range of drivers and parquet min/max
+statistics skip files; silver tables are rebalanced by session, which splits
+a session with very many rows over several files and needs no sampling job.
+Both sort the rows of a file on the clustering keys.
 
 Tables live under ``<spark.checkpoint.dir>/trackline/<application>/...``
 (a shared folder on a cluster; tests set one when the session has none).
@@ -47,11 +53,24 @@ def layer_path(root: str, layer: str, table: str) -> str:
     return os.path.join(root, layer, table)
 
 
-def write_table(df: DataFrame, path: str, cluster_by: list[str] | None = None) -> None:
-    """Overwrite ``path`` with ``df``; rows sorted within each partition on
-    the clustering keys (no extra shuffle)."""
-    out = df.sortWithinPartitions(*cluster_by) if cluster_by else df
-    out.write.mode("overwrite").parquet(path)
+SESSION = "session_key"
+
+
+def write_table(df: DataFrame, path: str, cluster_by: list[str] | None = None, ranged: bool = True, by_session: bool = False) -> None:
+    """Overwrite ``path`` with ``df``, distributed and sorted on the clustering
+    keys; with ``by_session`` in a folder a session."""
+    out = df
+    if cluster_by:
+        out = out.repartitionByRange(*cluster_by) if ranged else out.hint("rebalance", SESSION)
+        out = out.sortWithinPartitions(*([SESSION] if by_session else []), *[c for c in cluster_by if c != SESSION or not by_session])
+    w = out.write.mode("overwrite")
+    (w.partitionBy(SESSION) if by_session else w).parquet(path)
+
+
+def read_table(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """The table at ``path`` with the columns and types of ``like`` (a folder's
+    name does not say that sessions are long)."""
+    return spark.read.schema(like.schema).parquet(path).select(*like.columns)
 
 
 class Lakehouse:
@@ -76,8 +95,9 @@ class Lakehouse:
         with lock:
             if key not in self._tables:
                 path = layer_path(self.root, layer, name)
-                write_table(df, path, CLUSTER_BY.get(name))
-                self._tables[key] = self.spark.read.parquet(path)
+                by_session = layer != "bronze" and SESSION in df.columns
+                write_table(df, path, CLUSTER_BY.get(name), ranged=layer == "gold", by_session=by_session)
+                self._tables[key] = read_table(self.spark, path, df)
         return self._tables[key]
 
     def _persist_model(self, name: str, df: DataFrame) -> DataFrame:

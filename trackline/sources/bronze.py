@@ -93,6 +93,13 @@ class NdjsonBronze:
             raise KeyError(table)
         return read_bronze(self.spark, self.root, table)
 
+    def files(self, table: str) -> DataFrame:
+        """(partition columns, path, length, modificationTime) of a table's files;
+        their contents are not read."""
+        path = table_path(self.root, table)
+        listed = self.spark.read.format("binaryFile").option("basePath", path).option("pathGlobFilter", "*.json").option("recursiveFileLookup", "false").load(path)
+        return listed.select(*PARTITIONS[table], "path", "length", "modificationTime")
+
 
 def land_tables(tables, root: str, names) -> dict[str, bool]:
     """Write each named feed of ``tables`` as landed NDJSON under ``root``."""

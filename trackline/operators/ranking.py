@@ -4,10 +4,12 @@
   ``min_by`` aggregate: map-side partial aggregation, no sort of the group,
   and no QUALIFY (Spark has none).
 * :func:`group_rank` - ``RANK() OVER (PARTITION BY p ORDER BY x)`` computed
-  without putting a whole partition into one task: ``x`` is cut into value
-  ranges per group (approximate quantiles, a small aggregate), ranks are
-  taken inside each (group, range) and shifted by the number of rows in the
-  lower ranges.  Equal values share a range, so ties rank exactly as RANK.
+  without putting a whole partition into one task: rows are counted per
+  (group, value), a rank is one more than the rows of lower values, and the
+  ranks are joined back to the rows.  The counts of a group are summed over
+  ranges of its values (approximate quantiles of the different values) and
+  inside each range, so neither a large group nor a value that very many rows
+  share meets in one task.
 * :func:`with_group_min` - ``MIN(x) OVER (PARTITION BY p)`` as a partial
   aggregate joined back (small per-group table).
 """
@@ -33,47 +35,32 @@ def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
     return picked.select(*keys, *[F.col(f"_fb.{c}").alias(c) for c in cols])
 
 
-def group_rank(df: DataFrame, partition: Sequence[str], order: str, out: str,
-               ranges: int = 64, accuracy: int = 10000, strategy: str = "auto") -> DataFrame:
-    """Add ``out`` = RANK() over ``partition`` ordered by ``order`` ascending,
-    NULLs first (as RANK does in Spark and in the reference's engine).
+# ranges that a group's different values are summed in
+RANGES = 64
 
-    ``strategy``: ``ranged`` (split each group into value ranges), ``plain``
-    (one window partition per group) or ``auto``: plain when the largest
-    group holds at most ``trackline.window.maxRowsPerTask`` rows (one small
-    aggregate decides), ranged otherwise."""
-    from trackline.operators.asof import group_stats, max_rows_per_task, per_key_side
 
-    partition = list(partition)
-    n_groups = None
-    if strategy == "auto":
-        largest, n_groups = group_stats(df.select(*partition), partition)
-        strategy = "plain" if largest <= max_rows_per_task(df.sparkSession) else "ranged"
-        # ranges grow with the group, so that one holds about a million rows
-        ranges = max(ranges, -(-largest // 1_000_000))
-    if strategy == "plain":
-        w = Window.partitionBy(*partition).orderBy(F.col(order).asc_nulls_first())
-        return df.withColumn(out, F.rank().over(w).cast("bigint"))
-    if strategy != "ranged":
-        raise ValueError("strategy must be auto, plain or ranged")
-    pct = [(i + 1) / ranges for i in range(ranges - 1)]
-    cuts = df.groupBy(*partition).agg(
-        F.percentile_approx(order, pct, accuracy).alias("_gr_cuts"))
-    x = F.col(order)
+def value_ranks(df: DataFrame, partition: Sequence[str], order: str, out: str) -> DataFrame:
+    """(partition, order, out) once for each different value of a group: its
+    RANK() by ``order`` ascending, NULLs first.  NULL keys are a group."""
+    keys, x = list(partition), F.col(order)
+    counts = df.groupBy(*keys, order).agg(F.count(F.lit(1)).alias("_gr_n"))
+    cuts = counts.groupBy(*keys).agg(F.array_distinct(F.percentile_approx(order, [i / RANGES for i in range(1, RANGES)], 1000)).alias("_gr_cuts"))
     # range id: NULLs first (-1), then the number of cut points below x
-    rid = F.when(x.isNull(), F.lit(-1)).otherwise(
-        F.size(F.filter(F.coalesce(F.col("_gr_cuts"), F.array()), lambda c: c < x)))
-    tagged = join_keys(df, per_key_side(cuts, n_groups, ranges), partition, "left").withColumn("_gr_r", rid).drop("_gr_cuts")
-    counts = tagged.groupBy(*partition, "_gr_r").agg(F.count(F.lit(1)).alias("_gr_n"))
-    before = counts.select(
-        *partition, "_gr_r",
-        F.coalesce(F.sum("_gr_n").over(
-            Window.partitionBy(*partition).orderBy("_gr_r")
-            .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_gr_before"))
-    local = F.rank().over(Window.partitionBy(*partition, "_gr_r").orderBy(x.asc_nulls_first()))
-    return (join_keys(tagged, before, partition + ["_gr_r"], "left")
-            .withColumn(out, (F.col("_gr_before") + local).cast("bigint"))
-            .drop("_gr_r", "_gr_before"))
+    rid = F.when(x.isNull(), F.lit(-1)).otherwise(F.size(F.filter(F.coalesce("_gr_cuts", F.array()), lambda c: c < x)))
+    placed = join_keys(counts, cuts, keys, "left").select(*keys, order, "_gr_n", rid.alias("_gr_r"))
+    ranges = placed.groupBy(*keys, "_gr_r").agg(F.sum("_gr_n").alias("_gr_s"))
+    lower = Window.partitionBy(*keys).orderBy("_gr_r").rowsBetween(Window.unboundedPreceding, -1)
+    before = ranges.select(*keys, "_gr_r", F.coalesce(F.sum("_gr_s").over(lower), F.lit(0)).alias("_gr_before"))
+    inside = Window.partitionBy(*keys, "_gr_r").orderBy(x.asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    local = placed.withColumn("_gr_local", F.coalesce(F.sum("_gr_n").over(inside), F.lit(0)))
+    return join_keys(local, before, [*keys, "_gr_r"]).select(*keys, order, (F.col("_gr_before") + F.col("_gr_local") + 1).cast("bigint").alias(out))
+
+
+def group_rank(df: DataFrame, partition: Sequence[str], order: str, out: str) -> DataFrame:
+    """Add ``out`` = RANK() over ``partition`` ordered by ``order`` ascending,
+    NULLs first (as RANK does in Spark and in the reference's engine)."""
+    ranks = value_ranks(df, partition, order, out)
+    return join_keys(df, ranks, [*partition, order]).select(*[c for c in df.columns if c != out], out)
 
 
 def with_group_min(df: DataFrame, partition: Sequence[str], col: str, out: str) -> DataFrame:

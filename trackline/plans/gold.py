@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from trackline.functions.scalar import composite_key, round_half_up, safe_ratio
 from trackline.operators.ordered import ordered_window
-from trackline.operators.ranking import first_by, group_rank, with_group_min
+from trackline.operators.ranking import first_by, group_rank, value_ranks
 from trackline.operators.segments import number_segments
 
 DRIVER_KEYS = ["session_key", "driver_number"]
@@ -44,7 +44,7 @@ def lap_leaderboard(enriched: DataFrame) -> DataFrame:
 
 def rank_laps(lap_aggs: DataFrame) -> DataFrame:
     """The leaderboard from lap aggregates (a materialised lap-grain table
-    in the warehouse build, so the rank's size check and the rank read laps,
+    in the warehouse build, so the rank's counts and the rank read laps,
     not samples)."""
     laps = lap_aggs.where(F.col("lap_duration") > 0)
     ranked = group_rank(laps, ["session_key"], "lap_duration", "fastest_lap_rank")
@@ -88,10 +88,14 @@ def dashboard_laps(leaderboard: DataFrame, drivers: DataFrame, sessions: DataFra
                        "team_colour_hex")
     s = sessions.select("session_key", "meeting_key", "meeting_name", "session_name", "season",
                         "circuit_short_name", "country_name", "location")
-    j = leaderboard.join(d, DRIVER_KEYS).join(s, "session_key")
-    j = group_rank(j, DRIVER_KEYS, "lap_duration", "driver_fastest_lap_rank")
-    j = with_group_min(j, ["session_key"], "lap_duration", "_session_best")
-    j = with_group_min(j, DRIVER_KEYS, "lap_duration", "_driver_best")
+    # ranks and bests come from the laps' keys and times alone; the wide rows
+    # are joined once
+    times = leaderboard.select(*DRIVER_KEYS, "lap_duration").join(d.select(*DRIVER_KEYS), DRIVER_KEYS).join(s.select("session_key"), "session_key")
+    ranks = value_ranks(times, DRIVER_KEYS, "lap_duration", "driver_fastest_lap_rank")
+    bests = times.groupBy(*DRIVER_KEYS).agg(F.min("lap_duration").alias("_driver_best"))
+    bests = bests.join(bests.groupBy("session_key").agg(F.min("_driver_best").alias("_session_best")), "session_key")
+    j = leaderboard.join(d, DRIVER_KEYS).join(s, "session_key").join(bests, DRIVER_KEYS)
+    j = j.join(ranks, [*DRIVER_KEYS, "lap_duration"])
     return j.select(
         composite_key("session_key", "driver_number", "lap_number").alias("lap_id"), "*",
         (F.col("lap_duration") - F.col("_session_best")).alias("delta_to_session_best"),

@@ -30,7 +30,7 @@ def test_enriched_split_equals_plain(spark):
 
     lh = lakehouse_for(spark, SF_MID)
     tl = lh.models.telemetry_laps
-    a = silver.enriched_telemetry(lh, tl=tl, strategy="bucketed", rows_per_bucket=16)
+    a = silver.enriched_telemetry(lh, tl=tl, strategy="split", rows_per_bucket=16)
     b = silver.enriched_telemetry(lh, tl=tl, strategy="plain")
     assert a.count() == b.count() == 3024
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

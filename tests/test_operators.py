@@ -97,14 +97,14 @@ def _ctx_frame(spark):
 def test_asof_fill_bucketed_equals_plain(spark, rpb):
     df = _ctx_frame(spark)
     dens = df.select("k", "t")
-    a = asof_fill(df, ["k"], "t", "r", ["v", "f"], rows_per_bucket=rpb, density=dens, strategy="bucketed")
+    a = asof_fill(df, ["k"], "t", "r", ["v", "f"], rows_per_bucket=rpb, density=dens, strategy="split")
     b = asof_fill_plain(df, ["k"], "t", "r", ["v", "f"])
     assert rows(a) == rows(b)
 
 
-def test_asof_fill_fixed_width_and_values(spark):
+def test_asof_fill_values(spark):
     df = _ctx_frame(spark)
-    a = asof_fill(df, ["k"], "t", "r", ["v", "f"], bucket_us=1_000_000, strategy="bucketed")
+    a = asof_fill(df, ["k"], "t", "r", ["v", "f"], rows_per_bucket=1)
     got = {(r["k"], r["t"]): (r["v_filled"], r["f_filled"]) for r in a.where("r = 3").collect()}
     assert got[(1, ts(0))] == (5.0, "A")
     assert got[(1, ts(1))] == (25.0, "A")
@@ -129,7 +129,7 @@ def test_asof_fill_adapter(spark):
                                                      F.lit(0).alias("_rank"), "x", "y")
     u = cars.unionByName(loc, allowMissingColumns=True)
     keys = ["session_key", "driver_number"]
-    a = asof_fill(u, keys, "ts", "_rank", ["x", "y"], rows_per_bucket=4, density=cars, strategy="bucketed")
+    a = asof_fill(u, keys, "ts", "_rank", ["x", "y"], rows_per_bucket=4, density=cars, strategy="split")
     b = asof_fill_plain(u, keys, "ts", "_rank", ["x", "y"])
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
@@ -293,5 +293,32 @@ def test_null_keys_are_a_key(spark):
     assert rows(ordered_window(df, ["k"], "o", strategy="split", rows_per_bucket=1, **how)) == rows(
         ordered_window(df, ["k"], "o", strategy="plain", **how))
     t = df.select("k", F.timestamp_seconds("o").alias("at"), "v")
-    assert rows(asof_fill(t, ["k"], "at", None, ["v"], strategy="bucketed", rows_per_bucket=1)) == rows(
+    assert rows(asof_fill(t, ["k"], "at", None, ["v"], strategy="split", rows_per_bucket=1)) == rows(
         asof_fill_plain(t, ["k"], "at", None, ["v"]))
+
+
+def _bucket_sizes(df, rpb):
+    from trackline.operators.ordered import with_buckets
+    got = with_buckets(df, ["k"], "o", "b", rpb).groupBy("k", "b").agg(F.min("o").alias("lo"), F.max("o").alias("hi"), F.count(F.lit(1)).alias("n"))
+    return got.orderBy("k", "b").collect()
+
+
+def test_buckets_hold_about_as_many_rows_whatever_the_values(spark):
+    # one outlier far away, a dense stretch, and a key of few rows
+    dense = spark.range(20000).select(F.lit(1).cast("long").alias("k"), F.col("id").alias("o"))
+    far = spark.createDataFrame([(1, 10 ** 15), (2, 5), (2, None)], "k long, o long")
+    got = _bucket_sizes(dense.unionByName(far), 100)
+    one = [r for r in got if r["k"] == 1]
+    assert max(r["n"] for r in one) < 1500 and len(one) > 100 and sum(r["n"] for r in one) == 20001
+    assert all(a["hi"] < b["lo"] for a, b in zip(one, one[1:], strict=False))
+    assert [(r["b"], r["n"]) for r in got if r["k"] == 2] == [(-(2 ** 62), 1), (0, 1)]
+    # the same buckets however the rows are partitioned
+    assert [tuple(r) for r in got] == [tuple(r) for r in _bucket_sizes(dense.unionByName(far).repartition(7, "o"), 100)]
+
+
+def test_buckets_of_a_very_large_key_are_thinned(spark):
+    from trackline.operators.depth import CUTS, MAX_CUTS, depth_cuts
+    df = spark.range(5000).select(F.lit(None).cast("long").alias("k"), F.col("id").alias("o"))
+    cuts = depth_cuts(df, ["k"], "o", 1).first()[CUTS]
+    assert len(cuts) == MAX_CUTS and cuts == sorted(set(cuts))
+    assert max(r["n"] for r in _bucket_sizes(df, 1)) <= 6

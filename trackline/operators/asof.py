@@ -13,10 +13,10 @@ The plain window form partitions by ``keys`` only, so a session is one
 task.  Here the time axis of each key is cut into buckets and the work is
 split in three parts, all exact:
 
-1. per key: origin, width of a bucket (so a bucket holds about
-   ``rows_per_bucket`` rows; the density comes from the context rows and an
-   optional cheap scan shaped like the big side, never from ``df`` itself,
-   so ``df``'s plan runs once);
+1. per key: cut points of equi-depth buckets (``depth.py``), so that a
+   bucket holds about ``rows_per_bucket`` rows wherever they lie in time;
+   they come from the context rows and an optional cheap scan shaped like
+   the big side, never from ``df`` itself, so ``df``'s plan runs once;
 2. per (key, bucket) the last value of each column among the rows that
    carry values (partial aggregation, tiny), a running ``last`` over those
    buckets, and that state spread to every later bucket up to the next
@@ -37,15 +37,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trackline.operators.keys import join_keys
 from trackline.functions.scalar import epoch_micros
+from trackline.operators.depth import CUTS, bucket_of, cuts_size, depth_cuts
+from trackline.operators.keys import join_keys
 
 _US, _TIE, _BKT = "_af_us", "_af_tie", "_af_bkt"
-# A window partition of up to this many rows is left to one task (the plain
-# form); above it the bucketed form splits the key.  Spark conf
-# ``trackline.window.maxRowsPerTask`` overrides it.
-MAX_ROWS_PER_TASK = 4_000_000
-_O, _W, _LAST = "_af_origin", "_af_width", "_af_last"
+_LAST = "_af_last"
 
 
 def _last_key(v: str, with_ts: bool = True) -> Column:
@@ -53,10 +50,6 @@ def _last_key(v: str, with_ts: bool = True) -> Column:
     return F.when(F.col(v).isNotNull(), F.struct(*parts, F.col(_TIE), F.col(v)))
 
 
-def max_rows_per_task(spark) -> int:
-    return int(spark.conf.get("trackline.window.maxRowsPerTask", str(MAX_ROWS_PER_TASK)))
-
-
 # A per-key table (one row per key) is broadcast explicitly when its counted
 # rows take at most this many bytes (Spark conf ``trackline.broadcast.maxBytes``);
 # beyond it the join is left to the planner (AQE broadcast or a shuffled join).
@@ -69,18 +62,6 @@ def max_broadcast_bytes(spark) -> int:
     return int(spark.conf.get("trackline.broadcast.maxBytes", str(MAX_BROADCAST_BYTES)))
 
 
-def group_stats(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
-    """(rows of the largest ``keys`` group, number of groups) - one small
-    aggregate job."""
-    row = df.groupBy(*keys).count().agg(F.max("count").alias("m"), F.count(F.lit(1)).alias("g")).first()
-    return (int(row["m"] or 0), int(row["g"] or 0)) if row is not None else (0, 0)
-
-
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Row count of the largest ``keys`` group (one small aggregate job)."""
-    return group_stats(df, keys)[0]
-
-
 def per_key_side(table: DataFrame, n_keys: int | None, array_items: int = 0) -> DataFrame:
     """Broadcast a one-row-per-key table when its key count is known and its
     bytes (``array_items`` longs a row besides its scalar fields) are within
@@ -93,42 +74,29 @@ def per_key_side(table: DataFrame, n_keys: int | None, array_items: int = 0) ->
 
 def asof_fill(df: DataFrame, keys: Sequence[str], ts: str, tie: Column | str | None,
               values: Sequence[str], out: Mapping[str, str] | None = None,
-              rows_per_bucket: int = 4096, bucket_us: int | None = None,
-              density: DataFrame | None = None, strategy: str = "auto") -> DataFrame:
+              rows_per_bucket: int = 4096, density: DataFrame | None = None,
+              strategy: str = "split") -> DataFrame:
     """Add one filled column per name in ``values`` (named by ``out``,
     default ``<v>_filled``).  ``tie`` orders rows that share a timestamp
     (smaller first).
 
-    Bucket width per key: ``bucket_us`` if given, else derived so that a
-    bucket holds about ``rows_per_bucket`` rows of the context rows plus
+    A bucket holds about ``rows_per_bucket`` rows of the context rows plus
     ``density`` (keys + ``ts`` columns; pass a cheap scan that has the row
-    density of the big side, e.g. the raw samples).  The geometry never
-    reads ``df`` as a whole, so ``df``'s plan is evaluated once.
-    Rows with a NULL key form a key of their own, as in a window.
-
-    ``strategy``: ``bucketed``, ``plain`` (one window partition per key) or
-    ``auto`` - plain when the largest key of the context rows plus
-    ``density`` holds at most ``trackline.window.maxRowsPerTask`` rows
-    (checked with one small aggregate), bucketed otherwise or when there is
-    no ``density`` to size the big side with.
+    density of the big side, e.g. the raw samples).  The cuts never read
+    ``df`` as a whole, so ``df``'s plan is evaluated once.  With ``density``
+    one small job counts the keys, and the per-key table is broadcast when its
+    bytes are within the bound.  Rows with a NULL key form a key of their own,
+    as in a window.
+
+    ``strategy='plain'`` is one window partition per key: the definition,
+    which tests compare with.
     """
     keys = list(keys)
     values = list(values)
-    if strategy not in ("auto", "plain", "bucketed"):
-        raise ValueError("strategy must be auto, plain or bucketed")
-    n_keys = None
-    if density is not None:
-        # one small aggregate sizes both decisions: plain vs bucketed, and
-        # whether the per-key table may be broadcast
-        has_any = reduce(lambda a, b: a | b, [F.col(v).isNotNull() for v in values])
-        sizing = df.where(has_any).select(*keys).unionByName(density.select(*keys))
-        largest, n_keys = group_stats(sizing, keys)
-        if strategy == "auto":
-            strategy = "plain" if largest <= max_rows_per_task(df.sparkSession) else "bucketed"
-    elif strategy == "auto":
-        strategy = "bucketed"
     if strategy == "plain":
         return asof_fill_plain(df, keys, ts, tie, values, out)
+    if strategy != "split":
+        raise ValueError("strategy must be split or plain")
     out = dict(out or {v: f"{v}_filled" for v in values})
     tie_c = F.lit(0) if tie is None else (F.col(tie) if isinstance(tie, str) else tie)
     base = df.withColumn(_US, epoch_micros(ts)).withColumn(_TIE, tie_c)
@@ -141,27 +109,18 @@ def asof_fill(df: DataFrame, keys: Sequence[str], ts: str, tie: Column | str | N
     init = (ctx.where(F.col(_US).isNull()).groupBy(*keys)
             .agg(*[F.max_by(v, _last_key(v, with_ts=False)).alias(f"_af_i{idx[v]}") for v in values]))
 
-    # 1. bucket geometry per key
+    # 1. cut points per key
     ctx_t = ctx.where(F.col(_US).isNotNull())
-    pts = ctx_t.select(*keys, _US)
+    pts = ctx_t.select(*keys, _US, _TIE)
     if density is not None:
-        pts = pts.unionByName(density.select(*keys, epoch_micros(ts).alias(_US))
+        pts = pts.unionByName(density.select(*keys, epoch_micros(ts).alias(_US), F.lit(None).alias(_TIE))
                               .where(F.col(_US).isNotNull()))
-    if bucket_us:
-        geo = (pts.select(*keys).distinct()
-               .withColumn(_O, F.lit(0).cast("bigint"))
-               .withColumn(_W, F.lit(int(bucket_us)).cast("bigint")))
-    else:
-        geo = (pts.groupBy(*keys)
-               .agg(F.min(_US).alias(_O), F.max(_US).alias("_af_max"), F.count(F.lit(1)).alias("_af_n"))
-               .select(*keys, _O, F.greatest(F.lit(1), F.ceil(
-                   (F.col("_af_max") - F.col(_O) + 1).cast("double") * F.lit(float(rows_per_bucket)) / F.col("_af_n"))
-               ).cast("bigint").alias(_W)))
-
-    bucket = F.floor((F.col(_US) - F.col(_O)) / F.col(_W))
+    cuts = depth_cuts(pts, keys, _US, rows_per_bucket)
+    n_keys, longest = cuts_size(cuts) if density is not None else (None, 0)
+    bucket = bucket_of(F.col(_US), F.coalesce(CUTS, F.array().cast("array<bigint>")))
 
     # 2. per-bucket last values, running state, carry-in rows
-    ctx_b = join_keys(ctx_t, geo, keys).withColumn(_BKT, bucket)
+    ctx_b = join_keys(ctx_t, cuts, keys).withColumn(_BKT, bucket)
     summ = ctx_b.groupBy(*keys, _BKT).agg(
         *[F.max_by(v, _last_key(v)).alias(f"_af_s{idx[v]}") for v in values])
     wk = Window.partitionBy(*keys).orderBy(_BKT)
@@ -174,14 +133,15 @@ def asof_fill(df: DataFrame, keys: Sequence[str], ts: str, tie: Column | str | N
                      *[f"_af_c{i}" for i in idx.values()]))
     final = cum.where(F.col("_af_next").isNull()).select(
         *keys, F.col(_BKT).alias(_LAST), *[F.col(f"_af_c{i}").alias(f"_af_f{i}") for i in idx.values()])
-    per_key = join_keys(join_keys(geo, final, keys, "left"), init, keys, "full")
+    per_key = join_keys(join_keys(cuts, final, keys, "left"), init, keys, "full")
 
     # 3. big side: bucket, carry-in, in-bucket window.  Rows without a
-    # bucket (NULL ts, or ts of a key with no geometry) only see the initial
-    # state; they get ids far below any real bucket, spread by a hash so
-    # that they do not pile into one window partition per key.
+    # timestamp only see the initial state; they get ids far below any real
+    # bucket, spread by a hash so that they do not pile into one window
+    # partition per key.
     null_bkt = F.lit(-(2 ** 62)) - F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(1024))
-    big = join_keys(base, per_key_side(per_key, n_keys), keys, "left").withColumn(_BKT, F.coalesce(bucket, null_bkt))
+    big = join_keys(base, per_key_side(per_key, n_keys, longest), keys, "left")
+    big = big.withColumn(_BKT, F.when(F.col(_US).isNull(), null_bkt).otherwise(bucket)).drop(CUTS)
     big = join_keys(big, carry, keys + [_BKT], "left")
     w = (Window.partitionBy(*keys, _BKT).orderBy(_US, _TIE)
          .rangeBetween(Window.unboundedPreceding, Window.currentRow))
@@ -190,14 +150,14 @@ def asof_fill(df: DataFrame, keys: Sequence[str], ts: str, tie: Column | str | N
         i = idx[v]
         in_bucket = F.max_by(v, _last_key(v)).over(w)
         carried = F.when(F.col(_BKT) > F.col(_LAST), F.col(f"_af_f{i}")).otherwise(F.col(f"_af_c{i}"))
-        filled.append(F.when(F.col(_US).isNull() | F.col(_O).isNull(), F.col(f"_af_i{i}"))
+        filled.append(F.when(F.col(_US).isNull(), F.col(f"_af_i{i}"))
                       .otherwise(F.coalesce(in_bucket, carried, F.col(f"_af_i{i}"))).alias(out[v]))
     return big.select(*df.columns, *filled)
 
 
 def asof_fill_plain(df: DataFrame, keys: Sequence[str], ts: str, tie: Column | str | None,
                     values: Sequence[str], out: Mapping[str, str] | None = None) -> DataFrame:
-    """Single-window reference form of :func:`asof_fill` (tests compare)."""
+    """Single-window form of :func:`asof_fill` (tests compare)."""
     values = list(values)
     out = dict(out or {v: f"{v}_filled" for v in values})
     tie_c = F.lit(0) if tie is None else (F.col(tie) if isinstance(tie, str) else tie)

@@ -5,15 +5,14 @@ as the lap number), any of: LAG by 1 or 2 rows, LEAD by 1 row, running SUM
 (ROWS frame), running MIN (RANGE frame: peers included), ROW_NUMBER and the
 AVG over the current and up to two preceding rows.
 
-Plain form: one window partition per key.  Split form, exact: the order
-axis of each key is cut into buckets; the windows run per (key, bucket);
-a per-bucket summary (row count, sum, min, first and last two values) is
-carried across buckets with a window over the summaries (one row per
-bucket, tiny) and joined back on (key, bucket), the partitioning the
-in-bucket window already has.  ``strategy='auto'`` takes the plain form
-when the largest key holds at most ``trackline.window.maxRowsPerTask``
-rows (one small aggregate).  As in SQL, rows that tie on ``order`` have no
-defined order among themselves for LAG / LEAD / ROW_NUMBER.
+The order axis of each key is cut into equi-depth buckets (``depth.py``);
+the windows run per (key, bucket); a per-bucket summary (row count, sum,
+min, first and last two values) is carried across buckets with a window over
+the summaries (one row per bucket, tiny) and joined back on (key, bucket), the
+partitioning the in-bucket window already has.  It is one exact form at
+every size; ``strategy='plain'`` (one window partition per key) is the
+definition, which tests compare with.  As in SQL, rows that tie on ``order``
+have no defined order among themselves for LAG / LEAD / ROW_NUMBER.
 """
 
 from __future__ import annotations
@@ -23,9 +22,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trackline.operators.asof import per_key_side
+from trackline.operators.depth import CUTS, bucket_of, cuts_size, depth_cuts
 from trackline.operators.keys import join_keys
 
-_B, _RN, _N = "_ow_b", "_ow_rn", "_ow_n"
+_BUCKET, _RN, _N = "_ow_b", "_ow_rn", "_ow_n"
 
 
 def _sum3(parts: list[Column]) -> tuple[Column, Column]:
@@ -46,28 +47,25 @@ def ordered_window(df: DataFrame, keys: Sequence[str], order: str, *,
                    running_min: Sequence[tuple[str, str]] = (),
                    row_number: str | None = None,
                    avg_last3: Sequence[tuple[str, str]] = (),
-                   strategy: str = "auto", rows_per_bucket: int = 4096,
-                   tiebreak: Sequence[str] = ()) -> DataFrame:
+                   strategy: str = "split", rows_per_bucket: int = 4096,
+                   tiebreak: Sequence[str] = (), bucket: str | None = None) -> DataFrame:
     """Add the requested window columns (names given as the last element of
     each spec).  ``lags`` take k in (1, 2).  Rows are ordered by ``order``
     then ``tiebreak`` (ascending); buckets are cut on ``order`` only, so
-    rows that tie on it share a bucket and the full ordering is exact."""
-    from trackline.operators.asof import group_stats, max_rows_per_task
-
+    rows that tie on it share a bucket and the full ordering is exact.
+    ``bucket`` names a column of :func:`with_buckets` on the same ``order``
+    and on ``keys`` or some of them: several windows then share one bucketing
+    (and its shuffle); the column stays."""
     keys = list(keys)
     if any(k not in (1, 2) for _, k, _ in lags):
         raise ValueError("lag offsets 1 and 2 are supported")
-    n_keys = None
-    if strategy == "auto":
-        largest, n_keys = group_stats(df.select(*keys), keys)
-        strategy = "plain" if largest <= max_rows_per_task(df.sparkSession) else "split"
     if strategy == "plain":
         return _plain(df, keys, order, lags, leads, running_sum, running_min, row_number, avg_last3,
                       list(tiebreak))
     if strategy != "split":
-        raise ValueError("strategy must be auto, plain or split")
+        raise ValueError("strategy must be split or plain")
     return _split(df, keys, order, lags, leads, running_sum, running_min, row_number, avg_last3,
-                  rows_per_bucket, n_keys, list(tiebreak))
+                  rows_per_bucket, list(tiebreak), bucket)
 
 
 def _plain(df, keys, order, lags, leads, running_sum, running_min, row_number, avg_last3, tiebreak=()):
@@ -87,20 +85,22 @@ def _plain(df, keys, order, lags, leads, running_sum, running_min, row_number, a
     return df.select("*", *cols)
 
 
-def _split(df, keys, order, lags, leads, running_sum, running_min, row_number, avg_last3, rpb, n_keys=None,
-           tiebreak=()):
-    from trackline.operators.asof import per_key_side
-
+def with_buckets(df: DataFrame, keys: Sequence[str], order: str, out: str, rows_per_bucket: int = 4096) -> DataFrame:
+    """``df`` with ``out``: the number of its row's equi-depth bucket among the
+    rows of its key (NULL ``order`` values, which sort first, have the lowest).
+    One small job counts keys and cuts for a checked broadcast."""
     o = F.col(order)
-    geo = (df.where(o.isNotNull()).groupBy(*keys)
-           .agg(F.min(order).alias("_ow_lo"), F.max(order).alias("_ow_hi"), F.count(F.lit(1)).alias("_ow_c"))
-           .select(*keys, "_ow_lo", F.greatest(F.lit(1), F.ceil(
-               (F.col("_ow_hi") - F.col("_ow_lo") + 1).cast("double") * F.lit(float(rpb)) / F.col("_ow_c"))
-           ).cast("bigint").alias("_ow_w")))
-    # NULL order values sort first: they form the lowest bucket of the key
-    bucket = F.when(o.isNull(), F.lit(-(2 ** 62))).otherwise(
-        F.floor((o - F.col("_ow_lo")) / F.col("_ow_w")))
-    b = join_keys(df, per_key_side(geo, n_keys), keys, "left").withColumn(_B, bucket).drop("_ow_lo", "_ow_w")
+    # all narrow columns take part in the choice of cuts, so that ties on ``order`` are chosen apart
+    plain = [f.name for f in df.schema.fields if f.name not in keys and f.dataType.typeName() in ("long", "integer", "double", "timestamp_ntz")]
+    cuts = depth_cuts(df.select(*keys, *plain).where(o.isNotNull()), keys, order, rows_per_bucket)
+    number = F.when(o.isNull(), F.lit(-(2 ** 62))).otherwise(bucket_of(o, F.coalesce(CUTS, F.array().cast(cuts.schema[CUTS].dataType))))
+    j = join_keys(df, per_key_side(cuts, *cuts_size(cuts)), keys, "left")
+    return j.select(*df.columns, number.alias(out))
+
+
+def _split(df, keys, order, lags, leads, running_sum, running_min, row_number, avg_last3, rpb, tiebreak=(), bucket=None):
+    o, _B = F.col(order), bucket or _BUCKET
+    b = df if bucket else with_buckets(df, keys, order, _B, rpb)
 
     w = Window.partitionBy(*keys, _B).orderBy(o.asc_nulls_first(), *[F.col(t).asc_nulls_first() for t in tiebreak])
     rows = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 def number_segments(df: DataFrame, keys: Sequence[str], order: Sequence[str] | str,
                     starts: Column, out: str, flag: str | None = None,
-                    strategy: str = "auto") -> DataFrame:
+                    strategy: str = "split", bucket: str | None = None) -> DataFrame:
     """Add ``out`` (bigint segment number) and, if ``flag`` is given, the
     0/1 start flag itself.  With a single integer order column the running
     sum goes through :func:`~trackline.operators.ordered.ordered_window`
@@ -28,7 +28,7 @@ def number_segments(df: DataFrame, keys: Sequence[str], order: Sequence[str] | s
     tmp = flag or "_seg_flag"
     res = df.withColumn(tmp, f)
     if len(order) == 1:
-        res = ordered_window(res, keys, order[0], running_sum=[(tmp, "_seg_sum")], strategy=strategy)
+        res = ordered_window(res, keys, order[0], running_sum=[(tmp, "_seg_sum")], strategy=strategy, bucket=bucket)
         res = res.withColumn(out, F.col("_seg_sum").cast("bigint")).drop("_seg_sum")
     else:
         w = Window.partitionBy(*keys).orderBy(*order)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from trackline.functions.scalar import epoch_micros
 from trackline.operators.interval import interval_join
-from trackline.operators.ordered import ordered_window
+from trackline.operators.ordered import ordered_window, with_buckets
 
 # (km/h + km/h) * microseconds in one metre
 METRE = 7_200_000
@@ -31,7 +31,7 @@ def _instant(us: str):
     return F.timestamp_micros(us).cast("timestamp_ntz")
 
 
-def legs(readings: DataFrame, keys: Sequence[str], ts: str, speed: str, strategy: str = "auto") -> DataFrame:
+def legs(readings: DataFrame, keys: Sequence[str], ts: str, speed: str, strategy: str = "split") -> DataFrame:
     """(keys, leg_start, leg_end, start_us, end_us, start_d, length): one row per pair of
     successive readings of a key, travelled at the mean of both speeds.
     Readings without time or speed are left out; of several at one instant the
@@ -39,9 +39,11 @@ def legs(readings: DataFrame, keys: Sequence[str], ts: str, speed: str, strategy
     keys = list(keys)
     r = readings.where(F.col(ts).isNotNull() & F.col(speed).isNotNull()).select(*keys, epoch_micros(ts).alias("start_us"), F.col(speed).cast("bigint").alias("_v"))
     r = r.groupBy(*keys, "start_us").agg(F.max("_v").alias("_v"))
-    r = ordered_window(r, keys, "start_us", leads=[("start_us", "end_us"), ("_v", "_next")], strategy=strategy).where("end_us is not null")
+    bucket = "_readings" if strategy == "split" else None
+    r = with_buckets(r, keys, "start_us", bucket) if bucket else r
+    r = ordered_window(r, keys, "start_us", leads=[("start_us", "end_us"), ("_v", "_next")], strategy=strategy, bucket=bucket).where("end_us is not null")
     r = r.withColumn("length", (F.col("_v") + F.col("_next")) * (F.col("end_us") - F.col("start_us")))
-    r = ordered_window(r, keys, "start_us", running_sum=[("length", "_end_d")], strategy=strategy)
+    r = ordered_window(r, keys, "start_us", running_sum=[("length", "_end_d")], strategy=strategy, bucket=bucket)
     return r.select(*keys, _instant("start_us").alias("leg_start"), _instant("end_us").alias("leg_end"), "start_us", "end_us",
                     (F.col("_end_d") - F.col("length")).alias("start_d"), "length")
 

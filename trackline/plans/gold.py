@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trackline.functions.scalar import composite_key, round_half_up, safe_ratio
-from trackline.operators.ordered import ordered_window
+from trackline.operators.ordered import ordered_window, with_buckets
 from trackline.operators.ranking import first_by, group_rank, value_ranks
 from trackline.operators.segments import number_segments
 
@@ -110,10 +110,10 @@ def clean_laps(laps: DataFrame) -> DataFrame:
                       & F.col("tire_compound").isNotNull() & F.col("tire_age_at_lap_end").isNotNull())
 
 
-def stint_starts(laps: DataFrame, strategy: str = "auto") -> DataFrame:
+def stint_starts(laps: DataFrame, strategy: str = "split", bucket: str | None = None) -> DataFrame:
     """A lap starts a strategy stint when it is the driver's first clean
     lap, the compound changes, or the tyre age does not increase."""
-    lagged = ordered_window(laps, DRIVER_KEYS, "lap_number", strategy=strategy,
+    lagged = ordered_window(laps, DRIVER_KEYS, "lap_number", strategy=strategy, bucket=bucket,
                             lags=[("tire_compound", 1, "_prev_c"), ("tire_age_at_lap_end", 1, "_prev_a")])
     prev_c, prev_a = F.col("_prev_c"), F.col("_prev_a")
     return lagged.withColumn("starts_new_stint", F.when(prev_c.isNull(), 1)
@@ -129,24 +129,22 @@ DEGRADATION_COLUMNS = [
     "rolling_three_lap_average", "avg_track_temp", "rained_during_lap"]
 
 
-def tire_degradation(laps: DataFrame, strategy: str = "auto") -> DataFrame:
+def tire_degradation(laps: DataFrame, strategy: str = "split") -> DataFrame:
     """Clean laps in inferred stints with running degradation metrics.
 
     The stint window orders by lap; ``delta_to_stint_best`` is to the best
-    lap *so far* in the stint (running MIN), as in the reference.  All the
-    per-car windows go through ``ordered_window`` (split when a car's laps
-    would not fit one task).
+    lap *so far* in the stint (running MIN), as in the reference.  The three
+    windows share one bucketing of a car's laps: a stint's laps are some of
+    its car's.
     """
-    clean = clean_laps(laps)
-    if strategy == "auto":
-        # one size check for all four windows: a stint's laps are a subset of its car's laps
-        from trackline.operators.asof import largest_group, max_rows_per_task
-        fits = largest_group(clean.select(*DRIVER_KEYS), DRIVER_KEYS) <= max_rows_per_task(clean.sparkSession)
-        strategy = "plain" if fits else "split"
-    s = stint_starts(clean, strategy)
+    clean, bucket = clean_laps(laps), None
+    if strategy == "split":
+        bucket = "_laps"
+        clean = with_buckets(clean, DRIVER_KEYS, "lap_number", bucket)
+    s = stint_starts(clean, strategy, bucket)
     s = number_segments(s, DRIVER_KEYS, "lap_number", F.col("starts_new_stint") == 1,
-                        "strategy_stint_number", strategy=strategy)
-    s = ordered_window(s, DRIVER_KEYS + ["strategy_stint_number"], "lap_number", strategy=strategy,
+                        "strategy_stint_number", strategy=strategy, bucket=bucket)
+    s = ordered_window(s, DRIVER_KEYS + ["strategy_stint_number"], "lap_number", strategy=strategy, bucket=bucket,
                        row_number="lap_in_stint", running_min=[("lap_duration", "_stint_best")],
                        avg_last3=[("lap_duration", "rolling_three_lap_average")])
     return s.select(

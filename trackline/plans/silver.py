@@ -25,7 +25,7 @@ TRACK_STATUS_CATEGORIES = ("Flag", "SafetyCar")
 IGNORED_FLAG = "BLUE"
 
 
-def lap_boundaries(laps_raw: DataFrame, strategy: str = "auto") -> DataFrame:
+def lap_boundaries(laps_raw: DataFrame, strategy: str = "split") -> DataFrame:
     """[lap_start, lap_end): the next lap's start, else start + duration."""
     laps = laps_raw.select(*DRIVER_KEYS, "lap_number", "date_start", "lap_duration", "is_pit_out_lap")
     nxt = ordered_window(laps, DRIVER_KEYS, "lap_number", leads=[("date_start", "_next_start")],
@@ -95,7 +95,7 @@ def unified_stream(tl: DataFrame, weather: DataFrame, race_control: DataFrame,
 
 def telemetry_context(tl: DataFrame, weather: DataFrame, race_control: DataFrame,
                       location: DataFrame, rows_per_bucket: int = 4096,
-                      samples: DataFrame | None = None, strategy: str = "auto") -> DataFrame:
+                      samples: DataFrame | None = None, strategy: str = "split") -> DataFrame:
     """Car samples with the last known weather / flag (per session) and
     position (per driver) at their instant.
 
@@ -126,7 +126,7 @@ def telemetry_context(tl: DataFrame, weather: DataFrame, race_control: DataFrame
         F.col("x_filled").alias("x"), F.col("y_filled").alias("y"))
 
 
-def stint_bounds(stints: DataFrame, strategy: str = "auto") -> DataFrame:
+def stint_bounds(stints: DataFrame, strategy: str = "split") -> DataFrame:
     """Stints closed at the lap before the next stint starts (W2); stints
     are ordered by their first lap, unknown first laps first."""
     s = stints.select(*DRIVER_KEYS, "lap_start", "lap_end", "tire_compound", "tyre_age_at_start")
@@ -159,7 +159,7 @@ ENRICHED_COLUMNS = [
 
 
 def enriched_telemetry(tables, tl: DataFrame | None = None, rows_per_bucket: int = 4096,
-                       strategy: str = "auto") -> DataFrame:
+                       strategy: str = "split") -> DataFrame:
     """M11 at (sample x pit row) grain."""
     tl = tl if tl is not None else telemetry_laps(tables)
     ctx = telemetry_context(tl, stg.staged(tables, "stg_weather"),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from trackline.functions.scalar import epoch_micros
 from trackline.operators.asof import asof_fill, per_key_side
 from trackline.operators.geometry import nearest_mark, resample, with_corners
-from trackline.operators.ordered import ordered_window
+from trackline.operators.ordered import ordered_window, with_buckets
 from trackline.operators.travel import METRE, between, crossings, legs
 from trackline.plans.silver import DRIVER_KEYS, lap_boundaries
 
@@ -64,7 +64,7 @@ def corner_v_min(samples: DataFrame, sessions: DataFrame, meetings: DataFrame, *
 
 
 # -- gaps ----------------------------------------------------------------------
-def track_gaps(telemetry: DataFrame, every_m: int, strategy: str = "auto") -> DataFrame:
+def track_gaps(telemetry: DataFrame, every_m: int, strategy: str = "split") -> DataFrame:
     """At every ``every_m`` metres of a session the order in which drivers get
     there: place, the driver ahead, the gap in seconds, and the gap in metres
     at the moment in which the driver ahead passed the mark (NULL before the
@@ -83,7 +83,7 @@ def track_gaps(telemetry: DataFrame, every_m: int, strategy: str = "auto") -> Da
 
 
 # -- driving style -------------------------------------------------------------
-def lap_style(tl: DataFrame, strategy: str = "auto") -> DataFrame:
+def lap_style(tl: DataFrame, strategy: str = "split") -> DataFrame:
     """Mergeable counts per (session, driver, lap): samples, changes of state
     against the sample before (which may lie in the lap before), and a
     histogram of throttle bands."""
@@ -99,7 +99,7 @@ def lap_style(tl: DataFrame, strategy: str = "auto") -> DataFrame:
         *[F.count_if(band == k).alias(f"band_{k}") for k in range(THROTTLE_BANDS)])
 
 
-def driver_aggression(tl: DataFrame, strategy: str = "auto") -> DataFrame:
+def driver_aggression(tl: DataFrame, strategy: str = "split") -> DataFrame:
     """One row per (session, driver).  ``aggression``: for each lap and each of
     three rates (brake applications, throttle jumps and gear shifts a sample),
     the share of the session's laps with a lower rate plus half of those with
@@ -127,21 +127,23 @@ def driver_aggression(tl: DataFrame, strategy: str = "auto") -> DataFrame:
 
 
 # -- race order ----------------------------------------------------------------
-def position_changes(positions: DataFrame, strategy: str = "auto") -> DataFrame:
+def position_changes(positions: DataFrame, strategy: str = "split") -> DataFrame:
     """The feed's readings collapsed to intervals [valid_from, valid_to) of one
     position (the last one open), with the count of readings in each.  Of
     several readings at one instant the best position counts."""
     p = positions.where("date is not null and position is not null").groupBy(*DRIVER_KEYS, epoch_micros("date").alias("_us")).agg(F.min("position").alias("position"))
-    p = ordered_window(p, DRIVER_KEYS, "_us", lags=[("position", 1, "_before")], strategy=strategy)
+    bucket = "_readings" if strategy == "split" else None
+    p = with_buckets(p, DRIVER_KEYS, "_us", bucket) if bucket else p
+    p = ordered_window(p, DRIVER_KEYS, "_us", lags=[("position", 1, "_before")], strategy=strategy, bucket=bucket)
     new = F.when(F.col("_before").isNull() | (F.col("_before") != F.col("position")), 1).otherwise(0)
-    p = ordered_window(p.withColumn("_new", new), DRIVER_KEYS, "_us", running_sum=[("_new", "_run")], strategy=strategy)
+    p = ordered_window(p.withColumn("_new", new), DRIVER_KEYS, "_us", running_sum=[("_new", "_run")], strategy=strategy, bucket=bucket)
     runs = p.groupBy(*DRIVER_KEYS, "_run").agg(F.min("position").alias("position"), F.min("_us").alias("_from"), F.count(F.lit(1)).alias("n_readings"))
     runs = ordered_window(runs, DRIVER_KEYS, "_run", leads=[("_from", "_to")], strategy=strategy)
     return runs.select(*DRIVER_KEYS, "position", F.timestamp_micros("_from").cast("timestamp_ntz").alias("valid_from"),
                        F.timestamp_micros("_to").cast("timestamp_ntz").alias("valid_to"), "n_readings")
 
 
-def positions_at(points: DataFrame, changes: DataFrame, at: str, strategy: str = "auto") -> DataFrame:
+def positions_at(points: DataFrame, changes: DataFrame, at: str, strategy: str = "split") -> DataFrame:
     """``points`` (with session, driver and the instant ``at``) with the
     ``position`` held then (a change at that instant counts; NULL before the
     first)."""
@@ -151,7 +153,7 @@ def positions_at(points: DataFrame, changes: DataFrame, at: str, strategy: str =
     return filled.where("_point").select(*points.columns, "position")
 
 
-def positions_at_lap(laps_raw: DataFrame, positions: DataFrame, strategy: str = "auto") -> DataFrame:
+def positions_at_lap(laps_raw: DataFrame, positions: DataFrame, strategy: str = "split") -> DataFrame:
     """Position of each driver at the start and end of each lap, and the places
     gained in it."""
     bounds = lap_boundaries(laps_raw, strategy)
@@ -163,7 +165,7 @@ def positions_at_lap(laps_raw: DataFrame, positions: DataFrame, strategy: str =
     return per.withColumn("places_gained", F.col("position_at_start") - F.col("position_at_end"))
 
 
-def overtakes(sessions: DataFrame, positions: DataFrame, first: float = 0.25, second: float = 0.75, strategy: str = "auto") -> DataFrame:
+def overtakes(sessions: DataFrame, positions: DataFrame, first: float = 0.25, second: float = 0.75, strategy: str = "split") -> DataFrame:
     """Per (session, driver): position at two instants of the session (shares
     of its duration), and how many drivers were ahead at the first and behind
     at the second (``made``) or the other way round (``suffered``).

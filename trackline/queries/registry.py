@@ -391,7 +391,7 @@ def q_asof_weather(spark, sf_dir):
     u = cars.unionByName(w, allowMissingColumns=True)
     # pinned to the bucketed form so the oracle checks the scalable path
     f = asof_fill(u, ["session_key"], "ts", "_rank", ["air_temp", "track_temp", "raining"],
-                  density=cars.select("session_key", "ts"), strategy="bucketed")
+                  density=cars.select("session_key", "ts"), strategy="split")
     return f.where(F.col("_rank") == 1).select(
         "session_key", "driver_number", F.col("ts").alias("telemetry_timestamp"),
         F.col("air_temp_filled").alias("air_temperature"), F.col("track_temp_filled").alias("track_temperature"),
@@ -418,7 +418,7 @@ def q_asof_location(spark, sf_dir):
                                                  "x", "y")
     u = cars.unionByName(loc, allowMissingColumns=True)
     f = asof_fill(u, ["session_key", "driver_number"], "ts", "_rank", ["x", "y"],
-                  density=cars.select("session_key", "driver_number", "ts"), strategy="bucketed")
+                  density=cars.select("session_key", "driver_number", "ts"), strategy="split")
     return f.where(F.col("_rank") == 1).select("session_key", "driver_number",
                                                F.col("ts").alias("telemetry_timestamp"), "speed",
                                                F.col("x_filled").alias("x"), F.col("y_filled").alias("y"))
@@ -541,7 +541,7 @@ def q_stint_starts(spark, sf_dir):
         "lap_id", "tire_compound", "tire_age_at_lap_end", "starts_new_stint")
 
 
-def _deg(spark, sf_dir, strategy: str = "auto") -> DataFrame:
+def _deg(spark, sf_dir, strategy: str = "split") -> DataFrame:
     return gold.tire_degradation(_m(spark, sf_dir).dashboard_laps, strategy=strategy)
 
 

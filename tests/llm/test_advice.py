@@ -84,3 +84,15 @@ def test_wrapped_licenses(spark):
     got = {r["doc_id"]: r for r in scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     bad = [(i, rows[i][1], got[i]["licenses"], f) for i, f in want.items() if got[i]["licenses"] != f or got[i]["n_license_paragraphs"] != len(f)]
     assert not bad
+
+
+def test_licenses_of_any_wrapping_and_copies(spark):
+    bsd = TEMPLATES["BSD"][1]
+    two = TEMPLATES["MIT"][0] + "\n" + TEMPLATES["CC0"][1]
+    text = {1: "\n".join(bsd.split()), 2: "\n".join("# " + w for w in bsd.split()), 3: two, 4: two, 5: "\n\n".join(bsd.split()), 6: None, 7: ""}
+    d = spark.createDataFrame([(k, t, "x") for k, t in text.items()] + [(None, two, "x")], "doc_id long, text string, licenses string")
+    got = scan_licenses(d)
+    assert got.columns == ["doc_id", "text", "licenses", "n_license_paragraphs", "max_probability"]
+    assert {r["doc_id"]: (r["licenses"], r["n_license_paragraphs"]) for r in got.collect()} == {
+        1: (["BSD"], 1), 2: (["BSD"], 1), 3: (["CC0", "MIT"], 2), 4: (["CC0", "MIT"], 2), 5: ([], 0), 6: ([], 0), 7: ([], 0), None: (["CC0", "MIT"], 2)}
+    assert scan_licenses(d.limit(0)).count() == 0

@@ -171,8 +171,33 @@ def dq_tire_metrics(deg: DataFrame) -> DataFrame:
                      | (F.col("rolling_three_lap_average") <= 0))
 
 
+def column_checks(df: DataFrame, spec: dict[str, dict], table: str = "") -> DataFrame:
+    """The not-null and uniqueness tests of one table in one pass over it:
+    (table_name, check_name, column_name, failures).  Rows are grouped by the
+    unique column, with the NULLs of the others counted on the way, so
+    partial aggregation sees narrow rows only; a table without a unique
+    column is one plain aggregate."""
+    required = [c for c, s in spec.items() if s.get("not_null")]
+    unique = [c for c, s in spec.items() if s.get("unique")]
+    if len(unique) > 1:
+        raise ValueError(f"{table}: one unique column a table is supported")
+    rows = df.select(*dict.fromkeys([*required, *unique]))
+    if unique:
+        rows = rows.groupBy(unique[0]).agg(F.count(F.lit(1)).alias("_n"), *[
+            F.count_if(F.col(c).isNull()).alias(f"_nn{i}") for i, c in enumerate(required)])
+        found = [F.coalesce(F.sum(f"_nn{i}"), F.lit(0)) for i in range(len(required))]
+        found.append(F.count_if(F.col(unique[0]).isNotNull() & (F.col("_n") > 1)))
+    else:
+        found = [F.count_if(F.col(c).isNull()) for c in required]
+    tests = [("not_null", c) for c in required] + [("unique", c) for c in unique]
+    agg = rows.agg(*[f.cast("bigint").alias(f"_f{i}") for i, f in enumerate(found)])
+    stack = ", ".join(f"'{check}', '{c}', _f{i}" for i, (check, c) in enumerate(tests))
+    return agg.select(F.lit(table).alias("table_name"), F.expr(f"stack({len(tests)}, {stack}) AS (check_name, column_name, failures)"))
+
+
 def run_checks(m) -> DataFrame:
-    """Every check as (table_name, check_name, column_name, failures)."""
+    """Every check as (table_name, check_name, column_name, failures); the
+    not-null and uniqueness tests of a table share one pass over it."""
     def tag(df: DataFrame, check: str) -> DataFrame:
         return df.select("table_name", F.lit(check).alias("check_name"), "column_name",
                          F.col("failures").cast("bigint").alias("failures"))
@@ -181,7 +206,7 @@ def run_checks(m) -> DataFrame:
         return tag(_count(df, table, ""), check)
 
     return _union([
-        tag(dq_not_null(m), "not_null"), tag(dq_unique(m), "unique"),
+        *[column_checks(model_table(m, t), spec, t) for t, spec in SCHEMA_TESTS.items()],
         tag(dq_relationships(m).drop("parent_table"), "relationships"),
         tag(dq_accepted_values(m), "accepted_values"),
         singular(dq_unique_grain(m.dashboard_laps), "fct_dashboard_laps", "lap_grain"),

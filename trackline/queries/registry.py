@@ -1032,6 +1032,43 @@ def q_dq_tire_planted(spark, sf_dir):
     return quality.dq_tire_metrics(bad).select("degradation_id", "lap_in_stint")
 
 
+# the column tests on tables with faults planted by key: the same tests, with failures
+_BAD_LAPS = """(SELECT CASE WHEN lap_number % 7 <> 0 THEN lap_id END AS lap_id, lap_duration, CASE WHEN driver_number % 3 = 0 THEN driver_session_id || '?' ELSE driver_session_id END AS driver_session_id,
+ CASE WHEN lap_number % 5 = 0 THEN 'compound ' || driver_number % 4 ELSE tire_compound END AS tire_compound FROM dashboard_laps
+ UNION ALL SELECT lap_id, NULL, driver_session_id, tire_compound FROM dashboard_laps WHERE driver_number % 4 = 1) z"""
+
+
+def _bad_laps(spark, sf_dir) -> DataFrame:
+    laps = _m(spark, sf_dir).dashboard_laps.select("lap_id", "lap_duration", "driver_session_id", "tire_compound", "lap_number", "driver_number")
+    again = laps.where("driver_number % 4 = 1").withColumn("lap_duration", F.lit(None).cast("double"))
+    odd = F.concat(F.lit("compound "), (F.col("driver_number") % 4).cast("string"))
+    bad = laps.withColumn("lap_id", F.when(F.col("lap_number") % 7 != 0, F.col("lap_id")))
+    bad = bad.withColumn("driver_session_id", F.when(F.col("driver_number") % 3 == 0, F.concat("driver_session_id", F.lit("?"))).otherwise(F.col("driver_session_id")))
+    bad = bad.withColumn("tire_compound", F.when(F.col("lap_number") % 5 == 0, odd).otherwise(F.col("tire_compound")))
+    return bad.unionByName(again).drop("lap_number", "driver_number")
+
+
+@query("dq_columns_planted", f"""SELECT 'laps' AS table_name, 'not_null' AS check_name, 'lap_id' AS column_name, CAST(count_if(lap_id IS NULL) AS BIGINT) AS failures FROM {_BAD_LAPS}
+UNION ALL SELECT 'laps', 'not_null', 'lap_duration', CAST(count_if(lap_duration IS NULL) AS BIGINT) FROM {_BAD_LAPS}
+UNION ALL SELECT 'laps', 'unique', 'lap_id', count(*) FROM (SELECT lap_id FROM {_BAD_LAPS} WHERE lap_id IS NOT NULL GROUP BY lap_id HAVING count(*) > 1) y""")
+def q_dq_columns_planted(spark, sf_dir):
+    return quality.column_checks(_bad_laps(spark, sf_dir), {"lap_id": {"not_null": True, "unique": True}, "lap_duration": {"not_null": True}}, "laps")
+
+
+@query("dq_relationships_planted", f"""SELECT lap_id, driver_session_id FROM {_BAD_LAPS} WHERE driver_session_id IS NOT NULL
+AND NOT EXISTS (SELECT 1 FROM dim_drivers p WHERE p.driver_session_id = z.driver_session_id)""")
+def q_dq_relationships_planted(spark, sf_dir):
+    bad = quality.relationship_violations(_bad_laps(spark, sf_dir), "driver_session_id", _m(spark, sf_dir).dim_drivers, "driver_session_id")
+    return bad.select("lap_id", "driver_session_id")
+
+
+@query("dq_accepted_values_planted", f"""SELECT tire_compound, count(*) AS n FROM {_BAD_LAPS}
+WHERE tire_compound NOT IN ({", ".join(f"'{v}'" for v in quality.SCHEMA_TESTS["fct_dashboard_laps"]["tire_compound"]["accepted_values"])}) GROUP BY tire_compound""")
+def q_dq_accepted_planted(spark, sf_dir):
+    values = quality.SCHEMA_TESTS["fct_dashboard_laps"]["tire_compound"]["accepted_values"]
+    return quality.accepted_value_violations(_bad_laps(spark, sf_dir), "tire_compound", values)
+
+
 @query("dq_summary", _summary_sql())
 def q_dq_summary(spark, sf_dir):
     return quality.run_checks(_m(spark, sf_dir))

@@ -1074,5 +1074,5 @@ def q_dq_summary(spark, sf_dir):
     return quality.run_checks(_m(spark, sf_dir))
 
 
-# the analyses on the track and the served order register themselves
-from trackline.queries import served, track  # noqa: E402,F401
+# the landing of races, the analyses on the track and the served order register themselves
+from trackline.queries import races, served, track  # noqa: E402,F401

@@ -23,7 +23,7 @@ def _other(feeds, feed, change):
 
 def test_all_races_land_and_read_back(spark, feeds, tmp_path):
     landing = RaceLanding(spark, str(tmp_path / "bronze"))
-    assert landing["laps_raw"].count() == 0 and landing.marks() == {}
+    assert landing.open()["laps_raw"].count() == 0 and landing.marks() == {}
     got = landing.land(feeds)
     assert got and set(got.values()) == {None}
     source = race_tables(spark, SF_SMALL)
@@ -31,13 +31,13 @@ def test_all_races_land_and_read_back(spark, feeds, tmp_path):
         want = source[table]
         if table in ("laps_raw",):   # missing lists of segments are empty ones
             want = want.select(*[F.coalesce(F.col(c), F.array().cast("array<double>")).alias(c) if c.startswith("segments") else F.col(c) for c in want.columns])
-        assert rows(landing[table].select(*want.columns)) == rows(want), table
+        assert rows(landing.open()[table].select(*want.columns)) == rows(want), table
 
 
 def test_bad_record_in_the_last_feed_leaves_no_trace(spark, feeds, tmp_path):
     landing = RaceLanding(spark, str(tmp_path / "bronze"))
     races = sorted(landing.land(feeds))
-    before = {t: rows(landing[t]) for t in ("driver_raw", "session_results_raw", "meetings_metadata")}
+    before = {t: rows(landing.open()[t]) for t in ("driver_raw", "session_results_raw", "meetings_metadata")}
     spoilt = _other(feeds, "session_result", lambda d: d.withColumn("value", F.when(
         F.get_json_object("value", "$.session_key") == str(races[0]), F.replace("value", F.lit('"points":'), F.lit('"points":"p",'
         '"was":'))).otherwise(F.col("value"))))
@@ -46,7 +46,7 @@ def test_bad_record_in_the_last_feed_leaves_no_trace(spark, feeds, tmp_path):
     with pytest.raises(InvalidBatch, match=f"session {races[0]}: invalid record in session_results_raw"):
         landing.land(spoilt)
     assert set(landing.marks().values()) == {1}
-    assert {t: rows(landing[t]) for t in before} == before
+    assert {t: rows(landing.open()[t]) for t in before} == before
     # the refused records can be read until the next batch
     bad = landing.rejected(2)
     assert {(r["table"], r["session_key"]) for r in bad.collect()} == {("session_results_raw", races[0])}
@@ -54,10 +54,10 @@ def test_bad_record_in_the_last_feed_leaves_no_trace(spark, feeds, tmp_path):
     got = landing.land(spoilt, mode="race")
     assert [s for s, why in got.items() if why] == [races[0]]
     assert landing.marks() == {s: 1 if s == races[0] else 2 for s in races}
-    names = landing["driver_raw"].select("session_key", F.col("full_name").startswith("X ").alias("new")).distinct()
+    names = landing.open()["driver_raw"].select("session_key", F.col("full_name").startswith("X ").alias("new")).distinct()
     assert {tuple(r) for r in names.collect()} == {(s, s != races[0]) for s in races}
-    assert rows(landing["meetings_metadata"]) == before["meetings_metadata"]
-    files = landing.files("driver_raw")
+    assert rows(landing.open()["meetings_metadata"]) == before["meetings_metadata"]
+    files = landing.open().files("driver_raw")
     assert {(r["session_key"], f"/batch={1 if r['session_key'] == races[0] else 2}/" in r["path"]) for r in files.collect()} == {(s, True) for s in races}
 
 
@@ -80,13 +80,13 @@ def test_records_of_no_race_and_missing_parts(spark, feeds, tmp_path):
     with pytest.raises(ValueError, match="missing"):
         landing.land({"laps": feeds["laps"]})
     assert set(landing.land({f: d for f, d in small.items() if f != "position"}).values()) == {None}
-    assert landing["position_raw"].count() == 0 and landing["driver_raw"].count() == feeds["drivers"].count()
+    assert landing.open()["position_raw"].count() == 0 and landing.open()["driver_raw"].count() == feeds["drivers"].count()
 
 
 def test_folders_of_other_races_are_not_opened(spark, feeds, tmp_path):
     landing = RaceLanding(spark, str(tmp_path / "bronze"))
     races = sorted(landing.land(feeds))
-    one = landing["telemetry_raw"].where(F.col("session_key") == races[0])
+    one = landing.open()["telemetry_raw"].where(F.col("session_key") == races[0])
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "accepted" in plan.split("PartitionFilters")[1]
     assert {f"session_key={races[0]}" in f and "accepted=true" in f for f in one.select(F.input_file_name()).distinct().toPandas().iloc[:, 0]} == {True}

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trackline.queries import track  # noqa: F401  (states position_raw for the oracle)
 from trackline.queries.registry import query
 from trackline.session import checkpoint_root
 from trackline.sources.adapter import RACE_TABLES, race_tables
@@ -48,5 +49,6 @@ def q_races_landed_whole(spark, sf_dir):
     # a folder a call: the landing is done anew each time
     landing = RaceLanding(spark, os.path.join(checkpoint_root(spark), "trackline", spark.sparkContext.applicationId, f"races-{uuid.uuid4().hex[:10]}"))
     landing.land(feeds, mode="race")
-    counts = [landing[t].groupBy("session_key").agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("table_name"), "session_key", "n") for t in _WITH_SESSION]
+    served = landing.open()
+    counts = [served[t].groupBy("session_key").agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("table_name"), "session_key", "n") for t in _WITH_SESSION]
     return reduce(lambda a, b: a.unionByName(b), counts)

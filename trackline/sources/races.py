@@ -42,8 +42,7 @@ _REJECT = "accepted boolean, session_key long, meeting_key long, _errors array<s
 
 
 class RaceLanding:
-    """Races landed under ``root``, and the bronze tables of those that are
-    served (a name -> DataFrame mapping, as ``Lakehouse`` and ``Warehouse`` take)."""
+    """Batches of races landed under ``root``."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
@@ -97,8 +96,8 @@ class RaceLanding:
         """(races of the batch, reason by refused race, reasons that refuse the
         batch).  Sessions and meetings are rows a race; the rest is file names."""
         staged = self._staged(batch)
-        sessions = self._rows(SESSIONS, F.col("batch") == batch).select("session_key", "meeting_key").distinct().collect()
-        meetings = {r[0] for r in self._rows(MEETINGS, F.col("batch") == batch).select("meeting_key").distinct().collect()}
+        sessions = _accepted(self.spark, self.root, SESSIONS, F.col("batch") == batch).select("session_key", "meeting_key").distinct().collect()
+        meetings = {r[0] for r in _accepted(self.spark, self.root, MEETINGS, F.col("batch") == batch).select("meeting_key").distinct().collect()}
         races = {r["session_key"] for r in sessions}
         refused: dict[int, str] = {}
         batch_wide: list[str] = []
@@ -149,32 +148,35 @@ class RaceLanding:
             self.spark.createDataFrame(rows, _MARKS).coalesce(1).write.mode("append").parquet(f"{self.root}/marks")
         return {s: refused.get(s) for s in sorted(races)}
 
-    # -- reading ---------------------------------------------------------
+    def open(self) -> LandedRaces:
+        """The races as they are served now; every table shows the same generation."""
+        return LandedRaces(self.spark, self.root, self.marks())
 
-    def _rows(self, table: str, where) -> DataFrame:
-        """Accepted rows with their ``batch``; conditions on folders open only theirs."""
-        rows = (self.spark.read.schema(_with_folders(table)).option("timestampNTZFormat", TS_FORMAT)
-                .option("mode", "FAILFAST").json(f"{self.root}/{table}"))
-        return rows.where(F.col("accepted") & where).select("batch", *[f.name for f in BRONZE_SCHEMAS[table].fields])
 
-    def _served(self, batch, session):
+class LandedRaces:
+    """Bronze tables of the races in ``marks`` (session -> batch): a name ->
+    DataFrame mapping, as ``Lakehouse`` and ``Warehouse`` take."""
+
+    def __init__(self, spark: SparkSession, root: str, marks: Mapping[int, int]):
+        self.spark, self.root, self.marks = spark, root, dict(marks)
+
+    def _served(self):
         """Condition that a batch serves a session."""
         by_batch: dict[int, list[int]] = {}
-        for s, b in self.marks().items():
+        for s, b in self.marks.items():
             by_batch.setdefault(b, []).append(s)
-        return reduce(lambda a, b: a | b, [(batch == b) & session.isin(sorted(ss)) for b, ss in sorted(by_batch.items())], F.lit(False))
+        return reduce(lambda a, b: a | b, [(F.col("batch") == b) & F.col("session_key").isin(sorted(ss)) for b, ss in sorted(by_batch.items())], F.lit(False))
 
     def __getitem__(self, table: str) -> DataFrame:
         if table not in BRONZE_SCHEMAS:
             raise KeyError(table)
-        if not self.marks():
+        if not self.marks:
             return self.spark.createDataFrame([], BRONZE_SCHEMAS[table])
-        served = self._served(F.col("batch"), F.col("session_key"))
         if table != MEETINGS:
-            return self._rows(table, served).drop("batch")
+            return _accepted(self.spark, self.root, table, self._served()).drop("batch")
         # a meeting comes from the newest batch that serves one of its races
-        newest = self._rows(SESSIONS, served).groupBy(F.col("meeting_key").alias("_m")).agg(F.max("batch").alias("_b"))
-        rows = self._rows(MEETINGS, F.col("batch").isin(sorted(set(self.marks().values()))))
+        newest = _accepted(self.spark, self.root, SESSIONS, self._served()).groupBy(F.col("meeting_key").alias("_m")).agg(F.max("batch").alias("_b"))
+        rows = _accepted(self.spark, self.root, MEETINGS, F.col("batch").isin(sorted(set(self.marks.values()))))
         return rows.join(newest, (F.col("meeting_key") == F.col("_m")) & (F.col("batch") == F.col("_b")), "left_semi").drop("batch")
 
     def files(self, table: str) -> DataFrame:
@@ -184,7 +186,14 @@ class RaceLanding:
                   .load(f"{self.root}/{table}"))
         at = lambda i: F.regexp_extract("path", f"/{table}/batch=([0-9]+)/accepted=true/session_key=([0-9]+)/", i).try_cast("long")
         listed = listed.select(at(2).alias("session_key"), "path", "length", "modificationTime", at(1).alias("batch"))
-        return listed.where(self._served(F.col("batch"), F.col("session_key"))).drop("batch")
+        return listed.where(self._served()).drop("batch")
+
+
+def _accepted(spark: SparkSession, root: str, table: str, where) -> DataFrame:
+    """Accepted rows with their ``batch``; conditions on folders open only theirs."""
+    rows = (spark.read.schema(_with_folders(table)).option("timestampNTZFormat", TS_FORMAT)
+            .option("mode", "FAILFAST").json(f"{root}/{table}"))
+    return rows.where(F.col("accepted") & where).select("batch", *[f.name for f in BRONZE_SCHEMAS[table].fields])
 
 
 def _with_folders(table: str):

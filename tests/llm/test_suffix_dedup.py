@@ -5,6 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from trackline.llm.queries import op1_suffix_dedup
 from trackline.llm.suffix_dedup import suffix_dedup
 
 SCHEMA = "doc_id long, text string, lang string, kept string"
@@ -73,3 +74,36 @@ def test_copies_ties_and_empty(spark):
     rows = sorted((r["doc_id"], r["n_removed"]) for r in suffix_dedup(df).collect())
     assert rows == [(1, 0), (1, 0), (2, 400), (2, 400)]
     assert suffix_dedup(df.limit(0)).count() == 0
+
+
+def test_repeated_ids_with_other_texts(spark):
+    """Rows of one id are ties where they start alike: each loses what an
+    earlier document holds, also where that is less than what they share."""
+    rng = random.Random(4)
+    word = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    head, tails = word(400), [word(300) for _ in range(6)]
+    rows = []
+    for i in range(6):
+        # the earlier document shares a part of the head, in other surroundings
+        at = 20 + 25 * i
+        rows += [(10 * i, word(50) + head[at:at + 130] + word(50)), *[(10 * i + 5, head + t) for t in tails[:i + 1]]]
+    seen, want = {}, []
+    for doc, text in sorted(rows):
+        for p in range(len(text) - 99):
+            seen[text[p:p + 100]] = min(seen.get(text[p:p + 100], (doc, p)), (doc, p))
+    for doc, text in rows:
+        gone = {q for p in range(len(text) - 99) if seen[text[p:p + 100]] < (doc, p) for q in range(p, p + 100)}
+        want.append((doc, len(gone), hashlib.sha256("".join(c for q, c in enumerate(text) if q not in gone).encode()).hexdigest()))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = suffix_dedup(df).select("doc_id", "n_removed", F.sha2("kept", 256)).collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_query_tells_the_size_of_the_whole_text(spark, tmp_path):
+    rng = random.Random(1)
+    text = "".join(rng.choice("abcdé ") for _ in range(300))
+    rows = [(1, text), (2, "x" + text), (3, None), (4, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"]) for r in op1_suffix_dedup(spark, str(tmp_path)).collect()}
+    n = len(text.encode())
+    assert got == {1: (n, 0, 0), 2: (n + 1, n, 1), 3: (0, 0, 0), 4: (0, 0, 0)}

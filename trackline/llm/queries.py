@@ -28,7 +28,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = suffix_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), length=100)
-    return d.select("doc_id", F.octet_length("kept").cast("long").alias("n_bytes"), "n_removed", "n_spans",
+    # n_bytes is the whole text's size: what was removed and what is kept
+    return d.select("doc_id", (F.octet_length("kept") + F.col("n_removed")).cast("long").alias("n_bytes"), "n_removed", "n_spans",
                     F.sha2("kept", 256).alias("kept_sha256"))
 
 

@@ -186,6 +186,8 @@ def _sorted_buckets(length: int):
             first = A.runs(key[by])
             shared = ~(first & np.append(first[1:], True))
             is_open[at[has[by[shared]]]] = True
+        # another text of the same id and start is no repeat of the earliest: it is judged like it
+        is_open |= ~new & ~later & is_open[rep]
         take = (~new & later) | is_open
         yield _intervals(np.append(doc[take], extra_doc), np.append(loc[take], extra_loc),
                          np.append(is_open[take], np.ones(len(rest), bool)), length)

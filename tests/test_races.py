@@ -90,3 +90,11 @@ def test_folders_of_other_races_are_not_opened(spark, feeds, tmp_path):
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "accepted" in plan.split("PartitionFilters")[1]
     assert {f"session_key={races[0]}" in f and "accepted=true" in f for f in one.select(F.input_file_name()).distinct().toPandas().iloc[:, 0]} == {True}
+
+
+def test_files_grow_with_the_races_and_not_with_their_drivers(spark, feeds, tmp_path):
+    landing = RaceLanding(spark, str(tmp_path / "bronze"))
+    races = landing.land(feeds)
+    for table in ("laps_raw", "telemetry_raw", "position_raw"):
+        drivers = landing.open()[table].select("session_key", "driver_number").distinct().count()
+        assert len(races) <= landing.open().files(table).count() <= 2 * len(races) < drivers, table

@@ -3,7 +3,7 @@
 A batch holds the landed lines of all feeds of any number of races.  Each feed
 is validated and written once, as NDJSON, into the batch's own folders::
 
-    <root>/<table>/batch=<n>/accepted=<true|false>/<partitions>/part-*.json
+    <root>/<table>/batch=<n>/accepted=<true|false>/<session or year>/part-*.json
 
 Rows that fail validation go to ``accepted=false`` with their line and errors.
 Which races are whole is then read off the list of staged files alone, as the
@@ -64,7 +64,8 @@ class RaceLanding:
     def _stage(self, feed: str, lines: DataFrame, batch: int) -> None:
         """Validate one feed and write it, good and bad rows, in one pass."""
         table = FEED_FILES[feed][1]
-        parts = PARTITIONS[table]
+        # a race is landed and opened as a whole: a folder a driver would be a file of few rows each
+        parts = PARTITIONS[table][:1]
         rows = validate(lines, FEED_SPECS[feed], strict=table in STRICT_TABLES)
         good = F.size("_errors") == 0
         cols = [f.name for f in BRONZE_SCHEMAS[table].fields if f.name in rows.columns]

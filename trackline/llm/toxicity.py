@@ -1,16 +1,17 @@
 """Toxicity by two class-conditional Kneser-Ney word models.
 
-Words are runs of letters and digits (A-Z lower-cased), hashed into
-2**18 bins, so that the model has a fixed size at any corpus size.  For each
+Words are runs of letters and digits (A-Z lower-cased), told apart by 64-bit
+hashes; the model grows with their number.  For each
 class c the word probability interpolates the class's own counts, less an
 absolute discount, with a backoff distribution that both classes share:
 
     P_c(w) = max(n_c(w) - D, 0) / n_c  +  D * v_c / n_c * P(w)
-    P(w)   = (k(w) + 1) / (sum of k + bins)
+    P(w)   = (k(w) + 1) / (sum of k + words + 1)
 
 n_c(w) counts w in class c, v_c the words of class c, and k(w), the
 Kneser-Ney continuation count, is the number of different words before w in
-either class (linear counting over 64 bits).  A word that a class has hardly
+either class, from the groups of all word pairs (one share is left for words
+that were not counted).  A word that a class has hardly
 seen gets its probability from the shared counts and so says little.
 
 A text scores the mean over its words of log P_1(w) - log P_0(w), the
@@ -35,17 +36,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trackline.llm import arrays as A
-from trackline.llm.common import without
+from trackline.llm.common import cut, without
 
-BITS = 18
-BINS = 1 << BITS
 DISCOUNT = 0.75
 TOP = 3
 CALIBRATE = 20_000
+# words whose pairs are counted at once in a task
+PAIRS = 1 << 20
+# terms (12 bytes a word) are held by every task up to this size
+TERM_BYTES = 24 << 20
 _U = np.uint64
 _WORDS = A.Rolling(91)
 _IN_WORD = np.zeros(256, bool)
@@ -60,32 +64,76 @@ def words(b: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Arrow map (text, label): one row per bin of the partition."""
-    n = np.zeros((2, BINS), np.int64)
-    before = np.zeros(BINS, np.uint64)
+    """Arrow map (text, label): a row per word and word before it (null: none)
+    of some PAIRS words at a time, with the words' counts by class."""
+    held: list[tuple[np.ndarray, ...]] = []
+
+    def rows() -> pa.RecordBatch:
+        w, before, first, label = (np.concatenate(x) for x in zip(*held, strict=True))
+        held.clear()
+        _, at, to = np.unique(A.mix(before * A.K1 + (w ^ A.K2)) + first, return_index=True, return_inverse=True)
+        n = [np.bincount(to[label == c], minlength=len(at)) for c in (0, 1)]
+        return pa.RecordBatch.from_arrays([pa.array(w[at].view(np.int64)), pa.array(before[at].view(np.int64), mask=first[at]), pa.array(n[0]), pa.array(n[1])],
+                                          names=["word", "before", "n0", "n1"])
+
     for batch in batches:
         data, offsets = A.utf8(batch.column(0))
         label = batch.column(1).to_numpy(zero_copy_only=False)
         for i, j in A.chunks(offsets):
-            h, row = words(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-            w = (h >> _U(64 - BITS)).astype(np.int64)
-            for c in (0, 1):
-                n[c] += np.bincount(w[label[i:j][row] == c], minlength=BINS)
-            pair = np.flatnonzero(row[1:] == row[:-1])
-            np.bitwise_or.at(before, w[pair + 1], _U(1) << (A.mix(h[pair]) & _U(63)))
-    at = np.flatnonzero(n.sum(axis=0))
-    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[0][at]), pa.array(n[1][at]), pa.array(before[at].view(np.int64))],
-                                     names=["bin", "n0", "n1", "before"])
+            w, row = words(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+            first = A.runs(row)
+            before = np.where(first, _U(0), np.append(w[:1], w[:-1]))
+            held.append((w, before, first, label[i:j][row]))
+            if sum(len(x[0]) for x in held) >= PAIRS:
+                yield rows()
+    if held:
+        yield rows()
+
+
+def _word_terms(learn: DataFrame) -> tuple[DataFrame, int, float]:
+    """((word, term) of every counted word, their number, the term of other
+    words): log P_1 - log P_0."""
+    pairs = learn.mapInArrow(_count, "word long, before long, n0 long, n1 long").groupBy("word", "before").agg(
+        F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    # a pair is one row here, so the rows with a word before it are the different ones
+    counted = cut(pairs.groupBy("word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.count("before").alias("k")), "words")
+    t = counted.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n0", "n1", "k")], F.count_if(F.col("n0") > 0).alias("v0"),
+                    F.count_if(F.col("n1") > 0).alias("v1"), F.count(F.lit(1)).alias("v")).first()
+    shared = (F.col("k") + 1) / F.lit(float(t["k"] + t["v"] + 1))
+    rest = [DISCOUNT * t[f"v{c}"] / t[f"n{c}"] if t[f"n{c}"] else 1.0 for c in (0, 1)]
+    logs = [F.log(F.greatest(F.col(f"n{c}") - DISCOUNT, F.lit(0.0)) / max(t[f"n{c}"], 1) + F.lit(rest[c]) * shared) for c in (0, 1)]
+    return counted.select("word", (logs[1] - logs[0]).alias("term")), t["v"], float(np.log(rest[1]) - np.log(rest[0]))
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow map (word, term): the bytes of both columns, a row a batch."""
+    for batch in batches:
+        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        yield pa.RecordBatch.from_arrays([pa.array([columns[0].tobytes()]), pa.array([columns[1].astype(np.float32).tobytes()])], names=["words", "terms"])
+
 
+def _held(terms: DataFrame) -> Broadcast:
+    """Words in order and their terms, sent to every executor once: the driver
+    meets them as bytes, and not as rows."""
+    got = terms.mapInArrow(_packed, "words binary, terms binary").collect()
+    words_ = np.frombuffer(b"".join(r["words"] for r in got), np.uint64)
+    values = np.frombuffer(b"".join(r["terms"] for r in got), np.float32)
+    by = np.argsort(words_)
+    return terms.sparkSession.sparkContext.broadcast((words_[by], values[by]))
 
-def _features(terms: np.ndarray):
+
+def _features(held: Broadcast, other: float):
     """Arrow map (..., text): mean and top mean of the word terms appended."""
     def one(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        hashes, terms = held.value
         rows = len(offsets) - 1
         mean, top = np.zeros(rows), np.zeros(rows)
         for i, j in A.chunks(offsets):
             h, row = words(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-            t = terms[(h >> _U(64 - BITS)).astype(np.int64)]
+            t = np.full(len(h), other)
+            if len(hashes):
+                at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+                t = np.where(hashes[at] == h, terms[at], other)
             n = np.bincount(row, minlength=j - i)
             mean[i:j] = np.bincount(row, weights=t, minlength=j - i) / np.maximum(n, 1)
             by = np.lexsort((-t, row))
@@ -102,19 +150,36 @@ def _features(terms: np.ndarray):
     return run
 
 
-def _terms(rows) -> np.ndarray:
-    """log P_1 - log P_0 of every bin."""
-    n, k = np.zeros((2, BINS)), np.zeros(BINS)
-    at = rows["bin"].to_numpy()
-    n[0, at], n[1, at] = rows["n0"].to_numpy(), rows["n1"].to_numpy()
-    ones = np.bitwise_count(rows["before"].to_numpy(np.int64).view(np.uint64)).astype(float)
-    k[at] = -64 * np.log(1 - np.minimum(ones, 63.5) / 64)
-    shared = (k + 1) / (k.sum() + BINS)
-    logs = []
-    for c in (0, 1):
-        total = max(n[c].sum(), 1)
-        logs.append(np.log(np.maximum(n[c] - DISCOUNT, 0) / total + (DISCOUNT * (n[c] > 0).sum() / total if n[c].sum() else 1.0) * shared))
-    return logs[1] - logs[0]
+def _text_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow map (x, y, text): a row per text and different word, with its count."""
+    for batch in batches:
+        data, offsets = A.utf8(batch.column(2))
+        for i, j in A.chunks(offsets):
+            h, row = words(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+            by = np.lexsort((h, row))
+            at = np.flatnonzero(A.runs(row[by], h[by]))
+            take = pa.array(i + row[by][at])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(h[by][at].view(np.int64)),
+                                              pa.array(np.diff(np.append(at, len(by))))], names=["x", "y", "word", "n"])
+
+
+def _scored(texts: DataFrame, fields: str, terms: DataFrame, held: Broadcast | None, other: float) -> DataFrame:
+    """``texts`` (whose last column is the text ``t``) with ``mean_term`` and
+    ``top_term`` instead of it; ``fields`` describes the other columns.  Terms
+    that are not ``held`` by the tasks are joined."""
+    if held is not None:
+        return texts.mapInArrow(_features(held, other), f"{fields}mean_term double, top_term double")
+    key = [F.xxhash64("t").alias("x"), F.xxhash64(F.lit(1), "t").alias("y")]
+    found = texts.select(*key, "t").groupBy("x", "y").agg(F.any_value("t").alias("t")).mapInArrow(_text_words, "x long, y long, word long, n long")
+    term = F.coalesce("term", F.lit(other))
+    found = found.join(terms, "word", "left").select("x", "y", "n", term.alias("term"))
+    highest = F.slice(F.sort_array(F.flatten(F.collect_list(F.array_repeat("term", F.least("n", F.lit(TOP)).cast("int")))), False), 1, TOP)
+    found = found.groupBy("x", "y").agg((F.sum(F.col("n") * F.col("term")) / F.sum("n")).alias("mean_term"), highest.alias("h"))
+    top = F.aggregate("h", F.lit(0.0), lambda a, b: a + b) / TOP
+    per = found.select("x", "y", "mean_term", top.alias("top_term"))
+    rest = [c for c in texts.columns if c != "t"]
+    return texts.select(*rest, *key).join(per, ["x", "y"], "left").select(
+        *rest, F.coalesce("mean_term", F.lit(0.0)).alias("mean_term"), F.coalesce("top_term", F.lit(0.0)).alias("top_term"))
 
 
 def _curve(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -139,22 +204,21 @@ def score_toxicity(docs: DataFrame, labelled: DataFrame, text_col: str = "text")
     docs = without(docs, "mean_term", "top_term", "score", "predicted")
     learn = labelled.where("label is not null and part is not null").select(
         F.coalesce("text", F.lit("")).cast("binary").alias("text"), F.col("label").cast("int").alias("label"), "part")
-    counted = (learn.where("part <> 0").select("text", "label").mapInArrow(_count, "bin long, n0 long, n1 long, before long")
-               .groupBy("bin").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.bit_or("before").alias("before")))
-    terms = _terms(counted.toPandas())
+    terms, n, other = _word_terms(learn.where("part <> 0").select("text", "label"))
+    model = terms, _held(terms) if 12 * n <= TERM_BYTES else None, other
 
     held = learn.where("part = 0")
     share = max(1, held.count() // CALIBRATE)
-    held = held.where(F.pmod(F.xxhash64("text"), F.lit(share)) == 0).select("label", "text")
-    got = held.mapInArrow(_features(terms), "label int, mean_term double, top_term double").toPandas()
+    held = held.where(F.pmod(F.xxhash64("text"), F.lit(share)) == 0).select("label", F.col("text").alias("t"))
+    got = _scored(held, "label int, ", *model).toPandas()
     x, y = got[["mean_term", "top_term"]].to_numpy(float), got["label"].to_numpy(float)
     centre, scale, w = _curve(x, y) if len(y) else (np.zeros(2), np.ones(2), np.zeros(3))
 
     plain = {c: f"c{i}" for i, c in enumerate(docs.columns)}
     inner = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in plain.items()],
                         F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary").alias("t"))
-    fields = ", ".join([*(f"{n} {docs.schema[c].dataType.simpleString()}" for c, n in plain.items()), "mean_term double, top_term double"])
-    out = inner.mapInArrow(_features(terms), fields)
+    fields = "".join(f"{n} {docs.schema[c].dataType.simpleString()}, " for c, n in plain.items())
+    out = _scored(inner, fields, *model)
     z = F.lit(float(w[2]))
     for k, c in enumerate(("mean_term", "top_term")):
         z = z + (F.col(c) - F.lit(float(centre[k]))) / F.lit(float(scale[k])) * F.lit(float(w[k]))

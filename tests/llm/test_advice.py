@@ -50,6 +50,30 @@ def test_language_sample_is_bounded_and_of_different_texts(spark):
     assert tuple(got) == (language.SAMPLE, language.SAMPLE)
 
 
+def test_language_clusters_are_fitted_on_all_texts(spark):
+    """Of 4,000 texts of a language a quarter was clustered: the centroids are
+    the scaled sums of all texts nearest to them, and each text has one."""
+    d = spark.range(4000).select(F.lit("en").alias("lang"), F.concat(F.lit("the house of "), F.conv(F.hash("id"), 10, 26)).alias("text"))
+    d = d.select("lang", F.translate("text", "0123456789", "qrstuvwxyz").alias("text")).unionByName(
+        spark.createDataFrame([("de", "das haus")], "lang string, text string")).cache()
+    one = fit(d, usable=F.col("lang") == "de")
+    assert one.langs.tolist() == ["de"]
+    old, language.STEPS = language.STEPS, 1
+    try:
+        model = fit(d)
+    finally:
+        language.STEPS = old
+    starts = language._sample(d).groupBy("lang").applyInPandas(language._starts(model.idf), "lang string, centroid binary").collect()
+    starts = np.array([np.frombuffer(c, np.float32) for x, c in sorted((r["lang"], bytes(r["centroid"])) for r in starts) if x == "en"])
+    x = language.vectors(language._text_counts([r["text"].encode() for r in d.where("lang = 'en'").collect()]), model.idf)
+    near = (x @ starts.T).argmax(axis=1)
+    sums = np.stack([x[near == k].sum(axis=0) for k in range(len(starts))])
+    want = sums / np.linalg.norm(sums, axis=1, keepdims=True)
+    assert np.allclose(model.centroids[model.langs == "en"], want, atol=1e-5)
+    floor = np.quantile((x @ want.T).max(axis=1), language.FLOOR_QUANTILE) * language.FLOOR_SHARE
+    assert abs(model.floors[model.langs == "en"][0] - floor) < 1e-3
+
+
 def test_decontamination_in_any_case_and_place(spark):
     anna = "Anna has 5 apples. Anna buys 3 more. How many does Anna have"
     mill = "Tell us how far Anna Lee walks in 12 km when she rests for 3 hours near the old mill by the river"

@@ -3,15 +3,16 @@
 A text is a vector of hashed byte trigrams of its words (letters only,
 A-Z lower-cased), weighted by 1 + log(count) and inverse document frequency
 and scaled to length one.  Each language has several centroids (spherical
-k-means over a bounded sample of its labelled texts); the language of the
+k-means over all its labelled texts); the language of the
 most similar centroid by cosine is predicted.  A text whose similarity stays
 below that language's floor, a quarter of what the least similar thousandth of
-the sample reaches, is rejected.
+its labelled texts reaches, is rejected.
 
-Document frequencies are counted over all labelled texts.  The clusters are
-fitted on ``SAMPLE`` different labelled texts a language, those whose hashes
-scatter lowest (all, where it has no more), one group a language; prediction
-reads every whole text.
+Document frequencies, clusters and floors come from all labelled texts: each
+step of k-means is one pass that adds up vectors by their nearest centroid.
+Only the texts at which clusters start are chosen among ``SAMPLE`` different
+ones a language, those whose hashes scatter lowest (all, where it has no
+more), one group a language.  Prediction reads every whole text.
 
 Defined cases: texts that are null or hold no letter are ``und`` with score
 0 and rejected; with nothing to learn from every text is ``und``; ties go to
@@ -26,6 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,7 +40,7 @@ CENTROIDS, STEPS, SAMPLE = 4, 6, 1000
 FLOOR_QUANTILE, FLOOR_SHARE = 0.001, 0.25
 LETTER = "\\p{L}"
 # rows whose counts are held at once (16 KB each, and a few copies)
-ROWS = 256
+ROWS = 64
 
 _CODE = np.zeros(256, np.uint32)
 _CODE[97:123] = _CODE[65:91] = np.arange(1, 27)
@@ -84,30 +86,81 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(np.arange(SIZE + 1)), pa.array(np.append(total, docs))], names=["bin", "n"])
 
 
-def _clusters(idf: np.ndarray):
-    """One language's sample to its centroids and similarity floor."""
+def _starts(idf: np.ndarray):
+    """One language's sample to the texts its clusters start at."""
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("h", kind="stable")
         x = np.concatenate([vectors(_text_counts(list(rows["text"][i:i + 200])), idf) for i in range(0, len(rows), 200)])
         x = x[np.linalg.norm(x, axis=1) > 0]
         if not len(x):
-            return pd.DataFrame({"lang": [], "floor": [], "centroid": []})
-        # starts: the vector farthest from the mean, then farthest from the chosen
+            return pd.DataFrame({"lang": [], "centroid": []})
+        # the vector farthest from the mean, then farthest from the chosen
         best = x @ x.mean(axis=0)
         chosen = []
         for _ in range(min(CENTROIDS, len(x))):
             chosen.append(int(best.argmin()))
             best = np.maximum(best if len(chosen) > 1 else -1, x @ x[chosen[-1]])
-        c = x[chosen]
-        for _ in range(STEPS):
-            own = (x @ c.T).argmax(axis=1)
-            sums = np.stack([x[own == k].sum(axis=0) if (own == k).any() else c[k] for k in range(len(c))])
-            c = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
-        floor = float(np.quantile((x @ c.T).max(axis=1), FLOOR_QUANTILE)) * FLOOR_SHARE
-        return pd.DataFrame({"lang": rows["lang"].iloc[0], "floor": floor, "centroid": [k.astype(np.float32).tobytes() for k in c]})
+        return pd.DataFrame({"lang": rows["lang"].iloc[0], "centroid": [k.astype(np.float32).tobytes() for k in x[chosen]]})
     return run
 
 
+def _nearest(batches: Iterator[pa.RecordBatch], idf: np.ndarray, langs: list[str], centroids: np.ndarray):
+    """Of the texts of (lang, text) that have a trigram: vectors, nearest
+    centroid of their own language, similarity to it."""
+    names = sorted(set(langs))
+    owner = np.array([names.index(x) for x in langs])
+    for batch in batches:
+        code = pc.fill_null(pc.index_in(batch.column(0), value_set=pa.array(names, batch.column(0).type)), -1).to_numpy(zero_copy_only=False)
+        data, offsets = A.utf8(batch.column(1))
+        for i, j in A.chunks(offsets, rows=ROWS):
+            v = vectors(counts(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]), idf)
+            sim = np.where(code[i:j, None] == owner, v @ centroids.T, -1)
+            some = (code[i:j] >= 0) & (v > 0).any(axis=1)
+            yield v[some], sim[some].argmax(axis=1), sim[some].max(axis=1)
+
+
+def _sums(idf: np.ndarray, langs: list[str], centroids: np.ndarray):
+    """Arrow map (lang, text): per partition, the sum of the vectors nearest to each centroid."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(centroids.shape)
+        for v, near, _ in _nearest(batches, idf, langs, centroids):
+            total += (near == np.arange(len(centroids))[:, None]).astype(np.float32) @ v
+        used = np.flatnonzero(total.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array([total[k].tobytes() for k in used], pa.binary())], names=["k", "total"])
+    return run
+
+
+def _add(rows: pd.DataFrame) -> pd.DataFrame:
+    total = np.zeros(SIZE)
+    for t in rows["total"]:
+        total += np.frombuffer(t)
+    return pd.DataFrame({"k": rows["k"].iloc[:1], "total": [total.tobytes()]})
+
+
+def _similarities(idf: np.ndarray, langs: list[str], centroids: np.ndarray):
+    """Arrow map (lang, text): nearest centroid of the own language and similarity to it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, near, sim in _nearest(batches, idf, langs, centroids):
+            yield pa.RecordBatch.from_arrays([pa.array(near), pa.array(sim.astype(np.float64).round(6))], names=["k", "sim"])
+    return run
+
+
+def _cluster(known: DataFrame, idf: np.ndarray, langs: list[str], centroids: np.ndarray) -> tuple[np.ndarray, dict[str, float]]:
+    """(centroids, floor of each language) after STEPS passes of spherical
+    k-means over all of ``known``."""
+    rows = known.select("lang", F.col("text").cast("binary").alias("text"))
+    for _ in range(STEPS):
+        sums = rows.mapInArrow(_sums(idf, langs, centroids), "k long, total binary").groupBy("k").applyInPandas(_add, "k long, total binary").collect()
+        centroids = centroids.copy()
+        for k, total in sums:
+            t = np.frombuffer(total)
+            centroids[k] = t / np.linalg.norm(t)
+    near = rows.mapInArrow(_similarities(idf, langs, centroids), "k long, sim double")
+    lang = F.element_at(F.array(*[F.lit(x) for x in langs]), (F.col("k") + 1).cast("int")).alias("lang")
+    floors = near.groupBy(lang).agg(F.percentile_approx("sim", FLOOR_QUANTILE, 100_000)).collect()
+    return centroids, {r[0]: r[1] * FLOOR_SHARE for r in floors}
+
+
 class Model:
     """Inverse document frequencies, centroids, and their languages and floors."""
 
@@ -141,9 +194,13 @@ def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", usable:
              .groupBy("bin").agg(F.sum("n")).collect())
     total = n.pop(SIZE, 0)
     idf = np.log((1 + total) / (1 + np.array([n.get(i, 0) for i in range(SIZE)], float))).astype(np.float32) + 1
-    found = _sample(known).groupBy("lang").applyInPandas(_clusters(idf), "lang string, floor double, centroid binary").collect()
+    found = _sample(known).groupBy("lang").applyInPandas(_starts(idf), "lang string, centroid binary").collect()
     found.sort(key=lambda r: (r["lang"], r["centroid"]))
-    return Model(idf, [r["lang"] for r in found], [r["floor"] for r in found], [bytes(r["centroid"]) for r in found])
+    langs = [r["lang"] for r in found]
+    if not langs:
+        return Model(idf, [], [], [])
+    centroids, floors = _cluster(known, idf, langs, np.array([np.frombuffer(r["centroid"], np.float32) for r in found]))
+    return Model(idf, langs, [floors[x] for x in langs], [c.astype(np.float32).tobytes() for c in centroids])
 
 
 def _predict(model: Model, names: list[str]):

@@ -57,6 +57,8 @@ SAMPLE_DOCS = 2000
 # (8 bytes a span, 64 a document), else the join with the texts is shuffled
 SPAN_BYTES = 64 << 20
 _U = np.uint64
+# windows that a task reduces at once (some 200 bytes each meanwhile)
+WINDOWS = 1 << 18
 # pieces of an anchor's window offsets, each with a 16-bit core fingerprint
 PIECES = 4
 _SPAN, _W1, _W2 = A.Rolling(11), A.Rolling(23), A.Rolling(37)
@@ -207,8 +209,8 @@ _INTERVAL = "doc long, tag long, lo long, hi long, open boolean"
 
 def _windows(length: int):
     """Arrow map: documents with their open spans (packed lo << 32 | hi) to
-    windows, one row per fingerprint and batch (the earliest); the later ones
-    of the batch come out as decided runs (f1 = null).
+    windows, one row per fingerprint and some WINDOWS of a batch (the
+    earliest); the later ones among them come out as decided runs (f1 = null).
 
     f1 is the core fingerprint of the window's piece, f2 that of the window:
     equal windows have both equal, and neighbours share f1, by which they are
@@ -223,7 +225,7 @@ def _windows(length: int):
             spans = batch.column(3)
             so = np.asarray(spans.offsets)
             packed = np.asarray(spans.values)
-            out = []
+            out, held = [], 0
             for i, j in A.chunks(offsets):
                 base = offsets[i]
                 b = data[base:offsets[j]]
@@ -240,20 +242,27 @@ def _windows(length: int):
                 far = np.minimum(near + piece, width) - 1
                 out.append((_W1.ranges(_W1.prefix(b), anchor - near, anchor - far + length), _W2.ranges(_W2.prefix(b), start, start + length),
                             ids[doc_row], ((start - offsets[doc_row] + base) << 31) | (tags[doc_row] << 7)))
-            if not out:
-                continue
-            f1, f2, doc, loc = (np.concatenate(x) for x in zip(*out, strict=True))
-            keep, gone_doc, gone_lo, gone_hi, gone_tag = _later(f1, f2, doc, loc, length)
-            k, m = len(keep), len(gone_doc)
-            none = np.zeros(m, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.append(f1[keep].view(np.int64), none), mask=np.arange(k + m) >= k),
-                 pa.array(np.append(f2[keep].view(np.int64), gone_hi)),
-                 pa.array(np.append(doc[keep], gone_doc)),
-                 pa.array(np.append(loc[keep], (gone_lo << 31) | (gone_tag << 7)))], names=["f1", "f2", "doc", "loc"])
+                held += len(start)
+                if held >= WINDOWS:
+                    yield _reduced(out, length)
+                    out, held = [], 0
+            if out:
+                yield _reduced(out, length)
     return run
 
 
+def _reduced(out: list, length: int) -> pa.RecordBatch:
+    f1, f2, doc, loc = (np.concatenate(x) for x in zip(*out, strict=True))
+    keep, gone_doc, gone_lo, gone_hi, gone_tag = _later(f1, f2, doc, loc, length)
+    k, m = len(keep), len(gone_doc)
+    none = np.zeros(m, np.int64)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.append(f1[keep].view(np.int64), none), mask=np.arange(k + m) >= k),
+         pa.array(np.append(f2[keep].view(np.int64), gone_hi)),
+         pa.array(np.append(doc[keep], gone_doc)),
+         pa.array(np.append(loc[keep], (gone_lo << 31) | (gone_tag << 7)))], names=["f1", "f2", "doc", "loc"])
+
+
 def _later(f1, f2, doc, loc, length):
     """Rows that are first of their fingerprint (by document and start), and
     the other rows merged into runs of covered bytes."""

@@ -49,3 +49,16 @@ def test_leaderboard_rank_equals_window(spark):
     a = group_rank(laps, ["session_key"], "lap_duration", "rk")
     b = laps.withColumn("rk", F.rank().over(Window.partitionBy("session_key").orderBy("lap_duration")).cast("bigint"))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_feeds_derived_from_laps_read_the_written_table(spark, tmp_path):
+    """Stints and pits computed the lap numbers anew from the events."""
+    from trackline.plans.materialize import Lakehouse
+    from trackline.sources.adapter import race_tables
+
+    house = Lakehouse(spark, race_tables(spark, SF_SMALL), str(tmp_path))
+    house["stints_raw"], house["pits_raw"]
+    for name in ("stints_raw", "pits_raw"):
+        files = house.source[name].inputFiles()
+        assert files and all("/bronze/laps_raw/" in f for f in files), name
+        assert rows(house[name]) == rows(race_tables(spark, SF_SMALL)[name])

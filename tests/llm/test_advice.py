@@ -10,7 +10,7 @@ from trackline.llm import language
 from trackline.llm.chat import END, START, format_chats
 from trackline.llm.decontaminate import find_contamination
 from trackline.llm.language import fit, identify
-from trackline.llm.licenses import TEMPLATES, scan_licenses
+from trackline.llm.licenses import TEMPLATES, _lines, _scored, _training, own_lines, scan_licenses
 
 
 def test_chat_end_alone_is_escaped(spark):
@@ -120,3 +120,23 @@ def test_licenses_of_any_wrapping_and_copies(spark):
     assert {r["doc_id"]: (r["licenses"], r["n_license_paragraphs"]) for r in got.collect()} == {
         1: (["BSD"], 1), 2: (["BSD"], 1), 3: (["CC0", "MIT"], 2), 4: (["CC0", "MIT"], 2), 5: ([], 0), 6: ([], 0), 7: ([], 0), None: (["CC0", "MIT"], 2)}
     assert scan_licenses(d.limit(0)).count() == 0
+
+
+def test_licences_are_calibrated_by_all_lines(spark):
+    """Some 20,000 different lines were taken, of as many different texts."""
+    own = _scored(spark.range(60_000).select(F.split(F.concat(F.lit("under the w"), F.col("id").cast("string")), " ").alias("words")))
+    rows = _training(spark, own, 80).where(F.size("words") == 3).where("words[2] like 'w%'")
+    assert rows.agg(F.count(F.lit(1)), F.count_distinct("words"), F.count_if("held")).first() == (60_000, 60_000, 60_000)
+
+
+def test_licences_in_long_runs_without_words(spark):
+    text = "-\n" * 100_000 + TEMPLATES["MIT"][0] + "\nrem " * 20_000
+    assert [r["licenses"] for r in scan_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()] == [["MIT"]]
+
+
+def test_own_lines_are_those_with_a_bigram(spark):
+    texts = ["Under  the\nunder\nthe", "xunder the", "under thex", "UNDER-THE\r\n\n# of. the #", "\u212aind of the", "\u0130s of\u0130the", "", None, "under\tthe\n" * 3, "\n\n--\nto the end"]
+    t = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "k long, t string")
+    want = _scored(_lines(t).select("words")).select("words", "f0", "f5").distinct()
+    got = own_lines(t).select("words", "f0", "f5").distinct()
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() >= 4

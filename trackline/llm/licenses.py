@@ -8,12 +8,10 @@ length, on both sides.  It counts only where none of its block's lines alone nam
 block.  Features are the word unigrams and
 bigrams (A-Z lower-cased runs of letters and digits) of a vocabulary taken
 from the templates, as presence.  A multinomial logistic regression over the
-licence families and an ``unknown`` class is trained on the templates, their
-parts, and a sample of the corpus's own different lines (at most some ``SAMPLE``
-of those with a vocabulary bigram, from ``SAMPLE`` different texts): those that
-hold no half of a template teach ``unknown``, those that hold a template its
-family.  The unknown class is calibrated: a prediction counts only above the
-highest family probability that the held-out unknown paragraphs reach (a
+licence families and an ``unknown`` class is trained on the templates and, as
+``unknown``, parts of them.  It is calibrated by all of the corpus's own
+different lines that have a vocabulary bigram but hold no half of a template: a
+prediction counts only above the highest family probability that they reach (a
 quantile), and at least at one half.  A counted prediction is confirmed when
 the paragraph holds at least ``percent`` percent of the bigrams of one of
 that family's templates, and no larger part of another family's.
@@ -23,8 +21,9 @@ Only texts that can hold a confirmed paragraph are split and scored: one with
 ``_anchors`` lists, so it holds one of these.  That leaves results whole.  Each
 different text (by 128 bits of hashes) that is left is scanned once.
 
-Everything is DataFrame operations: SQL functions for the features, and the
-DataFrame API of pyspark.ml for fitting and applying the regression.
+Everything is DataFrame operations: Arrow's text functions pick the lines that
+hold a vocabulary bigram, SQL functions make the features, and the DataFrame API
+of pyspark.ml fits and applies the regression.
 
 Defined cases: null and empty texts hold no licence; repeated paragraphs
 count each; several families in a text are all reported; rows with null ids
@@ -35,8 +34,11 @@ as a result are replaced.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
@@ -45,8 +47,8 @@ from pyspark.sql import functions as F
 
 from trackline.llm.common import cut, free_name, without
 
-# different texts, and different lines of them, that teach and calibrate "unknown"
-SAMPLE = 20_000
+# texts are searched for lines in slices of this many characters or so
+SLICE = 1 << 24
 QUANTILE = 0.999
 UNKNOWN = "unknown"
 SALTS = 16
@@ -132,14 +134,15 @@ def _scored(p: DataFrame) -> DataFrame:
 
 def _lines(texts: DataFrame) -> DataFrame:
     """(k, b, block, words) of the lines of ``texts`` (k, t)."""
-    blocks = texts.select("k", F.posexplode(F.split("t", "\\n(?:[^\\p{L}\\p{N}\\n]*\\n)+")).alias("b", "block"))
+    blocks = texts.select("k", F.posexplode(F.split("t", "\\n(?:[^\\p{L}\\p{N}\\n]*+\\n)++")).alias("b", "block"))
     return blocks.select("k", "b", "block", F.explode(F.split("block", "\\n")).alias("paragraph")).select("k", "b", "block", words_of(F.col("paragraph")).alias("words"))
 
 
 def holding(texts: DataFrame, percent: int) -> DataFrame:
     """Each different text of ``texts`` (k, t) that holds one of the word
     pairs of ``_anchors``, whatever stands between the two words."""
-    plain = F.concat(F.lit(" "), F.regexp_replace(F.lower("t"), "(?:\\n[ \\t]*(?:dnl|rem)[ \\t]|[^a-z0-9])+", " "), F.lit(" "))
+    # possessive here and below: other repeated groups overflow the stack on long runs
+    plain = F.concat(F.lit(" "), F.regexp_replace(F.lower("t"), "(?:\\n[ \\t]*(?:dnl|rem)[ \\t]|[^a-z0-9])++", " "), F.lit(" "))
     p = texts.select("k", "t", F.explode(F.array(plain)).alias("plain"))
     some = reduce(lambda a, b: a | b, [F.contains("plain", F.lit(f" {pair} ")) for pair in sorted(_anchors(percent))])
     return p.where(some).groupBy("k").agg(F.first("t").alias("t"))
@@ -155,7 +158,7 @@ def candidates(texts: DataFrame, percent: int) -> DataFrame:
     anchors = _anchors(percent)
     places = F.create_map(*[c for pair, at in sorted(anchors.items()) for c in (
         F.lit(pair), F.array(*[F.struct(F.lit(q).alias("q"), F.lit(n).alias("n")) for q, n in sorted(set(at))]))])
-    blocks = texts.select("k", F.posexplode(F.split("t", "\\n(?:[^\\p{L}\\p{N}\\n]*\\n)+")).alias("b", "block")).where(F.contains("block", F.lit("\n")))
+    blocks = texts.select("k", F.posexplode(F.split("t", "\\n(?:[^\\p{L}\\p{N}\\n]*+\\n)++")).alias("b", "block")).where(F.contains("block", F.lit("\n")))
     words = words_of(F.regexp_replace("block", "(?mi)^[ \\t]*(?:dnl|rem)[ \\t]", " "))
     blocks = blocks.select("k", "b", F.explode(F.array(words)).alias("w")).where(F.size("w") > 1)
     at = blocks.select("k", "b", "w", F.posexplode(bigrams_of(F.col("w"))).alias("p", "pair"))
@@ -169,9 +172,35 @@ def candidates(texts: DataFrame, percent: int) -> DataFrame:
     return single.unionByName(wide)
 
 
+def _telling(pairs: list[str]):
+    """Lines that hold one of the word pairs, of batches of lower-cased texts
+    (a slice's equal ones once)."""
+    pattern = "(?:^|[^a-z0-9])(?:" + "|".join(p.replace(" ", "[^a-z0-9]+") for p in pairs) + ")(?:$|[^a-z0-9])"
+
+    def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            step = max(1, batch.num_rows * SLICE // max(SLICE, batch.nbytes))
+            for at in range(0, batch.num_rows, step):
+                # a slice's lines may have more bytes than 32-bit offsets reach
+                texts = batch.column(0).slice(at, step).cast(pa.large_string())
+                lines = pc.list_flatten(pc.split_pattern(texts, "\n"))
+                lines = pc.unique(lines.filter(pc.match_substring_regex(lines, pattern))).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([lines], names=["line"])
+    return find
+
+
+def own_lines(texts: DataFrame) -> DataFrame:
+    """All lines of ``texts`` (t) that hold a vocabulary bigram, each once or
+    more, as ``_scored`` describes them."""
+    pairs = sorted({b for group in TEMPLATES.values() for t in group for b in _bigrams(t)})
+    lines = texts.select(F.lower("t").alias("t")).where("t is not null").mapInArrow(_telling(pairs), "line string")
+    return _scored(lines.select(words_of(F.col("line")).alias("words")))
+
+
 def _training(spark: SparkSession, own: DataFrame, percent: int) -> DataFrame:
-    """(words, bigrams, label, held) of templates, template parts and the
-    corpus's own lines in ``own``, at most some SAMPLE of them."""
+    """(words, bigrams, label, held) of templates and template parts, to learn
+    from, and of the corpus's own different lines in ``own`` that hold no half
+    of a template nor ``percent`` percent, held out to calibrate by."""
     families = list(TEMPLATES)
     rows = []
     for i, f in enumerate(families):
@@ -185,12 +214,8 @@ def _training(spark: SparkSession, own: DataFrame, percent: int) -> DataFrame:
     fixed = fixed.withColumn("i", F.explode(F.sequence(F.lit(1), F.col("n"))))
     fixed = fixed.withColumn("words", words_of(F.col("paragraph"))).withColumn("bigrams", bigrams_of(F.col("words")))
     best = F.greatest(*[F.col(f"f{i}") for i in range(len(families))])
-    shares = F.array(*[F.col(f"f{i}") for i in range(len(families))])
-    label = F.when(best >= percent / 100, F.array_position(shares, best).cast("double") - 1).when(best < 0.5, float(len(families)))
-    own = own.withColumn("label", label).where("label is not null").withColumn("h", F.xxhash64("words"))
-    own = cut(own.dropDuplicates(["h"]).select("words", "bigrams", "label", "h"), "own-lines")
-    share = max(1, -(-own.count() // SAMPLE))
-    own = own.where(F.pmod("h", F.lit(share)) == 0).withColumn("h", F.floor(F.col("h") / share)).select("words", "bigrams", "label", (F.pmod("h", F.lit(4)) == 0).alias("held"))
+    own = own.where(best < min(0.5, percent / 100)).withColumn("h", F.xxhash64("words")).dropDuplicates(["h"])
+    own = own.select("words", "bigrams", F.lit(float(len(families))).alias("label"), F.lit(True).alias("held"))
     return fixed.select("words", "bigrams", "label", F.lit(False).alias("held")).unionByName(own)
 
 
@@ -207,16 +232,12 @@ def scan_licenses(docs: DataFrame, text_col: str = "text", percent: int = 80) ->
     vocabulary = CountVectorizerModel.from_vocabulary(_vocabulary(), inputCol="grams", outputCol="features")
     vocabulary.setBinary(True)
     features = lambda d: vocabulary.transform(d.withColumn("grams", F.concat("words", "bigrams")))
-    # lines of some SAMPLE different texts teach what is no licence
-    share = max(1, -(-keyed.agg(F.approx_count_distinct("k.x")).first()[0] // SAMPLE))
-    some = keyed.where(F.pmod("k.x", F.lit(share)) == 0).groupBy("k").agg(F.first("t").alias("t"))
-    lines = _scored(_lines(some).select("words")).unionByName(found.where("not wide").drop("k", "b", "wide"))
-    training = cut(_training(spark, lines, percent), "training")
+    training = cut(_training(spark, own_lines(keyed), percent), "training")
     model = LogisticRegression(family="multinomial", maxIter=40, regParam=0.001).fit(features(training.where("not held")))
     # calibration: what the unknown class's held-out paragraphs reach for a family
     probs = vector_to_array("probability")
     known = F.array_max(F.slice(probs, 1, len(families)))
-    held = model.transform(features(training.where("held"))).where(F.col("label") == float(len(families)))
+    held = model.transform(features(training.where("held")))
     level = held.agg(F.percentile_approx(known, QUANTILE, 10000)).first()[0]
     level = min(0.95, max(0.5, level or 0.0))
 

@@ -322,3 +322,22 @@ def test_buckets_of_a_very_large_key_are_thinned(spark):
     cuts = depth_cuts(df, ["k"], "o", 1).first()[CUTS]
     assert len(cuts) == MAX_CUTS and cuts == sorted(set(cuts))
     assert max(r["n"] for r in _bucket_sizes(df, 1)) <= 6
+
+
+def test_keys_without_cuts_cost_nothing(spark):
+    """Every key had a row in the table of cuts, and a summary to be joined."""
+    from trackline.operators.depth import CUTS, depth_cuts
+    from trackline.operators.ordered import ordered_window
+    small = spark.range(3000).select((F.col("id") % 1000).alias("k"), F.col("id").alias("o"), (F.col("id") % 7).alias("v"))
+    hot = spark.range(60000).select(F.lit(5000).cast("long").alias("k"), F.col("id").alias("o"), (F.col("id") % 7).alias("v"))
+    odd = spark.createDataFrame([(1, None, 3), (None, None, 4), (None, 7, 1), (5000, None, 2)], "k long, o long, v long")
+    df = small.unionByName(hot).unionByName(odd)
+    cuts = depth_cuts(df, ["k"], "o", 4096)
+    assert cuts.where(F.size(CUTS) == 0).isEmpty() and cuts.count() < 20 and not cuts.where("k = 5000").isEmpty()
+    how = {"lags": [("v", 1, "a"), ("v", 2, "b")], "leads": [("v", "c")], "running_sum": [("v", "d")], "running_min": [("v", "e")], "row_number": "f", "avg_last3": [("v", "g")]}
+    for d in (df, small.unionByName(odd.limit(3))):
+        assert rows(ordered_window(d, ["k"], "o", **how)) == rows(ordered_window(d, ["k"], "o", strategy="plain", **how))
+        assert rows(group_rank(d, ["k"], "v", "r")) == rows(_plain_rank(d, ["k"], "v", "r"))
+        assert rows(group_rank(d, ["k"], "o", "r")) == rows(_plain_rank(d, ["k"], "o", "r"))
+        t = d.select("k", F.timestamp_seconds("o").alias("at"), F.when(F.col("v") == 3, F.col("o")).alias("v"))
+        assert rows(asof_fill(t, ["k"], "at", None, ["v"], density=t.select("k", "at"))) == rows(asof_fill_plain(t, ["k"], "at", None, ["v"]))

@@ -40,7 +40,7 @@ def legs(readings: DataFrame, keys: Sequence[str], ts: str, speed: str, strategy
     r = readings.where(F.col(ts).isNotNull() & F.col(speed).isNotNull()).select(*keys, epoch_micros(ts).alias("start_us"), F.col(speed).cast("bigint").alias("_v"))
     r = r.groupBy(*keys, "start_us").agg(F.max("_v").alias("_v"))
     bucket = "_readings" if strategy == "split" else None
-    r = with_buckets(r, keys, "start_us", bucket) if bucket else r
+    r = with_buckets(r, keys, "start_us", bucket, whole=True) if bucket else r
     r = ordered_window(r, keys, "start_us", leads=[("start_us", "end_us"), ("_v", "_next")], strategy=strategy, bucket=bucket).where("end_us is not null")
     r = r.withColumn("length", (F.col("_v") + F.col("_next")) * (F.col("end_us") - F.col("start_us")))
     r = ordered_window(r, keys, "start_us", running_sum=[("length", "_end_d")], strategy=strategy, bucket=bucket)

@@ -14,6 +14,7 @@ from trackline.operators.geometry import nearest_mark, resample, with_corners
 from trackline.operators.ordered import ordered_window, with_buckets
 from trackline.operators.travel import METRE, between, crossings, legs
 from trackline.plans.silver import DRIVER_KEYS, lap_boundaries
+from trackline.session import checkpoint_root
 
 # driving style: a press of the pedal by this much at once, and the bands of
 # throttle and of lap rates (per cent) that histograms count
@@ -35,6 +36,13 @@ def located(samples: DataFrame, circuits: DataFrame) -> DataFrame:
     return have.join(circuits, "session_key")
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """``df``, a few rows a circuit, computed once (in the shared checkpoint
+    folder) for all that reads it."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint()
+
+
 def circuit_marks(points: DataFrame, marks: int = 200, min_points: int = 5, min_turn: float = math.pi / 6, reach: int = 5) -> DataFrame:
     """The line of each circuit, resampled and with corners: that of its
     fastest lap (ties: session, driver, lap) with at least ``min_points``
@@ -43,9 +51,9 @@ def circuit_marks(points: DataFrame, marks: int = 200, min_points: int = 5, min_
     lap = [*DRIVER_KEYS, "lap_number"]
     readings = timed.select("circuit_key", *lap, "lap_duration", "telemetry_timestamp", "x", "y").distinct()
     laps = readings.groupBy("circuit_key", *lap, "lap_duration").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_points)
-    best = laps.groupBy("circuit_key").agg(F.min(F.struct("lap_duration", *lap)).alias("b")).select("circuit_key", "b.*")
+    best = _kept(laps.groupBy("circuit_key").agg(F.min(F.struct("lap_duration", *lap)).alias("b")).select("circuit_key", "b.*"))
     line = readings.join(per_key_side(best, best.count()), ["circuit_key", *lap, "lap_duration"], "left_semi")
-    return with_corners(resample(line, "circuit_key", ["telemetry_timestamp", "x", "y"], marks), "circuit_key", min_turn, reach)
+    return _kept(with_corners(resample(line, "circuit_key", ["telemetry_timestamp", "x", "y"], marks), "circuit_key", min_turn, reach))
 
 
 def corner_v_min(samples: DataFrame, sessions: DataFrame, meetings: DataFrame, **line) -> DataFrame:
@@ -133,7 +141,7 @@ def position_changes(positions: DataFrame, strategy: str = "split") -> DataFrame
     several readings at one instant the best position counts."""
     p = positions.where("date is not null and position is not null").groupBy(*DRIVER_KEYS, epoch_micros("date").alias("_us")).agg(F.min("position").alias("position"))
     bucket = "_readings" if strategy == "split" else None
-    p = with_buckets(p, DRIVER_KEYS, "_us", bucket) if bucket else p
+    p = with_buckets(p, DRIVER_KEYS, "_us", bucket, whole=True) if bucket else p
     p = ordered_window(p, DRIVER_KEYS, "_us", lags=[("position", 1, "_before")], strategy=strategy, bucket=bucket)
     new = F.when(F.col("_before").isNull() | (F.col("_before") != F.col("position")), 1).otherwise(0)
     p = ordered_window(p.withColumn("_new", new), DRIVER_KEYS, "_us", running_sum=[("_new", "_run")], strategy=strategy, bucket=bucket)

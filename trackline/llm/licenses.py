@@ -21,9 +21,8 @@ Only texts that can hold a confirmed paragraph are split and scored: one with
 ``_anchors`` lists, so it holds one of these.  That leaves results whole.  Each
 different text (by 128 bits of hashes) that is left is scanned once.
 
-Everything is DataFrame operations: Arrow's text functions pick the lines that
-hold a vocabulary bigram, SQL functions make the features, and the DataFrame API
-of pyspark.ml fits and applies the regression.
+Everything is DataFrame operations: SQL functions for the features, and the
+DataFrame API of pyspark.ml for fitting and applying the regression.
 
 Defined cases: null and empty texts hold no licence; repeated paragraphs
 count each; several families in a text are all reported; rows with null ids
@@ -34,11 +33,8 @@ as a result are replaced.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
 from functools import reduce
 
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
@@ -47,8 +43,6 @@ from pyspark.sql import functions as F
 
 from trackline.llm.common import cut, free_name, without
 
-# texts are searched for lines in slices of this many characters or so
-SLICE = 1 << 24
 QUANTILE = 0.999
 UNKNOWN = "unknown"
 SALTS = 16
@@ -172,29 +166,24 @@ def candidates(texts: DataFrame, percent: int) -> DataFrame:
     return single.unionByName(wide)
 
 
-def _telling(pairs: list[str]):
-    """Lines that hold one of the word pairs, of batches of lower-cased texts
-    (a slice's equal ones once)."""
-    pattern = "(?:^|[^a-z0-9])(?:" + "|".join(p.replace(" ", "[^a-z0-9]+") for p in pairs) + ")(?:$|[^a-z0-9])"
-
-    def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            step = max(1, batch.num_rows * SLICE // max(SLICE, batch.nbytes))
-            for at in range(0, batch.num_rows, step):
-                # a slice's lines may have more bytes than 32-bit offsets reach
-                texts = batch.column(0).slice(at, step).cast(pa.large_string())
-                lines = pc.list_flatten(pc.split_pattern(texts, "\n"))
-                lines = pc.unique(lines.filter(pc.match_substring_regex(lines, pattern))).cast(pa.string())
-                yield pa.RecordBatch.from_arrays([lines], names=["line"])
-    return find
+def _any_of(pairs: list[str]) -> str:
+    """Pattern of any of the word pairs, whatever stands between the words; what
+    pairs begin with alike is tried once."""
+    def alike(tails: list[str]) -> str:
+        if tails == [""]:
+            return "(?![a-z0-9])"
+        heads = sorted({t[:1] for t in tails})
+        ways = [("[^a-z0-9]+" if h == " " else h) + alike(sorted(t[1:] for t in tails if t[:1] == h)) if h else "(?![a-z0-9])" for h in heads]
+        return ways[0] if len(ways) == 1 else "(?:" + "|".join(ways) + ")"
+    return "(?<![a-z0-9])" + alike(sorted(set(pairs)))
 
 
 def own_lines(texts: DataFrame) -> DataFrame:
-    """All lines of ``texts`` (t) that hold a vocabulary bigram, each once or
-    more, as ``_scored`` describes them."""
+    """All lines of ``texts`` (t) that hold a vocabulary bigram, as ``_scored``
+    describes them."""
     pairs = sorted({b for group in TEMPLATES.values() for t in group for b in _bigrams(t)})
-    lines = texts.select(F.lower("t").alias("t")).where("t is not null").mapInArrow(_telling(pairs), "line string")
-    return _scored(lines.select(words_of(F.col("line")).alias("words")))
+    lines = texts.select(F.explode(F.split(F.lower("t"), "\n")).alias("line"))
+    return _scored(lines.where(F.col("line").rlike(_any_of(pairs))).select(words_of(F.col("line")).alias("words")))
 
 
 def _training(spark: SparkSession, own: DataFrame, percent: int) -> DataFrame:

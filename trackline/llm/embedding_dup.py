@@ -6,9 +6,14 @@ pairs of at least ``cosine`` are links.
 * Equal vectors of a label are one class with its smallest id; copies are
   never expanded into pairs.
 * Each label's classes are cut into overlapping shards: every vector belongs
-  to the shards of its two nearest centroids (k-means on a bounded sample).
-  A shard beyond BLOCK rows is cut into blocks, and each pair of blocks is a
-  shard of its own, so a dense region is neither one task nor incomplete.
+  to the shards of its two nearest centroids.  They come from k-means on a
+  sample, at most FAN in one task: a label that needs more gets a tree of
+  them, fitted level by level, and its vectors look for their nearest leaves
+  below the WIDE nearest nodes of a level.  A label of at most SHARD classes
+  is one shard and needs none.
+  A shard beyond BLOCK rows is cut into blocks, and each pair of blocks (at
+  most some BLOCK rows) is a shard of its own, so a dense region is neither
+  one task nor incomplete.
 * In each shard a flat graph is built from a random one by two passes of
   batched greedy search and robust pruning (alpha 1.0, then ALPHA), with
   backward edges.  The adjacency lists of a vector from all its shards are
@@ -20,6 +25,10 @@ pairs of at least ``cosine`` are links.
   one is in range.
 * Found pairs are verified exactly, so none below the threshold is linked.
 
+A task holds one shard's vectors and their similarities (BLOCK x BLOCK
+doubles); searches, candidates and found pairs are worked on in pieces of at
+most PIECE numbers, whatever the table's size or a shard's density.
+
 ``audit_recall`` compares the links of the vectors whose id is divisible by
 a number with brute force against all vectors.
 
@@ -35,112 +44,238 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackline.llm.common import components, cut
+from trackline.llm.arrays import chunks, ranges, runs
+from trackline.llm.common import checked_broadcast, components, cut
 
 SHARD, BLOCK, SAMPLE_PER_CENTROID = 800, 3000, 16
 DEGREE, BEAM, ALPHA = 24, 40, 1.2
 ASSIGN = 2
+# centroids that one task fits; nodes of a level below which a vector looks on
+FAN, WIDE = 256, 8
+# numbers in one working array
+PIECE = 1 << 21
+
+# node -> (centroids, of each: the leaf's shard or -1, of each: the next node or -1)
+Tree = dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
+
+
+def _different(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[runs(values)]
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _centroids(rows: pd.DataFrame) -> pd.DataFrame:
-    """One (label, dim) sample to its centroids."""
-    rows = rows.sort_values("h", kind="stable")
-    x = _unit(np.stack(rows["v"].to_numpy())).astype(np.float32)
-    k = int(rows["k"].iloc[0])
-    c = x[np.linspace(0, len(x) - 1, k).astype(int)]
-    for _ in range(8):
-        own = (x @ c.T).argmax(axis=1)
-        sums = np.stack([x[own == i].sum(axis=0) if (own == i).any() else c[i] for i in range(k)])
-        c = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
-    return pd.DataFrame({"label": rows["label"].iloc[0], "dim": rows["dim"].iloc[0], "c": list(c.astype(np.float64))})
+def _matrix(column: pa.Array) -> np.ndarray:
+    """Rows of a list column whose lists are of one length."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def _fit(fan: int):
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One node's sample to its centroids, each with the number of leaves it is to have."""
+        rows = pa.Table.from_batches(list(batches)).combine_chunks()
+        order = np.argsort(rows["h"].to_numpy(), kind="stable")
+        x = _unit(_matrix(rows["v"].combine_chunks())[order]).astype(np.float32)
+        want = int(rows["k"][0].as_py())
+        k = min(want, fan, len(x))
+        c = x[np.linspace(0, len(x) - 1, k).astype(int)]
+        for _ in range(8):
+            own = (x @ c.T).argmax(axis=1)
+            sums = np.stack([x[own == i].sum(axis=0) if (own == i).any() else c[i] for i in range(k)])
+            c = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
+        if want > fan:
+            share = np.bincount((x @ c.T).argmax(axis=1), minlength=k) / len(x)
+            # at most half of them below one node: a level never repeats itself
+            leaves = np.clip(np.rint(share * want), 1, want // 2).astype(np.int64)
+        else:
+            leaves = np.ones(k, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array([v.as_py()] * k, f) for v, f in zip(key, (pa.string(), pa.int32(), pa.int64()), strict=True)]
+                                         + [pa.array([r.tobytes() for r in c.astype(np.float64)], pa.binary()), pa.array(leaves)],
+                                         names=["label", "dim", "node", "c", "k"])
+    return run
 
 
-def _assign(centroids: dict):
+def _firsts(rows: np.ndarray, sims: np.ndarray, n: int) -> np.ndarray:
+    """Places of each row's ``n`` largest ``sims``, by row and from the largest on."""
+    order = np.lexsort((-sims, rows))
+    r = rows[order]
+    return order[np.arange(len(r)) - np.searchsorted(r, r) < n]
+
+
+def _nearest(x: np.ndarray, tree: Tree) -> tuple[np.ndarray, np.ndarray]:
+    """(row, shard) of the ASSIGN nearest leaves of each row, by row."""
+    rows, nodes = np.arange(len(x)), np.zeros(len(x), np.int64)
+    found: list[list[np.ndarray]] = [[], [], []]
+    while len(rows):
+        below: list[list[np.ndarray]] = [[], [], []]
+        by = np.argsort(nodes, kind="stable")
+        for at in np.split(rows[by], np.flatnonzero(np.diff(nodes[by])) + 1):
+            c, leaf, down = tree[int(nodes[by[0]])]
+            by = by[len(at):]
+            sim = x[at] @ c.T
+            near = np.argsort(-sim, axis=1, kind="stable")[:, :WIDE]
+            r, s, near = np.repeat(at, near.shape[1]), np.take_along_axis(sim, near, 1).ravel(), near.ravel()
+            for to, ids in ((found, leaf[near]), (below, down[near])):
+                ok = ids >= 0
+                for part, values in zip(to, (r[ok], ids[ok], s[ok]), strict=True):
+                    part.append(values)
+        r, ids, s = (np.concatenate(p) for p in below)
+        keep = _firsts(r, s, WIDE)
+        rows, nodes = r[keep], ids[keep]
+    r, ids, s = (np.concatenate(p) for p in found)
+    keep = _firsts(r, s, ASSIGN)
+    return r[keep], ids[keep]
+
+
+def _by_key(batch: pa.RecordBatch) -> Iterator[tuple[tuple, np.ndarray]]:
+    """((label, dim), rows) of a batch's first columns ``label`` and ``dim``, a piece of the vectors at a time."""
+    label = batch.column("label").dictionary_encode()
+    codes, dim = label.indices.to_numpy(), batch.column("dim").to_numpy()
+    order = np.lexsort((dim, codes))
+    c, d = codes[order], dim[order]
+    for at in np.split(order, np.flatnonzero((c[1:] != c[:-1]) | (d[1:] != d[:-1])) + 1):
+        if len(at):
+            key = (label.dictionary[int(codes[at[0]])].as_py(), int(dim[at[0]]))
+            step = max(1, PIECE // 4 // max(key[1], FAN))
+            for i in range(0, len(at), step):
+                yield key, at[i:i + step]
+
+
+def _vectors(batch: pa.RecordBatch, rows: np.ndarray) -> np.ndarray:
+    return _unit(_matrix(batch.column("v").take(pa.array(rows))))
+
+
+def _descend(trees: dict[tuple, Tree], k: dict[tuple, np.ndarray]):
+    """Arrow map of a sample: its rows below the new nodes, each with its node and the leaves wanted there."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node, to, want = batch.column("node").to_numpy(), np.full(len(batch), -1), np.zeros(len(batch), np.int64)
+            for key, at in _by_key(batch):
+                for n in np.unique(node[at]):
+                    own = at[node[at] == n]
+                    c, _, down = trees.get(key, {}).get(int(n), (None, None, None))
+                    if c is not None:
+                        to[own] = down[(_vectors(batch, own) @ c.T).argmax(axis=1)]
+                ok = at[to[at] >= 0]
+                want[ok] = k[key][to[ok]]
+            ok = pa.array(np.flatnonzero(to >= 0))
+            out = batch.set_column(batch.schema.get_field_index("node"), "node", pa.array(to))
+            yield out.set_column(out.schema.get_field_index("k"), "k", pa.array(want)).take(ok)
+    return run
+
+
+def _assign(trees: dict[tuple, Tree]):
     """Arrow map (id, label, dim, v): one row per shard of the vector."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, label, dim = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-            values, offs = np.asarray(batch.column(3).values), np.asarray(batch.column(3).offsets)
             rows, shards = [], []
-            for key in {*zip(label.tolist(), dim.tolist(), strict=True)}:
-                at = np.flatnonzero((label == key[0]) & (dim == key[1]))
-                x = _unit(values[offs[at][:, None] + np.arange(key[1])])
-                sim = x @ centroids[key].T
-                near = np.argsort(-sim, axis=1, kind="stable")[:, :ASSIGN]
-                rows.append(np.repeat(at, near.shape[1]))
-                shards.append(near.ravel())
+            for key, at in _by_key(batch):
+                if key in trees:
+                    r, own = _nearest(_vectors(batch, at), trees[key])
+                    rows.append(at[r])
+                    shards.append(own)
+                else:
+                    rows.append(at)
+                    shards.append(np.zeros(len(at), np.int64))
             if rows:
-                r = np.concatenate(rows)
-                take = batch.take(pa.array(r))
-                yield pa.RecordBatch.from_arrays([*take.columns, pa.array(np.concatenate(shards).astype(np.int64))],
-                                                 names=["id", "label", "dim", "v", "shard"])
+                out = batch.take(pa.array(np.concatenate(rows)))
+                yield pa.RecordBatch.from_arrays([*out.columns, pa.array(np.concatenate(shards))], names=["id", "label", "dim", "v", "shard"])
     return run
 
 
-def _search(x: np.ndarray, graph: np.ndarray, start: int, beam: int) -> tuple[np.ndarray, np.ndarray]:
-    """Batched greedy search of all rows of ``x`` for themselves from
-    ``start``: (beams by similarity, all visited rows as a mask).  ``graph``
-    rows are padded with -1."""
-    n = len(x)
-    every = np.arange(n)
-    beams = np.full((n, beam), -1)
-    sims = np.full((n, beam), -np.inf)
-    beams[:, 0], sims[:, 0] = start, x @ x[start]
-    seen = np.zeros((n, n), bool)
+def _search(sims: np.ndarray, lo: int, graph: np.ndarray, start: int, beam: int) -> tuple[np.ndarray, np.ndarray]:
+    """Batched greedy search of some rows for themselves from ``start``:
+    (beams by similarity, visited as row * n + row).  ``sims`` has the
+    similarities of the rows from ``lo`` on to all ``n``; ``graph`` rows are
+    padded with -1."""
+    m, n = sims.shape
+    every = np.arange(m)
+    beams = np.full((m, beam), -1)
+    best = np.full((m, beam), -np.inf)
+    done = np.zeros((m, beam), bool)
+    beams[:, 0], best[:, 0] = start, sims[:, start]
+    seen = np.zeros((m, n), bool)
     seen[:, start] = True
-    visited = np.zeros((n, n), bool)
-    while True:
-        open_ = (beams >= 0) & ~visited[every[:, None], beams]
-        q = np.flatnonzero(open_.any(axis=1))
-        if not len(q):
-            return beams, visited
-        best = beams[q, np.where(open_[q], sims[q], -np.inf).argmax(axis=1)]
-        visited[q, best] = True
-        nb = graph[best]
+    visited = []
+    q = every
+    while len(q):
+        open_ = np.where((beams[q] >= 0) & ~done[q], best[q], -np.inf)
+        at = open_.argmax(axis=1)
+        ok = open_[np.arange(len(q)), at] > -np.inf
+        q, at = q[ok], at[ok]
+        pick = beams[q, at]
+        done[q, at] = True
+        visited.append((q + lo) * n + pick)
+        nb = graph[pick]
         fresh = (nb >= 0) & ~seen[q[:, None], nb]
+        some = fresh.any(axis=1)
+        r, nb, fresh = q[some], nb[some], fresh[some]
         rows, cols = np.nonzero(fresh)
-        seen[q[rows], nb[rows, cols]] = True
-        s = np.full(nb.shape, -np.inf)
-        s[rows, cols] = np.einsum("ij,ij->i", x[q[rows]], x[nb[rows, cols]])
-        all_b = np.concatenate((beams[q], np.where(fresh, nb, -1)), axis=1)
-        all_s = np.concatenate((sims[q], s), axis=1)
+        seen[r[rows], nb[rows, cols]] = True
+        s = np.where(fresh, sims[r[:, None], nb], -np.inf)
+        some = s.max(axis=1, initial=-np.inf) > best[r, -1]
+        r, nb, s = r[some], nb[some], s[some]
+        all_s = np.concatenate((best[r], s), axis=1)
         top = np.argsort(-all_s, axis=1, kind="stable")[:, :beam]
-        beams[q], sims[q] = np.take_along_axis(all_b, top, 1), np.take_along_axis(all_s, top, 1)
-        beams[q] = np.where(np.isfinite(sims[q]), beams[q], -1)
-
-
-def _prune(x: np.ndarray, candidates: list[np.ndarray], alpha: float) -> np.ndarray:
-    """Robust pruning of each row's candidates to at most DEGREE neighbours:
-    the nearest is taken, and drops those that are alpha times nearer to it
-    than to the row."""
-    n = len(x)
-    width = max(1, max(len(c) for c in candidates))
-    c = np.full((n, width), -1)
-    for i, row in enumerate(candidates):
-        c[i, :len(row)] = row
-    alive = (c >= 0) & (c != np.arange(n)[:, None])
-    own = np.einsum("ikj,ij->ik", x[c], x)
-    dist = np.where(alive, 2 - 2 * own, np.inf)
+        best[r] = np.take_along_axis(all_s, top, 1)
+        beams[r] = np.where(np.isfinite(best[r]), np.take_along_axis(np.concatenate((beams[r], nb), axis=1), top, 1), -1)
+        done[r] = np.take_along_axis(np.concatenate((done[r], np.zeros(nb.shape, bool)), axis=1), top, 1)
+    return beams, np.concatenate(visited)
+
+
+def _pieces(counts: np.ndarray) -> Iterator[np.ndarray]:
+    """Rows by their counts, so many at a time that PIECE numbers hold the widest of them for each."""
+    order = np.argsort(counts, kind="stable")
+    i = 0
+    while i < len(order):
+        fits = np.maximum(counts[order[i:]], 1) * np.arange(1, len(order) - i + 1) <= PIECE
+        j = i + max(1, int(fits.argmin()) if not fits.all() else len(fits))
+        yield order[i:j]
+        i = j
+
+
+def _padded(edges: np.ndarray, n: int, rows: np.ndarray | None = None, starts: np.ndarray | None = None) -> np.ndarray:
+    """Rows' neighbours of sorted ``edges`` (row * n + row), padded with -1."""
+    starts = np.searchsorted(edges, np.arange(n + 1) * n) if starts is None else starts
+    rows = np.arange(n) if rows is None else rows
+    counts = starts[rows + 1] - starts[rows]
+    out = np.full((len(rows), max(1, int(counts.max()))), -1)
+    out[np.repeat(np.arange(len(rows)), counts), ranges(np.zeros(len(rows), np.int64), counts)] = edges[ranges(starts[rows], counts)] % n
+    return out
+
+
+def _prune(sims: np.ndarray, candidates: np.ndarray, alpha: float) -> np.ndarray:
+    """Robust pruning of each row's candidates (sorted, row * n + row) to at
+    most DEGREE neighbours: the nearest is taken, and drops those that are
+    alpha times nearer to it than to the row."""
+    n = len(sims)
+    candidates = candidates[candidates // n != candidates % n]
+    starts = np.searchsorted(candidates, np.arange(n + 1) * n)
     graph = np.full((n, DEGREE), -1)
-    for k in range(DEGREE):
-        rows = np.flatnonzero(np.isfinite(dist).any(axis=1))
-        if not len(rows):
-            break
-        at = dist[rows].argmin(axis=1)
-        pick = c[rows, at]
-        graph[rows, k] = pick
-        between = 2 - 2 * np.einsum("ikj,ij->ik", x[c[rows]], x[pick])
-        dist[rows] = np.where(alpha ** 2 * between <= dist[rows] + 1e-12, np.inf, dist[rows])
-        dist[rows, at] = np.inf
+    for own in _pieces(np.diff(starts)):
+        c = _padded(candidates, n, own, starts)
+        dist = np.where(c >= 0, 2 - 2 * sims[own[:, None], c], np.inf)
+        rows = np.arange(len(own))
+        for k in range(DEGREE):
+            at = dist.argmin(axis=1)
+            left = np.isfinite(dist[np.arange(len(rows)), at])
+            if not left.all():
+                rows, c, dist, at = rows[left], c[left], dist[left], at[left]
+            if not len(rows):
+                break
+            every = np.arange(len(rows))
+            pick = c[every, at]
+            graph[own[rows], k] = pick
+            between = 2 - 2 * sims[pick[:, None], c]
+            dist[alpha ** 2 * between <= dist + 1e-12] = np.inf
+            dist[every, at] = np.inf
     return graph
 
 
@@ -148,91 +283,176 @@ def _medoid(x: np.ndarray) -> int:
     return int((x @ x.mean(axis=0)).argmax())
 
 
+def _edges(graph: np.ndarray) -> np.ndarray:
+    """Sorted row * n + row of a padded graph."""
+    src, k = np.nonzero(graph >= 0)
+    return _different(src * len(graph) + graph[src, k])
+
+
 def build_graph(x: np.ndarray) -> np.ndarray:
     """Flat graph of unit vectors: neighbour rows padded with -1."""
     n = len(x)
     rng = np.random.default_rng(n)
     if n <= DEGREE + 1:
         return np.array([[j for j in range(n) if j != i] + [-1] * (DEGREE - n + 1) for i in range(n)]).reshape(n, DEGREE)
-    graph = (np.arange(n)[:, None] + rng.integers(1, n, (n, DEGREE))) % n
+    sims = x @ x.T
+    step = max(1, PIECE // n)
+    graph = _padded(_edges((np.arange(n)[:, None] + rng.integers(1, n, (n, DEGREE))) % n), n)
     for alpha in (1.0, ALPHA):
-        _, visited = _search(x, graph, _medoid(x), BEAM)
-        cand = []
-        for i in range(n):
-            v = np.flatnonzero(visited[i])
-            own = graph[i][graph[i] >= 0]
-            cand.append(np.union1d(v, own))
-        graph = _prune(x, cand, alpha)
-        src, k = np.nonzero(graph >= 0)
-        dst = graph[src, k]
-        by = np.argsort(dst, kind="stable")
-        cuts = np.searchsorted(dst[by], np.arange(n + 1))
-        both = [np.union1d(graph[i][graph[i] >= 0], src[by[cuts[i]:cuts[i + 1]]]) for i in range(n)]
-        if max(len(b) for b in both) > DEGREE:
-            graph = _prune(x, both, alpha)
+        start = _medoid(x)
+        seen = [_search(sims[i:i + step], i, graph, start, BEAM)[1] for i in range(0, n, step)]
+        graph = _prune(sims, _different(np.concatenate([*seen, _edges(graph)])), alpha)
+        own = _edges(graph)
+        both = _different(np.concatenate((own, own % n * n + own // n)))
+        if np.bincount(both // n, minlength=n).max() > DEGREE:
+            graph = _prune(sims, both, alpha)
         else:
-            graph = np.array([np.append(b, np.full(DEGREE - len(b), -1)) for b in both])
+            graph = _padded(both, n)
     return graph
 
 
-def _build(rows: pd.DataFrame) -> pd.DataFrame:
+def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A shard to its adjacency lists, by id."""
-    rows = rows.sort_values("id", kind="stable")
-    ids = rows["id"].to_numpy()
-    x = _unit(np.stack(rows["v"].to_numpy()).astype(np.float64))
-    graph = build_graph(x)
-    return pd.DataFrame({"id": ids, "near": [ids[g[g >= 0]] for g in graph]})
+    rows = pa.Table.from_batches(list(batches))
+    order = np.argsort(rows["id"].to_numpy(), kind="stable")
+    ids = rows["id"].to_numpy()[order]
+    x = _matrix(rows["v"].combine_chunks())[order]
+    del rows
+    graph = build_graph(_unit(x))
+    kept = graph >= 0
+    offsets = np.concatenate(([0], np.cumsum(kept.sum(axis=1)))).astype(np.int32)
+    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids[graph[kept]]))], names=["id", "near"])
+
+
+def _in_range(x: np.ndarray, edges: np.ndarray, cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (a < b) of at least ``cosine`` that the graph finds, a piece at a time."""
+    n, start = len(x), _medoid(x)
+    graph = _padded(edges, n)
+    ends = _different(np.concatenate((edges, edges % n * n + edges // n)))
+    starts = np.searchsorted(ends, np.arange(n + 1) * n)
+    degree = np.diff(starts)
+    step = max(1, PIECE // n)
+    for lo in range(0, n, step):
+        sims = x[lo:lo + step] @ x.T
+        m = len(sims)
+        beams, _ = _search(sims, lo, graph, start, BEAM)
+        known = np.zeros((m, n), bool)
+        r, k = np.nonzero(beams >= 0)
+        known[r, beams[r, k]] = True
+        rows = np.arange(lo, lo + m)
+        known[np.repeat(np.arange(m), degree[rows]), ends[ranges(starts[rows], degree[rows])] % n] = True
+        known[np.arange(m), rows] = False
+        hits = sims >= cosine
+        hits[np.arange(m), rows] = False
+        # vectors found in range, of which the neighbours are yet to be looked at
+        front = np.flatnonzero(known & hits)
+        grown = np.zeros(m * n, bool)
+        grown[front] = True
+        while len(front):
+            before = grown.copy()
+            size = np.cumsum(degree[front % n])
+            cuts = np.searchsorted(size, np.arange(PIECE, size[-1], PIECE)) + 1
+            for part in np.split(front, cuts):
+                d = degree[part % n]
+                grown[np.repeat(part // n, d) * n + ends[ranges(starts[part % n], d)] % n] = True
+            grown &= hits.ravel()
+            front = np.flatnonzero(grown & ~before)
+        found = np.flatnonzero(grown)
+        a, b = found // n + lo, found % n
+        yield a[b > a], b[b > a]
 
 
 def _range_search(cosine: float):
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        """A shard with united adjacency lists to its pairs in range."""
-        rows = rows.sort_values("id", kind="stable")
-        ids = rows["id"].to_numpy()
-        x = _unit(np.stack(rows["v"].to_numpy()).astype(np.float64))
-        local = []
-        for near in rows["near"]:
-            at = np.searchsorted(ids, near)
-            ok = (at < len(ids)) & (ids[np.minimum(at, len(ids) - 1)] == near)
-            local.append(at[ok])
-        graph = np.full((len(ids), max(1, max(len(a) for a in local))), -1)
-        for i, a in enumerate(local):
-            graph[i, :len(a)] = a
-        beams, _ = _search(x, graph, _medoid(x), BEAM)
-        src = np.repeat(np.arange(len(ids)), [len(a) for a in local])
-        dst = np.concatenate(local)
-        tail, head = np.append(src, dst), np.append(dst, src)
-        by = np.argsort(tail, kind="stable")
-        head, cuts = head[by], np.searchsorted(tail[by], np.arange(len(ids) + 1))
-        found_a, found_b = [], []
-        known = np.full(len(ids), -1)
-        for i in range(len(ids)):
-            known[i] = i
-            front = np.concatenate((beams[i][beams[i] >= 0], head[cuts[i]:cuts[i + 1]]))
-            while True:
-                new = np.unique(front[known[front] != i])
-                if not len(new):
-                    break
-                known[new] = i
-                hit = new[x[new] @ x[i] >= cosine]
-                later = hit[hit > i]
-                found_a.append(np.full(len(later), i))
-                found_b.append(later)
-                front = np.concatenate([head[cuts[h]:cuts[h + 1]] for h in hit]) if len(hit) else hit
-        a, b = (np.concatenate(f).astype(np.int64) if f else np.zeros(0, np.int64) for f in (found_a, found_b))
-        return pd.DataFrame({"a": ids[a], "b": ids[b]})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A shard's vectors, and rows with their united adjacency lists, to its pairs in range."""
+        rows = pa.Table.from_batches(list(batches)).select(["id", "v", "near"]).combine_chunks()
+        with_v = rows.filter(rows["v"].is_valid()).combine_chunks()
+        order = np.argsort(with_v["id"].to_numpy(), kind="stable")
+        ids = with_v["id"].to_numpy()[order]
+        x = _unit(_matrix(with_v["v"].combine_chunks())[order])
+        lists = rows.filter(rows["near"].is_valid()).combine_chunks()
+        del rows, with_v
+        near = lists["near"].combine_chunks()
+        src = np.repeat(np.searchsorted(ids, lists["id"].to_numpy()), near.value_lengths().to_numpy())
+        near = near.flatten().to_numpy()
+        at = np.minimum(np.searchsorted(ids, near), len(ids) - 1)
+        ok = ids[at] == near
+        for a, b in _in_range(x, _different(src[ok] * len(ids) + at[ok]), cosine):
+            for i in range(0, len(a), PIECE // 8):
+                yield pa.RecordBatch.from_arrays([pa.array(ids[a[i:i + PIECE // 8]]), pa.array(ids[b[i:i + PIECE // 8]])], names=["a", "b"])
     return run
 
 
+def _trees(points: DataFrame) -> dict[tuple, Tree]:
+    """Centroids of each (label, dim) beyond SHARD rows, fitted level by level on samples."""
+    part = lambda seed: F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 30)) / float(1 << 30)
+    sizes = points.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > SHARD)
+    sizes = sizes.withColumn("k", F.ceil(F.col("n") / SHARD).cast("long"))
+    # a few more than a label's share, so that a small one has enough
+    some = F.col("k") * SAMPLE_PER_CENTROID + 64 > part(1) * F.col("n")
+    sample = points.join(sizes, ["label", "dim"]).where(some).select("label", "dim", F.lit(0).cast("long").alias("node"), "k", F.xxhash64("id").alias("h"), part(2).alias("p"), "v")
+    sample = cut(sample, "sample")
+    trees: dict[tuple, Tree] = {}
+    shards: dict[tuple, int] = {}
+    nodes: dict[tuple, list[int]] = {}
+    while True:
+        fitted = sample.where(F.col("p") * F.col("k") < FAN).select("label", "dim", "node", "k", "h", "v").groupBy("label", "dim", "node").applyInArrow(
+            _fit(FAN), "label string, dim int, node long, c binary, k long")
+        found: dict[tuple, list] = {}
+        for r in fitted.collect():
+            found.setdefault((r["label"], r["dim"], r["node"]), []).append((r["c"], r["k"]))
+        level: dict[tuple, Tree] = {}
+        for (label, dim, node), rows in found.items():
+            key = (label, dim)
+            want = nodes.setdefault(key, [0])
+            leaf, down = np.full(len(rows), -1), np.full(len(rows), -1)
+            for i, (_, k) in enumerate(rows):
+                if k > 1:
+                    down[i] = len(want)
+                    want.append(k)
+                else:
+                    leaf[i] = shards[key] = shards.get(key, -1) + 1
+            fit = (np.frombuffer(b"".join(c for c, _ in rows)).reshape(len(rows), dim), leaf, down)
+            level.setdefault(key, {})[node] = trees.setdefault(key, {})[node] = fit
+        if not any((down >= 0).any() for tree in level.values() for _, _, down in tree.values()):
+            break
+        sample = cut(sample.mapInArrow(_descend(level, {key: np.array(k) for key, k in nodes.items()}), sample.schema), "sample")
+    # a node that no row of the sample came to is a leaf
+    for key, tree in trees.items():
+        for _, leaf, down in tree.values():
+            for i in np.flatnonzero(down >= 0):
+                if int(down[i]) not in tree:
+                    shards[key] = leaf[i] = shards.get(key, -1) + 1
+                    down[i] = -1
+    return trees
+
+
+def _scaled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, label, v) to (id, label, dim, v) of the rows whose vector has a
+    length and finite components, scaled by the largest component, so that
+    the norm neither overflows nor vanishes."""
+    for whole in batches:
+        ends = np.concatenate(([0], np.cumsum(whole.column("v").value_lengths().fill_null(0).to_numpy())))
+        for i, j in chunks(ends, PIECE):
+            batch, dim = whole.slice(i, j - i), np.diff(ends[i:j + 1])
+            v = batch.column("v").flatten().to_numpy(zero_copy_only=False)
+            top, ok = np.zeros(j - i), dim > 0
+            if len(v):
+                top[ok] = np.maximum.reduceat(np.abs(v), (ends[i:j] - ends[i])[ok])
+            ok = (top > 0) & (top < np.inf)  # nan is neither
+            kept = np.repeat(ok, dim)
+            v = v[kept] / np.repeat(top[ok], dim[ok]) + 0.0
+            offsets = np.concatenate(([0], np.cumsum(dim[ok]))).astype(np.int32)
+            at = pa.array(np.flatnonzero(ok))
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(at), batch.column("label").take(at), pa.array(dim[ok].astype(np.int32)),
+                                              pa.ListArray.from_arrays(pa.array(offsets), pa.array(v))], names=["id", "label", "dim", "v"])
+
+
 def _valid(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -> DataFrame:
-    v = F.transform(F.col(f"`{vector_col}`"), lambda c: c.cast("double"))
-    d = vectors.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{label_col}`").cast("string").alias("label"), v.alias("v"))
-    finite = F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
-    d = d.where(F.col("id").isNotNull() & F.col("label").isNotNull() & (F.size("v") > 0) & F.coalesce(finite, F.lit(False)))
-    # scaled by the largest component, so that the norm neither overflows nor vanishes
-    top = F.array_max(F.transform("v", lambda c: F.abs(c)))
-    d = d.withColumn("top", top).where("top > 0")
-    return d.select("id", "label", F.size("v").alias("dim"), F.transform("v", lambda c: c / F.col("top") + F.lit(0.0)).alias("v"))
+    d = vectors.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{label_col}`").cast("string").alias("label"),
+                       F.col(f"`{vector_col}`").cast("array<double>").alias("v"))
+    d = d.where(F.col("id").isNotNull() & F.col("label").isNotNull() & F.col("v").isNotNull())
+    return d.mapInArrow(_scaled, "id long, label string, dim int, v array<double>")
 
 
 def class_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
@@ -241,33 +461,29 @@ def class_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "e
     different classes, by their smallest ids)."""
     valid = cut(_valid(vectors, id_col, vector_col, label_col), "vectors")
     classes = cut(valid.groupBy("label", "dim", "v").agg(F.min("id").alias("rep"), F.count_distinct("id").alias("copies")), "classes")
-    members = valid.join(classes, ["label", "dim", "v"]).select("id", "rep", "copies").distinct()
+    # the hash comes first, so that sorting seldom compares vectors
+    h = F.xxhash64("v").alias("h")
+    members = valid.select("*", h).join(classes.select("*", h), ["h", "label", "dim", "v"]).select("id", "rep", "copies").distinct()
 
     points = cut(classes.groupBy("rep", "label", "dim").agg(F.min("v").alias("v")).withColumnRenamed("rep", "id"), "points")
-    sizes = points.groupBy("label", "dim").agg(F.ceil(F.count(F.lit(1)) / SHARD).alias("k"))
-    order = Window.partitionBy("label", "dim").orderBy("h", "id")
-    sample = (points.join(sizes, ["label", "dim"]).withColumn("h", F.xxhash64("id"))
-              .withColumn("r", F.row_number().over(order)).where(F.col("r") <= F.col("k") * SAMPLE_PER_CENTROID))
-    found = (sample.groupBy("label", "dim").applyInPandas(_centroids, "label string, dim int, c array<double>").collect())
-    centroids: dict = {}
-    for r in found:
-        centroids.setdefault((r["label"], r["dim"]), []).append(r["c"])
-    centroids = {k: np.array(c) for k, c in centroids.items()}
-
     dealt = points.select("id", "label", "dim", "v").mapInArrow(
-        _assign(centroids), "id long, label string, dim int, v array<double>, shard long")
+        _assign(_trees(points)), "id long, label string, dim int, v array<double>, shard long")
     dealt = cut(dealt, "shards")
     group = ["label", "dim", "shard"]
-    blocks = dealt.groupBy(*group).agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    large = dealt.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK)
+    large = cut(large.select(*group, F.ceil(F.col("n") * 2 / BLOCK).alias("blocks")), "blocks")
+    parts = dealt.join(checked_broadcast(large, large.count()), group, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1).cast("long")))
     own = F.pmod(F.xxhash64("id"), F.col("blocks"))
     pair = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
                        lambda g: F.struct(F.least(g, own).alias("i"), F.greatest(g, own).alias("j")))
-    parts = dealt.join(blocks, group).select("id", *group, "v", F.explode(pair).alias("p")).select("id", *group, "p.i", "p.j", "v")
+    parts = parts.select("id", *group, "v", F.explode(pair).alias("p")).select("id", *group, "p.i", "p.j", "v")
     group = [*group, "i", "j"]
-    near = parts.groupBy(*group).applyInPandas(_build, "id long, near array<long>")
+    near = parts.groupBy(*group).applyInArrow(_build, "id long, near array<long>")
     united = cut(near.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "adjacency")
-    links = (parts.join(united, "id").groupBy(*group).applyInPandas(_range_search(cosine), "a long, b long")
-             .where("a <> b").distinct())
+    # the lists go to the shards by themselves, so that the vectors are shuffled once
+    lists = parts.select("id", *group).join(united, "id").select("id", *group, F.lit(None).cast("array<double>").alias("v"), "near")
+    links = (parts.withColumn("near", F.lit(None).cast("array<long>")).select(*lists.columns).unionByName(lists)
+             .groupBy(*group).applyInArrow(_range_search(cosine), "a long, b long").where("a <> b").distinct())
     return cut(members, "members"), cut(links, "links")
 
 

@@ -55,7 +55,7 @@ SHARD, BLOCK, SAMPLE_PER_CENTROID = 800, 3000, 16
 DEGREE, BEAM, ALPHA = 24, 40, 1.2
 ASSIGN = 2
 # centroids that one task fits; nodes of a level below which a vector looks on
-FAN, WIDE = 256, 8
+FAN, WIDE = 256, 32
 # numbers in one working array
 PIECE = 1 << 21
 

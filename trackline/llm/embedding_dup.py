@@ -120,7 +120,7 @@ def _nearest(x: np.ndarray, tree: Tree) -> tuple[np.ndarray, np.ndarray]:
             c, leaf, down = tree[int(nodes[by[0]])]
             by = by[len(at):]
             sim = x[at] @ c.T
-            near = np.argsort(-sim, axis=1, kind="stable")[:, :WIDE]
+            near = np.argsort(-sim, axis=1, kind="stable")[:, :WIDE if (down >= 0).any() else ASSIGN]
             r, s, near = np.repeat(at, near.shape[1]), np.take_along_axis(sim, near, 1).ravel(), near.ravel()
             for to, ids in ((found, leaf[near]), (below, down[near])):
                 ok = ids >= 0
